@@ -1,58 +1,89 @@
-"""Text to typed values, keys and path parts — column expressions only."""
+"""Text to typed values, keys and path parts.
+
+The ``*_sql`` builders take and give SQL expression text, so that whole projections go to
+the JVM in one call and parts can be used inside lambdas; the other functions give Columns.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkledger.model import ID, MONEY
+from inkledger.model import ID
 
 # Number syntax accepted for amounts: digits may be grouped by single underscores.
 _DIGITS = r"\d+(?:_\d+)*"
 NUMBER = rf"^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
 NON_FINITE = r"(?i)^\s*[+-]?(?:nan|inf|infinity)\s*$"
 
-ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[T ].*)?\s*$"
-# Further date forms, month before day where both are numbers.
-DATE_FORMATS = (
-    "yyyy/M/d", "yyyyMMdd", "M/d/yyyy", "M-d-yyyy",
-    "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy",
+# Date forms taken besides ISO, month before day where both are numbers.
+_MONTH = ("(Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|"
+          "Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)")
+ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}(?:[T ].*)?$"
+NUMERIC_DATES = (
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", "$3-$1-$2"),
 )
+MONTH_FIRST = rf"(?i)^{_MONTH}\.? (\d{{1,2}}),? (\d{{4}})$"
+DAY_FIRST = rf"(?i)^(\d{{1,2}})[ -]{_MONTH}\.?[ -](\d{{4}})$"
 
 
-def is_number(text: Column) -> Column:
-    return text.rlike(NUMBER)
-
+def is_number_sql(text: str) -> str:
+    return f"({text}) RLIKE r'{NUMBER}'"
 
-def is_non_finite(text: Column) -> Column:
-    return text.rlike(NON_FINITE)
 
+def is_non_finite_sql(text: str) -> str:
+    return f"({text}) RLIKE r'{NON_FINITE}'"
 
-def _digits(text: Column) -> Column:
-    return F.when(is_number(text), F.replace(F.trim(text), F.lit("_"), F.lit("")))
 
+def number_sql(text: str, dtype: str) -> str:
+    """Number text as ``dtype``; null when it is no finite number or too large.
 
-def to_double(text: Column) -> Column:
-    """Number text as double; null where the text is no finite number."""
-    return _digits(text).try_cast("double")
+    Decimals round half away from zero.
+    """
+    return f"try_cast(CASE WHEN {is_number_sql(text)} THEN replace(trim({text}), '_', '') END AS {dtype})"
 
 
-def to_decimal(text: Column, dtype=MONEY) -> Column:
-    """Number text rounded half away from zero to ``dtype``; null when not a number or too large."""
-    return _digits(text).try_cast(dtype)
+def date_sql(text: str) -> str:
+    """Date text in ISO, numeric or English form; null where none fits."""
+    trimmed = f"trim({text})"
+    numeric = trimmed
+    for pattern, iso in NUMERIC_DATES:
+        numeric = f"regexp_replace({numeric}, r'{pattern}', '{iso}')"
 
+    def named(pattern: str, day: int, month: int) -> str:
+        # day, first three letters of the month, year
+        return (f"CASE WHEN {trimmed} RLIKE r'{pattern}' THEN concat_ws('-', "
+                f"regexp_extract({trimmed}, r'{pattern}', {day}), "
+                f"left(regexp_extract({trimmed}, r'{pattern}', {month}), 3), "
+                f"regexp_extract({trimmed}, r'{pattern}', 3)) END")
 
-def to_date(text: Column) -> Column:
-    """Date text in ISO or one of ``DATE_FORMATS``; null where none fits."""
-    trimmed = F.trim(text)
-    iso = F.when(text.rlike(ISO_DATE), trimmed.try_cast("date"))
-    others = [F.try_to_timestamp(trimmed, F.lit(fmt)).cast("date") for fmt in DATE_FORMATS]
-    return F.coalesce(iso, *others)
+    return (f"coalesce(CASE WHEN {trimmed} RLIKE r'{ISO_DATE}' THEN try_cast({trimmed} AS date) END, "
+            f"CASE WHEN {numeric} RLIKE r'{ISO_DATE}' THEN try_cast({numeric} AS date) END, "
+            f"CAST(try_to_timestamp(coalesce({named(MONTH_FIRST, 2, 1)}, {named(DAY_FIRST, 1, 2)}), "
+            f"'d-MMM-yyyy') AS date))")
 
 
-def normalize_discount(text: Column, present: Column) -> Column:
+def discount_sql(text: str, present: str) -> str:
     """Sign dropped, falsy is 0, text that is no number is null (an error for the caller)."""
-    return F.when(present, F.abs(to_decimal(text))).otherwise(F.lit(0).cast(MONEY))
+    return f"CASE WHEN {present} THEN abs({number_sql(text, 'decimal(12,2)')}) ELSE 0.00BD END"
+
+
+def to_double(text: str) -> Column:
+    return F.expr(number_sql(text, "double"))
+
+
+def to_decimal(text: str, dtype: str = "decimal(12,2)") -> Column:
+    return F.expr(number_sql(text, dtype))
+
+
+def to_date(text: str) -> Column:
+    return F.expr(date_sql(text))
+
+
+def normalize_discount(text: str, present: str) -> Column:
+    return F.expr(discount_sql(text, present))
 
 
 def stable_id(*parts: Column) -> Column:

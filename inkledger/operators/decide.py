@@ -6,107 +6,89 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkledger import model as M
-from inkledger.functions.parse import is_non_finite
+from inkledger.functions.parse import is_non_finite_sql
 from inkledger.operators.extract import cast_invoice
 
 ACCEPTED, ERROR = "persisted", "error"
 DUPLICATE = "duplicate invoice_number"
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("'", "\\'") + "'"
+
+
 def validate(typed: DataFrame) -> DataFrame:
     """``validation_errors`` in a fixed order, ``warnings``, ``is_valid`` and ``needs_review``."""
-    total = F.col("total_amount")
-    given = total.isNotNull() & (total != "")
-    errors = [F.when(~F.col(f"present.{name}"), F.lit(M.MISSING_FIELD % name)) for name in M.REQUIRED_FIELDS]
+    errors = [f"CASE WHEN NOT present.{name} THEN {_text(M.MISSING_FIELD % name)} END"
+              for name in M.REQUIRED_FIELDS]
     # '-inf' is a number that is not positive; 'nan' and 'inf' are neither error
-    finite_or_word = F.col("total_number").isNotNull() | is_non_finite(total)
-    not_positive = (F.col("total_number") <= 0) | total.rlike(r"(?i)^\s*-inf")
-    errors.append(F.when(given & finite_or_word & not_positive, F.format_string(M.INVALID_TOTAL, total)))
-    errors.append(F.when(given & ~finite_or_word, F.format_string(M.INVALID_TOTAL_FORMAT, total)))
-    low = F.col("confidence") < M.MIN_CONFIDENCE
-    return (typed
-            .withColumn("validation_errors", F.array_compact(F.array(*errors)))
-            .withColumn("warnings", F.array_compact(F.array(
-                F.when(low, F.format_string(M.LOW_CONFIDENCE, F.col("confidence").cast("string"))))))
-            .withColumn("is_valid", F.size("validation_errors") == 0)
-            .withColumn("needs_review", F.size("warnings") > 0))
+    number = f"(total_number IS NOT NULL OR {is_non_finite_sql('total_amount')})"
+    not_positive = "(coalesce(total_number <= 0, false) OR total_amount RLIKE r'(?i)^\\s*-inf')"
+    errors.append(f"CASE WHEN total_amount <> '' AND {number} AND {not_positive} "
+                  f"THEN format_string({_text(M.INVALID_TOTAL)}, total_amount) END")
+    errors.append(f"CASE WHEN total_amount <> '' AND NOT {number} "
+                  f"THEN format_string({_text(M.INVALID_TOTAL_FORMAT)}, total_amount) END")
+    checked = typed.selectExpr(
+        "*", f"array_compact(array({', '.join(errors)})) AS validation_errors",
+        f"array_compact(array(CASE WHEN confidence < {M.MIN_CONFIDENCE} THEN "
+        f"format_string({_text(M.LOW_CONFIDENCE)}, CAST(confidence AS string)) END)) AS warnings")
+    return checked.selectExpr("*", "size(validation_errors) = 0 AS is_valid", "size(warnings) > 0 AS needs_review")
 
 
 def decide_status(validated: DataFrame, threshold: float = M.HIGH_VALUE_THRESHOLD) -> DataFrame:
     """failed, pending_review (high value or low confidence) or approved; null without a total."""
-    total = F.col("total_number")
-    return validated.withColumn(
-        "status",
-        F.when(total.isNull(), F.lit(None).cast("string"))
-        .when(~F.col("is_valid"), F.lit("failed"))
-        .when((total > threshold) | F.col("needs_review"), F.lit("pending_review"))
-        .otherwise(F.lit("approved")))
-
-
-def _too_long(text: Column, limit: int) -> Column:
-    """Excess spaces are cut off, any other excess is an error."""
-    return F.length(F.rtrim(text)) > limit
+    return validated.selectExpr(
+        "*", f"CASE WHEN total_number IS NULL THEN NULL WHEN NOT is_valid THEN 'failed' "
+             f"WHEN total_number > {threshold} OR needs_review THEN 'pending_review' "
+             f"ELSE 'approved' END AS status")
 
 
-def outcome_rules() -> list[tuple[str, Column]]:
-    """(reason, condition) in the order in which storing a document would fail."""
-    col = F.col
-    length = M.MAX_LENGTH
+def outcome_rules() -> list[tuple[str, str]]:
+    """(reason, SQL condition) in the order in which storing a document would fail."""
+    def long(name: str, table: str, column: str) -> tuple[str, str]:
+        # excess spaces are cut off, any other excess is an error
+        return f"{column} too long", f"length(rtrim({name})) > {M.MAX_LENGTH[table][column]}"
 
-    def unstorable(text: str, value: str) -> Column:
-        return col(text).isNotNull() & col(value).isNull()
-
-    def long(name: str, table: str, column: str) -> tuple[str, Column]:
-        return f"{column} too long", _too_long(col(name), length[table][column])
-
-    lines = (("quantity", "quantity"), ("unit_price", "unit_price"), ("amount", "amount"))
-    bad_line = F.exists(
-        F.arrays_zip(col("line_items").alias("t"), col("lines").alias("v")),
-        lambda z: _any([z["t"][t].isNotNull() & z["v"][v].isNull() for t, v in lines]))
+    unread_line = " OR ".join(
+        f"(z.line_items.{c} IS NOT NULL AND z.lines.{c} IS NULL)" for c in ("quantity", "unit_price", "amount"))
+    bank = [long(c, "bank_details", c) for c in ("bank_name", "account_number", "routing_number")]
     return [
-        ("document shape", F.size("shape_errors") > 0),
-        ("total_amount not a number", col("total_number").isNull()),
-        ("company_name missing", col("company_name").isNull()),
+        ("document shape", "size(shape_errors) > 0"),
+        ("total_amount not a number", "total_number IS NULL"),
+        ("company_name missing", "company_name IS NULL"),
         long("company_name", "vendors", "vendor_name"),
         long("company_contact", "vendors", "vendor_phone"),
         long("payment_terms", "vendors", "payment_terms"),
         long("bill_to", "customers", "customer_name"),
         long("client_email", "customers", "customer_email"),
-        ("discount not a number", col("discount_value").isNull()),
-        ("invoice_number missing", col("invoice_number").isNull()),
+        ("discount not a number", "discount_value IS NULL"),
+        ("invoice_number missing", "invoice_number IS NULL"),
         long("invoice_number", "invoices", "invoice_number"),
-        ("invoice_date missing or not a date", col("invoice_day").isNull()),
-        ("due_date not a date", unstorable("due_date", "due_day")),
-        ("subtotal not storable", unstorable("subtotal", "subtotal_value")),
-        ("tax not storable", unstorable("tax", "tax_value")),
-        ("total_amount not storable", col("total_value").isNull()),
+        ("invoice_date missing or not a date", "invoice_day IS NULL"),
+        ("due_date not a date", "due_date IS NOT NULL AND due_day IS NULL"),
+        ("subtotal not storable", "subtotal IS NOT NULL AND subtotal_value IS NULL"),
+        ("tax not storable", "tax IS NOT NULL AND tax_value IS NULL"),
+        ("total_amount not storable", "total_value IS NULL"),
         long("po_number", "invoices", "po_number"),
-        ("confidence not storable", col("confidence_score").isNull()),
+        ("confidence not storable", "confidence_score IS NULL"),
         long("s3_key", "invoices", "s3_key"),
         long("s3_bucket", "invoices", "s3_bucket"),
-        ("line description missing", F.exists("lines", lambda x: x["description"].isNull())),
-        ("line number not storable", bad_line),
-        *[(reason, col("present.bank_name") & too_long) for reason, too_long in (
-            long("bank_name", "bank_details", "bank_name"),
-            long("account_number", "bank_details", "account_number"),
-            long("routing_number", "bank_details", "routing_number"))],
+        ("line description missing", "exists(lines, x -> x.description IS NULL)"),
+        ("line number not storable", f"exists(arrays_zip(line_items, lines), z -> {unread_line})"),
+        *[(reason, f"present.bank_name AND {condition}") for reason, condition in bank],
     ]
 
 
-def _any(conditions: list[Column]) -> Column:
-    found = conditions[0]
-    for condition in conditions[1:]:
-        found = found | condition
-    return found
-
-
 def classify_outcome(decided: DataFrame) -> DataFrame:
     """``error``: the first reason why the document cannot be stored, null when it can.
 
     Uniqueness is not looked at here: a document in error must not claim its number.
     """
-    return decided.withColumn(
-        "error", F.coalesce(*[F.when(condition, F.lit(reason)) for reason, condition in outcome_rules()]))
+    cases = " ".join(f"WHEN {condition} THEN {_text(reason)}" for reason, condition in outcome_rules())
+    # A generator, because a filter on its output stays above it: otherwise Catalyst copies
+    # the whole chain of parsing and checks into the filter and evaluates it twice.
+    return decided.selectExpr("*", f"explode(array(CASE {cases} END)) AS error")
 
 
 def process_documents(extracted: DataFrame) -> DataFrame:

@@ -8,11 +8,11 @@ unrounded), ``confidence_score``, ``confidence_text``, ``present`` (is a field t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkledger.functions.parse import normalize_discount, to_date, to_decimal, to_double
-from inkledger.model import LINE_TEXT, QUANTITY, SCORE, TRUTH_TESTED
+from inkledger.functions.parse import date_sql, discount_sql, number_sql
+from inkledger.model import LINE_TEXT, TRUTH_TESTED
 
 # output column -> path in the document
 SCALARS = {
@@ -46,29 +46,26 @@ DATES = ("invoice_date", "due_date")
 AMOUNTS = ("subtotal", "tax", "total_amount")
 
 
-def _get(path: str, as_type: str) -> Column:
-    return F.try_variant_get(F.col("doc"), path, as_type)
+def _get(path: str, as_type: str) -> str:
+    return f"try_variant_get(doc, '{path}', '{as_type}')"
 
 
-def _kind(path: str) -> Column:
+def _kind(path: str) -> str:
     """JSON type at the path: null when absent, VOID for a JSON null."""
-    return F.schema_of_variant(_get(path, "variant"))
+    return f"schema_of_variant({_get(path, 'variant')})"
 
 
-def _text(kind: Column, value: Column) -> Column:
+def _text(kind: str, value: str) -> str:
     """Numbers with a fraction keep one when it is zero (5.0, not 5)."""
-    whole = kind.rlike(r"^DECIMAL\((1[0-8]|\d),0\)$")
-    return F.when(whole, F.concat(value, F.lit(".0"))).otherwise(value)
+    return rf"CASE WHEN {kind} RLIKE r'^DECIMAL\((1[0-8]|\d),0\)$' THEN concat({value}, '.0') ELSE {value} END"
 
 
-def _truthy(kind: Column, value: Column) -> Column:
+def _truthy(kind: str, value: str) -> str:
     """Absent, null, '', 0, false, [] and {} are false; the texts '0' and ' ' are true."""
-    number = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-    return (F.when(kind.isNull() | (kind == "VOID"), F.lit(False))
-            .when(kind == "STRING", value != "")
-            .when(kind == "BOOLEAN", value == "true")
-            .when(number, value.try_cast("double") != 0)
-            .otherwise(~value.isin("[]", "{}")))
+    return (f"CASE WHEN {kind} IS NULL OR {kind} = 'VOID' THEN false WHEN {kind} = 'STRING' THEN {value} <> '' "
+            f"WHEN {kind} = 'BOOLEAN' THEN {value} = 'true' "
+            f"WHEN {kind} RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)' THEN try_cast({value} AS double) <> 0 "
+            f"ELSE {value} NOT IN ('[]', '{{}}') END")
 
 
 def extract_flatten(documents: DataFrame, strict: bool = False) -> DataFrame:
@@ -79,64 +76,58 @@ def extract_flatten(documents: DataFrame, strict: bool = False) -> DataFrame:
     error with ``strict``.  The score is rounded half up.
     """
     items = _get(ITEMS, LINE_TEXT)
-    read = documents.withColumn("doc", F.try_parse_json("raw")).select(
-        "arrival", "s3_bucket", "s3_key", F.col("doc").isNull().alias("malformed"),
-        items.alias("items"),
+    kinds = ", ".join(f"'{n}', {_kind(p)}" for n, p in {**SCALARS, **OBJECTS}.items())
+    values = ", ".join(f"'{n}', {_get(p, 'string')}" for n, p in SCALARS.items())
+    read = documents.withColumn("doc", F.try_parse_json("raw")).selectExpr(
+        "arrival", "s3_bucket", "s3_key", "doc IS NULL AS malformed", f"{items} AS items",
         # the type of a list of objects is known from the cast; look only where it failed
-        F.when(items.isNull(), _kind(ITEMS)).otherwise(F.lit("OBJECTS")).alias("items_kind"),
-        F.when(items.isNull(), _get(ITEMS, "string")).alias("items_text"),
-        _get(CONFIDENCE, "double").alias("fraction"), _kind(CONFIDENCE).alias("fraction_kind"),
-        F.struct(*[_kind(p).alias(n) for n, p in {**SCALARS, **OBJECTS}.items()]).alias("kind"),
-        F.struct(*[_get(p, "string").alias(n) for n, p in SCALARS.items()]).alias("value"),
-    )
-    kind = {n: F.col(f"kind.{n}") for n in (*SCALARS, *OBJECTS)}
-    text = {n: _text(kind[n], F.col(f"value.{n}")) for n in SCALARS}
+        f"CASE WHEN {items} IS NULL THEN {_kind(ITEMS)} ELSE 'OBJECTS' END AS items_kind",
+        f"CASE WHEN {items} IS NULL THEN {_get(ITEMS, 'string')} END AS items_text",
+        f"{_get(CONFIDENCE, 'double')} AS fraction", f"{_kind(CONFIDENCE)} AS fraction_kind",
+        f"named_struct({kinds}) AS kind", f"named_struct({values}) AS value")
+
+    text = {n: _text(f"kind.{n}", f"value.{n}") for n in SCALARS}
     # a true discount counts as the number 1
-    text["discount"] = F.when(kind["discount"] == "BOOLEAN", F.lit("1")).otherwise(text["discount"])
-    percent = F.coalesce(F.col("fraction"), F.lit(0.0)) * 100
-    score = percent.try_cast(SCORE)
-    whole = F.coalesce(F.col("fraction_kind"), F.lit("BIGINT")) == "BIGINT"
-
-    return read.select(
-        "arrival", "s3_bucket", "s3_key", *[text[n].alias(n) for n in SCALARS],
-        F.coalesce("items", F.array()).alias("line_items"),
-        percent.alias("confidence"), score.alias("confidence_score"),
-        F.when(whole, percent.cast("bigint").cast("string"))
-        .otherwise(score.cast("double").cast("string")).alias("confidence_text"),
-        F.struct(*[_truthy(kind[n], F.col(f"value.{n}")).alias(n) for n in TRUTH_TESTED]).alias("present"),
-        F.array_compact(F.array(*_shape_errors(kind, strict))).alias("shape_errors"),
-    )
-
-
-def _shape_errors(kind: dict[str, Column], strict: bool) -> list[Column]:
-    def named(name: str, condition: Column) -> Column:
-        return F.when(condition, F.lit(name))
-
-    def nullable(kind_of: Column) -> Column:
-        return F.lit(False) if strict else kind_of == "VOID"
-
-    errors = [named("document", F.col("malformed"))]
-    errors += [named(n, ~kind[n].startswith("OBJECT") & ~nullable(kind[n])) for n in OBJECTS]
+    text["discount"] = f"CASE WHEN kind.discount = 'BOOLEAN' THEN '1' ELSE {text['discount']} END"
+    present = ", ".join(f"'{n}', {_truthy(f'kind.{n}', f'value.{n}')}" for n in TRUTH_TESTED)
+    scored = read.selectExpr(
+        "arrival", "s3_bucket", "s3_key", *[f"{text[n]} AS {n}" for n in SCALARS],
+        "coalesce(items, array()) AS line_items", "coalesce(fraction, 0D) * 100 AS confidence",
+        "coalesce(fraction_kind, 'BIGINT') = 'BIGINT' AS whole_percent",
+        f"named_struct({present}) AS present",
+        f"array_compact(array({', '.join(_shape_errors(strict))})) AS shape_errors")
+    return scored.selectExpr(
+        "* EXCEPT (whole_percent)", "try_cast(confidence AS decimal(5,2)) AS confidence_score",
+        "CASE WHEN whole_percent THEN CAST(CAST(confidence AS bigint) AS string) "
+        "ELSE CAST(CAST(try_cast(confidence AS decimal(5,2)) AS double) AS string) END AS confidence_text")
+
+
+def _shape_errors(strict: bool) -> list[str]:
+    def named(name: str, condition: str) -> str:
+        return f"CASE WHEN {condition} THEN '{name}' END"
+
+    nullable = "false" if strict else "kind.{0} = 'VOID'"
+    errors = [named("document", "malformed")]
+    errors += [named(n, f"kind.{n} NOT LIKE 'OBJECT%' AND NOT ({nullable.format(n)})") for n in OBJECTS]
     for name in SCALARS:
-        bad = kind[name].rlike("^(OBJECT|ARRAY)")
+        bad = f"kind.{name} RLIKE '^(OBJECT|ARRAY)'"
         if name in DATES:
-            bad = ~kind[name].isin("STRING", "VOID")
+            bad = f"kind.{name} NOT IN ('STRING', 'VOID')"
         elif name in AMOUNTS:
-            bad = bad | (kind[name] == "BOOLEAN")
+            bad += f" OR kind.{name} = 'BOOLEAN'"
         errors.append(named(name, bad))
     # null, 0, false, '' and {} count as no items
-    not_a_list = (F.col("items_kind") != "OBJECTS") & _truthy(F.col("items_kind"), F.col("items_text"))
-    errors.append(named("invoice_items", not_a_list | F.exists("items", lambda x: x.isNull())))
-    errors.append(named("confidence", F.col("fraction_kind").rlike("^(OBJECT|ARRAY|STRING)")
-                        | (F.lit(strict) & (F.col("fraction_kind") == "VOID"))))
+    not_a_list = f"items_kind <> 'OBJECTS' AND {_truthy('items_kind', 'items_text')}"
+    errors.append(named("invoice_items", f"({not_a_list}) OR exists(items, x -> x IS NULL)"))
+    unusable = "^(OBJECT|ARRAY|STRING|VOID)" if strict else "^(OBJECT|ARRAY|STRING)"
+    errors.append(named("confidence", f"fraction_kind RLIKE '{unusable}'"))
     return errors
 
 
 def confidence_columns(df: DataFrame, fraction: str = "fraction") -> DataFrame:
     """``confidence`` in percent, unrounded, and ``confidence_score`` at two decimals."""
-    percent = F.coalesce(F.col(fraction), F.lit(0.0)) * 100
-    return (df.withColumn("confidence", percent)
-            .withColumn("confidence_score", F.col("confidence").try_cast(SCORE)))
+    scored = df.withColumn("confidence", F.expr(f"coalesce({fraction}, 0D) * 100"))
+    return scored.withColumn("confidence_score", F.expr("try_cast(confidence AS decimal(5,2))"))
 
 
 def cast_invoice(extracted: DataFrame) -> DataFrame:
@@ -145,19 +136,18 @@ def cast_invoice(extracted: DataFrame) -> DataFrame:
     ``total_number`` is the double the decisions compare; ``lines`` the typed items with
     their position from 1.
     """
-    line = F.transform("line_items", lambda x, i: F.struct(
-        (i + 1).alias("line_number"), x["description"].alias("description"),
-        to_decimal(x["quantity"], QUANTITY).alias("quantity"),
-        to_decimal(x["unit_price"]).alias("unit_price"),
-        to_decimal(x["amount"]).alias("amount")))
-    return extracted.select(
+    money = "decimal(12,2)"
+    return extracted.selectExpr(
         "*",
-        to_date(F.col("invoice_date")).alias("invoice_day"),
-        to_date(F.col("due_date")).alias("due_day"),
-        to_decimal(F.col("subtotal")).alias("subtotal_value"),
-        to_decimal(F.col("tax")).alias("tax_value"),
-        to_decimal(F.col("total_amount")).alias("total_value"),
-        to_double(F.col("total_amount")).alias("total_number"),
-        normalize_discount(F.col("discount"), F.col("present.discount")).alias("discount_value"),
-        line.alias("lines"),
-    )
+        f"{date_sql('invoice_date')} AS invoice_day",
+        f"{date_sql('due_date')} AS due_day",
+        f"{number_sql('subtotal', money)} AS subtotal_value",
+        f"{number_sql('tax', money)} AS tax_value",
+        f"{number_sql('total_amount', money)} AS total_value",
+        f"{number_sql('total_amount', 'double')} AS total_number",
+        f"{discount_sql('discount', 'present.discount')} AS discount_value",
+        f"""transform(line_items, (x, i) -> named_struct(
+              'line_number', i + 1, 'description', x.description,
+              'quantity', {number_sql('x.quantity', 'decimal(10,2)')},
+              'unit_price', {number_sql('x.unit_price', money)},
+              'amount', {number_sql('x.amount', money)})) AS lines""")

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from inkledger.operators.decide import ACCEPTED
-from inkledger.streaming.ingest import outcome_schema
+from inkledger.streaming.ingest import read_outcomes
 
 
 def stream_accepted(spark: SparkSession, out: str, max_files: int = 1000) -> DataFrame:
-    return (spark.readStream.schema(outcome_schema(spark)).option("maxFilesPerTrigger", max_files)
+    schema = read_outcomes(spark, out).schema
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .parquet(f"{out}/outcomes").filter(F.col("outcome") == ACCEPTED))
 
 

@@ -14,13 +14,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from inkledger.operators.decide import ACCEPTED, dedupe_invoices, process_documents, set_outcome
 from inkledger.operators.extract import extract_flatten
 from inkledger.operators.store import assign_keys
-from inkledger.sources.extractions import DOCUMENT, filter_result_files
+from inkledger.sources.extractions import filter_result_files
 
 IDENTITY = ("arrival", "s3_key", "row_id")
 
@@ -31,15 +30,9 @@ def _stage(documents: DataFrame, processed_at: Column, strict: bool, keys: dict[
     return assign_keys(processed, **keys).withColumn("row_id", F.monotonically_increasing_id())
 
 
-def outcome_schema(spark: SparkSession) -> T.StructType:
-    staged = _stage(spark.createDataFrame([], DOCUMENT), F.current_timestamp(), False, {})
-    fields = [T.StructField(f.name, f.dataType) for f in staged.schema.fields]
-    return T.StructType(fields + [T.StructField("batch_id", T.LongType()),
-                                  T.StructField("outcome", T.StringType())])
-
-
 def read_outcomes(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(outcome_schema(spark)).parquet(f"{out}/outcomes")
+    """Everything decided so far; needs at least one stored batch."""
+    return spark.read.parquet(f"{out}/outcomes")
 
 
 def read_accepted(spark: SparkSession, out: str) -> DataFrame:
@@ -47,9 +40,16 @@ def read_accepted(spark: SparkSession, out: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession, out: str) -> None:
-    """Make the (empty) outcomes folder, so that the first batch finds an empty history."""
-    empty = spark.createDataFrame([], outcome_schema(spark))
-    empty.write.mode("append").partitionBy("batch_id", "outcome").parquet(f"{out}/outcomes")
+    """Make the outcomes folder, so that the first batch finds an empty history."""
+    (spark.range(0).select(F.lit(0).alias("batch_id"), "id")
+     .write.mode("append").partitionBy("batch_id").parquet(f"{out}/outcomes"))
+
+
+def _earlier_numbers(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
+    """Invoice numbers stored by batches before this one: one column of one outcome."""
+    schema = "invoice_number string, batch_id bigint, outcome string"
+    stored = spark.read.schema(schema).parquet(f"{out}/outcomes")
+    return stored.filter((F.col("batch_id") < batch_id) & (F.col("outcome") == ACCEPTED)).select("invoice_number")
 
 
 def store_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Column | None = None,
@@ -63,10 +63,10 @@ def store_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Col
     staged = spark.read.schema(staged.schema).parquet(stage_path)
 
     claims = dedupe_invoices(staged.select("invoice_number", "error", *IDENTITY), IDENTITY)
-    # History is read as one column of one outcome, and reduced to this batch's numbers
-    # before anything is shuffled when those are few enough for Spark to broadcast.
-    taken = (read_accepted(spark, out).filter(F.col("batch_id") < batch_id).select("invoice_number")
-             .join(claims.select("invoice_number"), "invoice_number", "left_semi"))
+    # Spark broadcasts the batch's numbers when they are few, so the history is filtered
+    # where it is read and only numbers already taken are shuffled.
+    taken = _earlier_numbers(spark, out, batch_id).join(
+        claims.select("invoice_number"), "invoice_number", "left_semi")
     firsts = (claims.join(taken, "invoice_number", "left_anti")
               .select("row_id", F.lit(True).alias("_first")))
     marked = set_outcome(staged.join(firsts, "row_id", "left"))
