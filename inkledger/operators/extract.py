@@ -16,56 +16,63 @@ from inkledger.model import LINE_TEXT, TRUTH_TESTED
 
 # output column -> path in the document
 SCALARS = {
-    "invoice_number": "$.inference_result.invoice_number",
-    "company_name": "$.inference_result.company_name",
-    "company_address": "$.inference_result.company_address",
-    "company_contact": "$.inference_result.company_contact_information",
-    "bill_to": "$.inference_result.bill_to",
-    "client_email": "$.inference_result.client_email",
-    "invoice_date": "$.inference_result.invoice_date",
-    "due_date": "$.inference_result.due_date",
-    "po_number": "$.inference_result.po_number",
-    "subtotal": "$.inference_result.subtotal",
-    "discount": "$.inference_result.discount",
-    "tax": "$.inference_result.tax",
-    "total_amount": "$.inference_result.total_amount",
-    "payment_terms": "$.inference_result.payment_terms",
-    "payment_instructions": "$.inference_result.payment_details.payment_instructions",
-    "bank_name": "$.inference_result.bank_details.bank_name",
-    "account_number": "$.inference_result.bank_details.account_number",
-    "routing_number": "$.inference_result.bank_details.routing_number",
+    "invoice_number": "inference_result.invoice_number",
+    "company_name": "inference_result.company_name",
+    "company_address": "inference_result.company_address",
+    "company_contact": "inference_result.company_contact_information",
+    "bill_to": "inference_result.bill_to",
+    "client_email": "inference_result.client_email",
+    "invoice_date": "inference_result.invoice_date",
+    "due_date": "inference_result.due_date",
+    "po_number": "inference_result.po_number",
+    "subtotal": "inference_result.subtotal",
+    "discount": "inference_result.discount",
+    "tax": "inference_result.tax",
+    "total_amount": "inference_result.total_amount",
+    "payment_terms": "inference_result.payment_terms",
+    "payment_instructions": "inference_result.payment_details.payment_instructions",
+    "bank_name": "inference_result.bank_details.bank_name",
+    "account_number": "inference_result.bank_details.account_number",
+    "routing_number": "inference_result.bank_details.routing_number",
 }
 OBJECTS = {
-    "payment_details": "$.inference_result.payment_details",
-    "bank_details": "$.inference_result.bank_details",
-    "matched_blueprint": "$.matched_blueprint",
+    "payment_details": "inference_result.payment_details",
+    "bank_details": "inference_result.bank_details",
+    "matched_blueprint": "matched_blueprint",
 }
-ITEMS = "$.inference_result.invoice_items"
-CONFIDENCE = "$.matched_blueprint.confidence"
+ITEMS = "inference_result.invoice_items"
+CONFIDENCE = "matched_blueprint.confidence"
 DATES = ("invoice_date", "due_date")
 AMOUNTS = ("subtotal", "tax", "total_amount")
 
-
-def _get(path: str, as_type: str) -> str:
-    return f"try_variant_get(doc, '{path}', '{as_type}')"
+_FLAT = ", ".join(f"{p.split('.')[1]}:string" for p in SCALARS.values() if p.count(".") == 1)
+READ_SCHEMA = (
+    f"inference_result struct<{_FLAT}, payment_details:struct<payment_instructions:string>, "
+    "bank_details:struct<bank_name:string,account_number:string,routing_number:string>, "
+    f"invoice_items:{LINE_TEXT}>, matched_blueprint struct<confidence:double>, misfit string")
+# JSON as the standard has it; a text or a part that does not fit the schema sets ``misfit``.
+READ_OPTIONS = {"columnNameOfCorruptRecord": "misfit", "allowSingleQuotes": "false"}
 
 
 def _kind(path: str) -> str:
-    """JSON type at the path: null when absent, VOID for a JSON null."""
-    return f"schema_of_variant({_get(path, 'variant')})"
+    """JSON type at the path: null when absent, VOID for a JSON null.
+
+    This parses the document a second time, so it stands only in branches taken for the
+    few values whose text does not tell the type.
+    """
+    return f"schema_of_variant(try_variant_get(try_parse_json(raw), '$.{path}', 'variant'))"
 
 
-def _text(kind: str, value: str) -> str:
-    """Numbers with a fraction keep one when it is zero (5.0, not 5)."""
-    return rf"CASE WHEN {kind} RLIKE r'^DECIMAL\((1[0-8]|\d),0\)$' THEN concat({value}, '.0') ELSE {value} END"
+def _also(cheap: str, costly: str) -> str:
+    """Both hold.  A branch, not AND: Spark hoists what several ANDs share and evaluates it always."""
+    return f"if({cheap}, {costly}, false)"
 
 
-def _truthy(kind: str, value: str) -> str:
+def _truthy(value: str, path: str) -> str:
     """Absent, null, '', 0, false, [] and {} are false; the texts '0' and ' ' are true."""
-    return (f"CASE WHEN {kind} IS NULL OR {kind} = 'VOID' THEN false WHEN {kind} = 'STRING' THEN {value} <> '' "
-            f"WHEN {kind} = 'BOOLEAN' THEN {value} = 'true' "
-            f"WHEN {kind} RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)' THEN try_cast({value} AS double) <> 0 "
-            f"ELSE {value} NOT IN ('[]', '{{}}') END")
+    written_out = r"^(false|\[\s*\]|\{\s*\}|-?0[0.]*([eE].*)?)$"
+    return (f"CASE WHEN {value} IS NULL OR {value} = '' THEN false "
+            f"WHEN {value} RLIKE r'{written_out}' THEN {_kind(path)} = 'STRING' ELSE true END")
 
 
 def extract_flatten(documents: DataFrame, strict: bool = False) -> DataFrame:
@@ -73,55 +80,70 @@ def extract_flatten(documents: DataFrame, strict: bool = False) -> DataFrame:
 
     Texts that are no JSON, sub-objects of the wrong type and values no table column can
     take are named in ``shape_errors``.  A null sub-object counts as absent, or as an
-    error with ``strict``.  The score is rounded half up.
+    error with ``strict``.  The score is rounded half up.  JSON numbers keep the digits
+    the document has, but for the total: 5.00 reads 5.0, as its messages show it.
     """
-    items = _get(ITEMS, LINE_TEXT)
-    kinds = ", ".join(f"'{n}', {_kind(p)}" for n, p in {**SCALARS, **OBJECTS}.items())
-    values = ", ".join(f"'{n}', {_get(p, 'string')}" for n, p in SCALARS.items())
-    read = documents.withColumn("doc", F.try_parse_json("raw")).selectExpr(
-        "arrival", "s3_bucket", "s3_key", "doc IS NULL AS malformed", f"{items} AS items",
-        # the type of a list of objects is known from the cast; look only where it failed
-        f"CASE WHEN {items} IS NULL THEN {_kind(ITEMS)} ELSE 'OBJECTS' END AS items_kind",
-        f"CASE WHEN {items} IS NULL THEN {_get(ITEMS, 'string')} END AS items_text",
-        f"{_get(CONFIDENCE, 'double')} AS fraction", f"{_kind(CONFIDENCE)} AS fraction_kind",
-        f"named_struct({kinds}) AS kind", f"named_struct({values}) AS value")
-
-    text = {n: _text(f"kind.{n}", f"value.{n}") for n in SCALARS}
+    value = {n: f"j.{p}" for n, p in SCALARS.items()}
+    read = documents.withColumn("j", F.from_json("raw", READ_SCHEMA, READ_OPTIONS))
+    text = dict(value)
     # a true discount counts as the number 1
-    text["discount"] = f"CASE WHEN kind.discount = 'BOOLEAN' THEN '1' ELSE {text['discount']} END"
-    present = ", ".join(f"'{n}', {_truthy(f'kind.{n}', f'value.{n}')}" for n in TRUTH_TESTED)
-    scored = read.selectExpr(
+    text["discount"] = ("if(" + _also(f"{value['discount']} = 'true'", f"{_kind(SCALARS['discount'])} = 'BOOLEAN'")
+                        + f", '1', {value['discount']})")
+    total = value["total_amount"]
+    padded = _also(rf"{total} RLIKE r'^-?\d+\.\d+0$'", f"{_kind(SCALARS['total_amount'])} <> 'STRING'")
+    text["total_amount"] = rf"if({padded}, regexp_replace({total}, r'(\.\d+?)0+$', '$1'), {total})"
+    present = ", ".join(f"'{n}', {_truthy(value[n], SCALARS[n])}" for n in TRUTH_TESTED)
+    fraction = (f"coalesce(j.{CONFIDENCE}, CASE WHEN j.misfit IS NOT NULL THEN "
+                f"try_variant_get(try_parse_json(raw), '$.{CONFIDENCE}', 'double') END, 0D)")
+    flat = read.selectExpr(
         "arrival", "s3_bucket", "s3_key", *[f"{text[n]} AS {n}" for n in SCALARS],
-        "coalesce(items, array()) AS line_items", "coalesce(fraction, 0D) * 100 AS confidence",
-        "coalesce(fraction_kind, 'BIGINT') = 'BIGINT' AS whole_percent",
+        f"coalesce(j.{ITEMS}, array()) AS line_items", f"{fraction} * 100 AS confidence",
+        # a whole number of the document stays one when shown
+        _also(f"coalesce(j.{CONFIDENCE}, 0D) IN (0D, 1D)",
+              f"coalesce({_kind(CONFIDENCE)}, 'BIGINT') = 'BIGINT'") + " AS whole",
         f"named_struct({present}) AS present",
-        f"array_compact(array({', '.join(_shape_errors(strict))})) AS shape_errors")
-    return scored.selectExpr(
-        "* EXCEPT (whole_percent)", "try_cast(confidence AS decimal(5,2)) AS confidence_score",
-        "CASE WHEN whole_percent THEN CAST(CAST(confidence AS bigint) AS string) "
+        f"{_shape_errors(value, strict)} AS shape_errors")
+    return flat.selectExpr(
+        "* EXCEPT (whole)", "try_cast(confidence AS decimal(5,2)) AS confidence_score",
+        "CASE WHEN whole THEN CAST(CAST(confidence AS bigint) AS string) "
         "ELSE CAST(CAST(try_cast(confidence AS decimal(5,2)) AS double) AS string) END AS confidence_text")
 
 
-def _shape_errors(strict: bool) -> list[str]:
+def _shape_errors(value: dict[str, str], strict: bool) -> str:
+    """Names of the parts with a wrong JSON type, as one array expression."""
     def named(name: str, condition: str) -> str:
         return f"CASE WHEN {condition} THEN '{name}' END"
 
-    nullable = "false" if strict else "kind.{0} = 'VOID'"
-    errors = [named("document", "malformed")]
-    errors += [named(n, f"kind.{n} NOT LIKE 'OBJECT%' AND NOT ({nullable.format(n)})") for n in OBJECTS]
-    for name in SCALARS:
-        bad = f"kind.{name} RLIKE '^(OBJECT|ARRAY)'"
+    # What the reader could not fit, looked at in detail; a document that is no object has no parts.
+    misfits = [named("document", "coalesce(try_parse_json(raw) IS NULL OR "
+                     "schema_of_variant(try_parse_json(raw)) NOT LIKE 'OBJECT%', true)")]
+    misfits += [named(n, f"{_kind(p)} NOT LIKE 'OBJECT%' AND {_kind(p)} <> 'VOID'") for n, p in OBJECTS.items()]
+    items_text = f"try_variant_get(try_parse_json(raw), '$.{ITEMS}', 'string')"
+    misfits.append(named("invoice_items", f"j.{ITEMS} IS NULL AND {_truthy(items_text, ITEMS)}"))
+    misfits.append(named("confidence", f"{_kind(CONFIDENCE)} RLIKE '^(OBJECT|ARRAY|STRING)'"))
+
+    fitting = []
+    if strict:
+        nulls = {**OBJECTS, "confidence": CONFIDENCE}
+        fitting += [named(n, _also(f"j.{p} IS NULL", f"{_kind(p)} = 'VOID'")) for n, p in nulls.items()]
+    for name, path in SCALARS.items():
+        # an object or list, or a text that looks like one
+        bad = _also(f"left({value[name]}, 1) IN ('[', '{{')", f"{_kind(path)} RLIKE '^(OBJECT|ARRAY)'")
         if name in DATES:
-            bad = f"kind.{name} NOT IN ('STRING', 'VOID')"
+            # a number or truth value, or digits in a text
+            bad = _also(rf"{value[name]} RLIKE r'^(-?[\d.]+([eE].*)?|true|false|[\[{{].*)$'",
+                        f"{_kind(path)} <> 'STRING'")
         elif name in AMOUNTS:
-            bad += f" OR kind.{name} = 'BOOLEAN'"
-        errors.append(named(name, bad))
-    # null, 0, false, '' and {} count as no items
-    not_a_list = f"items_kind <> 'OBJECTS' AND {_truthy('items_kind', 'items_text')}"
-    errors.append(named("invoice_items", f"({not_a_list}) OR exists(items, x -> x IS NULL)"))
-    unusable = "^(OBJECT|ARRAY|STRING|VOID)" if strict else "^(OBJECT|ARRAY|STRING)"
-    errors.append(named("confidence", f"fraction_kind RLIKE '{unusable}'"))
-    return errors
+            bad += " OR " + _also(f"{value[name]} IN ('true', 'false')", f"{_kind(path)} = 'BOOLEAN'")
+        fitting.append(named(name, bad))
+    fitting.append(named("invoice_items", f"exists(j.{ITEMS}, x -> x IS NULL)"))
+
+    def listed(parts: list[str]) -> str:
+        return f"array_compact(array({', '.join(parts)}))"
+
+    whole_object = "ltrim(raw) LIKE '{%'"
+    return (f"CASE WHEN raw IS NULL OR j.misfit IS NOT NULL OR NOT {whole_object} "
+            f"THEN concat({listed(misfits)}, {listed(fitting)}) ELSE {listed(fitting)} END")
 
 
 def confidence_columns(df: DataFrame, fraction: str = "fraction") -> DataFrame:
