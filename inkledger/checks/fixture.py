@@ -12,7 +12,10 @@ from inkledger.model import JOB_TAG, LINE_TEXT, MONEY, QUANTITY, TRUTH_TESTED
 from inkledger.operators.decide import dedupe_invoices, mark_duplicates, process_documents
 from inkledger.operators.extract import confidence_columns
 from inkledger.operators.hot import number_within
-from inkledger.operators.store import append_bank_details, append_customers, assign_keys, build_invoices, upsert_vendors
+from inkledger.operators.store import (
+    append_bank_details, append_customers, assign_keys, build_invoices, project_tables, upsert_vendors,
+)
+from inkledger.session import shared_dir
 
 BUCKET = "results"
 
@@ -186,12 +189,12 @@ def order_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None,
     Lines stay rows: an order may have any number of them, so they are never collected
     into a list.  ``only`` restricts to the orders of a frame with ``invoice_id``.
     """
-    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER).withColumnRenamed(
-        "l_orderkey", "invoice_id")
+    every = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("invoice_id"), *LINE_ORDER)
+    lines = every
     if only is not None:
-        lines = lines.join(only.select("invoice_id"), "invoice_id", "left_semi")
+        lines = every.join(only.select("invoice_id"), "invoice_id", "left_semi")
     ordinal = F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_partkey")
-    numbered = number_within(lines, "invoice_id", LINE_ORDER, ordinal, "line_number", **limits)
+    numbered = number_within(lines, "invoice_id", LINE_ORDER, ordinal, "line_number", source=every, **limits)
     parts = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     quantity = F.col("l_quantity").cast("bigint")
@@ -202,10 +205,15 @@ def order_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None,
         (unit / 100).cast(MONEY).alias("unit_price"), (cents / 100).cast(MONEY).alias("amount"))
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    stored = invoices(spark, sf_dir)
-    return {"vendors": vendors(spark, sf_dir), "customers": customers(spark, sf_dir), "invoices": stored,
-            "invoice_line_items": order_lines(spark, sf_dir, stored), "bank_details": banks(spark, sf_dir)}
+def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five tables as a store would hold them: accepted documents and lines written once."""
+    work = shared_dir(spark, "tables")
+    accepted(spark, sf_dir, True).write.parquet(f"{work}/accepted")
+    facts = spark.read.parquet(f"{work}/accepted")
+    order_lines(spark, sf_dir, facts).write.parquet(f"{work}/lines")
+    tables = project_tables(facts)
+    tables["invoice_line_items"] = spark.read.parquet(f"{work}/lines")
+    return tables
 
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:

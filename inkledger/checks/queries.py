@@ -284,10 +284,11 @@ def status_history(spark, d):
 @query
 def constraint_audit(spark, d):
     """The stored tables are clean; the raw documents are audited beside them."""
-    clean = audit.constraint_audit(X.tables(spark, d)).select(F.lit("stored").alias("scope"), "*")
-    raw = cast_invoice(X.extracted(spark, d)).select(
+    clean = audit.constraint_audit(X.stored_tables(spark, d)).select(F.lit("stored").alias("scope"), "*")
+    documents = X.extracted(spark, d)
+    raw = cast_invoice(documents).select(
         "invoice_number", F.col("invoice_day").alias("invoice_date"), F.col("total_value").alias("total_amount"))
-    vendors = X.extracted(spark, d).select(F.col("company_name").alias("vendor_name"))
+    vendors = documents.select(F.col("company_name").alias("vendor_name"))
     loose = {"invoices": raw, "vendors": vendors}
     found = audit.audit_columns(loose).union(audit.audit_keys(loose))
     return clean.union(found.select(F.lit("documents").alias("scope"), "*"))

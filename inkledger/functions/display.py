@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,14 +34,15 @@ def status_class(status: Column) -> Column:
     return F.when(own, F.concat(F.lit("status-"), status)).otherwise(F.lit("status-pending"))
 
 
-def pct_of_max(df: DataFrame, column: str, out: str = "width_pct") -> DataFrame:
+def pct_of_max(report: DataFrame, column: str, out: str = "width_pct") -> DataFrame:
     """Percentage of the column's maximum, 0 where the maximum is not positive.
 
-    The maximum is a scalar subquery, so no row is joined to it.
+    For report rows (months, statuses): the window puts all of them into one partition,
+    which costs less than aggregating the table again for its maximum.
     """
-    top = df.agg(F.max(column).cast("double")).scalar()
+    top = F.max(column).over(Window.partitionBy(F.lit(1))).cast("double")
     share = F.col(column).cast("double") / top * 100
-    return df.withColumn(out, F.when(top > 0, share).otherwise(F.lit(0.0)))
+    return report.withColumn(out, F.when(top > 0, share).otherwise(F.lit(0.0)))
 
 
 def shown(value: Column) -> Column:

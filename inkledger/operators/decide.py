@@ -117,16 +117,17 @@ def mark_duplicates(classified: DataFrame, identity: tuple[str, ...] = ("arrival
     """
     winners = (dedupe_invoices(classified.select("invoice_number", *identity, "error"), identity)
                .select(*identity, F.lit(True).alias("_first")))
-    return set_outcome(classified.join(winners, list(identity), "left"))
+    claimed = classified.join(winners, list(identity), "left")
+    return set_outcome(claimed.withColumn("_lost", F.col("_first").isNull())).drop("_first")
 
 
 def set_outcome(claimed: DataFrame) -> DataFrame:
-    """``outcome`` and the final ``error`` from ``_first`` (true on the rows that won their number)."""
-    lost = F.col("error").isNull() & F.col("_first").isNull()
+    """``outcome`` and the final ``error``; ``_lost`` is true where another document has the number."""
+    refused = F.col("error").isNull() & F.coalesce("_lost", F.lit(False))
     return (claimed
-            .withColumn("error", F.when(lost, F.lit(DUPLICATE)).otherwise(F.col("error")))
+            .withColumn("error", F.when(refused, F.lit(DUPLICATE)).otherwise(F.col("error")))
             .withColumn("outcome", F.when(F.col("error").isNull(), F.lit(ACCEPTED)).otherwise(F.lit(ERROR)))
-            .drop("_first"))
+            .drop("_lost"))
 
 
 def split_outcomes(marked: DataFrame) -> tuple[DataFrame, DataFrame]:

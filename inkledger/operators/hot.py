@@ -2,9 +2,10 @@
 
 A key is hot when it has more than ``floor`` rows and more than one ``SHARE``-th of all
 rows.  Fewer than ``SHARE`` keys can be hot, whatever the data, which bounds everything
-broadcast here: hot keys (< SHARE rows) and slice facts (< SHARE * (SLICES + 1) rows).
-Rows of a hot key are cut into slices along the order, slices are worked on as separate
-groups, and what one slice needs from those before it is added afterwards.
+collected or broadcast here: cuts (< SHARE rows of SLICES numbers) and slice facts
+(< SHARE * SLICES rows).  Rows of a hot key are cut into slices along the order, slices
+are worked on as separate groups, and what a slice needs from those before it is added
+afterwards.  Without hot keys the plan is the plain window.
 """
 
 from __future__ import annotations
@@ -25,29 +26,45 @@ def hot_keys(df: DataFrame, key: str, floor: int = FLOOR, share: int = SHARE) ->
     return counts.filter((F.col("_n") > floor) & (F.col("_n") * share > total))
 
 
-def with_slices(df: DataFrame, key: str, ordinal: Column, floor: int = FLOOR,
-                share: int = SHARE, slices: int = SLICES) -> DataFrame:
-    """Add ``_slice``: null for ordinary keys, for hot keys a number that never falls along ``ordinal``.
+def slice_cuts(source: DataFrame, key: str, ordinal: Column, floor: int = FLOOR, share: int = SHARE,
+               slices: int = SLICES) -> DataFrame | None:
+    """Per hot key of ``source`` the ordinals that cut it into about equal slices; None without hot keys.
 
-    The cuts are quantiles of a sample chosen by hash, about ``SAMPLE`` rows per hot key:
-    the same rows give the same cuts in every task and every retry, and any cuts give the
-    same results.  ``key`` must not be null.
+    Runs at once: the plan that follows depends on the answer, and both its branches must
+    see the same cuts.  They are quantiles of a sample chosen by hash, about ``SAMPLE`` rows
+    per hot key; any cuts give the same results.
     """
-    rows = df.withColumn("_ordinal", ordinal.cast("bigint"))
+    rows = source.select(key, ordinal.cast("bigint").alias("_ordinal")).filter(F.col(key).isNotNull())
     hot = F.broadcast(hot_keys(rows, key, floor, share))
-    sampled = (rows.select(key, "_ordinal").join(hot, key)
+    sampled = (rows.join(hot, key)
                .filter(F.pmod(F.xxhash64(key, "_ordinal"), F.floor(F.col("_n") / SAMPLE) + 1) == 0))
     fractions = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     cuts = sampled.groupBy(key).agg(F.percentile("_ordinal", fractions).alias("_cuts"))
+    found = cuts.collect()
+    return source.sparkSession.createDataFrame(found, cuts.schema) if found else None
+
+
+def _with_slices(df: DataFrame, key: str, ordinal: Column, cuts: DataFrame) -> DataFrame:
+    """Add ``_slice``: null for ordinary keys, for hot keys a number that never falls along ``ordinal``."""
+    rows = df.withColumn("_ordinal", ordinal.cast("bigint"))
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_ordinal")))
     return (rows.join(F.broadcast(cuts), key, "left")
             .withColumn("_slice", F.when(F.col("_cuts").isNotNull(), below))
             .drop("_cuts", "_ordinal"))
 
 
-def number_within(df: DataFrame, key: str, order: list[str], ordinal: Column, out: str, **limits: int) -> DataFrame:
-    """``row_number()`` per key along ``order``; ``ordinal`` must not fall along ``order``."""
-    sliced = with_slices(df, key, ordinal, **limits)
+def number_within(df: DataFrame, key: str, order: list[str], ordinal: Column, out: str,
+                  source: DataFrame | None = None, **limits: int) -> DataFrame:
+    """``row_number()`` per key along ``order``; ``ordinal`` must not fall along ``order``.
+
+    Hot keys are looked for in ``source``, which may be anything cheaper to read that
+    holds at least the rows of ``df`` (with ``key`` and the columns of ``ordinal``).
+    """
+    cuts = slice_cuts(df if source is None else source, key, ordinal, **limits)
+    if cuts is None:
+        place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+        return df.withColumn(out, place.cast("bigint"))
+    sliced = _with_slices(df, key, ordinal, cuts)
     place = F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order))
     sizes = (sliced.filter(F.col("_slice").isNotNull())
              .groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n")))
@@ -60,9 +77,12 @@ def number_within(df: DataFrame, key: str, order: list[str], ordinal: Column, ou
 
 
 def previous_within(df: DataFrame, key: str, order: list[str], ordinal: Column, value: str, out: str,
-                    **limits: int) -> DataFrame:
+                    source: DataFrame | None = None, **limits: int) -> DataFrame:
     """``lag(value)`` per key along ``order``; null on each key's first row.  ``value`` is never null."""
-    sliced = with_slices(df, key, ordinal, **limits)
+    cuts = slice_cuts(df if source is None else source, key, ordinal, **limits)
+    if cuts is None:
+        return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
+    sliced = _with_slices(df, key, ordinal, cuts)
     inside = F.lag(value).over(Window.partitionBy(key, "_slice").orderBy(*order))
     ends = (sliced.filter(F.col("_slice").isNotNull())
             .groupBy(key, "_slice").agg(F.max_by(value, F.struct(*order)).alias("_end")))

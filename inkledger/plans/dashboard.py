@@ -57,7 +57,8 @@ def status_breakdown(invoices: DataFrame) -> DataFrame:
 
 
 def status_breakdown_bars(invoices: DataFrame) -> DataFrame:
-    return pct_of_max(status_breakdown(invoices), "invoice_count").select(
+    return pct_of_max(status_breakdown(invoices), "invoice_count").orderBy(
+        F.desc("invoice_count"), F.asc_nulls_first("status")).select(
         status_label(F.col("status")).alias("label"), status_class(F.col("status")).alias("css_class"),
         "invoice_count", fmt_money(F.col("total_amount")).alias("amount"), "width_pct")
 

@@ -2,12 +2,16 @@
 
 Layout below ``out``:
   staged/batch_id=N/            documents of the micro-batch: parsed, typed, classified
-  outcomes/batch_id=N/outcome=  the same rows with their final outcome
+  claims/batch_id=N/            the batch's first document per invoice number
+  refused/batch_id=N/           row ids that lost their number to another document
+  outcomes/batch_id=N/outcome=  the staged rows with their final outcome
 
 Writing a batch's ``outcomes`` folder is the transaction: accepted rows carry vendor,
 customer, lines and bank, and the tables are projections of them.  A replayed batch
 overwrites its own folders and looks only at batches with a smaller id, so it ends the
 same.  Staging cuts the lineage: the JSON is parsed once and row ids survive retries.
+Claims and refusals are narrow tables of known size, so Spark can tell whether to
+broadcast them; with few refusals the documents themselves are never shuffled.
 """
 
 from __future__ import annotations
@@ -57,19 +61,20 @@ def store_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Col
     """Decide and store one batch; also the way to load a finite set of documents."""
     spark = documents.sparkSession
     clock = F.current_timestamp() if processed_at is None else processed_at
-    stage_path = f"{out}/staged/batch_id={batch_id}"
-    staged = _stage(documents, clock, strict, keys or {})
-    staged.write.mode("overwrite").parquet(stage_path)
-    staged = spark.read.schema(staged.schema).parquet(stage_path)
-
-    claims = dedupe_invoices(staged.select("invoice_number", "error", *IDENTITY), IDENTITY)
-    # Spark broadcasts the batch's numbers when they are few, so the history is filtered
-    # where it is read and only numbers already taken are shuffled.
-    taken = _earlier_numbers(spark, out, batch_id).join(
-        claims.select("invoice_number"), "invoice_number", "left_semi")
-    firsts = (claims.join(taken, "invoice_number", "left_anti")
-              .select("row_id", F.lit(True).alias("_first")))
-    marked = set_outcome(staged.join(firsts, "row_id", "left"))
+    def through(name: str, df: DataFrame) -> DataFrame:
+        path = f"{out}/{name}/batch_id={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    staged = through("staged", _stage(documents, clock, strict, keys or {}))
+    candidates = staged.select("invoice_number", "error", *IDENTITY)
+    claims = through("claims", dedupe_invoices(candidates, IDENTITY).select("invoice_number", "row_id"))
+    taken = _earlier_numbers(spark, out, batch_id).join(claims.select("invoice_number"), "invoice_number", "left_semi")
+    won = claims.join(taken, "invoice_number", "left_anti").select("row_id")
+    lost = candidates.filter(F.col("error").isNull()).select("row_id").join(won, "row_id", "left_anti")
+    refused = through("refused", lost)
+
+    marked = set_outcome(staged.join(refused.withColumn("_lost", F.lit(True)), "row_id", "left"))
     marked.write.mode("overwrite").partitionBy("outcome").parquet(f"{out}/outcomes/batch_id={batch_id}")
 
 
