@@ -36,6 +36,8 @@ def audit_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     parts = []
     for table, df in tables.items():
         rules = _scan_rules(table, df)
+        if not rules:
+            continue
         counted = df.agg(*[F.count_if(cond).alias(f"v{i}") for i, (_, _, cond) in enumerate(rules)])
         rows = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"),
                                   F.lit(column).alias("column_name"), F.col(f"v{i}").alias("violations"))
