@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from inkledger import model as M
 from inkledger.functions.display import fmt_money
 from inkledger.functions.parse import new_status
-from inkledger.operators.hot import FLOOR, previous_within
+from inkledger.operators.hot import FLOOR, left_join_spread, previous_within
 
 ACTIONS = ("approve", "reject")
 WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
@@ -35,7 +35,9 @@ def _look_up(asked: DataFrame, invoices: DataFrame, vendors: DataFrame) -> DataF
         F.col("invoice_id").alias("_target"), "vendor_id", "invoice_number", "total_amount",
         F.col("status").alias("initial_status"), F.col("processed_at").alias("stored_at"))
     names = vendors.select("vendor_id", "vendor_name")
-    return asked.join(stored, "_target", "left").join(names, "vendor_id", "left").drop("vendor_id")
+    # requests that ask for nothing, or find nothing, have no key to join on
+    found = left_join_spread(asked, stored, "_target", "action_id")
+    return left_join_spread(found, names, "vendor_id", "action_id").drop("vendor_id")
 
 
 def classify_actions(actions: DataFrame, invoices: DataFrame, vendors: DataFrame) -> DataFrame:

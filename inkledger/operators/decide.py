@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkledger import model as M
-from inkledger.functions.parse import is_non_finite_sql
+from inkledger.functions.parse import is_non_finite_sql, stable_id
 from inkledger.operators.extract import cast_invoice
 
 ACCEPTED, ERROR = "persisted", "error"
@@ -155,6 +155,7 @@ def extraction_log(documents: DataFrame, marked: DataFrame, invoice_id: Column,
     facts = marked.select("arrival", "s3_key", "invoice_number", "outcome", "confidence_score", "error",
                           F.when(ok, invoice_id).alias("invoice_id"))
     return documents.join(facts, ["arrival", "s3_key"]).select(
+        stable_id(F.lit("log"), F.col("s3_key"), F.col("arrival")).alias("log_id"),
         "arrival", "s3_key", "invoice_id", logged_at.alias("extraction_timestamp"),
         F.lit(model_version).cast("string").alias("model_version"),
         F.col("confidence_score").alias("overall_confidence"),

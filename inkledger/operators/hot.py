@@ -48,9 +48,22 @@ def _with_slices(df: DataFrame, key: str, ordinal: Column, cuts: DataFrame) -> D
     """Add ``_slice``: null for ordinary keys, for hot keys a number that never falls along ``ordinal``."""
     rows = df.withColumn("_ordinal", ordinal.cast("bigint"))
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_ordinal")))
-    return (rows.join(F.broadcast(cuts), key, "left")
-            .withColumn("_slice", F.when(F.col("_cuts").isNotNull(), below))
-            .drop("_cuts", "_ordinal"))
+    sliced = (rows.join(F.broadcast(cuts), key, "left")
+              .withColumn("_slice", F.when(F.col("_cuts").isNotNull(), below))
+              .drop("_cuts", "_ordinal"))
+    # said outright: rows already partitioned by the key alone would count as good enough
+    return sliced.repartition(key, "_slice")
+
+
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, by: str, spread: int = 1024) -> DataFrame:
+    """Left join on ``key`` whose rows without a key do not meet in one task.
+
+    A null key matches nothing but is hashed like any other; such rows get a second key
+    made from ``by``, which the right side has as 0.
+    """
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(by), F.lit(spread))).otherwise(0)
+    salted = left.withColumn("_salt", salt.cast("int"))
+    return salted.join(right.withColumn("_salt", F.lit(0)), [key, "_salt"], "left").drop("_salt")
 
 
 def number_within(df: DataFrame, key: str, order: list[str], ordinal: Column, out: str,

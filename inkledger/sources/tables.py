@@ -37,11 +37,15 @@ def read_jdbc_tables(spark: SparkSession, url: str, key_bounds: Mapping[str, tup
 
 
 def write_tables(tables: Mapping[str, DataFrame], path: str) -> None:
-    """Tables as Parquet; invoices by invoice month and sorted by status within files."""
+    """Tables as Parquet; invoices by invoice month and sorted by status within files.
+
+    The rebalance gathers a month into few files and splits a month that holds most rows.
+    """
     for name, df in tables.items():
         if name == "invoices":
             df = df.withColumn("invoice_month", F.date_format("invoice_date", "yyyy-MM"))
-            df = df.sortWithinPartitions("invoice_month", "status", "invoice_date")
+            df = df.hint("rebalance", F.col("invoice_month")).sortWithinPartitions(
+                "invoice_month", "status", "invoice_date")
             df.write.mode("overwrite").partitionBy("invoice_month").parquet(f"{path}/{name}")
         else:
             df.write.mode("overwrite").parquet(f"{path}/{name}")

@@ -78,6 +78,20 @@ def store_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Col
     marked.write.mode("overwrite").partitionBy("outcome").parquet(f"{out}/outcomes/batch_id={batch_id}")
 
 
+def compact(spark: SparkSession, out: str, target: str) -> None:
+    """Copy a store to ``target`` with the batches before the last as one, in few files.
+
+    The last batch keeps its id, because it may still be replayed; the merged ones get the
+    id -1, which comes before any.  Ingestion then goes on with ``target`` as its store
+    and the same checkpoint.
+    """
+    rows = read_outcomes(spark, out)
+    last = rows.agg(F.max("batch_id")).scalar()
+    merged = rows.withColumn("batch_id", F.when(F.col("batch_id") < last, F.lit(-1)).otherwise(F.col("batch_id")))
+    (merged.hint("rebalance", F.col("batch_id"), F.col("outcome"))
+     .write.mode("errorifexists").partitionBy("batch_id", "outcome").parquet(f"{target}/outcomes"))
+
+
 def start_ingest(documents: DataFrame, out: str, checkpoint: str, processed_at: Column | None = None,
                  strict: bool = False, keys: dict[str, Column] | None = None,
                  available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from inkledger.operators.hot import hot_keys, number_within, previous_within, slice_cuts
+from inkledger.operators.hot import hot_keys, left_join_spread, number_within, previous_within, slice_cuts
 
 LIMITS = {"floor": 20, "share": 10, "slices": 8}
 
@@ -52,3 +52,26 @@ def test_slices_split_the_hot_key(skewed):
     sizes = [r["count"] for r in sliced.filter("k = 7").groupBy("_slice").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 800 / 4
     assert sliced.filter("k <> 7 and _slice is not null").count() == 0
+
+
+def test_slices_are_separate_groups_even_after_a_join_on_the_key(spark, skewed):
+    """Rows partitioned by the key alone are partitioned again, so slices reach different tasks."""
+    _, df = skewed
+    keys = df.select("k").distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = df.join(keys, "k", "left_semi")
+        numbered = number_within(joined, "k", ["t", "id"], F.col("t"), "n", source=df, **LIMITS)
+        tasks = numbered.filter("k = 7").select(F.spark_partition_id()).distinct().count()
+        assert tasks > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_left_join_spread_is_a_left_join(spark):
+    left = spark.createDataFrame([(1, 5), (2, None), (3, None), (4, 6), (5, 5)], "id int, k int")
+    right = spark.createDataFrame([(5, "a"), (7, "b"), (None, "c")], "k int, v string")
+    got = {r.id: r.v for r in left_join_spread(left, right, "k", "id").collect()}
+    assert got == {1: "a", 2: None, 3: None, 4: None, 5: "a"}

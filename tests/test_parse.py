@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -19,6 +20,20 @@ def test_numbers(spark):
     assert column(spark, texts, to_double("v")) == expected
 
 
+def test_numbers_agree_with_float_on_random_texts(spark):
+    draw = random.Random(11)
+    texts = {"".join(draw.choice("0123456789..__eE+- ") for _ in range(draw.randrange(1, 8))) for _ in range(4000)}
+    texts = sorted(texts | {" 1 ", "1e5", "1_0.0_1", "1e1_0", "._1", "1._0", "+.5E-3"})
+
+    def python(text):
+        try:
+            return float(text)
+        except ValueError:
+            return None
+
+    assert dict(zip(texts, column(spark, texts, to_double("v")))) == {t: python(t) for t in texts}
+
+
 def test_decimals_round_half_away_from_zero(spark):
     texts = ["0.005", "-0.005", "2.675", "9999999999.99", "9999999999.995", "10000000000"]
     assert column(spark, texts, to_decimal("v")) == [

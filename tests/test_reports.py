@@ -75,6 +75,14 @@ def test_recent_puts_missing_times_first_and_needs_a_vendor(spark, ten):
     assert dashboard.recent_invoices_display(late, vendors, 1).first().processed == "N/A"
 
 
+def test_dashboard_is_written(spark, ten, tmp_path):
+    tables = {"invoices": ten[0], "vendors": ten[1]}
+    dashboard.write_dashboard(tables, str(tmp_path), F.lit("2025-12-31 01:02:03").cast("timestamp"))
+    counts = {n: spark.read.json(str(tmp_path / n)).count() for n in ("summary", "monthly", "status", "vendors", "recent")}
+    assert counts == {"summary": 1, "monthly": 3, "status": 2, "vendors": 1, "recent": 10}
+    assert spark.read.json(str(tmp_path / "summary")).first().generated_on == "2025-12-31 01:02:03"
+
+
 def test_latest_report(spark, ten):
     invoices, vendors = ten
     full = invoices.selectExpr("*", "date_add(invoice_date, 30) due_date", "cast(90.5 as decimal(5,2)) confidence_score",

@@ -8,7 +8,7 @@ from inkledger.operators.store import project_tables
 from inkledger.sources.extractions import read_extractions, stream_extractions
 from inkledger.streaming.approvals import ACTION_LOG, read_actions, start_approvals
 from inkledger.streaming.dashboard import read_dashboard, start_dashboard, stream_accepted
-from inkledger.streaming.ingest import read_accepted, read_outcomes, start_ingest, store_batch
+from inkledger.streaming.ingest import compact, prepare, read_accepted, read_outcomes, start_ingest, store_batch
 from tests.helpers import document, documents
 
 
@@ -63,7 +63,6 @@ def test_any_split_gives_the_batch_result_and_replay_changes_nothing(spark, tmp_
     expected = {(r.arrival, r.error) for r in whole.collect()}
     for name, bounds in [("a", [0, 24]), ("b", [0, 3, 11, 12, 24])]:
         out = str(tmp_path / name)
-        from inkledger.streaming.ingest import prepare
         prepare(spark, out)
         parts = list(zip(bounds, bounds[1:]))
         for batch, (low, high) in enumerate(parts):
@@ -76,7 +75,6 @@ def test_any_split_gives_the_batch_result_and_replay_changes_nothing(spark, tmp_
 
 
 def test_a_repeated_delivery_is_refused(spark, tmp_path):
-    from inkledger.streaming.ingest import prepare
     out = str(tmp_path / "out")
     prepare(spark, out)
     docs = documents(spark, [document()])
@@ -85,6 +83,21 @@ def test_a_repeated_delivery_is_refused(spark, tmp_path):
     assert sorted(r.outcome for r in read_outcomes(spark, out).collect()) == ["error", "error", "persisted"]
 
 
+def test_compaction_keeps_the_rows_and_the_next_batch_sees_them(spark, tmp_path):
+    out, target = str(tmp_path / "out"), str(tmp_path / "target")
+    prepare(spark, out)
+    docs = documents(spark, [document(invoice_number=str(i // 2)) for i in range(8)])
+    for batch in range(3):
+        store_batch(docs.filter(F.col("arrival").between(2 * batch, 2 * batch + 1)), batch, out)
+    compact(spark, out, target)
+    rows = read_outcomes(spark, target)
+    assert {(r.batch_id, r["count"]) for r in rows.groupBy("batch_id").count().collect()} == {(-1, 4), (2, 2)}
+    store_batch(docs.filter("arrival between 4 and 5"), 2, target)
+    store_batch(docs, 3, target)
+    stored = {(r.batch_id, r.arrival) for r in read_accepted(spark, target).collect()}
+    assert stored == {(-1, 0), (-1, 2), (2, 4), (3, 6)}
+
+
 def test_action_log_takes_each_request_once(spark, tmp_path):
     rows = spark.sql("select id as action_id, timestamp_ntz'2025-01-01' as action_time, '1' as invoice_id, "
                      "'approve' as action from range(10)")
