@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkledger import model as M
 from inkledger.functions.display import fmt_money
@@ -121,13 +122,20 @@ def status_history(invoices: DataFrame, vendors: DataFrame, actions: DataFrame,
     # every applied action is in the log, which is cheaper to search for hot invoices
     asked = actions.filter(F.col("action").isin(*ACTIONS)).select(
         _target(invoices).alias("invoice_id"), "action_time")
-    stepped = previous_within(applied, "invoice_id", ["action_time", "action_id"], _ordinal(),
+    stepped = previous_within(applied, "invoice_id", ["action_time", "action_id"], _ordinal(actions),
                               "new_status", "_previous", source=asked, floor=floor)
     return stepped.select("action_id", "invoice_id", "invoice_number",
                           F.coalesce("_previous", "initial_status").alias("previous_status"),
                           "new_status", "action_time")
 
 
-def _ordinal() -> Column:
-    """The action's time in microseconds, for timestamps with or without time zone."""
-    return F.unix_micros(F.col("action_time").cast("timestamp"))
+def _ordinal(actions: DataFrame) -> Column:
+    """The action's time as a number that never falls as time passes.
+
+    A time without zone is counted by its own fields: converted, it could jump back
+    where the session's zone changes its clocks.
+    """
+    at = F.col("action_time")
+    if isinstance(actions.schema["action_time"].dataType, T.TimestampNTZType):
+        return F.unix_date(at.cast("date")) * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+    return F.unix_micros(at.cast("timestamp"))

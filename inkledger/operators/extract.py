@@ -72,7 +72,7 @@ def _truthy(value: str, path: str) -> str:
     """Absent, null, '', 0, false, [] and {} are false; the texts '0' and ' ' are true."""
     written_out = r"^(false|\[\s*\]|\{\s*\}|-?0[0.]*([eE].*)?)$"
     return (f"CASE WHEN {value} IS NULL OR {value} = '' THEN false "
-            f"WHEN {value} RLIKE r'{written_out}' THEN {_kind(path)} = 'STRING' ELSE true END")
+            f"WHEN {value} RLIKE r'{written_out}' THEN coalesce({_kind(path)} = 'STRING', true) ELSE true END")
 
 
 def extract_flatten(documents: DataFrame, strict: bool = False) -> DataFrame:
@@ -114,9 +114,10 @@ def _shape_errors(value: dict[str, str], strict: bool) -> str:
     def named(name: str, condition: str) -> str:
         return f"CASE WHEN {condition} THEN '{name}' END"
 
-    # What the reader could not fit, looked at in detail; a document that is no object has no parts.
-    misfits = [named("document", "coalesce(try_parse_json(raw) IS NULL OR "
-                     "schema_of_variant(try_parse_json(raw)) NOT LIKE 'OBJECT%', true)")]
+    # The reader stops at the closing brace, and takes the first object of a list.
+    # What it could not fit is looked at in detail; a document that is no object has no parts.
+    whole_object = r"trim(BOTH ' \t\r\n' FROM raw) LIKE '{%}'"
+    misfits = [named("document", f"raw IS NULL OR NOT {whole_object} OR try_parse_json(raw) IS NULL")]
     misfits += [named(n, f"{_kind(p)} NOT LIKE 'OBJECT%' AND {_kind(p)} <> 'VOID'") for n, p in OBJECTS.items()]
     items_text = f"try_variant_get(try_parse_json(raw), '$.{ITEMS}', 'string')"
     misfits.append(named("invoice_items", f"j.{ITEMS} IS NULL AND {_truthy(items_text, ITEMS)}"))
@@ -141,7 +142,6 @@ def _shape_errors(value: dict[str, str], strict: bool) -> str:
     def listed(parts: list[str]) -> str:
         return f"array_compact(array({', '.join(parts)}))"
 
-    whole_object = "ltrim(raw) LIKE '{%'"
     return (f"CASE WHEN raw IS NULL OR j.misfit IS NOT NULL OR NOT {whole_object} "
             f"THEN concat({listed(misfits)}, {listed(fitting)}) ELSE {listed(fitting)} END")
 

@@ -7,6 +7,8 @@ from the set of accepted rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,25 +31,39 @@ def _stored(name: str, table: str, column: str) -> Column:
     return F.left(F.col(name), F.lit(MAX_LENGTH[table][column])).alias(column)
 
 
-def upsert_vendors(accepted: DataFrame) -> DataFrame:
-    """One row per vendor name: address and phone of the last document, nulls included;
-    id, terms and creation time of the first.
+def vendor_state(accepted: DataFrame) -> DataFrame:
+    """Per vendor name what its first document fixed and what its last one set.
 
+    Both carry their place in the order, so states of disjoint sets of documents merge.
     Aggregated before the shuffle, so a vendor with most of the documents is no hot spot.
     """
-    order = F.struct("arrival", "s3_key")
-    first = F.min_by(F.struct("vendor_id", "payment_terms", "processed_at"), order)
-    last = F.max_by(F.struct("company_address", "company_contact"), order)
-    merged = accepted.groupBy("company_name").agg(first.alias("f"), last.alias("l"))
-    return merged.select(
-        F.col("f.vendor_id").alias("vendor_id"),
+    first = F.min(F.struct("arrival", "s3_key", "vendor_id", "payment_terms", "processed_at"))
+    last = F.max(F.struct("arrival", "s3_key", "company_address", "company_contact"))
+    return accepted.groupBy("company_name").agg(first.alias("first"), last.alias("last"))
+
+
+def merge_vendor_states(*states: DataFrame) -> DataFrame:
+    """The state of all documents from the states of their parts, e.g. earlier ones and a new batch."""
+    merged = reduce(DataFrame.unionByName, states)
+    return merged.groupBy("company_name").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+def vendors_of(state: DataFrame) -> DataFrame:
+    return state.select(
+        F.col("first.vendor_id").alias("vendor_id"),
         _stored("company_name", "vendors", "vendor_name"),
         F.lit(None).cast("string").alias("vendor_email"),
-        _stored("f.payment_terms", "vendors", "payment_terms"),
+        _stored("first.payment_terms", "vendors", "payment_terms"),
         F.lit(True).alias("is_approved"),
-        F.col("l.company_address").alias("vendor_address"),
-        _stored("l.company_contact", "vendors", "vendor_phone"),
-        F.col("f.processed_at").alias("created_at"))
+        F.col("last.company_address").alias("vendor_address"),
+        _stored("last.company_contact", "vendors", "vendor_phone"),
+        F.col("first.processed_at").alias("created_at"))
+
+
+def upsert_vendors(accepted: DataFrame) -> DataFrame:
+    """One row per vendor name: address and phone of the last document, nulls included;
+    id, terms and creation time of the first."""
+    return vendors_of(vendor_state(accepted))
 
 
 def append_customers(accepted: DataFrame) -> DataFrame:

@@ -11,10 +11,14 @@ from pyspark.sql import types as T
 from inkledger.model import DEFAULTS, TABLES
 
 
-def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The five tables from Parquet folders below ``path``."""
-    return {name: align_schema(spark.read.option("mergeSchema", True).parquet(f"{path}/{name}"),
-                               schema, DEFAULTS.get(name))
+def read_tables(spark: SparkSession, path: str, merge_schema: bool = True) -> dict[str, DataFrame]:
+    """The five tables from Parquet folders below ``path``, each under its full schema.
+
+    Merging finds columns only some files have, by reading every footer; turn it off
+    where all files of a table were written under one schema.
+    """
+    reader = spark.read.option("mergeSchema", merge_schema)
+    return {name: align_schema(reader.parquet(f"{path}/{name}"), schema, DEFAULTS.get(name))
             for name, schema in TABLES.items()}
 
 

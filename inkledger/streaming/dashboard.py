@@ -27,10 +27,12 @@ def start_dashboard(accepted: DataFrame, path: str, checkpoint: str, available_n
                     interval: str = "1 minute") -> StreamingQuery:
     """Keep the whole current result at ``path``, one row per status, tagged with its batch.
 
-    Each update writes a folder of its own; the one with the largest batch is current.
+    Updates take turns between two folders, so readers keep the previous one while the
+    next is written.
     """
     def publish(result: DataFrame, batch_id: int) -> None:
-        result.write.mode("overwrite").parquet(f"{path}/update={batch_id}")
+        tagged = result.withColumn("update", F.lit(batch_id).cast("bigint"))
+        tagged.coalesce(1).write.mode("overwrite").parquet(f"{path}/turn={batch_id % 2}")
 
     writer = (stream_status(accepted).writeStream.outputMode("complete").foreachBatch(publish)
               .option("checkpointLocation", checkpoint))
@@ -41,4 +43,4 @@ def start_dashboard(accepted: DataFrame, path: str, checkpoint: str, available_n
 def read_dashboard(spark: SparkSession, path: str) -> DataFrame:
     updates = spark.read.parquet(path)
     newest = updates.agg(F.max("update")).scalar()
-    return updates.filter(F.col("update") == newest).drop("update")
+    return updates.filter(F.col("update") == newest).drop("update", "turn")

@@ -76,7 +76,7 @@ def test_other_fields_survive_a_misfit(spark):
 
 
 MALFORMED = [
-    "", "{", "nonsense", "[1]", "{'a': 1}", '{"inference_result": {"a": ',
+    '{"a": 1} x', '{"a": 1,}', "\ufeff{}",     "", "{", "nonsense", "[1]", "{'a': 1}", '{"inference_result": {"a": ',
 ]
 
 

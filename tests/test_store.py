@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from inkledger import model as M
 from inkledger.operators.decide import dedupe_invoices, process_documents
 from inkledger.operators.extract import extract_flatten
-from inkledger.operators.store import assign_keys, project_tables
+from inkledger.operators.store import (
+    assign_keys, merge_vendor_states, project_tables, vendor_state, vendors_of,
+)
 from inkledger.sources.tables import align_schema, read_tables, union_aligned, write_tables
 from tests.helpers import document, documents
 
@@ -31,6 +33,14 @@ def test_vendor_keeps_first_terms_and_last_address(spark):
     assert vendors["V"].created_at.timestamp() == 1700000000
 
 
+def test_vendor_states_merge(spark):
+    facts = accepted(spark, *[document(invoice_number=str(i), company_name=f"V{i % 3}", company_address=None if i % 4 else str(i),
+                                       payment_terms=str(i)) for i in range(20)])
+    parts = [vendor_state(facts.filter(F.col("arrival") % 2 == i)) for i in (1, 0)]
+    merged = vendors_of(merge_vendor_states(*parts))
+    assert sorted(merged.collect()) == sorted(project_tables(facts)["vendors"].collect())
+
+
 def test_projections(spark):
     items = [{"description": "a", "amount": "1"}, {"description": "b", "amount": "2.5"}]
     tables = project_tables(accepted(

@@ -76,6 +76,13 @@ def test_history_chains_statuses(stored, log, floor):
         (11, "failed", "rejected")]
 
 
+def test_history_takes_times_without_zone(stored, log):
+    plain = log.withColumn("action_time", F.col("action_time").cast("timestamp_ntz"))
+    expected = [tuple(r)[:5] for r in approvals.status_history(*stored, log).orderBy("action_id").collect()]
+    got = [tuple(r)[:5] for r in approvals.status_history(*stored, plain, floor=1).orderBy("action_id").collect()]
+    assert got == expected
+
+
 def accepted(spark, *texts):
     return assign_keys(dedupe_invoices(process_documents(extract_flatten(documents(spark, list(texts))))),
                        F.col("arrival"))
