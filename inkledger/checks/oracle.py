@@ -74,7 +74,7 @@ accepted AS (
 invoices AS (
   SELECT invoice_id, invoice_number, vendor_id, customer_id, invoice_day AS invoice_date, due_day AS due_date,
     subtotal_value AS subtotal, discount_value AS discount, tax_value AS tax_amount, total_value AS total_amount,
-    status, confidence_score, po_number, payment_terms, s3_key, processed_at, company_name AS vendor_name
+    status, confidence_score, po_number, payment_terms, s3_key, processed_at, company_name AS vendor_name, s3_bucket
   FROM accepted)"""
 
 LINES = STORED + """,
@@ -191,21 +191,49 @@ def _audit() -> str:
     def row(scope, rule, table, column, count):
         return f"SELECT '{scope}' AS scope, '{rule}' AS rule, '{table}' AS table_name, '{column}' AS column_name, CAST(({count}) AS BIGINT) AS violations"
 
-    clean = [("vendors", ["not_null vendor_name", "max_length vendor_name", "max_length vendor_email",
-                          "max_length payment_terms", "max_length vendor_phone", "unique vendor_name"]),
-             ("customers", ["max_length customer_name", "max_length customer_email"]),
-             ("invoices", ["not_null invoice_number", "not_null invoice_date", "not_null total_amount",
-                           "max_length invoice_number", "max_length status", "max_length s3_key",
-                           "max_length s3_bucket", "max_length po_number", "max_length payment_terms",
-                           "precision subtotal", "precision tax_amount", "precision total_amount",
-                           "precision discount", "precision confidence_score", "unique invoice_number",
-                           "foreign_key vendor_id", "foreign_key customer_id"]),
-             ("invoice_line_items", ["not_null description", "precision quantity", "precision unit_price",
-                                     "precision amount", "foreign_key invoice_id"]),
-             ("bank_details", ["max_length bank_name", "max_length account_number", "max_length routing_number",
-                               "foreign_key vendor_id"])]
-    rows = [row("stored", *rule.split(" ")[:1], table, rule.split(" ")[1], "SELECT 0")
-            for table, rules in clean for rule in rules]
+    limits = {"vendor_name": 255, "vendor_email": 255, "payment_terms": 255, "vendor_phone": 50, "customer_name": 255,
+              "customer_email": 255, "invoice_number": 100, "status": 50, "s3_key": 500, "s3_bucket": 255,
+              "po_number": 100, "bank_name": 255, "account_number": 100, "routing_number": 100}
+    rules = {
+        "vendors": ["not_null vendor_name", "max_length vendor_name", "max_length vendor_email",
+                    "max_length payment_terms", "max_length vendor_phone", "unique vendor_name"],
+        "customers": ["max_length customer_name", "max_length customer_email"],
+        "invoices": ["not_null invoice_number", "not_null invoice_date", "not_null total_amount",
+                     "max_length invoice_number", "max_length status", "max_length s3_key",
+                     "max_length s3_bucket", "max_length po_number", "max_length payment_terms",
+                     "precision subtotal", "precision tax_amount", "precision total_amount",
+                     "precision discount", "precision confidence_score", "unique invoice_number",
+                     "foreign_key vendor_id vendors", "foreign_key customer_id customers"],
+        "invoice_line_items": ["not_null description", "precision quantity", "precision unit_price",
+                               "precision amount", "foreign_key invoice_id invoices"],
+        "bank_details": ["max_length bank_name", "max_length account_number", "max_length routing_number",
+                         "foreign_key vendor_id vendors"],
+    }
+
+    def count(table, rule, column, target=None):
+        if rule == "unique":
+            return f"SELECT count(*) FROM (SELECT {column} FROM {table} GROUP BY 1 HAVING count(*) > 1)"
+        if rule == "foreign_key":
+            return f"SELECT count(*) FROM {table} t ANTI JOIN {target} u ON u.{column} = t.{column}"
+        longest = 50 if (table, column) == ("vendors", "payment_terms") else limits.get(column)
+        whole = {"quantity": "1e8", "confidence_score": "1e3"}.get(column, "1e10")
+        bad = {"not_null": f"{column} IS NULL", "max_length": f"length({column}) > {longest}",
+               "precision": f"abs({column}) >= {whole}"}[rule]
+        return f"SELECT count(*) FROM {table} WHERE {bad}"
+
+    tables = """,
+        vendors AS (SELECT vendor_id, company_name AS vendor_name, CAST(NULL AS VARCHAR) AS vendor_email,
+            arg_min_null(payment_terms, arrival) AS payment_terms, arg_max_null(company_contact, arrival) AS vendor_phone
+          FROM accepted GROUP BY 1, 2),
+        customers AS (SELECT customer_id, bill_to AS customer_name, client_email AS customer_email FROM accepted),
+        invoice_line_items AS (SELECT l.* FROM lines l SEMI JOIN invoices i ON i.invoice_id = l.invoice_id),
+        bank_details AS (SELECT vendor_id, bank_name, account_number, routing_number FROM accepted WHERE bank_name <> '')
+        """
+    rows = []
+    for table, texts in rules.items():
+        for text in texts:
+            rule, column, *target = text.split(" ")
+            rows.append(row("stored", rule, table, column, count(table, rule, column, *target)))
     rows += [
         row("documents", "not_null", "invoices", "invoice_number", "SELECT count(*) FROM typed WHERE invoice_number IS NULL"),
         row("documents", "not_null", "invoices", "invoice_date", "SELECT count(*) FROM typed WHERE invoice_day IS NULL"),
@@ -219,7 +247,7 @@ def _audit() -> str:
         row("documents", "unique", "vendors", "vendor_name",
             "SELECT count(*) FROM (SELECT company_name FROM typed GROUP BY 1 HAVING count(*) > 1)"),
     ]
-    return f"WITH {DECIDED} " + " UNION ALL ".join(rows)
+    return f"WITH {LINES}{tables}" + " UNION ALL ".join(rows)
 
 
 def oracles() -> dict[str, str]:
@@ -265,7 +293,7 @@ def oracles() -> dict[str, str]:
               confidence_score AS overall_confidence, ok AS success,
               CASE WHEN ok THEN NULL ELSE coalesce(error, 'duplicate invoice_number') END AS error_message,
               po_number AS raw_po FROM marked""",
-        "dedupe_invoices": f"WITH {STORED} SELECT * EXCLUDE (vendor_name) FROM invoices",
+        "dedupe_invoices": f"WITH {STORED} SELECT * EXCLUDE (vendor_name, s3_bucket) FROM invoices",
         "upsert_vendors": f"""WITH {STORED}
             SELECT arg_min_null(vendor_id, arrival) AS vendor_id, company_name AS vendor_name,
               CAST(NULL AS VARCHAR) AS vendor_email, arg_min_null(payment_terms, arrival) AS payment_terms,
@@ -372,6 +400,12 @@ def oracles() -> dict[str, str]:
             SELECT action_id, invoice_id, invoice_number,
               coalesce(lag(new_status) OVER (PARTITION BY invoice_id ORDER BY action_time, action_id), initial_status)
                 AS previous_status, new_status, action_time FROM answered WHERE status_code = 200""",
+        "approval_pages": f"""WITH {ACTIONS}
+            SELECT action_id, CASE WHEN action = 'approve' THEN 'Invoice Approved' ELSE 'Invoice Rejected' END AS title,
+              invoice_number, vendor_name, {_money("total_amount")} AS amount,
+              coalesce(lag(new_status) OVER (PARTITION BY invoice_id ORDER BY action_time, action_id), initial_status)
+                AS previous_status, new_status, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time
+            FROM answered WHERE status_code = 200""",
         "constraint_audit": _audit(),
         "schema_align": f"""WITH {STORED}
             SELECT invoice_id, invoice_number, total_amount,
@@ -393,6 +427,12 @@ def oracles() -> dict[str, str]:
               {_cents("cents")} AS subtotal, {_cents("tax_c")} AS tax, {_cents("off_c")} AS discount,
               {_cents("cents - off_c + tax_c")} AS total, filename FROM generated""",
     }
+    sql["merge_vendors"] = sql["upsert_vendors"]
+    sql["generated_documents"] = f"""WITH {SAMPLES},
+        decided AS (SELECT (cents - off_c + tax_c) AS c, line_count FROM generated)
+        SELECT CASE WHEN c > 5000000 THEN 'pending_review' ELSE 'approved' END AS status, CAST(NULL AS VARCHAR) AS error,
+          count(*) AS n, {_cents("sum(c)", WIDE)} AS total_amount, CAST(sum(line_count) AS BIGINT) AS line_count
+        FROM decided GROUP BY 1"""
     # Streams look only at result files, so uniqueness is decided among those.
     streamed = STORED.replace("FROM checked)", "FROM checked WHERE k % 11 <> 0)")
     sql["stream_ingest"] = f"""WITH {streamed},

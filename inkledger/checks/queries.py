@@ -11,7 +11,9 @@ from inkledger import model as M
 from inkledger.checks import fixture as X
 from inkledger.functions.parse import job_id_from_key
 from inkledger.operators import approvals, audit, notify, routing, store
-from inkledger.operators.decide import extraction_log, process_results, validate, decide_status
+from inkledger.operators.decide import (
+    dedupe_invoices as first_of, decide_status, extraction_log, process_documents, process_results, validate,
+)
 from inkledger.operators.extract import cast_invoice, extract_flatten
 from inkledger.plans import dashboard, detail
 from inkledger.session import shared_dir
@@ -131,6 +133,14 @@ def upsert_vendors(spark, d):
     return X.vendors(spark, d)
 
 
+@query
+def merge_vendors(spark, d):
+    """Vendor state of three parts of the documents, merged."""
+    facts = X.accepted(spark, d)
+    parts = [store.vendor_state(facts.filter(F.col("arrival") % 3 == i)) for i in (2, 0, 1)]
+    return store.vendors_of(store.merge_vendor_states(*parts))
+
+
 @query
 def append_customers(spark, d):
     return X.customers(spark, d)
@@ -139,7 +149,6 @@ def append_customers(spark, d):
 @query
 def explode_line_items(spark, d):
     """Items of the JSON documents that are stored."""
-    from inkledger.operators.decide import dedupe_invoices as first_of, process_documents
     flat = X.keyed(process_documents(extract_flatten(X.documents(spark, d))), spark, d)
     return store.explode_line_items(first_of(flat)).drop("line_item_id")
 
@@ -279,6 +288,11 @@ def status_history(spark, d):
     return approvals.status_history(X.invoices(spark, d), X.vendor_names(spark, d), X.actions(spark, d))
 
 
+@query
+def approval_pages(spark, d):
+    return approvals.approval_pages(X.invoices(spark, d), X.vendor_names(spark, d), X.actions(spark, d))
+
+
 # --- Audit and migration -----------------------------------------------------
 
 @query
@@ -380,6 +394,16 @@ def generate_invoices(spark, d):
         "tax", "discount", "total", "filename")
 
 
+@query
+def generated_documents(spark, d):
+    """The samples as JSON documents, read back and decided."""
+    documents = generator.to_documents(_samples(spark, d))
+    decided = process_documents(extract_flatten(documents))
+    return decided.groupBy("status", "error").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_value").cast("decimal(38,2)").alias("total_amount"),
+        F.sum(F.size("lines")).alias("line_count"))
+
+
 @query
 def generated_totals(spark, d):
     return generator.generated_totals(_samples(spark, d))

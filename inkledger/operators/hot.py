@@ -22,7 +22,7 @@ FLOOR = 1_000_000
 def hot_keys(df: DataFrame, key: str, floor: int = FLOOR, share: int = SHARE) -> DataFrame:
     """The fewer than ``share`` keys with more than 1/share of all rows (and more than ``floor``), with ``_n``."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
+    total = df.agg(F.count(F.lit(1))).scalar()
     return counts.filter((F.col("_n") > floor) & (F.col("_n") * share > total))
 
 
