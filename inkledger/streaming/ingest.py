@@ -49,11 +49,22 @@ def prepare(spark: SparkSession, out: str) -> None:
      .write.mode("append").partitionBy("batch_id").parquet(f"{out}/outcomes"))
 
 
-def _earlier_numbers(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
-    """Invoice numbers stored by batches before this one: one column of one outcome."""
+def _taken(spark: SparkSession, out: str, batch_id: int, claims: DataFrame) -> DataFrame:
+    """Claimed numbers that a batch before this one has stored.
+
+    Reads one column of one outcome.  The range of the claimed numbers goes to the scan as a
+    filter, which skips what a compacted store keeps sorted outside it; the blank number,
+    itself a value, would widen the range and is named apart.
+    """
     schema = "invoice_number string, batch_id bigint, outcome string"
     stored = spark.read.schema(schema).parquet(f"{out}/outcomes")
-    return stored.filter((F.col("batch_id") < batch_id) & (F.col("outcome") == ACCEPTED)).select("invoice_number")
+    given = claims.filter(F.col("invoice_number") != "")
+    low, high = (given.agg(end("invoice_number")).scalar() for end in (F.min, F.max))
+    number = F.col("invoice_number")
+    earlier = stored.filter((F.col("batch_id") < batch_id) & (F.col("outcome") == ACCEPTED)
+                            & (((number >= low) & (number <= high)) | (number == "")))
+    # broadcast by Spark when the claims are few, so the history is not shuffled
+    return earlier.select("invoice_number").join(claims.select("invoice_number"), "invoice_number", "left_semi")
 
 
 def store_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Column | None = None,
@@ -69,8 +80,7 @@ def store_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Col
     staged = through("staged", _stage(documents, clock, strict, keys or {}))
     candidates = staged.select("invoice_number", "error", *IDENTITY)
     claims = through("claims", dedupe_invoices(candidates, IDENTITY).select("invoice_number", "row_id"))
-    taken = _earlier_numbers(spark, out, batch_id).join(claims.select("invoice_number"), "invoice_number", "left_semi")
-    won = claims.join(taken, "invoice_number", "left_anti").select("row_id")
+    won = claims.join(_taken(spark, out, batch_id, claims), "invoice_number", "left_anti").select("row_id")
     lost = candidates.filter(F.col("error").isNull()).select("row_id").join(won, "row_id", "left_anti")
     refused = through("refused", lost)
 
@@ -79,7 +89,7 @@ def store_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Col
 
 
 def compact(spark: SparkSession, out: str, target: str) -> None:
-    """Copy a store to ``target`` with the batches before the last as one, in few files.
+    """Copy a store to ``target`` with the batches before the last as one, in few files sorted by number.
 
     The last batch keeps its id, because it may still be replayed; the merged ones get the
     id -1, which comes before any.  Ingestion then goes on with ``target`` as its store
@@ -88,7 +98,8 @@ def compact(spark: SparkSession, out: str, target: str) -> None:
     rows = read_outcomes(spark, out)
     last = rows.agg(F.max("batch_id")).scalar()
     merged = rows.withColumn("batch_id", F.when(F.col("batch_id") < last, F.lit(-1)).otherwise(F.col("batch_id")))
-    (merged.hint("rebalance", F.col("batch_id"), F.col("outcome"))
+    (merged.repartitionByRange("batch_id", "outcome", "invoice_number", "row_id")
+     .sortWithinPartitions("batch_id", "outcome", "invoice_number")
      .write.mode("errorifexists").partitionBy("batch_id", "outcome").parquet(f"{target}/outcomes"))
 
 

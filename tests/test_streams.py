@@ -98,6 +98,18 @@ def test_compaction_keeps_the_rows_and_the_next_batch_sees_them(spark, tmp_path)
     assert stored == {(-1, 0), (-1, 2), (2, 4), (3, 6)}
 
 
+def test_blank_and_outer_numbers_are_found_in_the_history(spark, tmp_path):
+    out = str(tmp_path / "out")
+    prepare(spark, out)
+    store_batch(documents(spark, [document(invoice_number=n) for n in ("", "M", "A", "Z")]), 0, out)
+    store_batch(documents(spark, [document(invoice_number=n) for n in ("", "M")]), 1, out)
+    store_batch(documents(spark, [document(invoice_number="")]), 2, out)
+    store_batch(documents(spark, [document(invoice_number="N")]), 3, out)
+    store_batch(documents(spark, [document(total_amount="N/A")]), 4, out)
+    stored = sorted((r.batch_id, r.invoice_number) for r in read_accepted(spark, out).collect())
+    assert stored == [(0, ""), (0, "A"), (0, "M"), (0, "Z"), (3, "N")]
+
+
 def test_action_log_takes_each_request_once(spark, tmp_path):
     rows = spark.sql("select id as action_id, timestamp_ntz'2025-01-01' as action_time, '1' as invoice_id, "
                      "'approve' as action from range(10)")
