@@ -58,11 +58,10 @@ def _taken(spark: SparkSession, out: str, batch_id: int, claims: DataFrame) -> D
     """
     schema = "invoice_number string, batch_id bigint, outcome string"
     stored = spark.read.schema(schema).parquet(f"{out}/outcomes")
-    given = claims.filter(F.col("invoice_number") != "")
-    low, high = (given.agg(end("invoice_number")).scalar() for end in (F.min, F.max))
     number = F.col("invoice_number")
+    low, high = claims.filter(number != "").agg(F.min(number), F.max(number)).first()
     earlier = stored.filter((F.col("batch_id") < batch_id) & (F.col("outcome") == ACCEPTED)
-                            & (((number >= low) & (number <= high)) | (number == "")))
+                            & (number.between(low, high) | (number == "")))
     # broadcast by Spark when the claims are few, so the history is not shuffled
     return earlier.select("invoice_number").join(claims.select("invoice_number"), "invoice_number", "left_semi")
 
