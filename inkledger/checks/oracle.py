@@ -195,10 +195,10 @@ def _audit() -> str:
               "customer_email": 255, "invoice_number": 100, "status": 50, "s3_key": 500, "s3_bucket": 255,
               "po_number": 100, "bank_name": 255, "account_number": 100, "routing_number": 100}
     rules = {
-        "vendors": ["not_null vendor_name", "max_length vendor_name", "max_length vendor_email",
+        "vendors": ["not_null vendor_id", "unique vendor_id", "not_null vendor_name", "max_length vendor_name", "max_length vendor_email",
                     "max_length payment_terms", "max_length vendor_phone", "unique vendor_name"],
-        "customers": ["max_length customer_name", "max_length customer_email"],
-        "invoices": ["not_null invoice_number", "not_null invoice_date", "not_null total_amount",
+        "customers": ["not_null customer_id", "unique customer_id", "max_length customer_name", "max_length customer_email"],
+        "invoices": ["not_null invoice_id", "unique invoice_id", "not_null invoice_number", "not_null invoice_date", "not_null total_amount",
                      "max_length invoice_number", "max_length status", "max_length s3_key",
                      "max_length s3_bucket", "max_length po_number", "max_length payment_terms",
                      "precision subtotal", "precision tax_amount", "precision total_amount",
@@ -206,7 +206,7 @@ def _audit() -> str:
                      "foreign_key vendor_id vendors", "foreign_key customer_id customers"],
         "invoice_line_items": ["not_null description", "precision quantity", "precision unit_price",
                                "precision amount", "foreign_key invoice_id invoices"],
-        "bank_details": ["max_length bank_name", "max_length account_number", "max_length routing_number",
+        "bank_details": ["not_null bank_id", "unique bank_id", "max_length bank_name", "max_length account_number", "max_length routing_number",
                          "foreign_key vendor_id vendors"],
     }
 
@@ -227,7 +227,7 @@ def _audit() -> str:
           FROM accepted GROUP BY 1, 2),
         customers AS (SELECT customer_id, bill_to AS customer_name, client_email AS customer_email FROM accepted),
         invoice_line_items AS (SELECT l.* FROM lines l SEMI JOIN invoices i ON i.invoice_id = l.invoice_id),
-        bank_details AS (SELECT vendor_id, bank_name, account_number, routing_number FROM accepted WHERE bank_name <> '')
+        bank_details AS (SELECT k AS bank_id, vendor_id, bank_name, account_number, routing_number FROM accepted WHERE bank_name <> '')
         """
     rows = []
     for table, texts in rules.items():
@@ -250,6 +250,38 @@ def _audit() -> str:
     return f"WITH {LINES}{tables}" + " UNION ALL ".join(rows)
 
 
+def _broken() -> str:
+    """Every rule over tables made to break it; counted by the plainest query for each."""
+    tables = """
+        base AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS ordered, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+        invoices AS (SELECT CASE WHEN k % 101 <> 0 THEN k // 2 * 2 END AS invoice_id,
+            CASE WHEN k % 40 = 3 THEN 'same' WHEN k % 97 = 0 THEN NULL WHEN k % 89 = 0 THEN rpad('n', 101, '*') ELSE CAST(k AS VARCHAR) END AS invoice_number,
+            k % 7 AS vendor_id, k AS customer_id, CASE WHEN k % 11 <> 0 THEN ordered END AS invoice_date,
+            CAST(cents * CASE WHEN k % 13 = 0 THEN 1000 ELSE 0 END AS DECIMAL(38,2)) AS total_amount FROM base),
+        vendors AS (SELECT k % 5 AS vendor_id, CASE WHEN k % 3 <> 0 THEN 'v' || (k % 5) END AS vendor_name FROM base),
+        customers AS (SELECT k AS customer_id, rpad('c', 256, '*') AS customer_name FROM base WHERE k % 2 = 0),
+        invoice_line_items AS (SELECT k * 2 AS invoice_id, k % 9 AS line_item_id, CASE WHEN k % 4 > 0 THEN 'x' END AS description,
+            CASE WHEN k % 6 = 0 THEN 1e9 ELSE 1 END AS quantity FROM base),
+        bank_details AS (SELECT k AS bank_id, k % 6 AS vendor_id, rpad('a', 101, '*') AS account_number FROM base),
+        extraction_log AS (SELECT k % 50 AS log_id, k * 3 AS invoice_id FROM base)"""
+    rules = [("not_null", t, c, f"{c} IS NULL") for t, c in (
+        ("vendors", "vendor_id"), ("vendors", "vendor_name"), ("customers", "customer_id"), ("invoices", "invoice_id"),
+        ("invoices", "invoice_number"), ("invoices", "invoice_date"), ("invoices", "total_amount"),
+        ("invoice_line_items", "line_item_id"), ("invoice_line_items", "description"), ("bank_details", "bank_id"), ("extraction_log", "log_id"))]
+    rules += [("max_length", t, c, f"length({c}) > {n}") for t, c, n in (
+        ("vendors", "vendor_name", 255), ("customers", "customer_name", 255), ("invoices", "invoice_number", 100), ("bank_details", "account_number", 100))]
+    rules += [("precision", "invoices", "total_amount", "total_amount >= 1e10"), ("precision", "invoice_line_items", "quantity", "quantity >= 1e8")]
+    parts = [(r, t, c, f"SELECT count(*) FROM {t} WHERE {bad}") for r, t, c, bad in rules]
+    parts += [("unique", t, c, f"SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)") for t, c in (
+        ("vendors", "vendor_id"), ("vendors", "vendor_name"), ("customers", "customer_id"), ("invoices", "invoice_id"), ("invoices", "invoice_number"),
+        ("invoice_line_items", "line_item_id"), ("bank_details", "bank_id"), ("extraction_log", "log_id"))]
+    parts += [("foreign_key", t, c, f"SELECT count(*) FROM {t} t ANTI JOIN {u} u ON u.{c} = t.{c} WHERE t.{c} IS NOT NULL") for t, c, u in (
+        ("invoices", "vendor_id", "vendors"), ("invoices", "customer_id", "customers"), ("invoice_line_items", "invoice_id", "invoices"),
+        ("bank_details", "vendor_id", "vendors"), ("extraction_log", "invoice_id", "invoices"))]
+    return f"WITH {tables} " + " UNION ALL ".join(
+        f"SELECT '{r}' AS rule, '{t}' AS table_name, '{c}' AS column_name, CAST(({q}) AS BIGINT) AS violations" for r, t, c, q in parts)
+
+
 def oracles() -> dict[str, str]:
     sql = {
         "extract_flatten": f"""WITH {DECIDED}
@@ -445,4 +477,51 @@ def oracles() -> dict[str, str]:
     sql["stream_dashboard"] = f"""WITH {streamed}
         SELECT status, count(*) AS invoice_count, CAST(sum(total_value) AS {WIDE}) AS total_amount
         FROM accepted GROUP BY status"""
+    mixed = streamed.replace("ORDER BY arrival) = 1", "ORDER BY k % 3 <> 0, arrival) = 1")
+    sql["bulk_then_stream"] = f"""WITH {mixed}
+        SELECT d.arrival, CASE WHEN a.arrival IS NOT NULL THEN 'persisted' ELSE 'error' END AS outcome,
+          CASE WHEN a.arrival IS NULL THEN coalesce(d.error, 'duplicate invoice_number') END AS error
+        FROM decided d LEFT JOIN accepted a ON a.arrival = d.arrival"""
+    sql["replayed_dashboard"] = f"""WITH {streamed},
+        totals AS (SELECT status, count(*) AS invoice_count, CAST(sum(total_value) AS {WIDE}) AS total_amount FROM accepted GROUP BY status)
+        SELECT * FROM totals UNION ALL SELECT 'store ' || status, invoice_count, total_amount FROM totals"""
+    sql["split_outcomes"] = f"""WITH {STORED}
+        SELECT d.arrival, d.s3_key, a.invoice_number,
+          CASE WHEN a.arrival IS NULL THEN coalesce(d.error, 'duplicate invoice_number') END AS error
+        FROM decided d LEFT JOIN accepted a ON a.arrival = d.arrival"""
+    sql["recent_invoices_partial"] = f"""WITH {STORED},
+        top AS (SELECT *, row_number() OVER (ORDER BY processed_at DESC NULLS FIRST, invoice_id) AS place FROM invoices WHERE vendor_id % 3 = 0)
+        SELECT part, invoice_number, vendor_name, CASE WHEN part = 'latest' THEN confidence_score END AS score
+        FROM top, (VALUES ('recent', 10), ('listing', 10), ('latest', 1)) p(part, n) WHERE place <= n"""
+    sql["apply_approvals_vendors"] = f"""WITH {ACTIONS}
+        SELECT i.invoice_id, CASE WHEN i.vendor_id % 3 = 0 THEN coalesce(l.new_status, i.status) ELSE i.status END AS status,
+          CASE WHEN i.vendor_id % 3 = 0 THEN coalesce(l.action_time, i.processed_at) ELSE i.processed_at END AS processed_at
+        FROM invoices i LEFT JOIN last_action l ON l.invoice_id = i.invoice_id"""
+    sql["long_names"] = f"""WITH {DECIDED},
+        firsts AS (SELECT * FROM decided WHERE error IS NULL QUALIFY row_number() OVER (PARTITION BY k // 2 ORDER BY arrival) = 1)
+        SELECT 'invoices' AS what, count(*) AS n FROM firsts
+        UNION ALL SELECT 'vendors', count(DISTINCT company_name) FROM firsts UNION ALL SELECT 'violations', 0"""
+    sql["date_forms"] = """
+        SELECT o_orderkey AS arrival, CAST(o_orderkey % 17 AS INTEGER) AS form,
+          CASE WHEN o_orderkey % 17 NOT IN (13, 14, 15) THEN CAST(o_orderdate AS DATE) END AS day FROM orders"""
+    sql["exact_money"] = r"""
+        SELECT arrival, '$' || ltrim(reverse(regexp_replace(reverse(CAST(c // 100 AS VARCHAR)), '(\d{3})', '\1,', 'g')), ',')
+          || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS shown
+        FROM (SELECT o_orderkey AS arrival, CAST(o_orderkey AS HUGEINT) * 123456789012 + 123456789012345678907 AS c FROM orders)"""
+    sql["audit_broken"] = _broken()
+    sql["tables_round_trip"] = f"""WITH {LINES}
+        SELECT 'vendors' AS table_name, count(DISTINCT vendor_id) AS n, CAST(0 AS {WIDE}) AS total FROM accepted
+        UNION ALL SELECT 'customers', count(*), CAST(sum(length(bill_to)) AS {WIDE}) FROM accepted
+        UNION ALL SELECT 'invoices', count(*), CAST(sum(total_amount) AS {WIDE}) FROM invoices
+        UNION ALL SELECT 'invoice_line_items', count(*), CAST(sum(amount) AS {WIDE}) FROM lines l SEMI JOIN invoices i ON i.invoice_id = l.invoice_id
+        UNION ALL SELECT 'bank_details', count(*), CAST(sum(length(account_number)) AS {WIDE}) FROM accepted WHERE bank_name <> ''"""
+    sql["dashboard_output"] = f"""WITH {MONTHS},
+        statuses AS (SELECT status, CAST(sum(total_amount) AS {WIDE}) AS total_amount FROM invoices GROUP BY status),
+        top AS (SELECT vendor_name, CAST(sum(total_amount) AS {WIDE}) AS total_amount FROM invoices GROUP BY vendor_name ORDER BY 2 DESC, 1 LIMIT 5),
+        recent AS (SELECT total_amount FROM invoices ORDER BY processed_at DESC NULLS FIRST, invoice_id LIMIT 10)
+        SELECT 'summary' AS result, CAST(1 AS BIGINT) AS n, CAST(sum(total_amount) AS {WIDE}) AS largest FROM invoices
+        UNION ALL SELECT 'monthly', count(*), max(total_amount) FROM months
+        UNION ALL SELECT 'status', count(*), max(total_amount) FROM statuses
+        UNION ALL SELECT 'vendors', count(*), max(total_amount) FROM top
+        UNION ALL SELECT 'recent', count(*), CAST(max(total_amount) AS {WIDE}) FROM recent"""
     return sql

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkledger import model as M
 from inkledger.checks import fixture as X
-from inkledger.functions.parse import job_id_from_key
+from inkledger.functions.display import fmt_money
+from inkledger.functions.parse import job_id_from_key, to_date
 from inkledger.operators import approvals, audit, notify, routing, store
 from inkledger.operators.decide import (
-    dedupe_invoices as first_of, decide_status, extraction_log, process_documents, process_results, validate,
+    dedupe_invoices as first_of, decide_status, extraction_log, process_documents, process_results, split_outcomes, validate,
 )
 from inkledger.operators.extract import cast_invoice, extract_flatten
 from inkledger.plans import dashboard, detail
@@ -22,10 +24,10 @@ from inkledger.sources.extractions import (
     filter_result_files, intake_manifest, skipped_files, stream_extractions,
 )
 from inkledger.sources.summary_csv import read_summary_csv, write_summary_csv
-from inkledger.sources.tables import union_aligned
+from inkledger.sources.tables import read_tables, union_aligned, write_tables
 from inkledger.streaming.approvals import ACTION_LOG, current_invoices, start_approvals
-from inkledger.streaming.dashboard import read_dashboard, start_dashboard, stream_accepted
-from inkledger.streaming.ingest import read_accepted, read_outcomes, start_ingest
+from inkledger.streaming.dashboard import read_dashboard, start_dashboard, status_totals
+from inkledger.streaming.ingest import load_documents, prepare, read_accepted, read_outcomes, start_ingest, store_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -110,6 +112,57 @@ def outcome_split(spark, d):
     return process_results(X.marked(spark, d), F.col("invoice_id"))
 
 
+@query
+def split_outcomes_(spark, d):
+    """Errors with their message, and the numbers of what is stored."""
+    stored, errors = split_outcomes(X.marked(spark, d))
+    return errors.select("arrival", "s3_key", F.lit(None).cast("string").alias("invoice_number"), "error").unionAll(
+        stored.select("arrival", "s3_key", "invoice_number", F.lit(None).cast("string")))
+
+
+@query
+def long_names(spark, d):
+    """Numbers and vendor names of full column length, half of them followed by a space that the column cuts."""
+    padded = lambda name, length: F.concat(F.rpad(name, length, "*"), F.when(F.col("arrival") % 2 == 1, " ").otherwise(""))
+    pair = F.concat(F.lit("INV-"), F.floor(F.col("arrival") / 2).cast("string"))
+    flat = X.extracted(spark, d).withColumns({
+        "invoice_number": padded(pair, M.MAX_LENGTH["invoices"]["invoice_number"]),
+        "company_name": padded(F.col("company_name"), M.MAX_LENGTH["vendors"]["vendor_name"])})
+    flat = flat.withColumn("present", F.col("present").withField("invoice_number", F.lit(True)))
+    facts = store.assign_keys(process_documents(flat).withColumn("processed_at", X.processed_at(F.col("arrival"))))
+    stored = first_of(facts)
+    tables = {"invoices": store.build_invoices(stored), "vendors": store.upsert_vendors(stored)}
+    found = audit.audit_keys(tables).groupBy().agg(F.sum("violations").alias("n"))
+    return (tables["invoices"].agg(F.count(F.lit(1)).alias("n")).select(F.lit("invoices").alias("what"), "n")
+            .unionAll(tables["vendors"].agg(F.count(F.lit(1)).alias("n")).select(F.lit("vendors"), "n"))
+            .unionAll(found.select(F.lit("violations"), "n")))
+
+
+#: Each order's date in one of these forms, by its key; the last ones are no dates.
+DATE_FORMS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "MM/dd/yyyy", "M/d/yy", "dd-MMM-yy", "MMM-dd-yyyy", "yyyy-MMM-dd",
+              "EEEE, MMMM d, yyyy", "yyyy.DDD", "d MMMM yyyy", "yyMMdd", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd' garbage'",
+              "yyyy-MM-dd'Tzzz'", "MM/dd/yyyy' x'")
+
+
+@query
+def date_forms(spark, d):
+    """Date texts of every form as the database would read them."""
+    day, turn = F.col("ordered"), F.pmod(F.col("k"), F.lit(len(DATE_FORMS) + 1))
+    text = F.concat(F.lit("J"), (F.unix_date(day) + 2440588).cast("string"))
+    for i, form in enumerate(DATE_FORMS):
+        text = F.when(turn == i, F.date_format(day, form)).otherwise(text)
+    rows = X.orders(spark, d).select(F.col("k").alias("arrival"), turn.cast("int").alias("form"), text.alias("text"))
+    return rows.select("arrival", "form", to_date("text").alias("day"))
+
+
+@query
+def exact_money(spark, d):
+    """Amounts with more digits than a double holds."""
+    amount = (F.col("k").cast("decimal(20,0)") * F.lit("123456789012").cast("decimal(12,0)") * F.lit("0.01").cast("decimal(3,2)"))
+    return X.orders(spark, d).select(F.col("k").alias("arrival"), fmt_money(
+        (amount + F.lit("1234567890123456789.07").cast("decimal(30,2)")).cast("decimal(38,2)")).alias("shown"))
+
+
 @query
 def extraction_log_(spark, d):
     docs = X.documents(spark, d)
@@ -260,6 +313,16 @@ def reconcile_totals(spark, d):
     return audit.reconcile_totals(X.invoices(spark, d), lines)
 
 
+@query
+def recent_invoices_partial(spark, d):
+    """The recent ten, the listing and the latest detail where two of three vendors are not in the table."""
+    stored, some = X.invoices(spark, d), X.vendor_names(spark, d).filter(F.col("vendor_id") % 3 == 0)
+    told = F.lit(None).cast("decimal(5,2)")
+    return (dashboard.recent_invoices(stored, some).select(F.lit("recent").alias("part"), "invoice_number", "vendor_name", told.alias("score"))
+            .unionAll(detail.invoice_listing(stored, some).select(F.lit("listing"), "invoice_number", "vendor_name", told))
+            .unionAll(detail.latest_invoice_detail(stored, some).select(F.lit("latest"), "invoice_number", "vendor_name", "confidence_score")))
+
+
 # --- Workflow ----------------------------------------------------------------
 
 @query
@@ -293,6 +356,14 @@ def approval_pages(spark, d):
     return approvals.approval_pages(X.invoices(spark, d), X.vendor_names(spark, d), X.actions(spark, d))
 
 
+@query
+def apply_approvals_vendors(spark, d):
+    """Actions on invoices of which two of three vendors are not in the table."""
+    some = X.vendor_names(spark, d).filter(F.col("vendor_id") % 3 == 0)
+    return approvals.apply_approvals(X.invoices(spark, d), some, X.actions(spark, d)).select(
+        "invoice_id", "status", "processed_at")
+
+
 # --- Audit and migration -----------------------------------------------------
 
 @query
@@ -308,6 +379,51 @@ def constraint_audit(spark, d):
     return clean.union(found.select(F.lit("documents").alias("scope"), "*"))
 
 
+@query
+def audit_broken(spark, d):
+    """Tables with violations of every kind, under types wide enough to hold them."""
+    k, base = F.col("k"), X.orders(spark, d)
+    pad = lambda name, n: F.rpad(name, n, "*")
+    invoices = base.select(
+        F.when(k % 101 == 0, None).otherwise(F.floor(k / 2) * 2).alias("invoice_id"),
+        F.when(k % 40 == 3, F.lit("same")).when(k % 97 == 0, None).when(k % 89 == 0, pad(F.lit("n"), 101)).otherwise(k.cast("string")).alias("invoice_number"),
+        (k % 7).alias("vendor_id"), k.alias("customer_id"), F.when(k % 11 != 0, F.col("ordered")).alias("invoice_date"),
+        (F.col("cents").cast("decimal(38,2)") * F.when(k % 13 == 0, 1000).otherwise(0)).cast("decimal(38,2)").alias("total_amount"))
+    vendors = base.select((k % 5).alias("vendor_id"), F.when(k % 3 == 0, None).otherwise(F.concat(F.lit("v"), k % 5)).alias("vendor_name"))
+    customers = base.filter(k % 2 == 0).select(k.alias("customer_id"), pad(F.lit("c"), 256).alias("customer_name"))
+    lines = base.select((k * 2).alias("invoice_id"), (k % 9).alias("line_item_id"), F.when(k % 4 > 0, "x").alias("description"),
+                        F.when(k % 6 == 0, 1e9).otherwise(1.0).alias("quantity"))
+    banks = base.select(k.alias("bank_id"), (k % 6).alias("vendor_id"), pad(F.lit("a"), 101).alias("account_number"))
+    log = base.select((k % 50).alias("log_id"), (k * 3).alias("invoice_id"), F.lit(True).alias("success"))
+    return audit.constraint_audit({"invoices": invoices, "vendors": vendors, "customers": customers,
+                                   "invoice_line_items": lines, "bank_details": banks, "extraction_log": log})
+
+
+@query
+def tables_round_trip(spark, d):
+    """Stored tables written and read back; rows and sums of each."""
+    work = shared_dir(spark, "round")
+    write_tables(X.stored_tables(spark, d), work)
+    back = read_tables(spark, work)
+    sums = {"vendors": F.lit(0), "customers": F.sum(F.length("customer_name")), "invoices": F.sum("total_amount"),
+            "invoice_line_items": F.sum("amount"), "bank_details": F.sum(F.length("account_number"))}
+    parts = [back[name].agg(F.count(F.lit(1)).alias("n"), total.cast("decimal(38,2)").alias("total"))
+             .select(F.lit(name).alias("table_name"), "n", "total") for name, total in sums.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query
+def dashboard_output(spark, d):
+    """The written dashboard, read back: rows of each result and its largest sum."""
+    work = shared_dir(spark, "results")
+    stored = X.invoices(spark, d)
+    dashboard.write_dashboard({"invoices": stored, "vendors": X.vendor_names(spark, d)}, work)
+    parts = [spark.read.schema("total_amount decimal(38,2)").json(f"{work}/{name}").agg(
+        F.count(F.lit(1)).alias("n"), F.max("total_amount").alias("largest")).select(F.lit(name).alias("result"), "n", "largest")
+        for name in ("summary", "monthly", "status", "vendors", "recent")]
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query
 def schema_align(spark, d):
     """Rows of the first schema (older half) and of the full one, read as one table."""
@@ -374,10 +490,35 @@ def stream_approvals(spark, d):
 def stream_dashboard(spark, d):
     out = _ingested(spark, d)
     work = shared_dir(spark, "dashboard")
-    _run(start_dashboard(stream_accepted(spark, out), f"{work}/result", f"{work}/checkpoint"))
+    _run(start_dashboard(spark, out, f"{work}/result", f"{work}/checkpoint"))
     return read_dashboard(spark, f"{work}/result")
 
 
+@query
+def bulk_then_stream(spark, d):
+    """A bulk load of every third document, then a stream of the others, on one store: who stored first keeps a number."""
+    work, docs, at = shared_dir(spark, "mixed"), X.documents(spark, d), F.col("arrival")
+    load_documents(docs.filter(at % 3 == 0), f"{work}/store", X.processed_at(at))
+    docs.filter(at % 3 != 0).write.parquet(f"{work}/landed")
+    _run(start_ingest(stream_extractions(spark, f"{work}/landed", landed=True), f"{work}/store", f"{work}/checkpoint",
+                      X.processed_at(at)))
+    return read_outcomes(spark, f"{work}/store").select("arrival", "outcome", "error")
+
+
+@query
+def replayed_dashboard(spark, d):
+    """Totals after the second of two batches was stored twice."""
+    work, docs, at = shared_dir(spark, "replayed"), X.documents(spark, d), F.col("arrival")
+    prepare(spark, f"{work}/store")
+    first, second = _arrival_slices(docs, 2)
+    store_batch(first, 0, f"{work}/store", X.processed_at(at))
+    for _ in range(2):
+        store_batch(second, 1, f"{work}/store", X.processed_at(at))
+        _run(start_dashboard(spark, f"{work}/store", f"{work}/result", f"{work}/checkpoint"))
+    return read_dashboard(spark, f"{work}/result").unionByName(
+        status_totals(spark, f"{work}/store").withColumn("status", F.concat(F.lit("store "), "status")))
+
+
 # --- Samples and CSV ---------------------------------------------------------
 
 def _samples(spark: SparkSession, d: str) -> DataFrame:

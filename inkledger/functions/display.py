@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def fmt_money(amount: Column, digits: int = 2) -> Column:
-    """$1,234.56; a missing amount shows as 0."""
-    return F.concat(F.lit("$"), F.format_number(F.coalesce(amount, F.lit(0)).cast("double"), digits))
+    """$1,234.56; a missing amount shows as 0.  Decimals are shown from their own digits, not through a double."""
+    return F.concat(F.lit("$"), F.format_number(F.coalesce(amount, F.lit(0)), digits))
 
 
 def month_label(month: Column) -> Column:

@@ -16,17 +16,29 @@ _DIGITS = r"\d+(?:_\d+)*"
 NUMBER = rf"^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
 NON_FINITE = r"(?i)^\s*[+-]?(?:nan|inf|infinity)\s*$"
 
-# Date forms taken besides ISO, month before day where both are numbers.
+# Date forms, month before day where both are numbers.  A time after an ISO date must be one.
 _MONTH = ("(Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|"
-          "Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)")
-ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}(?:[T ].*)?$"
+          "Sep(?:t(?:ember)?)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)")
+_WEEKDAY = r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?,? +"
+_TIME = r"[T ] *\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: *[AaPp][Mm])? *(?:Z|UTC|GMT|[+-]\d{1,2}(?::?\d{2})?)?"
+ISO_DATE = rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})(?:{_TIME})?$"
+# (pattern, groups of year, month and day)
 NUMERIC_DATES = (
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$", "$3-$1-$2"),
+    (ISO_DATE, 1, 2, 3),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", 1, 2, 3),
+    (r"^(\d{4})(\d{2})(\d{2})$", 1, 2, 3),
+    (r"^(\d{2})(\d{2})(\d{2})$", 1, 2, 3),
+    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4}|\d{2})$", 3, 1, 2),
 )
-MONTH_FIRST = rf"(?i)^{_MONTH}\.? (\d{{1,2}}),? (\d{{4}})$"
-DAY_FIRST = rf"(?i)^(\d{{1,2}})[ -]{_MONTH}\.?[ -](\d{{4}})$"
+NAMED_DATES = (
+    (rf"(?i)^{_MONTH}\.?[ -](\d{{1,2}})(?:, ?| |-)(\d{{4}}|\d{{2}})$", 3, 1, 2),
+    (rf"(?i)^(\d{{1,2}})[ -]{_MONTH}\.?[ -](\d{{4}}|\d{{2}})$", 3, 2, 1),
+    (rf"(?i)^(\d{{4}})[ -]{_MONTH}\.?[ -](\d{{1,2}})$", 1, 2, 3),
+)
+ORDINAL_DATE = r"^(\d{4})\.?(\d{3})$"
+JULIAN_DAY = r"^[Jj](\d{1,7})$"
+#: The Julian day of 1970-01-01.
+JULIAN_EPOCH = 2440588
 
 
 def is_number_sql(text: str) -> str:
@@ -46,23 +58,35 @@ def number_sql(text: str, dtype: str) -> str:
 
 
 def date_sql(text: str) -> str:
-    """Date text in ISO, numeric or English form; null where none fits."""
-    trimmed = f"trim({text})"
-    numeric = trimmed
-    for pattern, iso in NUMERIC_DATES:
-        numeric = f"regexp_replace({numeric}, r'{pattern}', '{iso}')"
-
-    def named(pattern: str, day: int, month: int) -> str:
-        # day, first three letters of the month, year
-        return (f"CASE WHEN {trimmed} RLIKE r'{pattern}' THEN concat_ws('-', "
-                f"regexp_extract({trimmed}, r'{pattern}', {day}), "
-                f"left(regexp_extract({trimmed}, r'{pattern}', {month}), 3), "
-                f"regexp_extract({trimmed}, r'{pattern}', 3)) END")
-
-    return (f"coalesce(CASE WHEN {trimmed} RLIKE r'{ISO_DATE}' THEN try_cast({trimmed} AS date) END, "
-            f"CASE WHEN {numeric} RLIKE r'{ISO_DATE}' THEN try_cast({numeric} AS date) END, "
-            f"CAST(try_to_timestamp(coalesce({named(MONTH_FIRST, 2, 1)}, {named(DAY_FIRST, 1, 2)}), "
-            f"'d-MMM-yyyy') AS date))")
+    """Date text in ISO, numeric, English, day-of-year or Julian form; null where none fits.
+
+    A leading weekday is not looked at.  Two-digit years 70 to 99 are 19xx, 00 to 69 20xx.
+    """
+    iso = f"trim({text})"
+    other = f"regexp_replace({iso}, r'{_WEEKDAY}', '')"
+
+    def part(source: str, pattern: str, group: int) -> str:
+        return f"regexp_extract({source}, r'{pattern}', {group})"
+
+    def full_year(source: str, pattern: str, group: int) -> str:
+        year = part(source, pattern, group)
+        return f"concat(CASE WHEN length({year}) = 4 THEN '' WHEN {year} < '70' THEN '20' ELSE '19' END, {year})"
+
+    def numeric(source: str, pattern: str, y: int, m: int, d: int) -> str:
+        parts = f"{full_year(source, pattern, y)}, {part(source, pattern, m)}, {part(source, pattern, d)}"
+        return f"WHEN {source} RLIKE r'{pattern}' THEN try_cast(concat_ws('-', {parts}) AS date)"
+
+    cases = [numeric(other, *form) for form in NUMERIC_DATES]
+    cases += [f"WHEN {other} RLIKE r'{p}' THEN CAST(try_to_timestamp(concat_ws('-', {part(other, p, d)}, "
+              f"left({part(other, p, m)}, 3), {full_year(other, p, y)}), 'd-MMM-yyyy') AS date)" for p, y, m, d in NAMED_DATES]
+    start = f"try_cast(concat({part(other, ORDINAL_DATE, 1)}, '-01-01') AS date)"
+    count = part(other, ORDINAL_DATE, 2)
+    day = f"date_add({start}, CAST({count} AS int) - 1)"
+    cases.append(f"WHEN {other} RLIKE r'{ORDINAL_DATE}' THEN CASE WHEN {count} <> '000' AND year({day}) = year({start}) THEN {day} END")
+    cases.append(f"WHEN {other} RLIKE r'{JULIAN_DAY}' THEN date_add(DATE'1970-01-01', "
+                 f"CAST({part(other, JULIAN_DAY, 1)} AS int) - {JULIAN_EPOCH})")
+    # the common form first: its branch looks at nothing else
+    return f"CASE {numeric(iso, ISO_DATE, 1, 2, 3)} ELSE CASE {' '.join(cases)} END END"
 
 
 def discount_sql(text: str, present: str) -> str:

@@ -121,7 +121,13 @@ TABLES = {
     "bank_details": BANK_DETAILS,
 }
 
+AUDITED = {**TABLES, "extraction_log": EXTRACTION_LOG}
+
 # Constraints, as data: used by both the outcome rules and the audit.
+PRIMARY_KEY = {
+    "vendors": "vendor_id", "customers": "customer_id", "invoices": "invoice_id", "invoice_line_items": "line_item_id",
+    "bank_details": "bank_id", "extraction_log": "log_id",
+}
 NOT_NULL = {
     "vendors": ("vendor_name",),
     "invoices": ("invoice_number", "invoice_date", "total_amount"),
@@ -133,6 +139,7 @@ FOREIGN_KEYS = (
     ("invoices", "customer_id", "customers"),
     ("invoice_line_items", "invoice_id", "invoices"),
     ("bank_details", "vendor_id", "vendors"),
+    ("extraction_log", "invoice_id", "invoices"),
 )
 MAX_LENGTH = {
     "vendors": {"vendor_name": 255, "vendor_email": 255, "payment_terms": 50, "vendor_phone": 50},
@@ -140,6 +147,7 @@ MAX_LENGTH = {
     "invoices": {"invoice_number": 100, "status": 50, "s3_key": 500, "s3_bucket": 255,
                  "po_number": 100, "payment_terms": 255},
     "bank_details": {"bank_name": 255, "account_number": 100, "routing_number": 100},
+    "extraction_log": {"model_version": 100},
 }
 # Values the additive migrations give to rows written before them.
 DEFAULTS = {

@@ -91,9 +91,21 @@ def classify_outcome(decided: DataFrame) -> DataFrame:
     return decided.selectExpr("*", f"explode(array(CASE {cases} END)) AS error")
 
 
+def cut_names(classified: DataFrame) -> DataFrame:
+    """Names that are compared, cut to their column's length (only spaces can be cut, see the outcome rules).
+
+    Done before ids, uniqueness and grouping, which then see what the tables will hold.
+    """
+    def cut(name: str, table: str, column: str) -> Column:
+        return F.when(F.col("error").isNull(), F.left(F.col(name), F.lit(M.MAX_LENGTH[table][column]))).otherwise(F.col(name))
+
+    return classified.withColumns({"invoice_number": cut("invoice_number", "invoices", "invoice_number"),
+                                   "company_name": cut("company_name", "vendors", "vendor_name")})
+
+
 def process_documents(extracted: DataFrame) -> DataFrame:
-    """Typed, validated, decided and classified; everything but uniqueness."""
-    return classify_outcome(decide_status(validate(cast_invoice(extracted))))
+    """Typed, validated, decided, classified and cut; everything but uniqueness."""
+    return cut_names(classify_outcome(decide_status(validate(cast_invoice(extracted)))))
 
 
 def dedupe_invoices(classified: DataFrame, identity: tuple[str, ...] = ("arrival", "s3_key")) -> DataFrame:

@@ -9,13 +9,13 @@ from inkledger.functions.display import fmt_money, line_display, shown
 from inkledger.plans.dashboard import latest, latest_with_vendor
 
 
-def invoice_listing(invoices: DataFrame, vendors: DataFrame, n: int = 10) -> DataFrame:
-    return latest_with_vendor(invoices, vendors, n).select(
+def invoice_listing(invoices: DataFrame, vendors: DataFrame, n: int = 10, enforced_keys: bool = False) -> DataFrame:
+    return latest_with_vendor(invoices, vendors, n, enforced_keys).select(
         "invoice_id", "invoice_number", "vendor_name", "total_amount", "status", "processed_at")
 
 
-def latest_invoice_detail(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
-    return latest_with_vendor(invoices, vendors, 1).select(
+def latest_invoice_detail(invoices: DataFrame, vendors: DataFrame, enforced_keys: bool = False) -> DataFrame:
+    return latest_with_vendor(invoices, vendors, 1, enforced_keys).select(
         "invoice_number", "vendor_name", "invoice_date", "due_date", "subtotal", "discount",
         "tax_amount", "total_amount", "status", "confidence_score", "po_number", "payment_terms")
 

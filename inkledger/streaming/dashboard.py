@@ -6,36 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from inkledger.operators.decide import ACCEPTED
-from inkledger.streaming.ingest import read_outcomes
+TOTALS = "status string, invoice_count bigint, total_amount decimal(38,2), source string, batch_id bigint"
 
 
-def stream_accepted(spark: SparkSession, out: str, max_files: int = 1000) -> DataFrame:
-    schema = read_outcomes(spark, out).schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .parquet(f"{out}/outcomes").filter(F.col("outcome") == ACCEPTED))
+def status_totals(spark: SparkSession, out: str) -> DataFrame:
+    """Count and sum per status of a store: the totals that each batch keeps in its own folder, summed.
 
-
-def stream_status(accepted: DataFrame) -> DataFrame:
-    """Count and sum per status; the state is one row per status."""
-    return accepted.groupBy("status").agg(
-        F.count(F.lit(1)).alias("invoice_count"),
-        F.sum("total_value").cast("decimal(38,2)").alias("total_amount"))
+    A replayed batch replaces its folder, so it is counted once.
+    """
+    return (spark.read.schema(TOTALS).parquet(f"{out}/totals").groupBy("status")
+            .agg(F.sum("invoice_count").alias("invoice_count"), F.sum("total_amount").cast("decimal(38,2)").alias("total_amount")))
 
 
-def start_dashboard(accepted: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+def start_dashboard(spark: SparkSession, out: str, path: str, checkpoint: str, available_now: bool = True,
                     interval: str = "1 minute") -> StreamingQuery:
-    """Keep the whole current result at ``path``, one row per status, tagged with its batch.
+    """Publish the current totals of the store ``out`` at ``path`` whenever batches were stored.
 
-    Updates take turns between two folders, so readers keep the previous one while the
-    next is written.
+    The stream only tells that totals arrived; what is published is read from the folders as
+    they are.  Updates take turns between two folders, so readers keep the previous one while
+    the next is written.
     """
-    def publish(result: DataFrame, batch_id: int) -> None:
-        tagged = result.withColumn("update", F.lit(batch_id).cast("bigint"))
-        tagged.coalesce(1).write.mode("overwrite").parquet(f"{path}/turn={batch_id % 2}")
+    arrived = spark.readStream.schema(TOTALS).parquet(f"{out}/totals")
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        tagged = status_totals(batch.sparkSession, out).withColumn("update", F.lit(batch_id).cast("bigint"))
+        tagged.write.mode("overwrite").parquet(f"{path}/turn={batch_id % 2}")
 
-    writer = (stream_status(accepted).writeStream.outputMode("complete").foreachBatch(publish)
-              .option("checkpointLocation", checkpoint))
+    writer = arrived.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 

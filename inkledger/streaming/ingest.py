@@ -1,21 +1,27 @@
 """Continuous ingestion of extraction documents into one append-only fact table.
 
-Layout below ``out``:
-  staged/batch_id=N/            documents of the micro-batch: parsed, typed, classified
-  claims/batch_id=N/            the batch's first document per invoice number
-  refused/batch_id=N/           row ids that lost their number to another document
-  outcomes/batch_id=N/outcome=  the staged rows with their final outcome
+Layout below ``out``, for each writer (a bulk load, or a stream's checkpoint):
+  numbers/source=S/batch_id=N/bucket=B/    the batch's accepted invoice numbers, by hash
+  outcomes/source=S/batch_id=N/outcome=    all its documents with their final outcome
+  totals/source=S/batch_id=N/              count and sum per status of the accepted ones
+  working/source=S/turn=T/                 staged rows, claims and refusals of the last two batches
 
 Writing a batch's ``outcomes`` folder is the transaction: accepted rows carry vendor,
-customer, lines and bank, and the tables are projections of them.  A replayed batch
-overwrites its own folders and looks only at batches with a smaller id, so it ends the
-same.  Staging cuts the lineage: the JSON is parsed once and row ids survive retries.
-Claims and refusals are narrow tables of known size, so Spark can tell whether to
-broadcast them; with few refusals the documents themselves are never shuffled.
+customer, lines and bank, and the tables are projections of them.  A writer's folders are
+its own, so none replaces another's.  A replayed batch overwrites its own folders and looks
+only at its writer's batches before it and at other writers, which were refused the numbers
+it held; so it ends the same.  Numbers are written before outcomes: what a batch that broke
+off has claimed is not given to another writer.  Writers of one store take turns.
+
+Staging cuts the lineage: the JSON is parsed once and row ids survive retries.  Claims and
+refusals are narrow tables of known size, so Spark can tell whether to broadcast them;
+with few refusals the documents themselves are never shuffled.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +32,11 @@ from inkledger.operators.store import assign_keys
 from inkledger.sources.extractions import filter_result_files
 
 IDENTITY = ("arrival", "s3_key", "row_id")
+#: Folders the history of numbers is cut into; a batch reads those its own numbers fall in.
+BUCKETS = 256
+#: The writer of batches whose caller names none.
+BATCHES = "batches"
+MERGED = "merged"
 
 
 def _stage(documents: DataFrame, processed_at: Column, strict: bool, keys: dict[str, Column]) -> DataFrame:
@@ -44,72 +55,111 @@ def read_accepted(spark: SparkSession, out: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession, out: str) -> None:
-    """Make the outcomes folder, so that the first batch finds an empty history."""
-    (spark.range(0).select(F.lit(0).alias("batch_id"), "id")
-     .write.mode("append").partitionBy("batch_id").parquet(f"{out}/outcomes"))
+    """Make the folders, so that the first batch finds an empty history and totals."""
+    for name in ("outcomes", "numbers", "totals"):
+        (spark.range(0).select(F.lit("").alias("source"), F.lit(0).alias("batch_id"), "id")
+         .write.mode("append").partitionBy("source", "batch_id").parquet(f"{out}/{name}"))
+
+
+def _bucket(number: str = "invoice_number") -> Column:
+    return F.pmod(F.xxhash64(number), F.lit(BUCKETS)).cast("int")
 
 
-def _taken(spark: SparkSession, out: str, batch_id: int, claims: DataFrame) -> DataFrame:
-    """Claimed numbers that a batch before this one has stored.
+def taken_numbers(spark: SparkSession, out: str, source: str, batch_id: int, claims: DataFrame) -> DataFrame:
+    """Claimed numbers that another writer, or an earlier batch of this one, has stored.
 
-    Reads one column of one outcome.  The range of the claimed numbers goes to the scan as a
-    filter, which skips what a compacted store keeps sorted outside it; the blank number,
-    itself a value, would widen the range and is named apart.
+    The history is a column of its own, cut by hash; the buckets of the claims, at most
+    ``BUCKETS`` numbers, go to the scan as a partition filter.
     """
-    schema = "invoice_number string, batch_id bigint, outcome string"
-    stored = spark.read.schema(schema).parquet(f"{out}/outcomes")
-    number = F.col("invoice_number")
-    low, high = claims.filter(number != "").agg(F.min(number), F.max(number)).first()
-    earlier = stored.filter((F.col("batch_id") < batch_id) & (F.col("outcome") == ACCEPTED)
-                            & (number.between(low, high) | (number == "")))
+    schema = "invoice_number string, source string, batch_id bigint, bucket int"
+    buckets = [r[0] for r in claims.select(_bucket()).distinct().collect()]
+    stored = spark.read.schema(schema).parquet(f"{out}/numbers").filter(F.col("bucket").isin(buckets))
+    earlier = stored.filter((F.col("source") != source) | (F.col("batch_id") < batch_id))
     # broadcast by Spark when the claims are few, so the history is not shuffled
     return earlier.select("invoice_number").join(claims.select("invoice_number"), "invoice_number", "left_semi")
 
 
 def store_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Column | None = None,
-                strict: bool = False, keys: dict[str, Column] | None = None) -> None:
-    """Decide and store one batch; also the way to load a finite set of documents."""
+                strict: bool = False, keys: dict[str, Column] | None = None, source: str = BATCHES) -> None:
+    """Decide and store one batch of the writer ``source``; the same writer and id again replace it."""
     spark = documents.sparkSession
     clock = F.current_timestamp() if processed_at is None else processed_at
+    own = f"source={source}/batch_id={batch_id}"
+
     def through(name: str, df: DataFrame) -> DataFrame:
-        path = f"{out}/{name}/batch_id={batch_id}"
+        path = f"{out}/working/source={source}/turn={batch_id % 2}/{name}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     staged = through("staged", _stage(documents, clock, strict, keys or {}))
     candidates = staged.select("invoice_number", "error", *IDENTITY)
     claims = through("claims", dedupe_invoices(candidates, IDENTITY).select("invoice_number", "row_id"))
-    won = claims.join(_taken(spark, out, batch_id, claims), "invoice_number", "left_anti").select("row_id")
-    lost = candidates.filter(F.col("error").isNull()).select("row_id").join(won, "row_id", "left_anti")
+    won = through("won", claims.join(taken_numbers(spark, out, source, batch_id, claims), "invoice_number", "left_anti"))
+    lost = candidates.filter(F.col("error").isNull()).select("row_id").join(won.select("row_id"), "row_id", "left_anti")
     refused = through("refused", lost)
 
+    (won.select("invoice_number", _bucket().alias("bucket")).repartition("bucket")
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/numbers/{own}"))
     marked = set_outcome(staged.join(refused.withColumn("_lost", F.lit(True)), "row_id", "left"))
-    marked.write.mode("overwrite").partitionBy("outcome").parquet(f"{out}/outcomes/batch_id={batch_id}")
+    marked.write.mode("overwrite").partitionBy("outcome").parquet(f"{out}/outcomes/{own}")
+    accepted = spark.read.schema(marked.schema).parquet(f"{out}/outcomes/{own}").filter(F.col("outcome") == ACCEPTED)
+    (accepted.groupBy("status").agg(F.count(F.lit(1)).alias("invoice_count"),
+                                    F.sum("total_value").cast("decimal(38,2)").alias("total_amount"))
+     .write.mode("overwrite").parquet(f"{out}/totals/{own}"))
 
 
-def compact(spark: SparkSession, out: str, target: str) -> None:
-    """Copy a store to ``target`` with the batches before the last as one, in few files sorted by number.
+def load_documents(documents: DataFrame, out: str, processed_at: Column | None = None, strict: bool = False,
+                   keys: dict[str, Column] | None = None) -> str:
+    """Store a finite set of documents as a writer of its own, whose name is returned.
 
-    The last batch keeps its id, because it may still be replayed; the merged ones get the
-    id -1, which comes before any.  Ingestion then goes on with ``target`` as its store
-    and the same checkpoint.
+    May be mixed with streams on one store, before or between their runs.
     """
-    rows = read_outcomes(spark, out)
-    last = rows.agg(F.max("batch_id")).scalar()
-    merged = rows.withColumn("batch_id", F.when(F.col("batch_id") < last, F.lit(-1)).otherwise(F.col("batch_id")))
-    (merged.repartitionByRange("batch_id", "outcome", "invoice_number", "row_id")
-     .sortWithinPartitions("batch_id", "outcome", "invoice_number")
-     .write.mode("errorifexists").partitionBy("batch_id", "outcome").parquet(f"{target}/outcomes"))
+    source = f"load-{uuid.uuid4().hex}"
+    prepare(documents.sparkSession, out)
+    store_batch(documents, 0, out, processed_at, strict, keys, source)
+    return source
+
+
+def compact(spark: SparkSession, out: str, below: dict[str, int]) -> None:
+    """Merge the number files of each writer's batches with ids under ``below[writer]`` into one a bucket.
+
+    Those batches must not be replayed any more; a stream replays its last one only.  Outcomes
+    stay where they are; numbers, the only thing every batch reads again, are merged under a
+    writer's name of their own, and the folders they came from are emptied.  A number in both
+    places counts once, so a run that breaks off does no harm.
+    """
+    schema = "invoice_number string, source string, batch_id bigint, bucket int"
+    stored = spark.read.schema(schema).parquet(f"{out}/numbers")
+    old = F.lit(False)
+    for source, batch_id in below.items():
+        old = old | ((F.col("source") == source) & (F.col("batch_id") < batch_id))
+    merged = f"source={MERGED}-{uuid.uuid4().hex}"
+    (stored.filter(old).select("invoice_number", "bucket").repartition("bucket").sortWithinPartitions("bucket", "invoice_number")
+     .write.mode("errorifexists").partitionBy("bucket").parquet(f"{out}/numbers/{merged}/batch_id=0"))
+    nothing = spark.createDataFrame([], "invoice_number string, bucket int")
+    # as many rows as batches are merged
+    for row in stored.filter(old).select("source", "batch_id").distinct().collect():
+        (nothing.write.mode("overwrite").partitionBy("bucket")
+         .parquet(f"{out}/numbers/source={row['source']}/batch_id={row['batch_id']}"))
+
+
+def writer_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of a stream's writer, kept inside its checkpoint: a new checkpoint is a new writer."""
+    path = f"{checkpoint}/writer"
+    spark.range(1).select(F.lit(f"stream-{uuid.uuid4().hex}").alias("name")).write.mode("ignore").parquet(path)
+    return spark.read.schema("name string").parquet(path).first()["name"]
 
 
 def start_ingest(documents: DataFrame, out: str, checkpoint: str, processed_at: Column | None = None,
                  strict: bool = False, keys: dict[str, Column] | None = None,
                  available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:
     """Store every arriving document; with ``available_now`` stop when all present ones are stored."""
-    prepare(documents.sparkSession, out)
+    spark = documents.sparkSession
+    prepare(spark, out)
+    source = writer_of(spark, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        store_batch(batch, batch_id, out, processed_at, strict, keys)
+        store_batch(batch, batch_id, out, processed_at, strict, keys, source)
 
     writer = documents.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

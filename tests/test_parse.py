@@ -49,6 +49,13 @@ DATES = [
     ("5-September-2025", dt.date(2025, 9, 5)), (" 2025-11-05 ", dt.date(2025, 11, 5)),
     ("", None), ("2025", None), ("2025-11", None), ("2025-13-01", None), ("13/13/2025", None),
     ("Novembre 2, 2025", None), ("soon", None), (None, None),
+    ("11/15/25", dt.date(2025, 11, 15)), ("1/2/70", dt.date(1970, 1, 2)), ("1/2/69", dt.date(2069, 1, 2)),
+    ("15-Nov-25", dt.date(2025, 11, 15)), ("Nov-15-25", dt.date(2025, 11, 15)), ("2025-Nov-15", dt.date(2025, 11, 15)),
+    ("Nov-15-2025", dt.date(2025, 11, 15)), ("Saturday, November 15, 2025", dt.date(2025, 11, 15)),
+    ("Sat 15 Nov 2025", dt.date(2025, 11, 15)), ("990108", dt.date(1999, 1, 8)), ("2025.319", dt.date(2025, 11, 15)),
+    ("2024.366", dt.date(2024, 12, 31)), ("2025.366", None), ("2025.000", None), ("J2460995", dt.date(2025, 11, 15)),
+    ("2025-11-05 10:00:00.5+02", dt.date(2025, 11, 5)), ("2025-11-05T10:00Z", dt.date(2025, 11, 5)),
+    ("2025-11-15 garbage", None), ("2025-11-15Tzzz", None), ("2025-11-15T", None), ("11/15/25 x", None), ("Saturday", None),
 ]
 
 

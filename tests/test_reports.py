@@ -70,7 +70,7 @@ def test_recent_puts_missing_times_first_and_needs_a_vendor(spark, ten):
     rows = dashboard.recent_invoices(late, vendors, 3).collect()
     assert [r.invoice_number for r in rows] == ["INV-0003", "INV-0009", "INV-0008"]
     orphaned = late.withColumn("vendor_id", F.when(F.col("invoice_id") == 9, 77).otherwise(F.col("vendor_id")))
-    rows = dashboard.recent_invoices(orphaned, vendors, 3, enforced_keys=False).collect()
+    rows = dashboard.recent_invoices(orphaned, vendors, 3).collect()
     assert [r.invoice_number for r in rows] == ["INV-0003", "INV-0008", "INV-0007"]
     assert dashboard.recent_invoices_display(late, vendors, 1).first().processed == "N/A"
 
@@ -103,6 +103,12 @@ def test_latest_report(spark, ten):
     assert detail.latest_bank(invoices, banks).first().bank_name == "B1"
 
 
+def test_money_keeps_the_digits_of_decimals(spark):
+    row = spark.sql("select cast('123456789012345678.91' as decimal(38,2)) as d, cast(-1234.5 as double) as f").select(
+        fmt_money(F.col("d")), fmt_money(F.col("f"))).first()
+    assert tuple(row) == ("$123,456,789,012,345,678.91", "$-1,234.50")
+
+
 def test_display_forms(spark):
     row = spark.range(1).select(
         fmt_money(F.lit(0.125)), fmt_money(F.lit(-1234.5)), fmt_money(F.lit(None).cast("double")),

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from inkledger.operators.decide import mark_duplicates, process_documents
 from inkledger.operators.extract import extract_flatten
 from inkledger.operators.store import project_tables
-from inkledger.sources.extractions import read_extractions, stream_extractions
+from inkledger.sources.extractions import list_files, read_extractions, skipped_files, stream_extractions
 from inkledger.streaming.approvals import ACTION_LOG, read_actions, start_approvals
-from inkledger.streaming.dashboard import read_dashboard, start_dashboard, stream_accepted
-from inkledger.streaming.ingest import compact, prepare, read_accepted, read_outcomes, start_ingest, store_batch
+from inkledger.streaming.dashboard import read_dashboard, start_dashboard, status_totals
+from inkledger.streaming.ingest import (
+    BATCHES, compact, load_documents, prepare, read_accepted, read_outcomes, start_ingest, store_batch, taken_numbers, writer_of,
+)
 from tests.helpers import document, documents
 
 
@@ -51,7 +53,7 @@ def test_files_are_ingested_once_first_arrival_wins(spark, tmp_path):
     assert {r.vendor_name for r in tables["vendors"].collect()} == {"First", "Acme"}
     assert read_extractions(spark, str(arriving), "b").count() == 7
 
-    run(start_dashboard(stream_accepted(spark, out, 1), str(tmp_path / "dash"), str(tmp_path / "dash_ckpt")))
+    run(start_dashboard(spark, out, str(tmp_path / "dash"), str(tmp_path / "dash_ckpt")))
     assert {(r.status, r.invoice_count) for r in read_dashboard(spark, str(tmp_path / "dash")).collect()} == {
         ("approved", 2), ("pending_review", 1)}
 
@@ -83,19 +85,82 @@ def test_a_repeated_delivery_is_refused(spark, tmp_path):
     assert sorted(r.outcome for r in read_outcomes(spark, out).collect()) == ["error", "error", "persisted"]
 
 
-def test_compaction_keeps_the_rows_and_the_next_batch_sees_them(spark, tmp_path):
-    out, target = str(tmp_path / "out"), str(tmp_path / "target")
+def test_compaction_keeps_the_numbers_and_the_next_batch_sees_them(spark, tmp_path):
+    out = str(tmp_path / "out")
     prepare(spark, out)
     docs = documents(spark, [document(invoice_number=str(i // 2)) for i in range(8)])
     for batch in range(3):
         store_batch(docs.filter(F.col("arrival").between(2 * batch, 2 * batch + 1)), batch, out)
-    compact(spark, out, target)
-    rows = read_outcomes(spark, target)
-    assert {(r.batch_id, r["count"]) for r in rows.groupBy("batch_id").count().collect()} == {(-1, 4), (2, 2)}
-    store_batch(docs.filter("arrival between 4 and 5"), 2, target)
-    store_batch(docs, 3, target)
-    stored = {(r.batch_id, r.arrival) for r in read_accepted(spark, target).collect()}
-    assert stored == {(-1, 0), (-1, 2), (2, 4), (3, 6)}
+    compact(spark, out, {BATCHES: 2})
+    numbers = spark.read.parquet(f"{out}/numbers")
+    assert {(r.source.split("-")[0], r.invoice_number) for r in numbers.collect()} == {("merged", "0"), ("merged", "1"), (BATCHES, "2")}
+    store_batch(docs.filter("arrival between 4 and 5"), 2, out)
+    store_batch(docs, 3, out)
+    assert {(r.batch_id, r.arrival) for r in read_accepted(spark, out).collect()} == {(0, 0), (1, 2), (2, 4), (3, 6)}
+
+
+def test_a_late_batch_reads_only_the_buckets_it_touches(spark, tmp_path):
+    out = str(tmp_path / "out")
+    prepare(spark, out)
+    store_batch(documents(spark, [document(invoice_number=f"n{i}") for i in range(300)]), 0, out)
+    claims = spark.createDataFrame([("n7", 1), ("n7000", 2)], "invoice_number string, row_id bigint")
+    found = taken_numbers(spark, out, BATCHES, 1, claims)
+    assert [r.invoice_number for r in found.collect()] == ["n7"]
+    every = spark.read.parquet(f"{out}/numbers")
+    touched = spark.read.parquet(f"{out}/numbers").filter(F.col("bucket").isin(
+        [r[0] for r in claims.selectExpr("cast(pmod(xxhash64(invoice_number), 256) as int)").collect()]))
+    read = set(touched.select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
+    assert 0 < len(read) <= 2 < every.select(F.input_file_name()).distinct().count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_names_that_end_like_a_result_are_read_and_the_rest_is_listed(spark, tmp_path):
+    folder = tmp_path / "in" / "job" / "0" / "custom_output" / "0"
+    folder.mkdir(parents=True)
+    for name in ("result.json", "page_result.json", "final-result.json", "result+1 result.json", "result.json.tmp", "other.json"):
+        (folder / name).write_text(document(invoice_number=name))
+    read = read_extractions(spark, str(tmp_path / "in"), "b")
+    names = {r.s3_key.rsplit("/", 1)[1] for r in read.collect()}
+    assert names == {"result.json", "page_result.json", "final-result.json", "result+1 result.json"}
+    listed = list_files(spark, str(tmp_path / "in"), "b")
+    assert listed.count() == 6 and {r.s3_key.rsplit("/", 1)[1] for r in skipped_files(listed).collect()} == {"result.json.tmp", "other.json"}
+    out = str(tmp_path / "out")
+    run(start_ingest(stream_extractions(spark, str(tmp_path / "in"), "b"), out, str(tmp_path / "ckpt")))
+    assert read_accepted(spark, out).count() == 4
+
+
+def test_writers_do_not_replace_each_other(spark, tmp_path):
+    out, landed = str(tmp_path / "out"), str(tmp_path / "landed")
+    docs = documents(spark, [document(invoice_number=str(i)) for i in range(13)])
+    load_documents(docs.filter("arrival < 10"), out)
+    docs.filter("arrival >= 8").write.parquet(landed)
+    for checkpoint in ("one", "two"):  # the second has lost its checkpoint: all it brings is known
+        run(start_ingest(stream_extractions(spark, landed, landed=True), out, str(tmp_path / checkpoint)))
+    rows = read_outcomes(spark, out).collect()
+    assert len(rows) == 10 + 5 + 5 and sum(r.outcome == "persisted" for r in rows) == 13
+    assert writer_of(spark, str(tmp_path / "one")) == writer_of(spark, str(tmp_path / "one")) != writer_of(spark, str(tmp_path / "two"))
+
+
+def test_a_replayed_batch_counts_once(spark, tmp_path):
+    out, dash = str(tmp_path / "out"), str(tmp_path / "dash")
+    prepare(spark, out)
+    docs = documents(spark, [document(invoice_number=str(i)) for i in range(10)])
+    for _ in range(2):
+        store_batch(docs, 0, out)
+        run(start_dashboard(spark, out, dash, str(tmp_path / "ckpt")))
+    assert [tuple(r) for r in read_dashboard(spark, dash).collect()] == [tuple(r) for r in status_totals(spark, out).collect()]
+    assert read_dashboard(spark, dash).agg(F.sum("invoice_count")).first()[0] == 10
+
+
+def test_names_are_compared_as_they_are_stored(spark, tmp_path):
+    out = str(tmp_path / "out")
+    prepare(spark, out)
+    long = "x" * 100
+    store_batch(documents(spark, [document(invoice_number=long), document(invoice_number=long + " ")]), 0, out)
+    store_batch(documents(spark, [document(invoice_number=long + "  ")]), 1, out)
+    rows = read_outcomes(spark, out).collect()
+    assert sorted(r.outcome for r in rows) == ["error", "error", "persisted"]
 
 
 def test_blank_and_outer_numbers_are_found_in_the_history(spark, tmp_path):
