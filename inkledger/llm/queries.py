@@ -2,17 +2,36 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkledger.llm import decontaminate, mixing, near_dedup, sharding, toxicity
+from inkledger.llm import (
+    decontaminate,
+    line_dedup,
+    mixing,
+    near_dedup,
+    nn_descent,
+    sharding,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc_zip,
+)
 from inkledger.llm.common import load
+from inkledger.session import shared_dir
 
 SHARDS = 24
 MIX_WEIGHTS = [3.0, 1.0, 2.0]
 FOLDS = 5
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+#: Lines in a run that counts as repeated.
+LINE_WINDOW = 2
+#: A sentencepiece vocabulary; another place can be named in the environment.
+VOCABULARY = os.environ.get("UNIGRAM_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def crc_of(value: Column) -> Column:
@@ -28,6 +47,16 @@ def row_hash() -> Column:
     return F.xxhash64(F.lit(7), F.col("doc_id"), F.col("text"))
 
 
+def op1_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rules, and by its aliases where no rule fits."""
+    return url_filter.filter_urls(load(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found for every 20th vector, by a greedy walk of an NN-descent graph of all vectors."""
+    return nn_descent.nearest(load(spark, sf_dir, "embeddings"), 20, 20)
+
+
 def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt to 24 shards, counts at most one apart."""
     text = F.col("text").cast("binary")
@@ -52,6 +81,12 @@ def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, sf_dir, "documents"), words=2, threshold=80)
 
 
+def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the unigram vocabulary."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, VOCABULARY).select("doc_id", "n_tokens", "n_words")
+
+
 def op7_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from four folds of the labels."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,9 +100,22 @@ def op8_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op9_winnowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that stood earlier."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeats(docs, LINE_WINDOW).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record into ZIP packages, and the records read back by ranges."""
+    manifest = warc_zip.write_packages(load(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
+    return warc_zip.read_packages(manifest).drop("payload", "url")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_feistel_shards, op4_water_filled_mix, op5_lsh_forest, op7_pu_toxicity, op8_containment)}
+        op1_redirect_equivalence, op2_nn_descent, op3_feistel_shards, op4_water_filled_mix, op5_lsh_forest,
+        op6_trie_token_counts, op7_pu_toxicity, op8_containment, op9_winnowed_lines, op10_zip_warc)}
 
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
@@ -82,8 +130,52 @@ def shingles_sql(table: str, key: str, n: int) -> str:
         FROM (SELECT {key}, {WORDS} AS w FROM {table} WHERE {key} IS NOT NULL AND text IS NOT NULL)"""
 
 
+def _op1_sql() -> str:
+    """The rules as one CASE, longest first; pages of the test tables declare no links, so no url has aliases."""
+    ranked = sorted(URL_RULES, key=lambda r: (-len(r[1] + r[2]), r[0] != "allow"))
+    fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in ranked]
+    rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, ranked))
+    verdict = " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _, _) in zip(fits, ranked))
+    parts = r"regexp_extract(coalesce(url, ''), '^(?:.|\n)*?://([^/?#]*)([^?#]*)'"
+    return f"""
+WITH p AS (SELECT page_id, translate({parts}, 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host, {parts}, 2) AS path FROM pages)
+SELECT page_id, host, path, CASE {rule} END AS rule, CASE {verdict} ELSE 'allow' END AS verdict, false AS aliased FROM p"""
+
+
+def _op9_sql(w: int) -> str:
+    window = " || chr(10) || ".join(f"lead(line, {k}) OVER doc" for k in range(w))
+    return f"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+           FROM documents WHERE text IS NOT NULL),
+t AS (SELECT doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM l),
+g AS (SELECT doc_id, pos, {window} AS gram FROM t WINDOW doc AS (PARTITION BY doc_id ORDER BY pos)),
+r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY gram ORDER BY doc_id, pos) AS turn FROM g WHERE gram IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM r, range({w}) AS s(k) WHERE turn > 1),
+o AS (SELECT t.doc_id, count(*) AS n_lines, count(gone.pos) AS n_removed,
+             coalesce(string_agg(raw, chr(10) ORDER BY t.pos) FILTER (gone.pos IS NULL), '') AS text
+      FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.pos = t.pos GROUP BY t.doc_id)
+SELECT d.doc_id, coalesce(o.n_lines, 0) AS n_lines, coalesce(o.n_removed, 0) AS n_removed, o.text
+FROM documents d LEFT JOIN o ON o.doc_id = d.doc_id"""
+
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_DIGEST = " || ".join(
+    f"list_aggregate(list_transform(range(8), lambda k: '{_BASE32}'[1 + ((('0x' || digest[{at}:{at + 9}])::BIGINT >> (35 - 5 * k)) & 31)]), 'string_agg', '')"
+    for at in (1, 11, 21, 31))
+_OP10_SQL = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM pages),
+g AS (SELECT digest, max(page_id) AS origin FROM p GROUP BY digest)
+SELECT page_id, payload_bytes, {_DIGEST} AS payload_digest,
+       CASE WHEN page_id = origin THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> origin THEN origin END AS refers_to
+FROM p JOIN g USING (digest)"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "op1_redirect_equivalence": _op1_sql(),
+        "op9_winnowed_lines": _op9_sql(LINE_WINDOW),
+        "op10_zip_warc": _OP10_SQL,
         "op5_lsh_forest": f"""
 WITH RECURSIVE sh AS ({shingles_sql("documents", "doc_id", 2)}),
 sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),

@@ -1,0 +1,132 @@
+"""The registered queries of this folder: SQL twins, contracts, and the pipeline against brute force."""
+
+import binascii
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from inkledger.llm import queries
+from tests.llm.test_decontaminate import brute as brute_contamination
+from tests.llm.test_mixing import brute_targets
+from tests.llm.test_near_dedup import brute as brute_duplicates
+
+SF = "/root/testdata/sf0.001"
+duckdb = pytest.importorskip("duckdb")
+pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables not there")
+
+
+@pytest.fixture(scope="module")
+def twin():
+    con = duckdb.connect()
+    for path in Path(SF).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracles()))
+def test_query_equals_its_twin(spark, twin, name):
+    df = queries.registry()[name](spark, SF)
+    result = twin.execute(queries.oracles()[name])
+    columns = [c[0] for c in result.description]
+    assert sorted(df.columns) == sorted(columns)
+    order = sorted(columns)
+    pick = lambda names, rows: sorted(str([r[names.index(c)] for c in order]) for r in rows)
+    assert pick(df.columns, map(tuple, df.collect())) == pick(columns, result.fetchall())
+
+
+def test_every_operator_is_registered():
+    names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
+    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in entry.queries()
+
+
+def test_op2_contract(spark, twin):
+    rows = twin.execute("SELECT vec_id, embedding FROM embeddings").fetchall()
+    full = {i: np.array(v, float) for i, v in rows}
+    got = queries.op2_nn_descent(spark, SF)
+    assert dict(got.dtypes) == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"}
+    hits = 0
+    found = {}
+    for r in got.collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(found) == {i for i in full if i % 20 == 0}
+    for q, rows in found.items():
+        want = sorted((-(full[q] @ full[i]), i) for i in full if i != q)[:20]
+        hits += len({i for _, i, _ in rows} & {i for _, i in want}) / len(want)
+        assert sorted(x[0] for x in rows) == list(range(1, len(want) + 1))
+    assert hits / len(found) >= 0.9
+
+
+def test_op3_contract(spark, twin):
+    texts = dict(twin.execute("SELECT doc_id, text FROM documents").fetchall())
+    df = queries.op3_feistel_shards(spark, SF)
+    assert dict(df.dtypes)["grown_shard"] == "int" and dict(df.dtypes)["text_crc32"] == "bigint"
+    slots = {}
+    for r in df.collect():
+        data = (texts[r["doc_id"]] or "").encode()
+        assert r["size"] == len(data) + 8 and r["text_crc32"] == binascii.crc32(data) and r["law"] == "rows" and r["grown_shard"] is None
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert sorted(slots) == list(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_op4_contract(spark):
+    rows = queries.op4_water_filled_mix(spark, SF).collect()
+    sizes, taken = {}, {}
+    for r in rows:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["size"]
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    weights = {s: queries.MIX_WEIGHTS[i % 3] for i, s in enumerate(sorted(sizes))}
+    want = brute_targets(sizes, weights, 1.5 * sum(sizes.values()), 2.0)
+    smallest = {s: min(r["size"] for r in rows if r["source"] == s) for s in sizes}
+    for r in rows:
+        assert r["target"] == pytest.approx(want[r["source"]]) and r["source_size"] == sizes[r["source"]] and r["taken"] <= 2 * r["size"]
+    assert all(abs(taken[s] - want[s]) <= 0.05 * want[s] + smallest[s] for s in sizes)
+
+
+def test_op7_contract(spark, twin):
+    ids = [r[0] for r in twin.execute("SELECT doc_id FROM documents").fetchall()]
+    rows = queries.op7_pu_toxicity(spark, SF).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(ids)
+    for r in rows:
+        assert r["held_out"] == (binascii.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+
+
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    """Each stage on what the one before it kept; the classifier's own decisions are taken as they are."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, kept[-1], SF).write.parquet(str(tmp_path / name))
+        kept.append(spark.read.parquet(str(tmp_path / name)))
+    rows = [[(r["doc_id"], r["text"], r["source"]) for r in k.collect()] for k in kept]
+    assert [len(k.columns) for k in kept[:5]] == [5] * 5
+
+    clean = {r["doc_id"] for r in queries.op7_pu_toxicity(spark, SF).collect() if r["predicted"] == 0}
+    assert {r[0] for r in rows[1]} == clean
+    groups = brute_duplicates([(i, t) for i, t, _ in rows[1]], 5)
+    assert sorted(r[0] for r in rows[2]) == sorted({c for c in groups.values()})
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    bad = {d for d, *_ in brute_contamination([(i, t) for i, t, _ in rows[2]], items)}
+    assert {r[0] for r in rows[3]} == {r[0] for r in rows[2]} - bad
+    sizes, taken = {}, {}
+    for _, text, source in rows[3]:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+    for _, text, source in rows[4]:
+        taken[source] = taken.get(source, 0) + len(text.split())
+    want = brute_targets(sizes, {s: queries.MIX_WEIGHTS[i % 3] for i, s in enumerate(sorted(sizes))}, 1.5 * sum(sizes.values()), 2.0)
+    assert all(abs(taken.get(s, 0) - want[s]) <= 0.1 * want[s] + 100 for s in want)
+    last = kept[5].collect()
+    assert sorted(r["row_number"] for r in last) == list(range(len(rows[4])))
+    counts = np.bincount([r["shard"] for r in last], minlength=24)
+    assert counts.max() - counts.min() <= 1 and sorted(map(str, rows[5])) == sorted(map(str, rows[4]))
+
+
+def test_pipeline_of_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0
