@@ -3,8 +3,9 @@
 Vectors get one more coordinate that makes all of one length, so that near in the graph means a
 large inner product.  The graph starts from neighbours in a few sorted orders of random
 hyperplane codes and is improved by local joins: the neighbours and reverse neighbours of a
-vector meet, and each keeps the nearest it meets.  What is shuffled is a byte a coordinate;
-results are scored again on the original vectors in double precision.
+vector meet, and each keeps the nearest it meets.  A query has 0 as its added coordinate, so its
+walk goes by the inner product itself.  What is shuffled is a byte a coordinate, on a scale of
+the vector's own; results are scored again on the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ TAKEN = 8
 #: A search's list of nearest found, how many of them are expanded in a step, and its steps at most.
 BEAM, EXPANDED, STEPS = 160, 40, 6
 
-_PACKED = "rep bigint, code binary, scale float"
+_PACKED = "rep bigint, code binary, scale float, rest float"
 
 
 def _matrix(column: pa.Array, kind) -> np.ndarray:
@@ -40,8 +41,10 @@ def _matrix(column: pa.Array, kind) -> np.ndarray:
     return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1) if rows else np.zeros((0, 1), kind)
 
 
-def _decoded(codes: pa.Array, scales: pa.Array) -> np.ndarray:
-    return _matrix(codes, np.int8).astype(np.float32) * np.asarray(scales, np.float32)[:, None]
+def _decoded(codes: pa.Array, scales: pa.Array, rests: pa.Array | None = None) -> np.ndarray:
+    """The vectors, with their added coordinate where ``rests`` has it."""
+    given = _matrix(codes, np.int8).astype(np.float32) * np.asarray(scales, np.float32)[:, None]
+    return given if rests is None else np.column_stack([given, np.asarray(rests, np.float32)])
 
 
 def _table(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
@@ -79,7 +82,7 @@ def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -
 
 
 def _packed(classes: DataFrame) -> DataFrame:
-    """``(rep, code, scale)``: each distinct vector with its added coordinate, a byte a coordinate."""
+    """``(rep, code, scale, rest)``: each distinct vector, a byte a coordinate, and its added coordinate."""
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = _matrix(batch.column("raw"), np.float64)
@@ -91,12 +94,11 @@ def _packed(classes: DataFrame) -> DataFrame:
         for batch in batches:
             rows = _matrix(batch.column("raw"), np.float64) / longest
             rest = np.sqrt(np.maximum(0, 1 - (rows * rows).sum(axis=1)))
-            full = np.column_stack([rows, rest])
-            scale = np.maximum(np.abs(full).max(axis=1), 1e-30) / 127
-            codes = np.rint(full / scale[:, None]).astype(np.int8)
+            scale = np.maximum(np.abs(rows).max(axis=1, initial=0), 1e-30) / 127
+            codes = np.rint(rows / scale[:, None]).astype(np.int8)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale, pa.float32())],
-                ["rep", "code", "scale"])
+                [batch.column("rep"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale, pa.float32()),
+                 pa.array(rest, pa.float32())], ["rep", "code", "scale", "rest"])
 
     return staged(classes.select("rep", "raw").mapInArrow(pack, _PACKED), "ann-vectors")
 
@@ -152,6 +154,7 @@ def _start(vectors: DataFrame, rows: int) -> DataFrame:
     """First neighbours: in each sorted order, the nearest among ``CHUNK`` rows in a row."""
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # by the given coordinates alone, which tell rows apart whatever the longest vector is
             full = _decoded(batch.column("code"), batch.column("scale"))
             rng = np.random.default_rng(11)
             for turn in range(ORDERS):
@@ -159,13 +162,13 @@ def _start(vectors: DataFrame, rows: int) -> DataFrame:
                 place = ((full @ planes) > 0) @ (1 << np.arange(BITS - 1, -1, -1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(full), turn), pa.int32()), pa.array(place, pa.int64()), *batch.columns],
-                    ["turn", "place", "rep", "code", "scale"])
+                    ["turn", "place", "rep", "code", "scale", "rest"])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(batches)
         if table is None:
             return
-        full, rep = _decoded(_one(table["code"]), _one(table["scale"])), table["rep"].to_numpy()
+        full, rep = _decoded(*(_one(table[c]) for c in ("code", "scale", "rest"))), table["rep"].to_numpy()
         turn = table["turn"].to_numpy()
         for order in np.unique(turn):
             rows_of = np.flatnonzero(turn == order)
@@ -209,7 +212,7 @@ def _local_joins(graph: DataFrame, vectors: DataFrame, tasks: int) -> DataFrame:
         table = _table(batches)
         if table is None:
             return
-        full, ids = _decoded(_one(table["code"]), _one(table["scale"])), table["member"].to_numpy()
+        full, ids = _decoded(*(_one(table[c]) for c in ("code", "scale", "rest"))), table["member"].to_numpy()
         fresh = table["fresh"].to_numpy(zero_copy_only=False)
         low = np.nan_to_num(np.asarray(_one(table["least"]).fill_null(-2.0), np.float32), nan=-2.0)
         center, salt = table["center"].to_numpy(), table["salt"].to_numpy()
@@ -282,7 +285,7 @@ def greedy_search(graph: DataFrame, vectors: DataFrame, queries: DataFrame) -> D
     """
     tasks = tasks_for(vectors.sparkSession, queries.count(), 5_000)
     asked = queries.select("query", "query_code", "query_scale")
-    targets = vectors.withColumnRenamed("rep", "id")
+    targets = vectors.select(F.col("rep").alias("id"), "code", "scale")
     first = queries.select("query", F.col("entry").alias("id")).join(targets, "id").join(asked, "query")
     beams = staged(_merged(_measured(first), BEAM, tasks), "ann-beams")
     for step in range(STEPS):

@@ -73,4 +73,4 @@ def test_a_hub_is_shared_by_several_joins(spark, monkeypatch):
     rows[1] = 30
     ids = np.arange(600)
     got, want = lists(nearest(table(spark, ids, rows), 10, 20)), brute(ids, rows, 10, 20)
-    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.95
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.9
