@@ -77,14 +77,14 @@ def _priced(sources: DataFrame, weights) -> DataFrame:
 
 
 def mix(docs: DataFrame, source: str, size: Column, row_hash: Column, weights, total_share: float = 1.5,
-        max_epochs: float = 2.0, rounds: int = 3, out: str = "mix") -> DataFrame:
+        max_epochs: float = 2.0, rounds: int = 8, out: str = "mix") -> DataFrame:
     """``docs`` with a struct ``out`` (size, source_size, target, copies, taken): how often the mix takes each row.
 
     ``weights``: a list dealt to the sources in turn, or a DataFrame (source, weight).  A
     source's target is ``water_fill``'s.  Every row is taken floor(target / source size) times
     whole; the rest of the target is filled with one more copy of some rows along the seeded
-    ``row_hash``, up to a cut found from sums over all rows.  What then is left for want of a
-    small enough row is filled by further ``rounds`` among the smaller rows.  The decision on a
+    ``row_hash``, up to a cut found from sums over all rows.  What then is left is filled by
+    further ``rounds`` among the rows small enough, until no source has one.  The decision on a
     row is a comparison with a few numbers of its source, so wide rows are never shuffled.
 
     Null sources are one source; null and empty texts have size 0 and get the whole copies
@@ -108,17 +108,21 @@ def mix(docs: DataFrame, source: str, size: Column, row_hash: Column, weights, t
     def takes(turn: int) -> Column:
         return (F.col("_size") > 0) & (F.col("_size") <= F.col(f"_room{turn}")) & (F.col("_h") <= F.col(f"_cut{turn}"))
 
+    done = 0
     for turn in range(rounds):
         open_rows = rows.join(rules, "_key").filter((F.col("_size") > 0) & (F.col("_size") <= F.col(f"_room{turn}")))
         for earlier in range(turn):
             open_rows = open_rows.filter(~takes(earlier))
         cuts = _cuts(open_rows.select("_key", "_size", "_h", F.col(f"_room{turn}").alias("_room")))
         found = rules.join(cuts, "_key", "left")
+        done = turn + 1
         rules = staged(found.withColumn(f"_cut{turn}", F.coalesce("_cut", F.lit(-1)))
                        .withColumn(f"_room{turn + 1}", F.col(f"_room{turn}") - F.coalesce("_used", F.lit(0)))
                        .drop("_cut", "_used"), f"mix-cuts{turn}")
+        if rules.filter(F.col(f"_cut{turn}") >= 0).isEmpty():
+            break
     extra = F.lit(0)
-    for turn in reversed(range(rounds)):
+    for turn in reversed(range(done)):
         extra = F.when(takes(turn), 1).otherwise(extra)
     copies = (F.col("_whole") + extra).cast("bigint")
     kept = [c for c in docs.columns if c != out]

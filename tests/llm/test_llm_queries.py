@@ -80,10 +80,12 @@ def test_op4_contract(spark):
         taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
     weights = {s: queries.MIX_WEIGHTS[i % 3] for i, s in enumerate(sorted(sizes))}
     want = brute_targets(sizes, weights, 1.5 * sum(sizes.values()), 2.0)
-    smallest = {s: min(r["size"] for r in rows if r["source"] == s) for s in sizes}
+    # what is missing is less than the smallest row that could still be taken once more
+    spare = {s: min((r["size"] for r in rows if r["source"] == s and r["size"] and r["copies"] <= want[s] // sizes[s]), default=0)
+             for s in sizes}
     for r in rows:
         assert r["target"] == pytest.approx(want[r["source"]]) and r["source_size"] == sizes[r["source"]] and r["taken"] <= 2 * r["size"]
-    assert all(abs(taken[s] - want[s]) <= 0.05 * want[s] + smallest[s] for s in sizes)
+    assert all(-1 <= want[s] - taken[s] <= spare[s] + 1 for s in sizes)
 
 
 def test_op7_contract(spark, twin):
@@ -118,7 +120,7 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     for _, text, source in rows[4]:
         taken[source] = taken.get(source, 0) + len(text.split())
     want = brute_targets(sizes, {s: queries.MIX_WEIGHTS[i % 3] for i, s in enumerate(sorted(sizes))}, 1.5 * sum(sizes.values()), 2.0)
-    assert all(abs(taken.get(s, 0) - want[s]) <= 0.1 * want[s] + 100 for s in want)
+    assert all(want[s] - max(len(t.split()) for _, t, x in rows[3] if x == s) <= taken.get(s, 0) <= want[s] + 1 for s in want)
     last = kept[5].collect()
     assert sorted(r["row_number"] for r in last) == list(range(len(rows[4])))
     counts = np.bincount([r["shard"] for r in last], minlength=24)

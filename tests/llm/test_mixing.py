@@ -67,7 +67,7 @@ def test_edge_rows(spark):
 
 
 def test_word_count_is_ascii_white_space(spark):
-    texts = ["a\x0bb\x0cc", "a b", " ", "", None, "x\u2028y \x1f"]
+    texts = ["a\x0bb\x0cc", "a\u00a0b", " ", "", None, "x\u2028y \x1f"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(word_count(F.col("t")).alias("n"))
     assert [r["n"] for r in df.collect()] == [3, 1, 0, 0, 0, 2]
 

@@ -72,7 +72,7 @@ def test_nothing_to_learn_from(spark):
 def test_edges(spark, data):
     docs, labels, _ = data
     model = train(docs, labels.unionAll(labels).unionAll(spark.createDataFrame([(None, 1), (3, None)], labels.schema)))
-    rows = [(1, None, "en", 9.0), (1, "", "de", 9.0), (2, "grobian " * 50_000, None, None), (2, "grobian " * 50_000, None, None)]
+    rows = [(1, None, "en", 9.0), (1, "", "de", 9.0), (2, "grobian schuft lummel " * 20_000, None, None), (2, "grobian schuft lummel " * 20_000, None, None)]
     odd = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score double")
     got = score(odd, model)
     assert got.columns == odd.columns
