@@ -24,7 +24,7 @@ NEIGHBOURS = 40
 #: Sorted orders the graph starts from, bits of their codes, and rows that are compared in one.
 ORDERS, BITS, CHUNK = 6, 24, 2048
 #: Rounds of local joins at most; they end early when fewer than this share of neighbours changes.
-ROUNDS, STILL = 5, 0.01
+ROUNDS, STILL = 3, 0.01
 #: Members of a local join; a vector with more reverse neighbours has several.
 MEMBERS = 96
 #: Best partners a member takes away from one local join.
