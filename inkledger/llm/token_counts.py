@@ -9,15 +9,18 @@ once, and the node a pre-token ends at holds its count.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
+from inkledger.llm.words import as_bytes
+
 MARK = "▁"
 #: Nodes and remembered pre-tokens of a task's trie; beyond either it starts over.
-NODES, WORDS = 300_000, 200_000
+NODES, WORDS = 400_000, 250_000
 #: Longer pre-tokens are scored without entering the trie, which they would only fill.
 LONGEST = 64
 
@@ -27,8 +30,9 @@ class Vocabulary:
 
     def __init__(self, scores: dict[str, float], unknown: float | None = None):
         self.scores = scores
-        self.reach = max(map(len, scores), default=1)
         self.unknown = min(scores.values(), default=0.0) - 10.0 if unknown is None else unknown
+        # every end of a piece, with its score if it is one: looking backwards stops where no piece goes on
+        self.ends = {piece[i:]: None for piece in scores for i in range(1, len(piece))} | scores
 
     @staticmethod
     def read(path: str) -> Vocabulary:
@@ -42,54 +46,61 @@ class Vocabulary:
 
 
 class Trie:
-    """Forward scores of every prefix seen; a node is [children, score, pieces]."""
+    """Forward scores of every prefix seen.
+
+    A node is [score, pieces, children]; ``counts`` has the piece counts of whole pre-tokens.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.clear()
 
     def clear(self) -> None:
-        self.root, self.nodes, self.counts = [{}, 0.0, 0], 0, {}
+        self.root, self.nodes, self.counts = [0.0, 0, None], 0, {}
 
     def _forward(self, path: list, text: str, end: int) -> tuple[float, int]:
         """The best (score, pieces) of ``text[:end]`` from those of its shorter prefixes, ``path``."""
-        scores, last = self.vocabulary.scores, text[end - 1]
-        before, best, pieces = path[end - 1], None, 0
-        for start in range(max(0, end - self.vocabulary.reach), end):
-            value = scores.get(text[start:end])
+        ends, best, pieces = self.vocabulary.ends, None, 0
+        for start in range(end - 1, -1, -1):
+            value = ends.get(text[start:end], 0)
+            if value == 0 and text[start:end] not in ends:
+                break
             if value is not None:
-                value, count = path[start][1] + value, path[start][2] + 1
+                before = path[start]
+                value, count = before[0] + value, before[1] + 1
                 if best is None or value > best or value == best and count < pieces:
                     best, pieces = value, count
-        if last not in scores:
+        if text[end - 1] not in self.vocabulary.scores:
             # the bytes of a character that is no piece
-            size = len(last.encode("utf-8", "replace"))
-            value, count = before[1] + self.vocabulary.unknown * size, before[2] + size
+            size, before = len(text[end - 1].encode("utf-8", "replace")), path[end - 1]
+            value, count = before[0] + self.vocabulary.unknown * size, before[1] + size
             if best is None or value > best or value == best and count < pieces:
                 best, pieces = value, count
         return best, pieces
 
-    def count(self, word: str) -> int:
-        """The number of tokens of a pre-token (without its mark)."""
+    def count(self, word: bytes) -> int:
+        """The number of tokens of a pre-token (without its mark, in UTF-8)."""
         known = self.counts.get(word)
         if known is not None:
             return known
         if self.nodes > NODES or len(self.counts) > WORDS:
             self.clear()
-        text, path = MARK + word, [self.root]
+        text, path = MARK + word.decode("utf-8", "replace"), [self.root]
         if len(text) > LONGEST:
             for end in range(1, len(text) + 1):
-                path.append([None, *self._forward(path, text, end)])
-            return path[-1][2]
+                path.append(self._forward(path, text, end))
+            return path[-1][1]
         for end in range(1, len(text) + 1):
-            children = path[-1][0]
-            node = children.get(text[end - 1])
+            children, letter = path[-1][2], text[end - 1]
+            if children is None:
+                children = path[-1][2] = {}
+            node = children.get(letter)
             if node is None:
-                node = children[text[end - 1]] = [{}, *self._forward(path, text, end)]
+                node = children[letter] = [*self._forward(path, text, end), None]
                 self.nodes += 1
             path.append(node)
-        self.counts[word] = path[-1][2]
-        return path[-1][2]
+        count = self.counts[word] = path[-1][1]
+        return count
 
 
 def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str = "n_tokens",
@@ -106,14 +117,20 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", out:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(Vocabulary(scores))
-        for batch in batches:
-            tokens, words = [], []
-            for value in batch.column(text).to_pylist():
-                # the white space of the contract is ASCII only
-                parts = [] if value is None else [p.decode("utf-8", "replace") for p in value.encode("utf-8", "replace").split()]
-                tokens.append(sum(map(trie.count, parts)))
-                words.append(len(parts))
-            yield batch.append_column(out, pa.array(tokens, pa.int64())).append_column(distinct, pa.array(words, pa.int64()))
+        gc.disable()  # a trie has no cycles, and looking for some walks all of it again and again
+        try:
+            for batch in batches:
+                tokens, words = [], []
+                for value in as_bytes(batch.column(text)):
+                    parts, total = value.split(), 0
+                    for part in parts:
+                        total += trie.counts.get(part) or trie.count(part)
+                    tokens.append(total)
+                    words.append(len(parts))
+                yield (batch.append_column(out, pa.array(tokens, pa.int64()))
+                       .append_column(distinct, pa.array(words, pa.int64())))
+        finally:
+            gc.enable()
 
     schema = StructType([*docs.schema.fields, StructField(out, LongType()), StructField(distinct, LongType())])
     return docs.mapInArrow(count, schema)

@@ -32,7 +32,7 @@ def test_trie_equals_plain_program():
     vocabulary = Vocabulary(pieces)
     trie = Trie(vocabulary)
     words = ["".join(rng.choice(letters + "z漢") for _ in range(rng.randint(0, 90))) for _ in range(1500)]
-    assert [trie.count(w) for w in words] == [plain(vocabulary, w) for w in words]
+    assert [trie.count(w.encode()) for w in words] == [plain(vocabulary, w) for w in words]
 
 
 def test_prefixes_are_scored_once(monkeypatch):
@@ -40,7 +40,7 @@ def test_prefixes_are_scored_once(monkeypatch):
     forward = trie._forward
     monkeypatch.setattr(trie, "_forward", lambda path, text, end: scored.append(text[:end]) or forward(path, text, end))
     for word in ("aaab", "aaaa", "aa", "aaab"):
-        trie.count(word)
+        trie.count(word.encode())
     assert len(scored) == len(set(scored)) == 6
 
 
@@ -49,7 +49,7 @@ def test_a_small_trie_starts_over(monkeypatch):
     vocabulary = Vocabulary({MARK: -1.0, "a": -2.0, "ab": -2.5, "b": -2.0})
     trie, rng = Trie(vocabulary), random.Random(1)
     words = ["".join(rng.choice("ab") for _ in range(9)) for _ in range(200)]
-    assert [trie.count(w) for w in words] == [plain(vocabulary, w) for w in words] and trie.nodes < 40
+    assert [trie.count(w.encode()) for w in words] == [plain(vocabulary, w) for w in words] and trie.nodes < 40
 
 
 @needs_file
@@ -63,7 +63,7 @@ def test_library_agrees_on_best_scores(spark):
     trie = Trie(vocabulary)
     for word in ["the", "International", "thtionst", "Straße", "éçmentelle", "a" * 30, "queoneau", "the,the", "xyzzy"]:
         tokens = library.encode(MARK + word).tokens
-        ours = trie.count(word)
+        ours = trie.count(word.encode())
         assert ours <= len(tokens) and (sum(vocabulary.scores[t] for t in tokens) == pytest.approx(_score(vocabulary, word)))
 
 
