@@ -1,11 +1,10 @@
 """Ordered work within a key when one key may hold a large share of all rows.
 
-A key is hot when it has more than ``floor`` rows and more than one ``SHARE``-th of all
-rows.  Fewer than ``SHARE`` keys can be hot, whatever the data, which bounds everything
-collected or broadcast here: cuts (< SHARE rows of SLICES numbers) and slice facts
-(< SHARE * SLICES rows).  Rows of a hot key are cut into slices along the order, slices
-are worked on as separate groups, and what a slice needs from those before it is added
-afterwards.  Without hot keys the plan is the plain window.
+Every key's rows are worked on in slices along the order; a key with no more than ``floor``
+rows is one slice.  Larger keys are cut at quantiles of a sample of theirs, so a slice holds
+about 1/SLICES of the key.  What a slice needs from those before it is added afterwards.  The
+plan is the same whatever the data, and nothing runs while it is built: the keys that are cut
+are found, by counting, as a part of the query.
 """
 
 from __future__ import annotations
@@ -13,43 +12,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARE = 2000
-SLICES = 64
-SAMPLE = 10_000
+SLICES = 256
+SAMPLE = 20_000
+#: Rows of one key that a task may sort.
 FLOOR = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, floor: int = FLOOR, share: int = SHARE) -> DataFrame:
-    """The fewer than ``share`` keys with more than 1/share of all rows (and more than ``floor``), with ``_n``."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.filter((F.col("_n") > floor) & (F.col("_n") * share > total))
+def hot_keys(df: DataFrame, key: str, floor: int = FLOOR) -> DataFrame:
+    """The keys with more than ``floor`` rows, and their number ``_n``."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > floor)
 
 
-def slice_cuts(source: DataFrame, key: str, ordinal: Column, floor: int = FLOOR, share: int = SHARE,
-               slices: int = SLICES) -> DataFrame | None:
-    """Per hot key of ``source`` the ordinals that cut it into about equal slices; None without hot keys.
+def slice_cuts(source: DataFrame, key: str, ordinal: Column, floor: int = FLOOR, slices: int = SLICES) -> DataFrame:
+    """Per hot key of ``source`` the ordinals that cut it into about equal slices.
 
-    Runs at once: the plan that follows depends on the answer, and both its branches must
-    see the same cuts.  They are quantiles of a sample chosen by hash, about ``SAMPLE`` rows
-    per hot key; any cuts give the same results.
+    They are quantiles of a sample chosen by hash, about ``SAMPLE`` rows per hot key, so every
+    evaluation finds the same ones; any cuts give the same results.
     """
     rows = source.select(key, ordinal.cast("bigint").alias("_ordinal")).filter(F.col(key).isNotNull())
-    hot = F.broadcast(hot_keys(rows, key, floor, share))
-    sampled = (rows.join(hot, key)
+    sampled = (rows.join(hot_keys(rows, key, floor), key)
                .filter(F.pmod(F.xxhash64(key, "_ordinal"), F.floor(F.col("_n") / SAMPLE) + 1) == 0))
     fractions = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    cuts = sampled.groupBy(key).agg(F.percentile("_ordinal", fractions).alias("_cuts"))
-    found = cuts.collect()
-    return source.sparkSession.createDataFrame(found, cuts.schema) if found else None
+    return sampled.groupBy(key).agg(F.percentile("_ordinal", fractions).alias("_cuts"))
 
 
 def _with_slices(df: DataFrame, key: str, ordinal: Column, cuts: DataFrame) -> DataFrame:
-    """Add ``_slice``: null for ordinary keys, for hot keys a number that never falls along ``ordinal``."""
+    """Add ``_slice``: 0 for ordinary keys, for hot keys a number that never falls along ``ordinal``."""
     rows = df.withColumn("_ordinal", ordinal.cast("bigint"))
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_ordinal")))
-    sliced = (rows.join(F.broadcast(cuts), key, "left")
-              .withColumn("_slice", F.when(F.col("_cuts").isNotNull(), below))
+    sliced = (rows.join(cuts, key, "left")
+              .withColumn("_slice", F.when(F.col("_cuts").isNotNull(), below).otherwise(0))
               .drop("_cuts", "_ordinal"))
     # said outright: rows already partitioned by the key alone would count as good enough
     return sliced.repartition(key, "_slice")
@@ -74,34 +66,29 @@ def number_within(df: DataFrame, key: str, order: list[str], ordinal: Column, ou
     holds at least the rows of ``df`` (with ``key`` and the columns of ``ordinal``).
     """
     cuts = slice_cuts(df if source is None else source, key, ordinal, **limits)
-    if cuts is None:
-        place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-        return df.withColumn(out, place.cast("bigint"))
     sliced = _with_slices(df, key, ordinal, cuts)
     place = F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order))
-    sizes = (sliced.filter(F.col("_slice").isNotNull())
-             .groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n")))
+    # only later slices of hot keys have anything before them
+    sizes = sliced.join(cuts.select(key), key, "left_semi").groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(key, "_slice", F.sum("_n").over(before).alias("_before"))
     return (sliced.withColumn("_place", place.cast("bigint"))
-            .join(F.broadcast(offsets), [key, "_slice"], "left")
+            .join(offsets, [key, "_slice"], "left")
             .withColumn(out, F.col("_place") + F.coalesce("_before", F.lit(0)))
-            .drop("_slice", "_place", "_before"))
+            .drop("_slice", "_place", "_before").select(*df.columns, out))
 
 
 def previous_within(df: DataFrame, key: str, order: list[str], ordinal: Column, value: str, out: str,
                     source: DataFrame | None = None, **limits: int) -> DataFrame:
     """``lag(value)`` per key along ``order``; null on each key's first row.  ``value`` is never null."""
     cuts = slice_cuts(df if source is None else source, key, ordinal, **limits)
-    if cuts is None:
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
     sliced = _with_slices(df, key, ordinal, cuts)
     inside = F.lag(value).over(Window.partitionBy(key, "_slice").orderBy(*order))
-    ends = (sliced.filter(F.col("_slice").isNotNull())
+    ends = (sliced.join(cuts.select(key), key, "left_semi")
             .groupBy(key, "_slice").agg(F.max_by(value, F.struct(*order)).alias("_end")))
     along = Window.partitionBy(key).orderBy("_slice")
     carried = ends.select(key, "_slice", F.lag("_end").over(along).alias("_carried"))
     return (sliced.withColumn("_inside", inside)
-            .join(F.broadcast(carried), [key, "_slice"], "left")
+            .join(carried, [key, "_slice"], "left")
             .withColumn(out, F.coalesce("_inside", "_carried"))
-            .drop("_slice", "_inside", "_carried"))
+            .drop("_slice", "_inside", "_carried").select(*df.columns, out))
