@@ -1,6 +1,7 @@
 """WARC records in ZIP packages: written by tasks, read by ranges without unpacking.
 
-A package holds a stored (not deflated) WARC member and a stored index of its records.  The
+A package holds a stored (not deflated) WARC member, whose records are gzip members of their
+own, as WARC files keep them, and a stored index of where each record lies.  The
 reader parses the end of central directory, its ZIP64 form and the central directory, locates
 the members, and reads the index and then blocks of records by byte ranges.  Files are reached
 through Arrow's file systems, so a package may lie wherever all executors can reach it.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from inkledger.llm.common import staged
 
-DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: A package is closed at this many records or bytes and the next one begun, which bounds its index in memory.
 RECORDS, BYTES = 50_000, 512 << 20
 #: Records next to each other are read together up to this many bytes.
@@ -78,12 +79,13 @@ class PackageWriter:
         self.member = self.zip.open(zipfile.ZipInfo(DATA), "w", force_zip64=True)
         self.at, self.lines = 0, []
 
-    def add(self, page_id: int | None, url: str | None, record: bytes) -> None:
+    def add(self, page_id: int | None, record: bytes) -> None:
         if self.zip is None:
             self._open()
-        self.member.write(record)
-        self.lines.append(json.dumps({"page_id": page_id, "offset": self.at, "length": len(record)}))
-        self.at += len(record)
+        packed = gzip.compress(record, 5, mtime=0)
+        self.member.write(packed)
+        self.lines.append(json.dumps({"page_id": page_id, "offset": self.at, "length": len(packed)}))
+        self.at += len(packed)
         if len(self.lines) >= RECORDS or self.at >= BYTES:
             self.close()
 
@@ -119,7 +121,7 @@ def write_packages(pages: DataFrame, folder: str, key: str = "page_id", url: str
         for batch in batches:
             for page_id, address, data, origin in zip(*(c.to_pylist() for c in batch.columns)):
                 revisit = origin is not None and page_id != origin
-                writer.add(page_id, address, record_bytes(page_id, address, data, origin, revisit))
+                writer.add(page_id, record_bytes(page_id, address, data, origin, revisit))
         writer.close()
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in writer.paths], pa.string()),
                                           pa.array([n for _, n in writer.paths], pa.int64())], ["path", "records"])
@@ -229,7 +231,7 @@ def _blocks(path: str) -> Iterator[tuple[str, int, int]]:
 
 
 def parsed_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, body) of the WARC records in ``data``, which starts and ends between records."""
+    """(headers, body) of the WARC records in ``data``, plain or gzip, which starts and ends between records."""
     if data[:2] == b"\x1f\x8b":
         data = gzip.decompress(data)
     at = 0
