@@ -59,7 +59,8 @@ def repeated_runs(docs: DataFrame, window: int = 2, key: str = "doc_id", text: s
     named, _ = numbered(staged(hashed, "lines-hashed"), ["doc_id", "text_hash"], "n", "lines")
     prints = staged(_fingerprints(named.select("n", "hashes"), window), "lines-fingerprints")
     counts = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    known = prints.join(counts, "fp")
+    # written as joined: what follows then asks nothing of where a frequent line's rows lie, and the join can split them
+    known = staged(prints.join(counts, "fp"), "lines-known")
 
     few = known.filter(F.col("times") <= FEW)
     before = few.select("fp", F.col("n").alias("n0"), F.col("at").alias("at0"), F.col("around").alias("around0"))
