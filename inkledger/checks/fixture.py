@@ -8,18 +8,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkledger.model import JOB_TAG, LINE_TEXT, MONEY, QUANTITY, TRUTH_TESTED
+from inkledger.model import JOB_TAG, MONEY, QUANTITY
 from inkledger.operators.decide import dedupe_invoices, mark_duplicates, process_documents
-from inkledger.operators.extract import confidence_columns
+from inkledger.operators.extract import extract_flatten
 from inkledger.operators.hot import number_within
 from inkledger.operators.store import (
     append_bank_details, append_customers, assign_keys, build_invoices, project_tables, upsert_vendors,
 )
-from inkledger.session import shared_dir
+from inkledger.session import shared_dir, stored
 
 BUCKET = "results"
 
 
+def _long(n: int) -> str:
+    return '"' + "x" * n + '"'
+
+
+#: A document without fault: field and JSON text.
+SOUND = {
+    "company_name": '"Acme"', "company_address": '"1 Road"', "company_contact_information": '"555"', "bill_to": '"Bob"',
+    "client_email": '"b@example.org"', "invoice_date": '"2025-11-20"', "due_date": '"2025-12-20"', "po_number": '"PO-1"',
+    "subtotal": '"90.00"', "discount": '"0"', "tax": "10.5", "total_amount": '"100.50"', "payment_terms": '"NET-30"',
+    "payment_details": '{"payment_instructions":"wire"}',
+    "bank_details": '{"bank_name":"First","account_number":"1","routing_number":"2"}',
+    "invoice_items": '[{"description":"x","quantity":1,"unit_price":"90.00","amount":"90.00"}]',
+}
+#: (reason, changed fields) of each turn; turns with a name of their own change something else.
+FAULTS = [
+    ("document shape", {}), ("document shape", {"bank_details": '"text"'}), ("document shape", {"invoice_items": '{"a":1}'}),
+    ("document shape", {"po_number": "[1]"}), ("document shape", {"invoice_date": "20251120"}),
+    ("total_amount not a number", {"total_amount": '"N/A"'}), ("company_name missing", {"company_name": "null"}),
+    ("vendor_name too long", {"company_name": _long(256)}), ("vendor_phone too long", {"company_contact_information": _long(51)}),
+    ("payment_terms too long", {"payment_terms": _long(51)}), ("customer_name too long", {"bill_to": _long(256)}),
+    ("customer_email too long", {"client_email": _long(256)}), ("discount not a number", {"discount": '"ten"'}),
+    ("invoice_number missing", {}), ("invoice_number too long", {}), ("invoice_date missing or not a date", {"invoice_date": '"soon"'}),
+    ("due_date not a date", {"due_date": '"2025-13-01"'}), ("subtotal not storable", {"subtotal": '"1e11"'}), ("tax not storable", {"tax": '"x"'}),
+    ("total_amount not storable", {"total_amount": '"1e10"'}), ("po_number too long", {"po_number": _long(101)}),
+    ("confidence not storable", {}), ("s3_key too long", {}), ("s3_bucket too long", {}),
+    ("line description missing", {"invoice_items": '[{"quantity":1}]'}),
+    ("line number not storable", {"invoice_items": '[{"description":"x","quantity":"many"}]'}),
+    ("bank_name too long", {"bank_details": '{"bank_name":' + _long(256) + "}"}),
+    ("account_number too long", {"bank_details": '{"bank_name":"F","account_number":' + _long(101) + "}"}),
+    ("routing_number too long", {"bank_details": '{"bank_name":"F","routing_number":' + _long(101) + "}"}),
+    (None, {"bank_details": "null", "payment_details": "null", "discount": "true"}),
+]
+BROKEN = 0
+UNNUMBERED, LONG_NUMBER, UNSURE, LONG_KEY, LONG_BUCKET = (
+    [reason for reason, _ in FAULTS].index(r) for r in (
+        "invoice_number missing", "invoice_number too long", "confidence not storable", "s3_key too long", "s3_bucket too long"))
+
+
 def _k() -> Column:
     return F.col("k")
 
@@ -73,9 +111,7 @@ def _fields() -> dict[str, Column]:
     }
 
 
-def _customer_fields(with_customer: bool) -> dict[str, Column]:
-    if not with_customer:
-        return {"bill_to": F.lit(None).cast("string"), "client_email": F.lit(None).cast("string")}
+def _customer_fields() -> dict[str, Column]:
     return {"bill_to": F.col("c_name"),
             "client_email": F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@example.org"))}
 
@@ -109,7 +145,7 @@ def _items() -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders as JSON documents (``sources.extractions.DOCUMENT``)."""
-    f = {**_fields(), **_customer_fields(True)}
+    f = {**_fields(), **_customer_fields()}
     renamed = {"company_contact": "company_contact_information"}
     nested = ("payment_instructions", "bank_name", "account_number", "routing_number")
     flat = [f[n].alias(renamed.get(n, n)) for n in f if n not in nested]
@@ -122,21 +158,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         _k().alias("arrival"), F.lit(BUCKET).alias("s3_bucket"), result_key().alias("s3_key"), body.alias("raw"))
 
 
-def extracted(spark: SparkSession, sf_dir: str, with_customer: bool = False) -> DataFrame:
-    """The same documents already flat, without items: what ``extract_flatten`` would give."""
-    f = {**_fields(), **_customer_fields(with_customer)}
-    base = confidence_columns(orders(spark, sf_dir, with_customer).withColumn("fraction", confidence_fraction()))
-    rows = base.select(
-        _k().alias("arrival"), F.lit(BUCKET).alias("s3_bucket"), result_key().alias("s3_key"),
-        *[c.cast("string").alias(n) for n, c in f.items()],
-        F.array().cast(LINE_TEXT).alias("line_items"), "confidence", "confidence_score",
-        F.col("confidence_score").cast("double").cast("string").alias("confidence_text"))
-
-    def given(name: str) -> Column:
-        return (F.col(name).isNotNull() & (F.col(name) != "")).alias(name)
-
-    truth = F.struct(*[given(n) for n in TRUTH_TESTED])
-    return rows.withColumn("present", truth).withColumn("shape_errors", F.array().cast("array<string>"))
+def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents, flat."""
+    return extract_flatten(documents(spark, sf_dir))
 
 
 def keyed(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,17 +169,17 @@ def keyed(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_keys(df, F.col("arrival"), F.col("arrival") % n_sup, F.col("arrival"))
 
 
-def classified(spark: SparkSession, sf_dir: str, with_customer: bool = False) -> DataFrame:
-    done = process_documents(extracted(spark, sf_dir, with_customer))
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = process_documents(extracted(spark, sf_dir))
     return keyed(done.withColumn("processed_at", processed_at(F.col("arrival"))), spark, sf_dir)
 
 
-def accepted(spark: SparkSession, sf_dir: str, with_customer: bool = False) -> DataFrame:
-    return dedupe_invoices(classified(spark, sf_dir, with_customer))
+def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe_invoices(classified(spark, sf_dir))
 
 
 def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mark_duplicates(classified(spark, sf_dir))
+    return mark_duplicates(stored(classified(spark, sf_dir), "classified"))
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +197,7 @@ def vendor_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return append_customers(accepted(spark, sf_dir, True))
+    return append_customers(accepted(spark, sf_dir))
 
 
 def banks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +207,8 @@ def banks(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
 
 
-def order_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None, **limits: int) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None, few: bool = False,
+                **limits: int) -> DataFrame:
     """All order lines as line items, numbered per order along ``LINE_ORDER``.
 
     Lines stay rows: an order may have any number of them, so they are never collected
@@ -194,7 +219,8 @@ def order_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None,
     if only is not None:
         lines = every.join(only.select("invoice_id"), "invoice_id", "left_semi")
     ordinal = F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_partkey")
-    numbered = number_within(lines, "invoice_id", LINE_ORDER, ordinal, "line_number", source=every, **limits)
+    # with few orders wanted, hot ones are looked for among their lines; else among all, which spares a join
+    numbered = number_within(lines, "invoice_id", LINE_ORDER, ordinal, "line_number", source=lines if few else every, **limits)
     parts = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     quantity = F.col("l_quantity").cast("bigint")
@@ -208,7 +234,7 @@ def order_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None,
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The five tables as a store would hold them: accepted documents and lines written once."""
     work = shared_dir(spark, "tables")
-    accepted(spark, sf_dir, True).write.parquet(f"{work}/accepted")
+    accepted(spark, sf_dir).write.parquet(f"{work}/accepted")
     facts = spark.read.parquet(f"{work}/accepted")
     order_lines(spark, sf_dir, facts).write.parquet(f"{work}/lines")
     tables = project_tables(facts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from inkledger.checks.fixture import FAULTS
+
 # One row per order: the document's texts.
 DOCS = """
 src AS (
@@ -508,6 +510,18 @@ def oracles() -> dict[str, str]:
         SELECT arrival, '$' || ltrim(reverse(regexp_replace(reverse(CAST(c // 100 AS VARCHAR)), '(\d{3})', '\1,', 'g')), ',')
           || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS shown
         FROM (SELECT o_orderkey AS arrival, CAST(o_orderkey AS HUGEINT) * 123456789012 + 123456789012345678907 AS c FROM orders)"""
+    turn = f"o_orderkey % {len(FAULTS) + 1}"
+    reasons = " ".join(f"WHEN {i} THEN '{reason}'" for i, (reason, _) in enumerate(FAULTS) if reason)
+    # what the status rules say of a document is independent of whether it can be stored
+    no_total = [i for i, (reason, _) in enumerate(FAULTS) if reason == "total_amount not a number"] + [0]
+    invalid = [i for i, (reason, changes) in enumerate(FAULTS)
+               if reason in ("invoice_number missing", "company_name missing")]
+    high = [i for i, (reason, _) in enumerate(FAULTS) if reason == "total_amount not storable"]
+    sql["outcome_reasons"] = f"""
+        SELECT o_orderkey AS arrival, CASE {turn} {reasons} END AS error,
+          CASE WHEN {turn} IN ({", ".join(map(str, no_total))}) THEN NULL WHEN {turn} IN ({", ".join(map(str, invalid))}) THEN 'failed'
+            WHEN {turn} IN ({", ".join(map(str, high))}) THEN 'pending_review' ELSE 'approved' END AS status FROM orders"""
+    sql["stream_answers"] = sql["approval_responses"]
     sql["audit_broken"] = _broken()
     sql["tables_round_trip"] = f"""WITH {LINES}
         SELECT 'vendors' AS table_name, count(DISTINCT vendor_id) AS n, CAST(0 AS {WIDE}) AS total FROM accepted

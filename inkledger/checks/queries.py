@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkledger import model as M
@@ -18,14 +18,14 @@ from inkledger.operators.decide import (
 )
 from inkledger.operators.extract import cast_invoice, extract_flatten
 from inkledger.plans import dashboard, detail
-from inkledger.session import shared_dir
+from inkledger.session import shared_dir, stored
 from inkledger.sources import generator
 from inkledger.sources.extractions import (
     filter_result_files, intake_manifest, skipped_files, stream_extractions,
 )
 from inkledger.sources.summary_csv import read_summary_csv, write_summary_csv
 from inkledger.sources.tables import read_tables, union_aligned, write_tables
-from inkledger.streaming.approvals import ACTION_LOG, current_invoices, start_approvals
+from inkledger.streaming.approvals import ACTION_LOG, current_invoices, read_answers, start_answers, start_approvals
 from inkledger.streaming.dashboard import read_dashboard, start_dashboard, status_totals
 from inkledger.streaming.ingest import load_documents, prepare, read_accepted, read_outcomes, start_ingest, store_batch
 
@@ -107,6 +107,34 @@ def decide_status_(spark, d):
     return decided.select("arrival", "status")
 
 
+def _faulty(k: Column) -> Column:
+    """The document of each order, with the fault of its turn, as JSON text."""
+    turn, inference = F.pmod(k, F.lit(len(X.FAULTS) + 1)), []
+    for name, plain in X.SOUND.items():
+        literal = F.lit(plain)
+        for i, (_, changes) in enumerate(X.FAULTS):
+            if name in changes:
+                literal = F.when(turn == i, F.lit(changes[name])).otherwise(literal)
+        inference.append(F.concat(F.lit(f'"{name}":'), literal))
+    number = F.concat(F.lit('"invoice_number":'), F.when(turn == X.UNNUMBERED, "null").when(
+        turn == X.LONG_NUMBER, F.concat(F.lit('"'), F.rpad(k.cast("string"), 101, "n"), F.lit('"'))).otherwise(
+        F.concat(F.lit('"N-'), k, F.lit('"'))))
+    body = F.concat(F.lit('{"inference_result":{'), F.concat_ws(",", number, *inference), F.lit('},"matched_blueprint":{"confidence":'),
+                    F.when(turn == X.UNSURE, "12").otherwise("0.9"), F.lit("}}"))
+    return F.when(turn == X.BROKEN, "{").otherwise(body)
+
+
+@query
+def outcome_reasons(spark, d):
+    """Documents with every fault in turn, from JSON to the reason why they are not stored."""
+    k = F.col("o_orderkey")
+    key = F.when(F.pmod(k, F.lit(len(X.FAULTS) + 1)) == X.LONG_KEY, F.rpad(F.lit("/j/custom_output/"), 520, "p")).otherwise(F.lit("/j/0/custom_output/0/"))
+    docs = X.load(spark, d, "orders").select(
+        k.alias("arrival"), F.when(F.pmod(k, F.lit(len(X.FAULTS) + 1)) == X.LONG_BUCKET, F.rpad(F.lit("b"), 256, "b")).otherwise("b").alias("s3_bucket"),
+        F.concat(key, F.lit("result.json")).alias("s3_key"), _faulty(k).alias("raw"))
+    return process_documents(extract_flatten(docs)).select("arrival", "error", "status")
+
+
 @query
 def outcome_split(spark, d):
     return process_results(X.marked(spark, d), F.col("invoice_id"))
@@ -115,9 +143,9 @@ def outcome_split(spark, d):
 @query
 def split_outcomes_(spark, d):
     """Errors with their message, and the numbers of what is stored."""
-    stored, errors = split_outcomes(X.marked(spark, d))
+    kept, errors = split_outcomes(X.marked(spark, d))
     return errors.select("arrival", "s3_key", F.lit(None).cast("string").alias("invoice_number"), "error").unionAll(
-        stored.select("arrival", "s3_key", "invoice_number", F.lit(None).cast("string")))
+        kept.select("arrival", "s3_key", "invoice_number", F.lit(None).cast("string")))
 
 
 @query
@@ -130,8 +158,8 @@ def long_names(spark, d):
         "company_name": padded(F.col("company_name"), M.MAX_LENGTH["vendors"]["vendor_name"])})
     flat = flat.withColumn("present", F.col("present").withField("invoice_number", F.lit(True)))
     facts = store.assign_keys(process_documents(flat).withColumn("processed_at", X.processed_at(F.col("arrival"))))
-    stored = first_of(facts)
-    tables = {"invoices": store.build_invoices(stored), "vendors": store.upsert_vendors(stored)}
+    firsts = stored(first_of(facts), "firsts")
+    tables = {"invoices": store.build_invoices(firsts), "vendors": store.upsert_vendors(firsts)}
     found = audit.audit_keys(tables).groupBy().agg(F.sum("violations").alias("n"))
     return (tables["invoices"].agg(F.count(F.lit(1)).alias("n")).select(F.lit("invoices").alias("what"), "n")
             .unionAll(tables["vendors"].agg(F.count(F.lit(1)).alias("n")).select(F.lit("vendors"), "n"))
@@ -288,21 +316,21 @@ def latest_invoice_display(spark, d):
 
 @query
 def latest_invoice_lines(spark, d):
-    stored = X.invoices(spark, d)
-    newest = dashboard.latest(stored, 1)
-    return detail.latest_lines_display(stored, X.order_lines(spark, d, newest))
+    newest = stored(dashboard.latest(X.invoices(spark, d), 1), "latest")
+    return detail.latest_lines_display(newest, X.order_lines(spark, d, newest, few=True))
 
 
 @query
 def latest_line_total(spark, d):
-    stored = X.invoices(spark, d)
-    newest = dashboard.latest(stored, 1)
-    return detail.latest_line_total(stored, X.order_lines(spark, d, newest))
+    newest = stored(dashboard.latest(X.invoices(spark, d), 1), "latest")
+    return detail.latest_line_total(newest, X.order_lines(spark, d, newest, few=True))
 
 
 @query
 def latest_invoice_bank(spark, d):
-    return detail.latest_bank(X.invoices(spark, d), X.banks(spark, d))
+    facts = stored(X.accepted(spark, d), "accepted")
+    banks = store.append_bank_details(facts).withColumn("bank_id", F.substring("account_number", 6, 20).cast("bigint"))
+    return detail.latest_bank(store.build_invoices(facts), banks)
 
 
 @query
@@ -316,11 +344,11 @@ def reconcile_totals(spark, d):
 @query
 def recent_invoices_partial(spark, d):
     """The recent ten, the listing and the latest detail where two of three vendors are not in the table."""
-    stored, some = X.invoices(spark, d), X.vendor_names(spark, d).filter(F.col("vendor_id") % 3 == 0)
+    rows, some = stored(X.invoices(spark, d), "invoices"), X.vendor_names(spark, d).filter(F.col("vendor_id") % 3 == 0)
     told = F.lit(None).cast("decimal(5,2)")
-    return (dashboard.recent_invoices(stored, some).select(F.lit("recent").alias("part"), "invoice_number", "vendor_name", told.alias("score"))
-            .unionAll(detail.invoice_listing(stored, some).select(F.lit("listing"), "invoice_number", "vendor_name", told))
-            .unionAll(detail.latest_invoice_detail(stored, some).select(F.lit("latest"), "invoice_number", "vendor_name", "confidence_score")))
+    return (dashboard.recent_invoices(rows, some).select(F.lit("recent").alias("part"), "invoice_number", "vendor_name", told.alias("score"))
+            .unionAll(detail.invoice_listing(rows, some).select(F.lit("listing"), "invoice_number", "vendor_name", told))
+            .unionAll(detail.latest_invoice_detail(rows, some).select(F.lit("latest"), "invoice_number", "vendor_name", "confidence_score")))
 
 
 # --- Workflow ----------------------------------------------------------------
@@ -370,7 +398,7 @@ def apply_approvals_vendors(spark, d):
 def constraint_audit(spark, d):
     """The stored tables are clean; the raw documents are audited beside them."""
     clean = audit.constraint_audit(X.stored_tables(spark, d)).select(F.lit("stored").alias("scope"), "*")
-    documents = X.extracted(spark, d)
+    documents = stored(X.extracted(spark, d), "extracted")
     raw = cast_invoice(documents).select(
         "invoice_number", F.col("invoice_day").alias("invoice_date"), F.col("total_value").alias("total_amount"))
     vendors = documents.select(F.col("company_name").alias("vendor_name"))
@@ -416,8 +444,8 @@ def tables_round_trip(spark, d):
 def dashboard_output(spark, d):
     """The written dashboard, read back: rows of each result and its largest sum."""
     work = shared_dir(spark, "results")
-    stored = X.invoices(spark, d)
-    dashboard.write_dashboard({"invoices": stored, "vendors": X.vendor_names(spark, d)}, work)
+    rows = stored(X.invoices(spark, d), "invoices")
+    dashboard.write_dashboard({"invoices": rows, "vendors": X.vendor_names(spark, d)}, work)
     parts = [spark.read.schema("total_amount decimal(38,2)").json(f"{work}/{name}").agg(
         F.count(F.lit(1)).alias("n"), F.max("total_amount").alias("largest")).select(F.lit(name).alias("result"), "n", "largest")
         for name in ("summary", "monthly", "status", "vendors", "recent")]
@@ -486,6 +514,18 @@ def stream_approvals(spark, d):
             .agg(F.count(F.lit(1)).alias("invoice_count")))
 
 
+@query
+def stream_answers(spark, d):
+    """The requests answered as a stream, in two deliveries."""
+    work, log = shared_dir(spark, "answers"), X.actions(spark, d)
+    invoices = stored(X.invoices(spark, d), "invoices")
+    for i in range(2):
+        log.filter(F.col("action_id") % 2 == i).write.mode("append").parquet(f"{work}/requests")
+        stream = spark.readStream.schema(ACTION_LOG).parquet(f"{work}/requests")
+        _run(start_answers(stream, lambda: (invoices, X.vendor_names(spark, d)), f"{work}/answers", f"{work}/checkpoint"))
+    return read_answers(spark, f"{work}/answers")
+
+
 @query
 def stream_dashboard(spark, d):
     out = _ingested(spark, d)

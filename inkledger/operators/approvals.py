@@ -83,12 +83,14 @@ def approval_responses(actions: DataFrame, invoices: DataFrame, vendors: DataFra
 def last_actions(actions: DataFrame, invoices: DataFrame) -> DataFrame:
     """The last approve/reject per invoice id, aggregated before it meets the invoices.
 
-    If the last one came before the invoice was stored, so did all others.
+    If the last one came before the invoice was stored, so did all others.  The last time per
+    invoice is found by hash aggregation; only the actions at that time are looked at further.
     """
-    return (actions.filter(F.col("action").isin(*ACTIONS))
-            .select(_target(invoices).alias("invoice_id"), "action", "action_time", "action_id")
-            .filter(F.col("invoice_id").isNotNull())
-            .groupBy("invoice_id")
+    asked = (actions.filter(F.col("action").isin(*ACTIONS))
+             .select(_target(invoices).alias("invoice_id"), "action", "action_time", "action_id")
+             .filter(F.col("invoice_id").isNotNull()))
+    newest = asked.groupBy("invoice_id").agg(F.max("action_time").alias("action_time"))
+    return (asked.join(newest, ["invoice_id", "action_time"]).groupBy("invoice_id")
             .agg(F.max_by(F.struct("action", "action_time"), F.struct("action_time", "action_id")).alias("_last")))
 
 

@@ -125,7 +125,7 @@ def mark_duplicates(classified: DataFrame, identity: tuple[str, ...] = ("arrival
     """All documents with ``outcome``; later holders of a stored number get an error too.
 
     Only key columns go through the uniqueness step; the join back is on the delivery's
-    identity, which no two rows share.
+    identity, which no two rows share.  ``classified`` is read twice: pass a stored table.
     """
     winners = (dedupe_invoices(classified.select("invoice_number", *identity, "error"), identity)
                .select(*identity, F.lit(True).alias("_first")))

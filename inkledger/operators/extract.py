@@ -146,12 +146,6 @@ def _shape_errors(value: dict[str, str], strict: bool) -> str:
             f"THEN concat({listed(misfits)}, {listed(fitting)}) ELSE {listed(fitting)} END")
 
 
-def confidence_columns(df: DataFrame, fraction: str = "fraction") -> DataFrame:
-    """``confidence`` in percent, unrounded, and ``confidence_score`` at two decimals."""
-    scored = df.withColumn("confidence", F.expr(f"coalesce({fraction}, 0D) * 100"))
-    return scored.withColumn("confidence_score", F.expr("try_cast(confidence AS decimal(5,2))"))
-
-
 def cast_invoice(extracted: DataFrame) -> DataFrame:
     """Add typed values beside the texts; a text that cannot be stored has a null value.
 

@@ -34,12 +34,18 @@ def _stored(name: str, table: str, column: str) -> Column:
 def vendor_state(accepted: DataFrame) -> DataFrame:
     """Per vendor name what its first document fixed and what its last one set.
 
-    Both carry their place in the order, so states of disjoint sets of documents merge.
-    Aggregated before the shuffle, so a vendor with most of the documents is no hot spot.
+    Both carry their place in the order, so states of disjoint sets of documents merge.  The
+    first and last arrivals are numbers and aggregated by hash before the shuffle; only the
+    documents at those arrivals, a few per vendor, are then fetched with their texts.
     """
+    ends = accepted.groupBy("company_name").agg(F.min("arrival").alias("low"), F.max("arrival").alias("high"))
+    ends = ends.select("company_name", F.explode(F.array_distinct(F.array("low", "high"))).alias("arrival"))
+    # both keys: a vendor with most of the documents is spread by their arrivals
+    rows = accepted.select("company_name", "arrival", "s3_key", "vendor_id", "payment_terms", "processed_at",
+                           "company_address", "company_contact").join(ends, ["company_name", "arrival"])
     first = F.min(F.struct("arrival", "s3_key", "vendor_id", "payment_terms", "processed_at"))
     last = F.max(F.struct("arrival", "s3_key", "company_address", "company_contact"))
-    return accepted.groupBy("company_name").agg(first.alias("first"), last.alias("last"))
+    return rows.groupBy("company_name").agg(first.alias("first"), last.alias("last"))
 
 
 def merge_vendor_states(*states: DataFrame) -> DataFrame:
