@@ -132,3 +132,19 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_pipeline_takes_odd_rows(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, and columns named like the stages' own."""
+    long = " ".join(f"w{i}" for i in range(40_000))
+    rows = [(None, None, None, None, None, 1, "a", 2.0), (1, "", "en", "s", 0, 1, "a", 2.0), (2, long, "en", "s", 9, None, None, None),
+            (2, long, "en", "s", 9, None, None, None), (3, long + " more", None, None, None, 1, "a", 2.0), (4, " \n\t", "x", "", -1, 1, "a", 2.0),
+            (5, "one two three four five six", "en", "t", 3, 1, "a", 2.0), (5, "quite another text under the same id", "en", "t", 3, 1, "a", 2.0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, shard int, rep string, score double")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.staged(stage(spark, docs, SF), f"odd-{name}")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard", "rep", "score"]
+    ids = [r["doc_id"] for r in docs.collect()]
+    assert 3 not in ids and set(ids) <= {None, 1, 2, 4, 5} and ids.count(2) in (1, 2)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert sorted(r["row_number"] for r in last.collect()) == list(range(len(ids)))
