@@ -21,7 +21,8 @@ from xxhash import xxh3_64_intdigest
 
 from inkledger.llm.words import as_bytes
 
-BITS = 20
+#: Features are hashed to so many bits; a few million of them hardly ever meet.
+BITS = 31
 #: Documented bounds of the training sample: confirmed toxic rows and unlabelled rows.
 MAX_POSITIVE = 4_000
 MAX_UNLABELLED = 12_000
@@ -43,15 +44,15 @@ def text_features(text: bytes) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """``weights`` of the hashed features (most are zero) and ``bias``."""
+    """``weights`` by hashed feature, of the few that have one, and ``bias``."""
 
-    weights: np.ndarray
+    weights: dict[int, float]
     bias: float
 
     def probabilities(self, texts: list[bytes], known: dict[bytes, float] | None = None) -> np.ndarray:
         """0 to 1 for each text.  A text's logit is the bias plus the weights of its distinct features."""
         known = {} if known is None else known
-        live, out = self.weights != 0, np.full(len(texts), self.bias)
+        weights, out = self.weights, np.full(len(texts), self.bias)
         for i, text in enumerate(texts):
             if len(known) > REMEMBERED:
                 known.clear()
@@ -59,45 +60,51 @@ class Model:
             for word in set(text.lower().split()):
                 hits = known.get(word)
                 if hits is None:
-                    hits = known[word] = tuple(f for f in word_features(word) if live[f])
+                    hits = known[word] = tuple(f for f in word_features(word) if f in weights)
                 if hits:
                     found.update(hits)
             if found:
-                out[i] += self.weights[list(found)].sum()
+                out[i] += sum(weights[f] for f in sorted(found))
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def _columns(rows: list[np.ndarray], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the features that ``index`` (feature -> column or -1) keeps."""
-    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    column = index[np.concatenate(rows)] if len(at) else np.zeros(0, np.int64)
-    return at[column >= 0], column[column >= 0]
+def _columns(rows: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the features that ``chosen`` (sorted) has."""
+    at, features = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
+    if not len(chosen):
+        return at[:0], at[:0]
+    column = np.minimum(np.searchsorted(chosen, features), len(chosen) - 1)
+    hit = chosen[column] == features
+    return at[hit], column[hit]
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.05,
-        decay: float = 2e-4, min_z: float = 4.0) -> Model:
+def _different(rows: list[np.ndarray]) -> list[np.ndarray]:
+    return list({r.tobytes(): r for r in rows}.values())
+
+
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 1500, rate: float = 0.03,
+        decay: float = 2e-5, min_z: float = 5.0, support: float = 0.02) -> Model:
     """Minimise prior * R+(positive) + max(0, R-(unlabelled) - prior * R-(positive)) with the logistic loss.
 
     Where the bracket is negative its gradient is followed upwards, as the non-negative
     estimator prescribes, so that unlabelled toxic rows are not learned by heart as clean.
     Features enter if their share among positives and among unlabelled rows differ by
-    ``min_z`` standard errors, and at least three positive rows have them or their lack.
+    ``min_z`` standard errors, and if three positive rows and ``support`` of them have them, or as
+    large a share of the unlabelled ones.  Rows with equal features count once.
     Without positives or unlabelled rows nothing can be learned: the model is its prior.
     """
-    size = 1 << BITS
+    positive, unlabelled = _different(positive), _different(unlabelled)
     prior = min(max(prior, 1e-4), 0.9)
-    weights = np.zeros(size, np.float32)
     if not positive or not unlabelled:
-        return Model(weights, float(np.log(prior / (1 - prior))))
+        return Model({}, float(np.log(prior / (1 - prior))))
     p_n, u_n = len(positive), len(unlabelled)
-    p_count = np.bincount(np.concatenate(positive), minlength=size).astype(float)
-    u_count = np.bincount(np.concatenate(unlabelled), minlength=size).astype(float)
+    features, which = np.unique(np.concatenate(positive + unlabelled), return_inverse=True)
+    split = sum(map(len, positive))
+    p_count, u_count = (np.bincount(x, minlength=len(features)) for x in (which[:split], which[split:]))
     pooled = (p_count + u_count + 1) / (p_n + u_n + 2)
     z = (p_count / p_n - u_count / u_n) / np.sqrt(pooled * (1 - np.minimum(pooled, 0.9999)) * (1 / p_n + 1 / u_n))
-    chosen = np.flatnonzero((np.abs(z) >= min_z) & (np.maximum(p_count, u_count * p_n / u_n) >= 3))
-    index = np.full(size, -1)
-    index[chosen] = np.arange(len(chosen))
-    (p_row, p_col), (u_row, u_col) = _columns(positive, index), _columns(unlabelled, index)
+    chosen = features[(np.abs(z) >= min_z) & (np.maximum(p_count, u_count * p_n / u_n) >= max(3, support * p_n))]
+    (p_row, p_col), (u_row, u_col) = _columns(positive, chosen), _columns(unlabelled, chosen)
 
     w, b = np.zeros(len(chosen)), np.log(prior / (1 - prior))
     first, second = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
@@ -118,8 +125,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
         move = rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    weights[chosen] = w
-    return Model(weights, float(b))
+    return Model(dict(zip(chosen.tolist(), w.tolist())), float(b))
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,29 +168,16 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return fit(positive, [features[i] for i in order_of if not flags[i]], prior)
 
 
-def _sparse(model: Model) -> tuple[np.ndarray, np.ndarray, float]:
-    at = np.flatnonzero(model.weights)
-    return at, model.weights[at], model.bias
-
-
-def _dense(at: np.ndarray, values: np.ndarray, bias: float) -> Model:
-    weights = np.zeros(1 << BITS, np.float32)
-    weights[at] = values
-    return Model(weights, bias)
-
-
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with ``out``, 0 to 1, from the whole text alone; null and empty texts get the bias' probability.
 
     A column of ``docs`` named ``out`` is replaced; all others pass through.
     """
     docs = docs.drop(out)
-    at, values, bias = _sparse(model)
-
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted, known = _dense(at, values, bias), {}
+        known = {}
         for batch in batches:
-            found = fitted.probabilities(as_bytes(batch.column(text)), known)
+            found = model.probabilities(as_bytes(batch.column(text)), known)
             yield batch.append_column(out, pa.array(found, pa.float64()))
 
     return docs.mapInArrow(scored, StructType([*docs.schema.fields, StructField(out, DoubleType())]))
@@ -192,12 +185,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows whose score is below ``threshold``, unchanged; one pass, no shuffle."""
-    at, values, bias = _sparse(model)
-
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted, known = _dense(at, values, bias), {}
+        known = {}
         for batch in batches:
-            found = fitted.probabilities(as_bytes(batch.column(text)), known)
+            found = model.probabilities(as_bytes(batch.column(text)), known)
             yield batch.filter(pc.less(pa.array(found), threshold))
 
     return docs.mapInArrow(kept, docs.schema)
