@@ -1,8 +1,8 @@
 """WARC records in ZIP packages: written by tasks, read by ranges without unpacking.
 
-A package holds a stored (not deflated) WARC member, whose records are gzip members of their
-own, as WARC files keep them, and a stored index of where each record lies.  The
-reader parses the end of central directory, its ZIP64 form and the central directory, locates
+A package holds a stored (not deflated) WARC member, whose records are Zstandard frames of
+their own (plain and gzip members are read as well), and a stored index of where each record
+lies.  The reader parses the end of central directory, its ZIP64 form and the central directory, locates
 the members, and reads the index and then blocks of records by byte ranges.  Files are reached
 through Arrow's file systems, so a package may lie wherever all executors can reach it.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import json
 import struct
 import uuid
@@ -20,13 +21,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkledger.llm.common import staged
 
-DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+DATA, INDEX = "archive/data.warc.zst", "indexes/index.cdxj"
 #: A package is closed at this many records or bytes and the next one begun, which bounds its index in memory.
 RECORDS, BYTES = 50_000, 512 << 20
 #: Records next to each other are read together up to this many bytes.
@@ -68,7 +70,7 @@ class PackageWriter:
     """Appends records to packages below ``folder``; ``paths`` are the closed ones."""
 
     def __init__(self, folder: str):
-        self.folder, self.paths, self.zip = folder, [], None
+        self.folder, self.paths, self.zip, self.packer = folder, [], None, zstandard.ZstdCompressor(level=3)
         opened(folder)[0].create_dir(opened(folder)[1], recursive=True)
 
     def _open(self) -> None:
@@ -82,7 +84,7 @@ class PackageWriter:
     def add(self, page_id: int | None, record: bytes) -> None:
         if self.zip is None:
             self._open()
-        packed = gzip.compress(record, 5, mtime=0)
+        packed = self.packer.compress(record)
         self.member.write(packed)
         self.lines.append(json.dumps({"page_id": page_id, "offset": self.at, "length": len(packed)}))
         self.at += len(packed)
@@ -110,11 +112,12 @@ def write_packages(pages: DataFrame, folder: str, key: str = "page_id", url: str
     """
     payload = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(key).cast("bigint").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload"))
-    # only payloads that occur twice are looked up; copies are counted before anything is shuffled
+    rows = rows.withColumn("digest", F.unhex(F.sha1("payload")))
+    # only payloads that occur twice are looked up, written first so that few of them are sent to the rows
     groups = (rows.filter(F.length("payload") >= min_bytes).groupBy("digest")
               .agg(F.max("page_id").alias("origin"), F.count(F.lit(1)).alias("_n")).filter("_n > 1 AND origin IS NOT NULL"))
-    marked = rows.join(groups.select("digest", "origin"), "digest", "left").select("page_id", "url", "payload", "origin")
+    marked = (rows.join(staged(groups.select("digest", "origin"), "warc-groups"), "digest", "left")
+              .select("page_id", "url", "payload", "origin"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = PackageWriter(folder)
@@ -206,7 +209,7 @@ def _blocks(path: str) -> Iterator[tuple[str, int, int]]:
     where, name = opened(path)
     with where.open_input_file(name) as file:
         stored = {m.name: m for m in members(file) if m.method == 0}
-        archives = [m for m in stored.values() if m.name.endswith((".warc", ".warc.gz"))]
+        archives = [m for m in stored.values() if m.name.endswith((".warc", ".warc.gz", ".warc.zst"))]
         index = next((m for m in stored.values() if m.name.startswith("indexes/")), None)
         if index is None or len(archives) != 1:
             yield from ((path, m.start, m.size) for m in archives)
@@ -231,9 +234,11 @@ def _blocks(path: str) -> Iterator[tuple[str, int, int]]:
 
 
 def parsed_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, body) of the WARC records in ``data``, plain or gzip, which starts and ends between records."""
+    """(headers, body) of the WARC records in ``data``, plain or packed, which starts and ends between records."""
     if data[:2] == b"\x1f\x8b":
         data = gzip.decompress(data)
+    elif data[:4] == b"\x28\xb5\x2f\xfd":
+        data = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read()
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)

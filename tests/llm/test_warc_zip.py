@@ -104,6 +104,17 @@ def test_wide_sizes_and_offsets():
     assert members(io.BytesIO(local + data + entry + wide + locator + end)) == [Member("archive/data.warc", 0, len(local), 5)]
 
 
+def test_plain_and_packed_records_are_read():
+    import gzip
+
+    import zstandard
+
+    records = [warc_zip.record_bytes(i, "u", b"payload", None, False) for i in range(3)]
+    packer = zstandard.ZstdCompressor()
+    forms = [b"".join(records), b"".join(gzip.compress(r) for r in records), b"".join(packer.compress(r) for r in records)]
+    assert [[body for _, body in parsed_records(f)] for f in forms] == [[body for _, body in parsed_records(forms[0])]] * 3
+
+
 def test_cut_packages_and_wrong_digests_are_errors(spark, tmp_path):
     with pytest.raises(ValueError, match="cut short"):
         members(io.BytesIO(b"PK\x03\x04" + b"x" * 100))
