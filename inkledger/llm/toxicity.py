@@ -25,7 +25,7 @@ from inkledger.llm.words import as_bytes
 BITS = 31
 #: Documented bounds of the training sample: confirmed toxic rows and unlabelled rows.
 MAX_POSITIVE = 4_000
-MAX_UNLABELLED = 12_000
+MAX_UNLABELLED = 8_000
 #: Words whose weight a task remembers before it starts over.
 REMEMBERED = 500_000
 
@@ -70,12 +70,19 @@ class Model:
 
 def _columns(rows: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of the features that ``chosen`` (sorted) has."""
-    at, features = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
-    if not len(chosen):
-        return at[:0], at[:0]
-    column = np.minimum(np.searchsorted(chosen, features), len(chosen) - 1)
-    hit = chosen[column] == features
-    return at[hit], column[hit]
+    at, columns = [], []
+    for i, features in enumerate(rows):
+        column = np.searchsorted(chosen, features)
+        hit = column[(column < len(chosen)) & (chosen[np.minimum(column, len(chosen) - 1)] == features)] if len(chosen) else column[:0]
+        at.append(np.full(len(hit), i))
+        columns.append(hit)
+    return np.concatenate(at), np.concatenate(columns)
+
+
+def _counts(features: np.ndarray, has: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """How often each of ``features`` occurs, 0 where ``has`` (sorted, with counts) has it not."""
+    at = np.minimum(np.searchsorted(has, features), len(has) - 1)
+    return np.where(has[at] == features, often[at], 0)
 
 
 def _different(rows: list[np.ndarray]) -> list[np.ndarray]:
@@ -98,12 +105,14 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     if not positive or not unlabelled:
         return Model({}, float(np.log(prior / (1 - prior))))
     p_n, u_n = len(positive), len(unlabelled)
-    features, which = np.unique(np.concatenate(positive + unlabelled), return_inverse=True)
-    split = sum(map(len, positive))
-    p_count, u_count = (np.bincount(x, minlength=len(features)) for x in (which[:split], which[split:]))
+    least = max(3.0, support * p_n)
+    # each side on its own: only features frequent enough on one of them are looked up on the other
+    (p_has, p_often), (u_has, u_often) = (np.unique(np.concatenate(x), return_counts=True) for x in (positive, unlabelled))
+    features = np.union1d(p_has[p_often >= least], u_has[u_often * p_n / u_n >= least])
+    p_count, u_count = _counts(features, p_has, p_often), _counts(features, u_has, u_often)
     pooled = (p_count + u_count + 1) / (p_n + u_n + 2)
     z = (p_count / p_n - u_count / u_n) / np.sqrt(pooled * (1 - np.minimum(pooled, 0.9999)) * (1 / p_n + 1 / u_n))
-    chosen = features[(np.abs(z) >= min_z) & (np.maximum(p_count, u_count * p_n / u_n) >= max(3, support * p_n))]
+    chosen = features[np.abs(z) >= min_z]
     (p_row, p_col), (u_row, u_col) = _columns(positive, chosen), _columns(unlabelled, chosen)
 
     w, b = np.zeros(len(chosen)), np.log(prior / (1 - prior))
@@ -163,9 +172,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             .toArrow())
     features = [np.frombuffer(x, np.int32) for x in rows["features"].to_pylist()]
     flags = rows["positive"].to_pylist()
-    order_of = sorted(range(len(flags)), key=lambda i: (features[i].tobytes()))
-    positive = [features[i] for i in order_of if flags[i]]
-    return fit(positive, [features[i] for i in order_of if not flags[i]], prior)
+    # rows come in any order; sums of floats should not
+    order_of = sorted(range(len(flags)), key=lambda i: features[i].tobytes())
+    return fit([features[i] for i in order_of if flags[i]], [features[i] for i in order_of if not flags[i]], prior)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
