@@ -81,6 +81,8 @@ def _columns(rows: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np
 
 def _counts(features: np.ndarray, has: np.ndarray, often: np.ndarray) -> np.ndarray:
     """How often each of ``features`` occurs, 0 where ``has`` (sorted, with counts) has it not."""
+    if not len(has):
+        return np.zeros(len(features))
     at = np.minimum(np.searchsorted(has, features), len(has) - 1)
     return np.where(has[at] == features, often[at], 0)
 

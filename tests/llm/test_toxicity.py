@@ -69,6 +69,12 @@ def test_nothing_to_learn_from(spark):
     assert score(docs.limit(0), model).count() == 0 and train(docs.limit(0), labels).bias == model.bias
 
 
+def test_empty_texts_teach_nothing():
+    none, some = text_features(b""), text_features(b"a word")
+    for positive, unlabelled in (([none] * 9, [some] * 9), ([some] * 9, [none] * 9), ([none], [none])):
+        assert all(0 < x < 1 for x in fit(positive, unlabelled, 0.1).probabilities([b"", b"a word"]))
+
+
 def test_edges(spark, data):
     docs, labels, _ = data
     model = train(docs, labels.unionAll(labels).unionAll(spark.createDataFrame([(None, 1), (3, None)], labels.schema)))
