@@ -2,15 +2,16 @@
 
 A text's tokens are those of its pre-tokens: runs of anything but ASCII white space, each led by
 the word mark.  A pre-token is cut into the pieces with the largest sum of scores; of equal sums
-the one with the fewest pieces counts.  Distinct pre-tokens go into a trie; a node keeps the best
-score and piece count of the prefix it stands for, so prefixes that pre-tokens share are scored
-once, and the node a pre-token ends at holds its count.
+the one with the fewest pieces counts.  The distinct pre-tokens of a batch form a trie, which is
+walked depth first: in sorted order, a pre-token's shared prefix with the one before is where
+their paths part.  A node has the best score and piece count of its prefix, worked out once
+from the nodes above it, and the node a pre-token ends at gives its count.  Only the current
+path is in memory.
 """
 
 from __future__ import annotations
 
-import gc
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,10 +20,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from inkledger.llm.words import as_bytes
 
 MARK = "▁"
-#: Nodes and remembered pre-tokens of a task's trie; beyond either it starts over.
-NODES, WORDS = 400_000, 250_000
-#: Longer pre-tokens are scored without entering the trie, which they would only fill.
-LONGEST = 64
+#: Counts of pre-tokens that a task remembers before it starts over.
+REMEMBERED = 300_000
+_MISSING = object()
 
 
 class Vocabulary:
@@ -46,69 +46,59 @@ class Vocabulary:
 
 
 class Trie:
-    """Forward scores of every prefix seen.
-
-    A node is [score, pieces, children]; ``counts`` has the piece counts of whole pre-tokens.
-    """
+    """Counts of pre-tokens (in UTF-8, without their mark); ``nodes`` counts the prefixes scored."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-        self.clear()
-
-    def clear(self) -> None:
-        self.root, self.nodes, self.counts = [0.0, 0, None], 0, {}
-
-    def _forward(self, path: list, text: str, end: int) -> tuple[float, int]:
-        """The best (score, pieces) of ``text[:end]`` from those of its shorter prefixes, ``path``."""
-        ends, best, pieces = self.vocabulary.ends, None, 0
-        for start in range(end - 1, -1, -1):
-            value = ends.get(text[start:end], 0)
-            if value == 0 and text[start:end] not in ends:
-                break
-            if value is not None:
-                before = path[start]
-                value, count = before[0] + value, before[1] + 1
-                if best is None or value > best or value == best and count < pieces:
-                    best, pieces = value, count
-        if text[end - 1] not in self.vocabulary.scores:
-            # the bytes of a character that is no piece
-            size, before = len(text[end - 1].encode("utf-8", "replace")), path[end - 1]
-            value, count = before[0] + self.vocabulary.unknown * size, before[1] + size
-            if best is None or value > best or value == best and count < pieces:
-                best, pieces = value, count
-        return best, pieces
+        self.vocabulary, self.counts, self.nodes = vocabulary, {}, 0
+
+    def learn(self, words: Iterable[bytes]) -> None:
+        """Find the counts of distinct words that are not known yet."""
+        if len(self.counts) > REMEMBERED:
+            self.counts.clear()
+        new = sorted((MARK + word.decode("utf-8", "replace"), word) for word in words if word not in self.counts)
+        look, pieces_of, unknown = self.vocabulary.ends.get, self.vocabulary.scores, self.vocabulary.unknown
+        # the current path: a score and a number of pieces for each prefix, the empty one first
+        scores, pieces, before = [0.0], [0], ""
+        for text, word in new:
+            size, shared, most = len(text), 0, min(len(text), len(before))
+            while shared < most and text[shared] == before[shared]:
+                shared += 1
+            del scores[shared + 1:], pieces[shared + 1:]
+            self.nodes += size - shared
+            for end in range(shared + 1, size + 1):
+                best, fewest = None, 0
+                start = end - 1
+                while start >= 0:
+                    value = look(text[start:end], _MISSING)
+                    if value is _MISSING:
+                        break
+                    if value is not None:
+                        value += scores[start]
+                        if best is None or value > best or value == best and pieces[start] + 1 < fewest:
+                            best, fewest = value, pieces[start] + 1
+                    start -= 1
+                if text[end - 1] not in pieces_of:
+                    # the bytes of a character that is no piece
+                    count = len(text[end - 1].encode("utf-8", "replace"))
+                    value, count = scores[end - 1] + unknown * count, pieces[end - 1] + count
+                    if best is None or value > best or value == best and count < fewest:
+                        best, fewest = value, count
+                scores.append(best)
+                pieces.append(fewest)
+            self.counts[word] = pieces[-1]
+            before = text
 
     def count(self, word: bytes) -> int:
-        """The number of tokens of a pre-token (without its mark, in UTF-8)."""
-        known = self.counts.get(word)
-        if known is not None:
-            return known
-        if self.nodes > NODES or len(self.counts) > WORDS:
-            self.clear()
-        text, path = MARK + word.decode("utf-8", "replace"), [self.root]
-        if len(text) > LONGEST:
-            for end in range(1, len(text) + 1):
-                path.append(self._forward(path, text, end))
-            return path[-1][1]
-        for end in range(1, len(text) + 1):
-            children, letter = path[-1][2], text[end - 1]
-            if children is None:
-                children = path[-1][2] = {}
-            node = children.get(letter)
-            if node is None:
-                node = children[letter] = [*self._forward(path, text, end), None]
-                self.nodes += 1
-            path.append(node)
-        count = self.counts[word] = path[-1][1]
-        return count
+        if word not in self.counts:
+            self.learn([word])
+        return self.counts[word]
 
 
 def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str = "n_tokens",
                  distinct: str = "n_words") -> DataFrame:
     """``docs`` with ``out``, the tokens of the whole text, and ``distinct``, its number of pre-tokens.
 
-    A pass without a shuffle: each task keeps a trie of the pre-tokens it has met, bounded in
-    size.  The vocabulary is read on the driver and travels with the tasks.  Null and empty texts, and
+    A pass without a shuffle; what a task holds is bounded by a batch.  The vocabulary is read on the driver and travels with the tasks.  Null and empty texts, and
     texts of white space only, have 0 tokens.  Columns named like the new ones are replaced.
     """
     docs = docs.drop(out, distinct)
@@ -117,20 +107,16 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", out:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(Vocabulary(scores))
-        gc.disable()  # a trie has no cycles, and looking for some walks all of it again and again
-        try:
-            for batch in batches:
-                tokens, words = [], []
-                for value in as_bytes(batch.column(text)):
-                    parts, total = value.split(), 0
-                    for part in parts:
-                        total += trie.counts.get(part) or trie.count(part)
-                    tokens.append(total)
-                    words.append(len(parts))
-                yield (batch.append_column(out, pa.array(tokens, pa.int64()))
-                       .append_column(distinct, pa.array(words, pa.int64())))
-        finally:
-            gc.enable()
+        for batch in batches:
+            texts = as_bytes(batch.column(text))
+            trie.learn(set().union(*(value.split() for value in texts)))
+            tokens, words = [], []
+            for value in texts:
+                parts = value.split()
+                tokens.append(sum(map(trie.counts.__getitem__, parts)))
+                words.append(len(parts))
+            yield (batch.append_column(out, pa.array(tokens, pa.int64()))
+                   .append_column(distinct, pa.array(words, pa.int64())))
 
     schema = StructType([*docs.schema.fields, StructField(out, LongType()), StructField(distinct, LongType())])
     return docs.mapInArrow(count, schema)

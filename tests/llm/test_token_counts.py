@@ -35,21 +35,22 @@ def test_trie_equals_plain_program():
     assert [trie.count(w.encode()) for w in words] == [plain(vocabulary, w) for w in words]
 
 
-def test_prefixes_are_scored_once(monkeypatch):
-    trie, scored = Trie(Vocabulary({MARK: -1.0, "a": -1.0, "b": -1.0})), []
-    forward = trie._forward
-    monkeypatch.setattr(trie, "_forward", lambda path, text, end: scored.append(text[:end]) or forward(path, text, end))
-    for word in ("aaab", "aaaa", "aa", "aaab"):
-        trie.count(word.encode())
-    assert len(scored) == len(set(scored)) == 6
+def test_prefixes_are_scored_once():
+    trie = Trie(Vocabulary({MARK: -1.0, "a": -1.0, "b": -1.0}))
+    trie.learn([b"aaab", b"aaaa", b"aa", b"aab"])
+    assert trie.nodes == len({MARK, MARK + "a", MARK + "aa", MARK + "aaa", MARK + "aaaa", MARK + "aaab", MARK + "aab"})
+    trie.learn([b"aaab"])
+    assert trie.nodes == 7
 
 
-def test_a_small_trie_starts_over(monkeypatch):
-    monkeypatch.setattr(token_counts, "NODES", 20)
+def test_remembered_counts_start_over(monkeypatch):
+    monkeypatch.setattr(token_counts, "REMEMBERED", 20)
     vocabulary = Vocabulary({MARK: -1.0, "a": -2.0, "ab": -2.5, "b": -2.0})
     trie, rng = Trie(vocabulary), random.Random(1)
-    words = ["".join(rng.choice("ab") for _ in range(9)) for _ in range(200)]
-    assert [trie.count(w.encode()) for w in words] == [plain(vocabulary, w) for w in words] and trie.nodes < 40
+    for _ in range(20):
+        words = {"".join(rng.choice("ab") for _ in range(9)) for _ in range(15)}
+        trie.learn(w.encode() for w in words)
+        assert all(trie.counts[w.encode()] == plain(vocabulary, w) for w in words) and len(trie.counts) <= 36
 
 
 @needs_file
