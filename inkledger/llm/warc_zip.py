@@ -233,22 +233,33 @@ def _blocks(path: str) -> Iterator[tuple[str, int, int]]:
             yield path, archives[0].start + start, end - start
 
 
+def unpacked(data: bytes) -> io.BufferedIOBase:
+    """``data`` as a stream of records: gzip members and Zstandard frames are unpacked as they are read."""
+    raw = io.BytesIO(data)
+    if data[:2] == b"\x1f\x8b":
+        return gzip.GzipFile(fileobj=raw)
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        return io.BufferedReader(zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True), 1 << 16)
+    return raw
+
+
 def parsed_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, body) of the WARC records in ``data``, plain or packed, which starts and ends between records."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        data = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read()
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8", "replace").split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at} of a block")
-        headers = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
-        body = data[end + 4:end + 4 + int(headers["content-length"])]
+    stream = unpacked(data)
+    while line := stream.readline():
+        if not line.strip():
+            continue
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"no WARC record where one should begin: {line[:40]!r}")
+        headers = {}
+        while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
+            name, _, value = line.decode("utf-8", "replace").partition(":")
+            headers[name.strip().lower()] = value.strip()
+        size = int(headers["content-length"])
+        body = stream.read(size)
+        if len(body) != size:
+            raise ValueError("a WARC record ends early")
         yield headers, body
-        at = end + 4 + len(body) + 4
 
 
 def _page(value: str | None) -> int | None:
@@ -277,6 +288,12 @@ def _rows(data: bytes) -> Iterator[tuple]:
                _page(headers.get("warc-refers-to")), payload if response else None)
 
 
+def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, kinds)],
+                                      ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
+
+
 def read_packages(paths: DataFrame, path: str = "path") -> DataFrame:
     """The records of the packages named in ``paths``, a row each; a revisit's ``payload`` is null.
 
@@ -301,11 +318,16 @@ def read_packages(paths: DataFrame, path: str = "path") -> DataFrame:
                 where, place = opened(name)
                 with where.open_input_file(place) as file:
                     file.seek(start)
-                    rows = list(_rows(file.read(length)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, (
-                        pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()))],
-                    ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
+                    data = file.read(length)
+                # rows leave as they are read: a block may unpack to many times its size
+                rows, held = [], 0
+                for row in _rows(data):
+                    rows.append(row)
+                    held += len(row[-1] or b"")
+                    if held > BLOCK or len(rows) >= 1000:
+                        yield _row_batch(rows)
+                        rows, held = [], 0
+                yield _row_batch(rows)
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = paths.select(F.col(path).alias("path")).repartition(tasks).mapInArrow(plan, "path string, start bigint, length bigint")
