@@ -58,8 +58,8 @@ def repeated_runs(docs: DataFrame, window: int = 2, key: str = "doc_id", text: s
               .dropDuplicates(["doc_id", "text_hash"]))
     named, _ = numbered(staged(hashed, "lines-hashed"), ["doc_id", "text_hash"], "n", "lines")
     prints = staged(_fingerprints(named.select("n", "hashes"), window), "lines-fingerprints")
-    counts = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    # written as joined: what follows then asks nothing of where a frequent line's rows lie, and the join can split them
+    # both sides of a join, and what is joined, are written: Spark can then split the rows of a frequent line
+    counts = staged(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("times")).filter("times > 1"), "lines-counts")
     known = staged(prints.join(counts, "fp"), "lines-known")
 
     few = known.filter(F.col("times") <= FEW)
@@ -78,7 +78,8 @@ def repeated_runs(docs: DataFrame, window: int = 2, key: str = "doc_id", text: s
         & (F.array_position("lines", F.col("fp")) == F.lit(window) - F.col("s")))
     place = F.col("n") * LINES + F.col("at") - (window - 1) + F.col("s")
     whole = staged(whole.select("fp", F.xxhash64("lines").alias("key"), place.alias("place")), "lines-windows")
-    first = whole.groupBy("fp", "key").agg(F.min("place").alias("origin"), F.count(F.lit(1)).alias("times")).filter("times > 1")
+    first = staged(whole.groupBy("fp", "key").agg(F.min("place").alias("origin"), F.count(F.lit(1)).alias("times"))
+                   .filter("times > 1"), "lines-firsts")
     start = F.col("place") % LINES
     again = whole.join(first, ["fp", "key"]).filter("place > origin").select(
         ((F.col("place") - start) / LINES).cast("bigint").alias("n"), start.cast("int").alias("first"),
