@@ -23,14 +23,15 @@ from inkledger.llm.common import staged, tasks_for
 NEIGHBOURS = 40
 #: Sorted orders the graph starts from, bits of their codes, and rows that are compared in one.
 ORDERS, BITS, CHUNK = 6, 24, 2048
-#: Rounds of local joins at most; they end early when fewer than this share of neighbours changes.
-ROUNDS, STILL = 3, 0.01
+#: Local joins end when no more than this share of neighbours changes; the rounds are a guard far above that.
+STILL, ROUNDS = 0.01, 50
 #: Members of a local join; a vector with more reverse neighbours has several.
 MEMBERS = 96
 #: Best partners a member takes away from one local join.
 TAKEN = 8
-#: A search's list of nearest found, how many of them are expanded in a step, and its steps at most.
-BEAM, EXPANDED, STEPS = 160, 40, 6
+#: A search's list of nearest found and how many of them are expanded in a step; the steps are a guard, a
+#: search ends when its whole list is expanded.
+BEAM, EXPANDED, STEPS = 160, 40, 100
 
 _PACKED = "rep bigint, code binary, scale float, rest float"
 

@@ -74,3 +74,16 @@ def test_a_hub_is_shared_by_several_joins(spark, monkeypatch):
     ids = np.arange(600)
     got, want = lists(nearest(table(spark, ids, rows), 10, 20)), brute(ids, rows, 10, 20)
     assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.9
+
+
+def test_joins_and_walks_go_on_until_nothing_changes(spark, monkeypatch):
+    """Lists and steps so short that three rounds and six steps are not enough."""
+    for name, value in (("CHUNK", 16), ("ORDERS", 2), ("NEIGHBOURS", 8), ("TAKEN", 4), ("EXPANDED", 8)):
+        monkeypatch.setattr(nn_descent, name, value)
+    rows = nn_descent.usable(table(spark, range(1500), np.random.default_rng(4).standard_normal((1500, 6))))
+    packed = nn_descent._packed(rows.withColumnRenamed("vec_id", "rep"))
+    graph = nn_descent.build_graph(packed)
+    lists_ = [r["fresh"] for r in graph.select("fresh").collect()]
+    assert sum(map(sum, lists_)) <= nn_descent.STILL * sum(map(len, lists_))
+    asked = packed.filter("rep % 50 = 0").selectExpr("rep AS query", "rep AS entry", "code AS query_code", "scale AS query_scale")
+    assert not any(any(r["fresh"]) for r in nn_descent.greedy_search(graph, packed, asked).collect())
