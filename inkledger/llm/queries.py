@@ -30,7 +30,7 @@ URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block",
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 #: Lines in a run that counts as repeated.
 LINE_WINDOW = 2
-#: A sentencepiece vocabulary; another place can be named in the environment.
+#: A sentencepiece model whose pieces are used (its scores are merge ranks); another place can be named in the environment.
 VOCABULARY = os.environ.get("UNIGRAM_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
 
 
@@ -82,9 +82,10 @@ def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every document under the unigram vocabulary."""
+    """Tokens of every document under the vocabulary's pieces, with unigram scores estimated from all documents."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts.count_tokens(docs, VOCABULARY).select("doc_id", "n_tokens", "n_words")
+    pieces = token_counts.Vocabulary.read(VOCABULARY).without_mark_runs()
+    return token_counts.count_tokens(docs, token_counts.estimated(docs, pieces)).select("doc_id", "n_tokens", "n_words")
 
 
 def op7_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,21 +7,33 @@ walked depth first: in sorted order, a pre-token's shared prefix with the one be
 their paths part.  A node has the best score and piece count of its prefix, worked out once
 from the nodes above it, and the node a pre-token ends at gives its count.  Only the current
 path is in memory.
+
+A vocabulary file may hold scores that are no log probabilities (those of a BPE model are merge
+ranks).  ``estimated`` keeps its pieces and gives them the log probabilities of a unigram model,
+by expected counts over the distinct pre-tokens of all documents.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from inkledger.llm.common import staged
 from inkledger.llm.words import as_bytes
 
 MARK = "▁"
 #: Counts of pre-tokens that a task remembers before it starts over.
 REMEMBERED = 300_000
+#: Estimation ends when a round raises the log likelihood by less than this share; the rounds are a guard far above.
+STILL, ROUNDS = 0.001, 100
+#: Expected count of a piece that occurs nowhere.
+LEAST = 1e-6
 _MISSING = object()
 
 
@@ -44,6 +56,10 @@ class Vocabulary:
                  if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)))
         return Vocabulary({model.id_to_piece(i): model.get_score(i) for i in plain})
 
+    def without_mark_runs(self) -> list[str]:
+        """The pieces but for runs of two and more marks, which no pre-token needs; the single mark stays."""
+        return [piece for piece in self.scores if piece == MARK or piece.strip(MARK)]
+
 
 class Trie:
     """Counts of pre-tokens (in UTF-8, without their mark); ``nodes`` counts the prefixes scored."""
@@ -94,16 +110,95 @@ class Trie:
         return self.counts[word]
 
 
-def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str = "n_tokens",
+def _edges(vocabulary: Vocabulary, text: str, end: int) -> Iterator[tuple[int, float, str | None]]:
+    """``(start, score, piece)`` of what can end at ``end``; the bytes of a character in no piece have none."""
+    start = end - 1
+    while start >= 0:
+        value = vocabulary.ends.get(text[start:end], _MISSING)
+        if value is _MISSING:
+            break
+        if value is not None:
+            yield start, value, text[start:end]
+        start -= 1
+    if text[end - 1] not in vocabulary.scores:
+        yield end - 1, vocabulary.unknown * len(text[end - 1].encode("utf-8", "replace")), None
+
+
+def _log_add(a: float, b: float) -> float:
+    return max(a, b) + math.log1p(math.exp(-abs(a - b))) if min(a, b) > -math.inf else max(a, b)
+
+
+def expected_counts(vocabulary: Vocabulary, word: bytes, times: int, counts: dict[str, float]) -> float:
+    """Add to ``counts`` how often each piece is expected in ``times`` words; their log likelihood."""
+    text = MARK + word.decode("utf-8", "replace")
+    size = len(text)
+    ahead, back = [0.0] + [-math.inf] * size, [-math.inf] * size + [0.0]
+    for end in range(1, size + 1):
+        for start, value, _ in _edges(vocabulary, text, end):
+            ahead[end] = _log_add(ahead[end], ahead[start] + value)
+    for end in range(size, 0, -1):
+        for start, value, piece in _edges(vocabulary, text, end):
+            back[start] = _log_add(back[start], back[end] + value)
+            if piece is not None:
+                share = math.exp(min(0.0, ahead[start] + value + back[end] - ahead[size]))
+                counts[piece] = counts.get(piece, 0.0) + times * share
+    return times * ahead[size]
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(found: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], ["word", "n"])
+
+    found: Counter = Counter()
+    for batch in batches:
+        for value in as_bytes(batch.column("text")):
+            found.update(value.split())
+        if len(found) > REMEMBERED:
+            yield packed(found)
+            found.clear()
+    yield packed(found)
+
+
+def estimated(docs: DataFrame, pieces: Iterable[str], text: str = "text") -> Vocabulary:
+    """``pieces`` with the log probabilities of a unigram model of all pre-tokens of ``docs``.
+
+    All pieces start alike; each round aggregates, by piece, the expected counts over the distinct
+    pre-tokens.  The driver gets one row a piece.  Scores are rounded, as sums come in any order.
+    """
+    words = docs.select(F.col(text).alias("text")).mapInArrow(_word_counts, "word binary, n bigint")
+    words = staged(words.groupBy("word").agg(F.sum("n").alias("n")), "tokens-words")
+    pieces = sorted(set(pieces))
+    scores, before = dict.fromkeys(pieces, -math.log(max(1, len(pieces)))), None
+    for _ in range(ROUNDS):
+        def expect(batches: Iterator[pa.RecordBatch], scores=scores) -> Iterator[pa.RecordBatch]:
+            vocabulary, counts, fit = Vocabulary(scores), {}, 0.0
+            for batch in batches:
+                for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                    fit += expected_counts(vocabulary, word, n, counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None, *counts], pa.string()), pa.array([fit, *counts.values()], pa.float64())], ["piece", "n"])
+
+        rows = words.mapInArrow(expect, "piece string, n double").groupBy("piece").agg(F.sum("n")).collect()
+        counts = dict(map(tuple, rows))
+        fit = counts.pop(None, 0.0)
+        if not counts or before is not None and fit - before < STILL * abs(before):
+            break
+        before, total = fit, sum(max(counts.get(p, 0.0), LEAST) for p in pieces)
+        scores = {p: round(math.log(max(counts.get(p, 0.0), LEAST) / total), 6) for p in pieces}
+    return Vocabulary(scores)
+
+
+def count_tokens(docs: DataFrame, vocabulary: str | Vocabulary, text: str = "text", out: str = "n_tokens",
                  distinct: str = "n_words") -> DataFrame:
     """``docs`` with ``out``, the tokens of the whole text, and ``distinct``, its number of pre-tokens.
 
-    A pass without a shuffle; what a task holds is bounded by a batch.  The vocabulary is read on the driver and travels with the tasks.  Null and empty texts, and
+    A pass without a shuffle; what a task holds is bounded by a batch.  The vocabulary, or the file it
+    is read from with its scores as they are, is on the driver and travels with the tasks.  Null and empty texts, and
     texts of white space only, have 0 tokens.  Columns named like the new ones are replaced.
     """
     docs = docs.drop(out, distinct)
     # a few ten thousand pieces, whatever the data
-    scores = Vocabulary.read(vocabulary_path).scores
+    scores = (Vocabulary.read(vocabulary) if isinstance(vocabulary, str) else vocabulary).scores
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(Vocabulary(scores))

@@ -1,12 +1,13 @@
 """The trie against a plain dynamic program, and against a public library's unigram model."""
 
+import math
 import random
 from pathlib import Path
 
 import pytest
 
 from inkledger.llm import token_counts
-from inkledger.llm.queries import VOCABULARY
+from inkledger.llm.queries import VOCABULARY, op6_trie_token_counts
 from inkledger.llm.token_counts import MARK, Trie, Vocabulary, count_tokens
 
 needs_file = pytest.mark.skipif(not Path(VOCABULARY).exists(), reason="vocabulary file not there")
@@ -90,3 +91,32 @@ def test_whole_texts_and_edges(spark):
         per = {w: plain(vocabulary, w) for w in set(words)}
         assert counts[i] == (sum(per[w] for w in words), len(words))
     assert count_tokens(docs.limit(0), VOCABULARY).count() == 0
+
+
+def test_expected_counts_equal_all_cuts():
+    vocabulary = Vocabulary({MARK: -2.0, "a": -1.5, "b": -2.5, "ab": -3.0, MARK + "a": -2.2, "ba": -4.0})
+    text, cuts = MARK + "abab", []
+
+    def cut(at, pieces):
+        if at == len(text):
+            cuts.append(pieces)
+        for end in range(at + 1, len(text) + 1):
+            if text[at:end] in vocabulary.scores:
+                cut(end, [*pieces, text[at:end]])
+
+    cut(0, [])
+    weights = [math.exp(sum(vocabulary.scores[p] for p in c)) for c in cuts]
+    counts = {}
+    assert token_counts.expected_counts(vocabulary, b"abab", 3, counts) == pytest.approx(3 * math.log(sum(weights)))
+    for piece in vocabulary.scores:
+        want = 3 * sum(w * c.count(piece) for w, c in zip(weights, cuts)) / sum(weights)
+        assert counts.get(piece, 0.0) == pytest.approx(want)
+
+
+@needs_file
+def test_the_query_counts_common_words_as_whole_pieces(spark, tmp_path):
+    """Merge ranks as scores cut them: 4 tokens for one word and 2 for the other."""
+    rows = [(i, "the information the of the information") for i in range(30)] + [(90, "information"), (91, "the"), (92, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["n_tokens"] for r in op6_trie_token_counts(spark, str(tmp_path)).collect()}
+    assert (got[90], got[91], got[92], got[0]) == (1, 1, 0, 6)
