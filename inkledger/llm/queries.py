@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from inkledger.llm import (
     decontaminate,
     line_dedup,
+    mask_ranking,
     mixing,
     near_dedup,
     nn_descent,
+    notices,
+    pair_bitmaps,
     sharding,
     token_counts,
     toxicity,
@@ -33,6 +36,19 @@ LINE_WINDOW = 2
 #: A sentencepiece model whose pieces are used (its scores are merge ranks); another place can be named in the environment.
 VOCABULARY = os.environ.get("UNIGRAM_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
 
+#: The two tokenizers that are aligned; other files can be named in the environment.
+BYTE_BPE = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+PIECE_BPE = os.environ.get("PIECE_BPE_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
+#: Phrases whose exact places are counted, and more notices; about one error in eight letters.
+BASE_NOTICES = [notices.Notice("mit license", "mit", 1), notices.Notice("apache license", "apache", 1),
+                notices.Notice("general public license", "gpl", 2)]
+MORE_NOTICES = [
+    notices.Notice("mozilla public license", "mpl", 2), notices.Notice("eclipse public license", "epl", 2), notices.Notice("bsd license", "bsd", 1),
+    notices.Notice("licensed under cc by", "cc-by", 2), notices.Notice("creative commons attribution", "cc-by", 3),
+    notices.Notice("all rights reserved", "reserved", 2), notices.Notice("permission is hereby granted free of charge", "mit", 5),
+    notices.Notice("redistribution and use in source and binary forms", "bsd", 6),
+    notices.Notice("released into the public domain", "public-domain", 3), notices.Notice("spdx license identifier", "spdx", 2)]
+
 
 def crc_of(value: Column) -> Column:
     return F.crc32(value.cast("binary"))
@@ -113,10 +129,27 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.read_packages(manifest).drop("payload", "url")
 
 
+def op11_fuzzy_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document, with up to the stated errors; exact places of three phrases by themselves."""
+    found = notices.scan(load(spark, sf_dir, "documents"), BASE_NOTICES + MORE_NOTICES)
+    return notices.summary(found, [n.words for n in BASE_NOTICES])
+
+
+def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens under two tokenizers, where they end together, and what these pairs count in all documents."""
+    return pair_bitmaps.align(load(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)[0]
+
+
+def op13_mask_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for each benchmark item."""
+    return mask_ranking.rank(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), 10)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_redirect_equivalence, op2_nn_descent, op3_feistel_shards, op4_water_filled_mix, op5_lsh_forest,
-        op6_trie_token_counts, op7_pu_toxicity, op8_containment, op9_winnowed_lines, op10_zip_warc)}
+        op6_trie_token_counts, op7_pu_toxicity, op8_containment, op9_winnowed_lines, op10_zip_warc,
+        op11_fuzzy_notices, op12_pair_bitmaps, op13_mask_ranking)}
 
 
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
@@ -171,12 +204,26 @@ SELECT page_id, payload_bytes, {_DIGEST} AS payload_digest,
        CASE WHEN page_id <> origin THEN origin END AS refers_to
 FROM p JOIN g USING (digest)"""
 
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w)) AS n_terms FROM d),
+i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p WHERE term IN (SELECT term FROM i) GROUP BY term),
+s AS (SELECT item_id, r, doc_id, sum(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+             * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS score
+      FROM i JOIN f USING (term) JOIN p USING (term), c GROUP BY item_id, r, doc_id),
+t AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score::BIGINT AS score FROM t WHERE rank <= 10"""
+
 
 def oracles() -> dict[str, str]:
     return {
         "op1_redirect_equivalence": _op1_sql(),
         "op9_winnowed_lines": _op9_sql(LINE_WINDOW),
         "op10_zip_warc": _OP10_SQL,
+        "op13_mask_ranking": _OP13_SQL,
         "op5_lsh_forest": f"""
 WITH RECURSIVE sh AS ({shingles_sql("documents", "doc_id", 2)}),
 sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),

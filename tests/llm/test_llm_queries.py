@@ -39,7 +39,7 @@ def test_query_equals_its_twin(spark, twin, name):
 
 def test_every_operator_is_registered():
     names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in entry.queries()
 
 
 def test_op2_contract(spark, twin):
