@@ -207,20 +207,16 @@ def banks(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
 
 
-def order_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None, few: bool = False,
-                **limits: int) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
     """All order lines as line items, numbered per order along ``LINE_ORDER``.
 
     Lines stay rows: an order may have any number of them, so they are never collected
     into a list.  ``only`` restricts to the orders of a frame with ``invoice_id``.
     """
-    every = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("invoice_id"), *LINE_ORDER)
-    lines = every
+    lines = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("invoice_id"), *LINE_ORDER)
     if only is not None:
-        lines = every.join(only.select("invoice_id"), "invoice_id", "left_semi")
-    ordinal = F.shiftleft(F.col("l_linenumber").cast("bigint"), 40) + F.col("l_partkey")
-    # with few orders wanted, hot ones are looked for among their lines; else among all, which spares a join
-    numbered = number_within(lines, "invoice_id", LINE_ORDER, ordinal, "line_number", source=lines if few else every, **limits)
+        lines = lines.join(only.select("invoice_id"), "invoice_id", "left_semi")
+    numbered = number_within(lines, "invoice_id", LINE_ORDER, "line_number")
     parts = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     quantity = F.col("l_quantity").cast("bigint")

@@ -538,4 +538,6 @@ def oracles() -> dict[str, str]:
         UNION ALL SELECT 'status', count(*), max(total_amount) FROM statuses
         UNION ALL SELECT 'vendors', count(*), max(total_amount) FROM top
         UNION ALL SELECT 'recent', count(*), CAST(max(total_amount) AS {WIDE}) FROM recent"""
-    return sql
+    from inkledger.checks.store_oracle import oracles as of_stores  # needs this module first
+
+    return {**sql, **of_stores()}

@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from inkledger import model as M
 from inkledger.functions.display import fmt_money, fmt_ts
 from inkledger.functions.parse import new_status
-from inkledger.operators.hot import FLOOR, left_join_spread, previous_within
+from inkledger.operators.hot import left_join_spread, previous_within
 
 ACTIONS = ("approve", "reject")
 WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
@@ -112,45 +111,29 @@ def apply_approvals(invoices: DataFrame, vendors: DataFrame | None, actions: Dat
         for c in invoices.columns])
 
 
-def _applied_in_order(invoices: DataFrame, vendors: DataFrame, actions: DataFrame, floor: int) -> DataFrame:
+def _applied_in_order(invoices: DataFrame, vendors: DataFrame, actions: DataFrame) -> DataFrame:
     """Applied actions with ``previous_status`` and ``new_status``.
 
-    The new status does not depend on the previous one, so only the neighbour is needed;
-    an invoice with very many actions is worked on in slices of its timeline.
+    The new status does not depend on the previous one, so only the neighbour is needed, whatever
+    share of the actions one invoice has.
     """
     applied = (classify_actions(actions, invoices, vendors).filter(F.col("status_code") == 200)
                .select("action_id", "action_time", "action", F.col("_target").alias("invoice_id"), "invoice_number",
                        "vendor_name", "total_amount", "initial_status", new_status(F.col("action")).alias("new_status")))
-    # every applied action is in the log, which is cheaper to search for hot invoices
-    asked = actions.filter(F.col("action").isin(*ACTIONS)).select(
-        _target(invoices).alias("invoice_id"), "action_time")
-    stepped = previous_within(applied, "invoice_id", ["action_time", "action_id"], _ordinal(actions),
-                              "new_status", "_previous", source=asked, floor=floor)
+    stepped = previous_within(applied, "invoice_id", ["action_time", "action_id"], "new_status", "_previous")
     return stepped.withColumn("previous_status", F.coalesce("_previous", "initial_status"))
 
 
-def status_history(invoices: DataFrame, vendors: DataFrame, actions: DataFrame, floor: int = FLOOR) -> DataFrame:
+def status_history(invoices: DataFrame, vendors: DataFrame, actions: DataFrame) -> DataFrame:
     """Previous and new status of every applied action, in the order of the log."""
-    return _applied_in_order(invoices, vendors, actions, floor).select(
+    return _applied_in_order(invoices, vendors, actions).select(
         "action_id", "invoice_id", "invoice_number", "previous_status", "new_status", "action_time")
 
 
-def approval_pages(invoices: DataFrame, vendors: DataFrame, actions: DataFrame, floor: int = FLOOR) -> DataFrame:
+def approval_pages(invoices: DataFrame, vendors: DataFrame, actions: DataFrame) -> DataFrame:
     """What the page shown after each applied action says."""
     label = F.when(F.col("action") == "approve", F.lit("Approved")).otherwise(F.lit("Rejected"))
-    return _applied_in_order(invoices, vendors, actions, floor).select(
+    return _applied_in_order(invoices, vendors, actions).select(
         "action_id", F.concat(F.lit("Invoice "), label).alias("title"), "invoice_number", "vendor_name",
         fmt_money(F.col("total_amount")).alias("amount"), "previous_status", "new_status",
         fmt_ts(F.col("action_time"), seconds=True).alias("action_time"))
-
-
-def _ordinal(actions: DataFrame) -> Column:
-    """The action's time as a number that never falls as time passes.
-
-    A time without zone is counted by its own fields: converted, it could jump back
-    where the session's zone changes its clocks.
-    """
-    at = F.col("action_time")
-    if isinstance(actions.schema["action_time"].dataType, T.TimestampNTZType):
-        return F.unix_date(at.cast("date")) * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
-    return F.unix_micros(at.cast("timestamp"))

@@ -1,17 +1,20 @@
 """Continuous ingestion of extraction documents into one append-only fact table.
 
-Layout below ``out``, for each writer (a bulk load, or a stream's checkpoint):
-  numbers/source=S/batch_id=N/bucket=B/    the batch's accepted invoice numbers, by hash
-  outcomes/source=S/batch_id=N/outcome=    all its documents with their final outcome
-  totals/source=S/batch_id=N/              count and sum per status of the accepted ones
-  working/source=S/turn=T/                 staged rows, claims and refusals of the last two batches
-
-Writing a batch's ``outcomes`` folder is the transaction: accepted rows carry vendor,
-customer, lines and bank, and the tables are projections of them.  A writer's folders are
-its own, so none replaces another's.  A replayed batch overwrites its own folders and looks
-only at its writer's batches before it and at other writers, which were refused the numbers
-it held; so it ends the same.  Numbers are written before outcomes: what a batch that broke
-off has claimed is not given to another writer.  Writers of one store take turns.
+Layout below ``out``:
+  commits/                the log: which folders count (see ``commits``)
+  outcomes/attempt=NAME/  a batch's documents with their final outcome
+  numbers/attempt=NAME/   its accepted invoice numbers (see ``numbers``)
+  sums|newest|vendors/    its partial results (see ``kept``)
+  working/attempt=NAME/   staged rows, claims and refusals while it runs
+
+A writer is a bulk load or a stream's checkpoint; its batches have ids.  A batch is stored once: it writes
+its folders under the name of this attempt, then commits them together.  An attempt that
+broke off is in no commit, so its numbers are free and its rows unseen; the same batch, or the
+same documents under any other name, can be stored again.  A batch that is in the log already is left alone.
+
+Writers run side by side.  Each decides on the store it has seen, and commits only if that is still
+the newest version; else it looks at the numbers of the commits in between, gives up those it has lost
+and tries again.  The commit decides who stored a number first, as the database's unique key did.
 
 Staging cuts the lineage: the JSON is parsed once and row ids survive retries.  Claims and
 refusals are narrow tables of known size, so Spark can tell whether to broadcast them;
@@ -20,9 +23,14 @@ with few refusals the documents themselves are never shuffled.
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,13 +38,17 @@ from inkledger.operators.decide import ACCEPTED, dedupe_invoices, process_docume
 from inkledger.operators.extract import extract_flatten
 from inkledger.operators.store import assign_keys
 from inkledger.sources.extractions import filter_result_files
+from inkledger.streaming.commits import (
+    Part, State, commit_batch, commit_merge, commits_after, names_below, read_state, remove,
+)
+from inkledger.streaming.kept import KEPT, read_kept
+from inkledger.streaming.numbers import held, read_numbers, write_numbers
 
 IDENTITY = ("arrival", "s3_key", "row_id")
-#: Folders the history of numbers is cut into; a batch reads those its own numbers fall in.
-BUCKETS = 256
 #: The writer of batches whose caller names none.
 BATCHES = "batches"
-MERGED = "merged"
+#: Parts of about one size that are merged into one.
+FAN = 8
 
 
 def _stage(documents: DataFrame, processed_at: Column, strict: bool, keys: dict[str, Column]) -> DataFrame:
@@ -46,101 +58,211 @@ def _stage(documents: DataFrame, processed_at: Column, strict: bool, keys: dict[
 
 
 def read_outcomes(spark: SparkSession, out: str) -> DataFrame:
-    """Everything decided so far; needs at least one stored batch."""
-    return spark.read.parquet(f"{out}/outcomes")
+    """Everything decided so far, with the writer and batch that decided it; needs at least one stored batch."""
+    return _read_rows(spark, out, read_state(spark, out).folders("outcomes"))
+
+
+def _read_rows(spark: SparkSession, out: str, folders: list[str]) -> DataFrame:
+    return spark.read.option("basePath", f"{out}/outcomes").parquet(*folders).drop("attempt")
 
 
 def read_accepted(spark: SparkSession, out: str) -> DataFrame:
     return read_outcomes(spark, out).filter(F.col("outcome") == ACCEPTED)
 
 
-def prepare(spark: SparkSession, out: str) -> None:
-    """Make the folders, so that the first batch finds an empty history and totals."""
-    for name in ("outcomes", "numbers", "totals"):
-        (spark.range(0).select(F.lit("").alias("source"), F.lit(0).alias("batch_id"), "id")
-         .write.mode("append").partitionBy("source", "batch_id").parquet(f"{out}/{name}"))
+def read_partial(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """One of the kept partial results (``kept.KEPT``) of the whole store, merged; reads no documents."""
+    return read_kept(spark, read_state(spark, out).folders(name), name)
 
 
-def _bucket(number: str = "invoice_number") -> Column:
-    return F.pmod(F.xxhash64(number), F.lit(BUCKETS)).cast("int")
+def taken_numbers(spark: SparkSession, state: State, claims: DataFrame, through: Callable[[str, DataFrame], DataFrame]) -> DataFrame:
+    """Claimed numbers that the store has."""
+    return held(spark, state.sizes("numbers"), claims, through)
 
 
-def taken_numbers(spark: SparkSession, out: str, source: str, batch_id: int, claims: DataFrame) -> DataFrame:
-    """Claimed numbers that another writer, or an earlier batch of this one, has stored.
+class Attempt(NamedTuple):
+    """A batch whose folders are written and not yet committed."""
 
-    The history is a column of its own, cut by hash; the buckets of the claims, at most
-    ``BUCKETS`` numbers, go to the scan as a partition filter.
-    """
-    schema = "invoice_number string, source string, batch_id bigint, bucket int"
-    buckets = [r[0] for r in claims.select(_bucket()).distinct().collect()]
-    stored = spark.read.schema(schema).parquet(f"{out}/numbers").filter(F.col("bucket").isin(buckets))
-    earlier = stored.filter((F.col("source") != source) | (F.col("batch_id") < batch_id))
-    # broadcast by Spark when the claims are few, so the history is not shuffled
-    return earlier.select("invoice_number").join(claims.select("invoice_number"), "invoice_number", "left_semi")
+    out: str
+    source: str
+    batch_id: int
+    name: str
+    #: The version of the store that the batch was decided on.
+    seen: int
+    parts: tuple[Part, ...]
 
 
-def store_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Column | None = None,
-                strict: bool = False, keys: dict[str, Column] | None = None, source: str = BATCHES) -> None:
-    """Decide and store one batch of the writer ``source``; the same writer and id again replace it."""
-    spark = documents.sparkSession
-    clock = F.current_timestamp() if processed_at is None else processed_at
-    own = f"source={source}/batch_id={batch_id}"
-
+def _through(spark: SparkSession, folder: str) -> Callable[[str, DataFrame], DataFrame]:
     def through(name: str, df: DataFrame) -> DataFrame:
-        path = f"{out}/working/source={source}/turn={batch_id % 2}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    return through
+
 
+def write_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Column | None = None, strict: bool = False,
+                keys: dict[str, Column] | None = None, source: str = BATCHES) -> Attempt | None:
+    """Decide one batch on the store as it is now and write its folders; None when the log has the batch."""
+    spark = documents.sparkSession
+    clock = F.current_timestamp() if processed_at is None else processed_at
+    state = read_state(spark, out)
+    if state.has(source, batch_id):
+        return None
+    if not re.fullmatch(r"[\w-]+", source):
+        raise ValueError(f"a writer's name is letters, digits, - and _: {source}")
+    name = f"attempt={source}-{batch_id}-{uuid.uuid4().hex[:12]}"
+    through = _through(spark, f"{out}/working/{name}")
     staged = through("staged", _stage(documents, clock, strict, keys or {}))
     candidates = staged.select("invoice_number", "error", *IDENTITY)
     claims = through("claims", dedupe_invoices(candidates, IDENTITY).select("invoice_number", "row_id"))
-    won = through("won", claims.join(taken_numbers(spark, out, source, batch_id, claims), "invoice_number", "left_anti"))
-    lost = candidates.filter(F.col("error").isNull()).select("row_id").join(won.select("row_id"), "row_id", "left_anti")
+    won = through("won", claims.join(taken_numbers(spark, state, claims, through), "invoice_number", "left_anti"))
+    return Attempt(out, source, batch_id, name, state.version, _write_parts(spark, out, name, name, source, batch_id, won))
+
+
+def _write_parts(spark: SparkSession, out: str, work: str, name: str, source: str, batch_id: int, won: DataFrame) -> tuple[Part, ...]:
+    """The folders of a batch whose documents in ``won`` have got their numbers."""
+    through = _through(spark, f"{out}/working/{name}")
+    staged = spark.read.parquet(f"{out}/working/{work}/staged")
+    lost = staged.filter(F.col("error").isNull()).select("row_id").join(won.select("row_id"), "row_id", "left_anti")
     refused = through("refused", lost)
+    marked = set_outcome(staged.join(refused.withColumn("_lost", F.lit(True)), "row_id", "left")).withColumns(
+        {"source": F.lit(source), "batch_id": F.lit(batch_id).cast("bigint")})
+    folder = {k: f"{out}/{k}/{name}" for k in ("outcomes", "numbers", *KEPT)}
+    told = Observation()
+    marked.observe(told, F.count(F.lit(1)).alias("n"), F.count_if(F.col("outcome") == ACCEPTED).alias("stored")).write.partitionBy(
+        "outcome").parquet(folder["outcomes"])
+    accepted = spark.read.schema(marked.schema).parquet(folder["outcomes"]).filter(F.col("outcome") == ACCEPTED)
+    stored = told.get["stored"]
+
+    def write(name: str) -> Part:
+        if name == "numbers":
+            write_numbers(won.select("invoice_number"), stored, folder[name])
+            return Part(name, folder[name], stored)
+        return _write_kept(KEPT[name].build(accepted), name, folder[name])
+
+    # small tables that do not depend on each other
+    with ThreadPoolExecutor(4) as pool:
+        parts = list(pool.map(inheritable_thread_target(spark)(write), ("numbers", *KEPT)))
+    parts.append(Part("outcomes", folder["outcomes"], told.get["n"]))
+    return tuple(parts)
+
+
+def _write_kept(rows: DataFrame, name: str, folder: str) -> Part:
+    told = Observation()
+    rows.observe(told, F.count(F.lit(1)).alias("n")).write.parquet(folder)
+    return Part(name, folder, told.get["n"])
+
+
+def commit_attempt(spark: SparkSession, attempt: Attempt) -> int | None:
+    """Make an attempt part of the store and return its version; None when the batch got there by another attempt.
+
+    Numbers that commits since the attempt's version have stored are lost to it: its folders are
+    written again without them, from its staged rows.
+    """
+    out, seen, parts = attempt.out, attempt.seen, attempt.parts
+    while not commit_batch(spark, out, seen, attempt.source, attempt.batch_id, parts):
+        since = commits_after(spark, out, seen)
+        if any((r["source"], r["batch_id"]) == (attempt.source, attempt.batch_id) for r in since):
+            return None
+        # what a merge puts together was there before, or is in one of the other commits
+        fresh = {p["folder"]: p["rows"] for r in since if not r["whole"] for p in r["parts"] if p["name"] == "numbers"}
+        mine = next(p.folder for p in parts if p.name == "numbers")
+        again = f"{attempt.name}.{uuid.uuid4().hex[:12]}"
+        through = _through(spark, f"{out}/working/{again}")
+        lost = through("lost", held(spark, fresh, read_numbers(spark, [mine]), through))
+        if not lost.isEmpty():
+            still = read_numbers(spark, [mine]).select("invoice_number").join(lost, "invoice_number", "left_anti")
+            claims = spark.read.schema("invoice_number string, row_id bigint").parquet(f"{out}/working/{attempt.name}/claims")
+            won = through("won", claims.join(still, "invoice_number", "left_semi"))
+            parts = _write_parts(spark, out, attempt.name, again, attempt.source, attempt.batch_id, won)
+        seen = since[-1]["version"]
+    remove(spark, f"{out}/working/{attempt.name}")
+    return seen + 1
 
-    (won.select("invoice_number", _bucket().alias("bucket")).repartition("bucket")
-     .write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/numbers/{own}"))
-    marked = set_outcome(staged.join(refused.withColumn("_lost", F.lit(True)), "row_id", "left"))
-    marked.write.mode("overwrite").partitionBy("outcome").parquet(f"{out}/outcomes/{own}")
-    accepted = spark.read.schema(marked.schema).parquet(f"{out}/outcomes/{own}").filter(F.col("outcome") == ACCEPTED)
-    (accepted.groupBy("status").agg(F.count(F.lit(1)).alias("invoice_count"),
-                                    F.sum("total_value").cast("decimal(38,2)").alias("total_amount"))
-     .write.mode("overwrite").parquet(f"{out}/totals/{own}"))
+
+def store_batch(documents: DataFrame, batch_id: int, out: str, processed_at: Column | None = None,
+                strict: bool = False, keys: dict[str, Column] | None = None, source: str = BATCHES) -> None:
+    """Decide and store one batch of the writer ``source``; a batch that is stored already is left alone."""
+    attempt = write_batch(documents, batch_id, out, processed_at, strict, keys, source)
+    if attempt is not None:
+        commit_attempt(documents.sparkSession, attempt)
 
 
 def load_documents(documents: DataFrame, out: str, processed_at: Column | None = None, strict: bool = False,
-                   keys: dict[str, Column] | None = None) -> str:
+                   keys: dict[str, Column] | None = None, name: str | None = None) -> str:
     """Store a finite set of documents as a writer of its own, whose name is returned.
 
-    May be mixed with streams on one store, before or between their runs.
+    A load that broke off is resumed by calling it again, under its name or without one: nothing of it
+    counts before its commit, and once it has one, the same name stores nothing more.  May run beside
+    streams and other loads on one store.
     """
-    source = f"load-{uuid.uuid4().hex}"
-    prepare(documents.sparkSession, out)
+    source = f"load-{uuid.uuid4().hex}" if name is None else name
     store_batch(documents, 0, out, processed_at, strict, keys, source)
     return source
 
 
-def compact(spark: SparkSession, out: str, below: dict[str, int]) -> None:
-    """Merge the number files of each writer's batches with ids under ``below[writer]`` into one a bucket.
+def unfinished(spark: SparkSession, out: str, source: str) -> list[str]:
+    """Folders of attempts of a writer that no commit names."""
+    named = {p.folder for p in read_state(spark, out).parts}
+    below = [f"{out}/{kind}/{n}" for kind in ("outcomes", "numbers", *KEPT, "working") for n in names_below(spark, f"{out}/{kind}")
+             if n.rsplit("-", 2)[0] == f"attempt={source}"]
+    return [folder for folder in below if folder not in named]
+
+
+def release(spark: SparkSession, out: str, source: str) -> int:
+    """Remove what a writer's broken attempts have left; only while no run of that writer is going on."""
+    left = unfinished(spark, out, source)
+    for folder in left:
+        remove(spark, folder)
+    return len(left)
+
+
+def _merge_part(spark: SparkSession, name: str, parts: list[Part], out: str) -> Part:
+    folder = f"{out}/{name}/attempt=merge-{len(parts)}-{uuid.uuid4().hex[:12]}"
+    if name == "numbers":
+        rows = sum(p.rows for p in parts)
+        write_numbers(read_numbers(spark, [p.folder for p in parts]).select("invoice_number"), rows, folder)
+        return Part(name, folder, rows)
+    if name == "outcomes":
+        old = _read_rows(spark, out, [p.folder for p in parts])
+        old.hint("rebalance", F.col("outcome")).write.partitionBy("outcome").parquet(folder)
+    else:
+        return _write_kept(KEPT[name].merge(spark.read.parquet(*[p.folder for p in parts])), name, folder)
+    return Part(name, folder, sum(p.rows for p in parts))
 
-    Those batches must not be replayed any more; a stream replays its last one only.  Outcomes
-    stay where they are; numbers, the only thing every batch reads again, are merged under a
-    writer's name of their own, and the folders they came from are emptied.  A number in both
-    places counts once, so a run that breaks off does no harm.
+
+def compact(spark: SparkSession, out: str, fan: int = FAN) -> int:
+    """Merge parts of about one size, ``fan`` at least, until there are none; returns the number of merges.
+
+    Sizes grow by ``fan`` from tier to tier, so a row is written again once a tier, and a store of
+    many batches has some ``fan`` parts a tier.  Replaced folders stay for readers that have begun with them;
+    writers may go on meanwhile, and a merge that another one has overtaken is dropped.
     """
-    schema = "invoice_number string, source string, batch_id bigint, bucket int"
-    stored = spark.read.schema(schema).parquet(f"{out}/numbers")
-    old = F.lit(False)
-    for source, batch_id in below.items():
-        old = old | ((F.col("source") == source) & (F.col("batch_id") < batch_id))
-    merged = f"source={MERGED}-{uuid.uuid4().hex}"
-    (stored.filter(old).select("invoice_number", "bucket").repartition("bucket").sortWithinPartitions("bucket", "invoice_number")
-     .write.mode("errorifexists").partitionBy("bucket").parquet(f"{out}/numbers/{merged}/batch_id=0"))
-    nothing = spark.createDataFrame([], "invoice_number string, bucket int")
-    # as many rows as batches are merged
-    for row in stored.filter(old).select("source", "batch_id").distinct().collect():
-        (nothing.write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{out}/numbers/source={row['source']}/batch_id={row['batch_id']}"))
+    merges = 0
+    while True:
+        state = read_state(spark, out)
+        tiers: dict[tuple[str, int], list[Part]] = {}
+        for part in state.parts:
+            tier, size = 0, part.rows
+            while size >= fan:
+                tier, size = tier + 1, size // fan
+            tiers.setdefault((part.name, tier), []).append(part)
+        due = [parts for parts in tiers.values() if len(parts) >= fan]
+        if not due:
+            return merges
+        parts = due[0]
+        added = _merge_part(spark, parts[0].name, parts, out)
+        while not commit_merge(spark, out, state, [p.folder for p in parts], added):
+            state = read_state(spark, out)
+            if not {p.folder for p in parts} <= {p.folder for p in state.parts}:
+                break
+        else:
+            merges += 1
+
+
+def prepare(spark: SparkSession, out: str) -> None:
+    """Make the log's folder, so that a stream may follow it before the first batch."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/commits")
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
 
 
 def writer_of(spark: SparkSession, checkpoint: str) -> str:
@@ -152,14 +274,18 @@ def writer_of(spark: SparkSession, checkpoint: str) -> str:
 
 def start_ingest(documents: DataFrame, out: str, checkpoint: str, processed_at: Column | None = None,
                  strict: bool = False, keys: dict[str, Column] | None = None,
-                 available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:
-    """Store every arriving document; with ``available_now`` stop when all present ones are stored."""
+                 available_now: bool = True, interval: str = "1 minute", fan: int = FAN) -> StreamingQuery:
+    """Store every arriving document; with ``available_now`` stop when all present ones are stored.
+
+    After every ``fan`` batches the store's small parts are merged.
+    """
     spark = documents.sparkSession
-    prepare(spark, out)
     source = writer_of(spark, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         store_batch(batch, batch_id, out, processed_at, strict, keys, source)
+        if batch_id % fan == fan - 1:
+            compact(batch.sparkSession, out, fan)
 
     writer = documents.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

@@ -1,80 +1,63 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
-from inkledger.operators.hot import hot_keys, left_join_spread, number_within, previous_within, slice_cuts
-
-LIMITS = {"floor": 100, "slices": 8}
+from inkledger.operators.hot import left_join_spread, number_within, previous_within, scanned_sizes
 
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """A key with over a third of the rows, many ties in the order, and ordinary keys."""
+    """A key with half of the rows, all at one time, rows without key, and ordinary keys with many ties."""
     draw = random.Random(3)
-    rows = [(7 if i % 5 < 2 else i % 60 + 100, draw.randrange(40), i, f"v{i}") for i in range(2000)]
+    rows = [(7, 5, i, f"v{i}") if i % 2 else (None if i % 12 == 0 else i % 60 + 100, draw.randrange(40), i, f"v{i}") for i in range(4000)]
+    draw.shuffle(rows)
     return rows, spark.createDataFrame(rows, "k bigint, t bigint, id bigint, v string").repartition(5)
 
 
 def brute(rows):
     place, previous, last, seen = {}, {}, {}, {}
-    for k, _, i, v in sorted(rows):
+    for k, _, i, v in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])):
         seen[k] = seen.get(k, 0) + 1
         place[i], previous[i], last[k] = seen[k], last.get(k), v
     return place, previous
 
 
-def test_only_the_large_key_is_hot(spark, skewed):
-    assert [r.k for r in hot_keys(skewed[1], "k", 100).collect()] == [7]
-    assert hot_keys(skewed[1], "k").count() == 0 and slice_cuts(skewed[1], "k", F.col("t")).count() == 0
-    assert len(slice_cuts(skewed[1], "k", F.col("t"), **LIMITS).first()["_cuts"]) == 7
-
-
-def test_nothing_runs_while_the_plan_is_built(spark, skewed):
-    spark.sparkContext.setJobGroup("building", "no job may carry this")
-    number_within(skewed[1], "k", ["t", "id"], F.col("t"), "n")
-    previous_within(skewed[1], "k", ["t", "id"], F.col("t"), "v", "p")
-    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
-
-
-@pytest.mark.parametrize("limits", [{}, LIMITS])
-def test_numbering_is_exact(skewed, limits):
-    rows, df = skewed
-    got = number_within(df, "k", ["t", "id"], F.col("t"), "n", **limits)
-    assert {r.id: r.n for r in got.collect()} == brute(rows)[0]
-    assert got.columns == ["k", "t", "id", "v", "n"]
-
-
-@pytest.mark.parametrize("limits", [{}, LIMITS])
-def test_previous_value_is_exact(skewed, limits):
+@pytest.mark.parametrize("tasks", [1, 3, 16])
+@pytest.mark.parametrize("rows_a_batch", [10000, 7])
+def test_numbers_and_neighbours_are_exact(spark, skewed, tasks, rows_a_batch):
     rows, df = skewed
-    got = previous_within(df, "k", ["t", "id"], F.col("t"), "v", "p", **limits)
-    assert {r.id: r.p for r in got.collect()} == brute(rows)[1]
-
-
-def test_slices_split_the_hot_key(skewed):
-    from inkledger.operators.hot import _with_slices
-    _, df = skewed
-    sliced = _with_slices(df, "k", F.col("t"), slice_cuts(df, "k", F.col("t"), **LIMITS))
-    sizes = [r["count"] for r in sliced.filter("k = 7").groupBy("_slice").count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 800 / 4
-    assert sliced.filter("k <> 7 and _slice <> 0").count() == 0
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows_a_batch))
+    try:
+        numbered = number_within(df, "k", ["t", "id"], "n")
+        stepped = previous_within(df, "k", ["t", "id"], "v", "p")
+        place, previous = brute(rows)
+        assert {r.id: r.n for r in numbered.collect()} == place and numbered.columns == ["k", "t", "id", "v", "n"]
+        assert {r.id: r.p for r in stepped.collect()} == previous and stepped.columns == ["k", "t", "id", "v", "p"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def test_slices_are_separate_groups_even_after_a_join_on_the_key(spark, skewed):
-    """Rows partitioned by the key alone are partitioned again, so slices reach different tasks."""
-    _, df = skewed
-    keys = df.select("k").distinct()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_a_key_with_half_of_all_rows_at_one_time_is_dealt_evenly(spark, skewed):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = df.join(keys, "k", "left_semi")
-        numbered = number_within(joined, "k", ["t", "id"], F.col("t"), "n", source=df, **LIMITS)
-        tasks = numbered.filter("k = 7").select(F.spark_partition_id()).distinct().count()
-        assert tasks > 1
+        sizes = scanned_sizes(skewed[1], "k", ["t", "id"])
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 4 and sum(sizes) == 4000 and max(sizes) < 2 * 4000 / 4
+
+
+def test_one_key_in_all_tasks_and_empty_tables(spark):
+    df = spark.range(1000).selectExpr("1 AS k", "id AS t", "if(id % 3 = 0, NULL, id) AS v")
+    assert {r.t: r.n for r in number_within(df, "k", ["t"], "n").collect()} == {i: i + 1 for i in range(1000)}
+    assert {r.t: r.p for r in previous_within(df, "k", ["t"], "v", "p").collect()} == {
+        i: None if i == 0 or (i - 1) % 3 == 0 else i - 1 for i in range(1000)}
+    assert number_within(df.limit(0), "k", ["t"], "n").count() == 0
+    decimals = df.selectExpr("cast(k AS decimal(38,0)) AS k", "t", "cast(v AS decimal(38,2)) AS v")
+    assert previous_within(decimals, "k", ["t"], "v", "p").filter("p IS NULL").count() == 334
 
 
 def test_left_join_spread_is_a_left_join(spark):

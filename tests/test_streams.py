@@ -9,7 +9,7 @@ from inkledger.sources.extractions import list_files, read_extractions, skipped_
 from inkledger.streaming.approvals import ACTION_LOG, read_actions, start_approvals
 from inkledger.streaming.dashboard import read_dashboard, start_dashboard, status_totals
 from inkledger.streaming.ingest import (
-    BATCHES, compact, load_documents, prepare, read_accepted, read_outcomes, start_ingest, store_batch, taken_numbers, writer_of,
+    compact, load_documents, prepare, read_accepted, read_outcomes, start_ingest, store_batch, writer_of,
 )
 from tests.helpers import document, documents
 
@@ -85,36 +85,6 @@ def test_a_repeated_delivery_is_refused(spark, tmp_path):
     assert sorted(r.outcome for r in read_outcomes(spark, out).collect()) == ["error", "error", "persisted"]
 
 
-def test_compaction_keeps_the_numbers_and_the_next_batch_sees_them(spark, tmp_path):
-    out = str(tmp_path / "out")
-    prepare(spark, out)
-    docs = documents(spark, [document(invoice_number=str(i // 2)) for i in range(8)])
-    for batch in range(3):
-        store_batch(docs.filter(F.col("arrival").between(2 * batch, 2 * batch + 1)), batch, out)
-    compact(spark, out, {BATCHES: 2})
-    numbers = spark.read.parquet(f"{out}/numbers")
-    assert {(r.source.split("-")[0], r.invoice_number) for r in numbers.collect()} == {("merged", "0"), ("merged", "1"), (BATCHES, "2")}
-    store_batch(docs.filter("arrival between 4 and 5"), 2, out)
-    store_batch(docs, 3, out)
-    assert {(r.batch_id, r.arrival) for r in read_accepted(spark, out).collect()} == {(0, 0), (1, 2), (2, 4), (3, 6)}
-
-
-def test_a_late_batch_reads_only_the_buckets_it_touches(spark, tmp_path):
-    out = str(tmp_path / "out")
-    prepare(spark, out)
-    store_batch(documents(spark, [document(invoice_number=f"n{i}") for i in range(300)]), 0, out)
-    claims = spark.createDataFrame([("n7", 1), ("n7000", 2)], "invoice_number string, row_id bigint")
-    found = taken_numbers(spark, out, BATCHES, 1, claims)
-    assert [r.invoice_number for r in found.collect()] == ["n7"]
-    every = spark.read.parquet(f"{out}/numbers")
-    touched = spark.read.parquet(f"{out}/numbers").filter(F.col("bucket").isin(
-        [r[0] for r in claims.selectExpr("cast(pmod(xxhash64(invoice_number), 256) as int)").collect()]))
-    read = set(touched.select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
-    assert 0 < len(read) <= 2 < every.select(F.input_file_name()).distinct().count()
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
-
-
 def test_names_that_end_like_a_result_are_read_and_the_rest_is_listed(spark, tmp_path):
     folder = tmp_path / "in" / "job" / "0" / "custom_output" / "0"
     folder.mkdir(parents=True)

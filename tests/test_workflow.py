@@ -68,9 +68,8 @@ def test_last_action_wins_and_replaces_the_time(stored, log):
     assert trusted[4] == "rejected" and trusted[3] == "approved"
 
 
-@pytest.mark.parametrize("floor", [approvals.FLOOR, 1])
-def test_history_chains_statuses(stored, log, floor):
-    rows = approvals.status_history(*stored, log, floor=floor).orderBy("action_id").collect()
+def test_history_chains_statuses(stored, log):
+    rows = approvals.status_history(*stored, log).orderBy("action_id").collect()
     assert [(r.action_id, r.previous_status, r.new_status) for r in rows] == [
         (1, "pending_review", "approved"), (2, "approved", "rejected"), (3, "rejected", "approved"),
         (11, "failed", "rejected")]
@@ -79,7 +78,7 @@ def test_history_chains_statuses(stored, log, floor):
 def test_history_takes_times_without_zone(stored, log):
     plain = log.withColumn("action_time", F.col("action_time").cast("timestamp_ntz"))
     expected = [tuple(r)[:5] for r in approvals.status_history(*stored, log).orderBy("action_id").collect()]
-    got = [tuple(r)[:5] for r in approvals.status_history(*stored, plain, floor=1).orderBy("action_id").collect()]
+    got = [tuple(r)[:5] for r in approvals.status_history(*stored, plain).orderBy("action_id").collect()]
     assert got == expected
 
 
