@@ -503,9 +503,10 @@ def oracles() -> dict[str, str]:
         firsts AS (SELECT * FROM decided WHERE error IS NULL QUALIFY row_number() OVER (PARTITION BY k // 2 ORDER BY arrival) = 1)
         SELECT 'invoices' AS what, count(*) AS n FROM firsts
         UNION ALL SELECT 'vendors', count(DISTINCT company_name) FROM firsts UNION ALL SELECT 'violations', 0"""
+    # 41 forms that are dates, 16 that are none, and the Julian day
     sql["date_forms"] = """
-        SELECT o_orderkey AS arrival, CAST(o_orderkey % 17 AS INTEGER) AS form,
-          CASE WHEN o_orderkey % 17 NOT IN (13, 14, 15) THEN CAST(o_orderdate AS DATE) END AS day FROM orders"""
+        SELECT o_orderkey AS arrival, CAST(o_orderkey % 58 AS INTEGER) AS form,
+          CASE WHEN o_orderkey % 58 NOT BETWEEN 41 AND 56 THEN CAST(o_orderdate AS DATE) END AS day FROM orders"""
     sql["exact_money"] = r"""
         SELECT arrival, '$' || ltrim(reverse(regexp_replace(reverse(CAST(c // 100 AS VARCHAR)), '(\d{3})', '\1,', 'g')), ',')
           || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS shown

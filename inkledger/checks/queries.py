@@ -166,18 +166,26 @@ def long_names(spark, d):
             .unionAll(found.select(F.lit("violations"), "n")))
 
 
-#: Each order's date in one of these forms, by its key; the last ones are no dates.
-DATE_FORMS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "MM/dd/yyyy", "M/d/yy", "dd-MMM-yy", "MMM-dd-yyyy", "yyyy-MMM-dd",
-              "EEEE, MMMM d, yyyy", "yyyy.DDD", "d MMMM yyyy", "yyMMdd", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd' garbage'",
-              "yyyy-MM-dd'Tzzz'", "MM/dd/yyyy' x'")
+#: Each order's date in one of these forms, by its key.
+DATE_FORMS = (
+    "yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "MM/dd/yyyy", "M/d/yy", "dd-MMM-yy", "MMM-dd-yyyy", "yyyy-MMM-dd", "EEEE, MMMM d, yyyy", "yyyy.DDD",
+    "d MMMM yyyy", "yyMMdd", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy.MM.dd", "MM.dd.yyyy", "MMM/dd/yyyy", "yyyyMMdd'T101112'", "MM/dd/yyyy' 10:00'",
+    "MMMM d, yyyy' 10:30 AM'", "ddMMMyyyy", "yyyy MMM dd", "MMM. d, yyyy", "'10:00 'yyyy/MM/dd", "'10:15 PM 'MMM d yyyy", "d MMM yyyy' 23:59:59.999 UTC'",
+    "MMM d yyyy' 10:00 +05:30'", "MM/dd/yyyy'T10:00Z'", "yyyyMMdd't1011z'", "yyyyDDD", "EEE yyyy-MM-dd", "yyyy-MM-dd EEE", "dd.MMM.yyyy", "yyyy/MMM/dd",
+    "d MMM yy", "yyyy MM dd", "M-d-yyyy", "MMMM d yyyy", "EEE, d MMM yyyy HH:mm:ss", "yyyy-MM-dd' 24:00'", "MMM d,yyyy", "M/d/yyyy' 1:05 pm'")
+#: What the database would refuse.
+NO_DATES = (
+    "yyyy-MM-dd' garbage'", "yyyy-MM-dd'Tzzz'", "MM/dd/yyyy' x'", "yyyy-MM", "MMM yyyy", "yyyy-MM/dd", "yyyy - MM - dd", "MM/dd/yyyy' 25:00'", "yyyy-MM-dd' 10:60'",
+    "MMM d yyyy' 13:00 PM'", "yyyyMMdd'T251112'", "yyyy", "'32/'M/yyyy", "EEEE", "yyyy--MM-dd", "yyyy-MM-dd'T'")
 
 
 @query
 def date_forms(spark, d):
     """Date texts of every form as the database would read them."""
-    day, turn = F.col("ordered"), F.pmod(F.col("k"), F.lit(len(DATE_FORMS) + 1))
+    forms = (*DATE_FORMS, *NO_DATES)
+    day, turn = F.col("ordered"), F.pmod(F.col("k"), F.lit(len(forms) + 1))
     text = F.concat(F.lit("J"), (F.unix_date(day) + 2440588).cast("string"))
-    for i, form in enumerate(DATE_FORMS):
+    for i, form in enumerate(forms):
         text = F.when(turn == i, F.date_format(day, form)).otherwise(text)
     rows = X.orders(spark, d).select(F.col("k").alias("arrival"), turn.cast("int").alias("form"), text.alias("text"))
     return rows.select("arrival", "form", to_date("text").alias("day"))

@@ -16,27 +16,21 @@ _DIGITS = r"\d+(?:_\d+)*"
 NUMBER = rf"^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
 NON_FINITE = r"(?i)^\s*[+-]?(?:nan|inf|infinity)\s*$"
 
-# Date forms, month before day where both are numbers.  A time after an ISO date must be one.
-_MONTH = ("(Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|"
-          "Sep(?:t(?:ember)?)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)")
-_WEEKDAY = r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?,? +"
-_TIME = r"[T ] *\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: *[AaPp][Mm])? *(?:Z|UTC|GMT|[+-]\d{1,2}(?::?\d{2})?)?"
-ISO_DATE = rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})(?:{_TIME})?$"
-# (pattern, groups of year, month and day)
-NUMERIC_DATES = (
-    (ISO_DATE, 1, 2, 3),
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", 1, 2, 3),
-    (r"^(\d{4})(\d{2})(\d{2})$", 1, 2, 3),
-    (r"^(\d{2})(\d{2})(\d{2})$", 1, 2, 3),
-    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4}|\d{2})$", 3, 1, 2),
-)
-NAMED_DATES = (
-    (rf"(?i)^{_MONTH}\.?[ -](\d{{1,2}})(?:, ?| |-)(\d{{4}}|\d{{2}})$", 3, 1, 2),
-    (rf"(?i)^(\d{{1,2}})[ -]{_MONTH}\.?[ -](\d{{4}}|\d{{2}})$", 3, 2, 1),
-    (rf"(?i)^(\d{{4}})[ -]{_MONTH}\.?[ -](\d{{1,2}})$", 1, 2, 3),
-)
-ORDINAL_DATE = r"^(\d{4})\.?(\d{3})$"
-JULIAN_DAY = r"^[Jj](\d{1,7})$"
+# The common date form, with or without a time and zone.
+_CLOCK = r"(?:[01]?\d|2[0-3]):[0-5]\d(?::(?:[0-5]\d|60)(?:\.\d+)?)?|24:00(?::00)?"
+_ISO_CLOCK = rf"(?:[T ] *(?:{_CLOCK})(?: *(?:Z|UTC|GMT|[+-]\d{{1,2}}(?::?\d{{2}})?))?)?"
+ISO_DATE = rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}}){_ISO_CLOCK}$"
+# Other forms are read by their tokens.  What a date text may hold, each token as one letter:
+# N number, T clock time, M month, A half of day, Z zone, t, J, a space, and separators as they are.
+WEEKDAY = r"\b(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?\b"
+MONTH = ("^(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
+         "sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)$")
+TOKEN = r"(\d+(?::\d+)+(?:\.\d+)?|\d+|[a-z]+|\s+|[^\sa-z\d])"
+_ZONE = "(?: ?Z| ?[-+][NT])?"
+_DAY = ("N-N-N|N/N/N|N\\.N\\.N|N N N|N\\.N|N|JN|"
+        "M-N-N|M/N/N|M\\.N\\.N|M\\.? ?N N|N-M-N|N/M/N|N\\.M\\.N|N ?M\\.? ?N")
+SHAPE = f"^((?:T ?A?{_ZONE} )?)({_DAY})(?:(?: ?t ?| )T ?A?{_ZONE}|tN{_ZONE})?$"
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 #: The Julian day of 1970-01-01.
 JULIAN_EPOCH = 2440588
 
@@ -57,36 +51,69 @@ def number_sql(text: str, dtype: str) -> str:
     return f"try_cast(CASE WHEN {is_number_sql(text)} THEN replace(trim({text}), '_', '') END AS {dtype})"
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is worked out once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _token_date_sql(text: str) -> str:
+    """Date text by its tokens: their kinds make a shape, the shape tells which of them are year, month and day."""
+    plain = f"trim(regexp_replace(regexp_replace(lower({text}), r'{WEEKDAY}', ' '), r'[\\s,]+', ' '))"
+    tokens = f"regexp_extract_all({plain}, r'{TOKEN}', 1)"
+    kind = (f"CASE WHEN x RLIKE r'^\\d+:' THEN 'T' WHEN x RLIKE r'^\\d' THEN 'N' WHEN x RLIKE r'{MONTH}' THEN 'M' "
+            "WHEN x IN ('am', 'pm') THEN 'A' WHEN x IN ('z', 'utc', 'gmt') THEN 'Z' WHEN x = 't' THEN 't' WHEN x = 'j' THEN 'J' "
+            "WHEN x IN (' ', '-', '/', '.', '+') THEN x ELSE '?' END")
+    shape = f"array_join(transform(t, x -> {kind}), '')"
+    clocks = (f"NOT exists(t, x -> x RLIKE r'^\\d+:' AND NOT x RLIKE r'^(?:{_CLOCK})$')"
+              r" AND (NOT s LIKE '%A%' OR exists(t, x -> x RLIKE r'^(?:0?[1-9]|1[0-2]):'))"
+              r" AND (NOT s RLIKE r'tN' OR element_at(t, locate('tN', s) + 1) RLIKE r'^(?:[01]\d|2[0-3])[0-5]\d(?:[0-5]\d)?$')")
+    day = f"regexp_extract(s, r'{SHAPE}', 2)"
+    first = f"length(regexp_extract(s, r'{SHAPE}', 1)) + 1"
+    parts = f"filter(slice(t, {first}, length(d)), x -> x RLIKE r'^[a-z\\d]')"
+
+    def ymd(year: str, month: str, day_of: str) -> str:
+        return f"try_cast(concat_ws('-', {year}, {month}, {day_of}) AS date)"
+
+    def year(x: str) -> str:
+        return f"concat(CASE WHEN length({x}) > 2 THEN '' WHEN lpad({x}, 2, '0') < '70' THEN '20' ELSE '19' END, CASE WHEN length({x}) > 2 THEN {x} ELSE lpad({x}, 2, '0') END)"
+
+    def month(x: str) -> str:
+        return f"(locate(left({x}, 3), '{MONTHS}') + 2) div 3"
+
+    def ordinal(y: str, n: str) -> str:
+        start = f"try_cast(concat({y}, '-01-01') AS date)"
+        return f"CASE WHEN {n} <> '000' AND year(date_add({start}, CAST({n} AS int) - 1)) = year({start}) THEN date_add({start}, CAST({n} AS int) - 1) END"
+
+    one, two, three = "p[0]", "p[1]", "p[2]"
+    found = f"""CASE regexp_replace(d, '[^NMJ]', '')
+        WHEN 'NNN' THEN CASE WHEN length({one}) > 2 THEN {ymd(one, two, three)} ELSE {ymd(year(three), one, two)} END
+        WHEN 'MNN' THEN CASE WHEN length({two}) > 2 THEN {ymd(two, month(one), three)} ELSE {ymd(year(three), month(one), two)} END
+        WHEN 'NMN' THEN CASE WHEN length({one}) > 2 THEN {ymd(one, month(two), three)} ELSE {ymd(year(three), month(two), one)} END
+        WHEN 'NN' THEN CASE WHEN length({one}) = 4 AND length({two}) = 3 THEN {ordinal(one, two)} END
+        WHEN 'N' THEN CASE length({one})
+          WHEN 8 THEN {ymd(f"left({one}, 4)", f"substr({one}, 5, 2)", f"right({one}, 2)")}
+          WHEN 6 THEN {ymd(year(f"left({one}, 2)"), f"substr({one}, 3, 2)", f"right({one}, 2)")}
+          WHEN 7 THEN {ordinal(f"left({one}, 4)", f"right({one}, 3)")} END
+        WHEN 'JN' THEN CASE WHEN length({two}) <= 7 THEN date_add(DATE'1970-01-01', try_cast({two} AS int) - {JULIAN_EPOCH}) END END"""
+    dated = _let("d", day, f"CASE WHEN d <> '' AND {clocks} THEN {_let('p', parts, found)} END")
+    return _let("t", tokens, _let("s", shape, dated))
+
+
 def date_sql(text: str) -> str:
-    """Date text in ISO, numeric, English, day-of-year or Julian form; null where none fits.
+    """Date text as the database reads it, month before day where both are numbers; null where it would refuse.
 
-    A leading weekday is not looked at.  Two-digit years 70 to 99 are 19xx, 00 to 69 20xx.
+    Numeric forms with one of ``- / .`` or spaces, forms with an English month in any place, eight or six digits in
+    a row, year and day of year, Julian days; a weekday, a clock time with zone or half of day before or after are
+    checked and left.  Two-digit years 70 to 99 are 19xx, 00 to 69 20xx.
     """
     iso = f"trim({text})"
-    other = f"regexp_replace({iso}, r'{_WEEKDAY}', '')"
-
-    def part(source: str, pattern: str, group: int) -> str:
-        return f"regexp_extract({source}, r'{pattern}', {group})"
-
-    def full_year(source: str, pattern: str, group: int) -> str:
-        year = part(source, pattern, group)
-        return f"concat(CASE WHEN length({year}) = 4 THEN '' WHEN {year} < '70' THEN '20' ELSE '19' END, {year})"
-
-    def numeric(source: str, pattern: str, y: int, m: int, d: int) -> str:
-        parts = f"{full_year(source, pattern, y)}, {part(source, pattern, m)}, {part(source, pattern, d)}"
-        return f"WHEN {source} RLIKE r'{pattern}' THEN try_cast(concat_ws('-', {parts}) AS date)"
-
-    cases = [numeric(other, *form) for form in NUMERIC_DATES]
-    cases += [f"WHEN {other} RLIKE r'{p}' THEN CAST(try_to_timestamp(concat_ws('-', {part(other, p, d)}, "
-              f"left({part(other, p, m)}, 3), {full_year(other, p, y)}), 'd-MMM-yyyy') AS date)" for p, y, m, d in NAMED_DATES]
-    start = f"try_cast(concat({part(other, ORDINAL_DATE, 1)}, '-01-01') AS date)"
-    count = part(other, ORDINAL_DATE, 2)
-    day = f"date_add({start}, CAST({count} AS int) - 1)"
-    cases.append(f"WHEN {other} RLIKE r'{ORDINAL_DATE}' THEN CASE WHEN {count} <> '000' AND year({day}) = year({start}) THEN {day} END")
-    cases.append(f"WHEN {other} RLIKE r'{JULIAN_DAY}' THEN date_add(DATE'1970-01-01', "
-                 f"CAST({part(other, JULIAN_DAY, 1)} AS int) - {JULIAN_EPOCH})")
+
+    def part(group: int) -> str:
+        return f"regexp_extract({iso}, r'{ISO_DATE}', {group})"
+
     # the common form first: its branch looks at nothing else
-    return f"CASE {numeric(iso, ISO_DATE, 1, 2, 3)} ELSE CASE {' '.join(cases)} END END"
+    return (f"CASE WHEN {iso} RLIKE r'{ISO_DATE}' THEN try_cast(concat_ws('-', {part(1)}, {part(2)}, {part(3)}) AS date) "
+            f"ELSE {_token_date_sql(text)} END")
 
 
 def discount_sql(text: str, present: str) -> str:

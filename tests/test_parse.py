@@ -56,11 +56,23 @@ DATES = [
     ("2024.366", dt.date(2024, 12, 31)), ("2025.366", None), ("2025.000", None), ("J2460995", dt.date(2025, 11, 15)),
     ("2025-11-05 10:00:00.5+02", dt.date(2025, 11, 5)), ("2025-11-05T10:00Z", dt.date(2025, 11, 5)),
     ("2025-11-15 garbage", None), ("2025-11-15Tzzz", None), ("2025-11-15T", None), ("11/15/25 x", None), ("Saturday", None),
+    ("2025.11.15", dt.date(2025, 11, 15)), ("11.15.2025", dt.date(2025, 11, 15)), ("Nov/15/2025", dt.date(2025, 11, 15)),
+    ("20251115T101112", dt.date(2025, 11, 15)), ("11/15/2025 10:00", dt.date(2025, 11, 15)),
+    ("November 15, 2025 10:30 AM", dt.date(2025, 11, 15)), ("15nov2025", dt.date(2025, 11, 15)), ("2025 Nov 15", dt.date(2025, 11, 15)),
+    ("Nov. 15, 2025", dt.date(2025, 11, 15)), ("10:00 2025/11/15", dt.date(2025, 11, 15)), ("10:15 PM Nov 15 2025", dt.date(2025, 11, 15)),
+    ("15 Nov 2025 23:59:59.999 UTC", dt.date(2025, 11, 15)), ("Nov 15 2025 10:00 +05:30", dt.date(2025, 11, 15)), ("11/15/2025T10:00Z", dt.date(2025, 11, 15)),
+    ("20251115t1011z", dt.date(2025, 11, 15)), ("2025319", dt.date(2025, 11, 15)), ("Saturday 2025-11-15", dt.date(2025, 11, 15)),
+    ("2025-11-15 Sat", dt.date(2025, 11, 15)), ("15.Nov.2025", dt.date(2025, 11, 15)), ("2025/Nov/15", dt.date(2025, 11, 15)), ("5 may 70", dt.date(1970, 5, 5)),
+    ("2025 11 15", dt.date(2025, 11, 15)), ("1/2/5", dt.date(2005, 1, 2)), ("2024-02-29", dt.date(2024, 2, 29)), ("29 Feb 2024", dt.date(2024, 2, 29)),
+    ("29 Feb 2025", None), ("Feb 30 2025", None), ("2025-11/15", None), ("2025 - 11 - 15", None), ("11/15/2025 25:00", None), ("2025-11-15 10:60", None),
+    ("Nov 15 2025 13:00 PM", None), ("20251115T251112", None), ("2025111", dt.date(2025, 4, 21)), ("20251", None), ("Nov 2025", None), ("15 2025", None), ("10:00", None),
+    ("1e5", None), ("15/11/2025", None), ("99-Jan-08x", None), ("J", None), ("J99999999", None), ("t", None), (",", None), ("2025--11-15", None),
 ]
 
 
 def test_dates(spark):
-    assert column(spark, [t for t, _ in DATES], to_date("v")) == [d for _, d in DATES]
+    got = column(spark, [t for t, _ in DATES], to_date("v"))
+    assert [(t, d, x) for (t, d), x in zip(DATES, got) if d != x] == []
 
 
 def test_path_parts(spark):
