@@ -541,4 +541,4 @@ def oracles() -> dict[str, str]:
         UNION ALL SELECT 'recent', count(*), CAST(max(total_amount) AS {WIDE}) FROM recent"""
     from inkledger.checks.store_oracle import oracles as of_stores  # needs this module first
 
-    return {**sql, **of_stores()}
+    return {**sql, **of_stores(sql)}

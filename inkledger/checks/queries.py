@@ -415,8 +415,7 @@ def constraint_audit(spark, d):
     return clean.union(found.select(F.lit("documents").alias("scope"), "*"))
 
 
-@query
-def audit_broken(spark, d):
+def broken_tables(spark, d):
     """Tables with violations of every kind, under types wide enough to hold them."""
     k, base = F.col("k"), X.orders(spark, d)
     pad = lambda name, n: F.rpad(name, n, "*")
@@ -431,8 +430,14 @@ def audit_broken(spark, d):
                         F.when(k % 6 == 0, 1e9).otherwise(1.0).alias("quantity"))
     banks = base.select(k.alias("bank_id"), (k % 6).alias("vendor_id"), pad(F.lit("a"), 101).alias("account_number"))
     log = base.select((k % 50).alias("log_id"), (k * 3).alias("invoice_id"), F.lit(True).alias("success"))
-    return audit.constraint_audit({"invoices": invoices, "vendors": vendors, "customers": customers,
-                                   "invoice_line_items": lines, "bank_details": banks, "extraction_log": log})
+    return {"invoices": invoices, "vendors": vendors, "customers": customers,
+            "invoice_line_items": lines, "bank_details": banks, "extraction_log": log}
+
+
+@query
+def audit_broken(spark, d):
+    """The audit of the broken tables."""
+    return audit.constraint_audit(broken_tables(spark, d))
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from inkledger.checks.oracle import MONTHS, STORED, WIDE
+from inkledger.checks.oracle import DECIDED, MONTHS, STORED, WIDE
 
 # streams and loads look only at result files
 FILES = ("FROM checked)", "FROM checked WHERE k % 11 <> 0)")
@@ -33,9 +33,17 @@ def _results(cte: str) -> str:
         UNION ALL SELECT 'recent', invoice_number, NULL, CAST(total_amount AS {WIDE}), NULL, vendor_name, status, processed_at FROM recent"""
 
 
-def oracles() -> dict[str, str]:
+def oracles(of: dict[str, str]) -> dict[str, str]:
+    """Twins of the store's queries; ``of`` has those of the queries that they must agree with."""
     first, second = (STREAMED.replace("WHERE k % 11 <> 0)", f"WHERE k % 11 <> 0 AND k % 3 <> {i})") for i in (0, 1))
     return {
+        "stream_routing": of["job_routing"],
+        "stream_history": of["status_history"],
+        # nothing differs from the full audit after any delivery, and after the last all is there
+        "audit_delta": f"SELECT *, 'after 3' AS scope FROM ({of['audit_broken']})",
+        "file_ingest": f"""WITH {DECIDED}
+            SELECT 'results' AS s3_bucket, s3_key, invoice_number, status, error FROM decided WHERE k % 11 <> 0
+            UNION ALL SELECT NULL, s3_key, NULL, NULL, 'Skipped' FROM decided WHERE k % 11 = 0""",
         "broken_load": _outcomes(STREAMED),
         "partial_commit": f"""WITH {STORED.replace(FILES[0], "FROM checked WHERE k % 11 <> 0 AND k % 2 = 0)")}
             SELECT CASE WHEN a.arrival IS NOT NULL THEN 'persisted' ELSE 'error' END AS what, count(*) AS n

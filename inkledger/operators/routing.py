@@ -30,7 +30,11 @@ def routing_manifest(invoices: DataFrame, files: DataFrame, incoming: str, proce
 
     A result without source file gets a row without destination.
     """
-    matched = match_source_files(invoices, files)
+    return moves(match_source_files(invoices, files), incoming, processed, failed)
+
+
+def moves(matched: DataFrame, incoming: str, processed: str, failed: str) -> DataFrame:
+    """The moves of results that are matched with their source file, or with none."""
     target = F.when(F.col("status") == "approved", F.lit(processed)).otherwise(F.lit(failed))
     have = F.col("source_key").isNotNull()
     return matched.select(

@@ -230,14 +230,16 @@ def _merge_part(spark: SparkSession, name: str, parts: list[Part], out: str) ->
     return Part(name, folder, sum(p.rows for p in parts))
 
 
-def compact(spark: SparkSession, out: str, fan: int = FAN) -> int:
+def compact(spark: SparkSession, out: str, fan: int = FAN,
+            merge_part: Callable[[SparkSession, str, list[Part], str], Part] | None = None) -> int:
     """Merge parts of about one size, ``fan`` at least, until there are none; returns the number of merges.
 
     Sizes grow by ``fan`` from tier to tier, so a row is written again once a tier, and a store of
     many batches has some ``fan`` parts a tier.  Replaced folders stay for readers that have begun with them;
-    writers may go on meanwhile, and a merge that another one has overtaken is dropped.
+    writers may go on meanwhile, and a merge that another one has overtaken is dropped.  Stores that keep other
+    things pass their own ``merge_part``.
     """
-    merges = 0
+    merge, merges = merge_part or _merge_part, 0
     while True:
         state = read_state(spark, out)
         tiers: dict[tuple[str, int], list[Part]] = {}
@@ -250,7 +252,7 @@ def compact(spark: SparkSession, out: str, fan: int = FAN) -> int:
         if not due:
             return merges
         parts = due[0]
-        added = _merge_part(spark, parts[0].name, parts, out)
+        added = merge(spark, parts[0].name, parts, out)
         while not commit_merge(spark, out, state, [p.folder for p in parts], added):
             state = read_state(spark, out)
             if not {p.folder for p in parts} <= {p.folder for p in state.parts}:

@@ -1,11 +1,12 @@
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from inkledger.operators.decide import mark_duplicates, process_documents
 from inkledger.operators.extract import extract_flatten
 from inkledger.operators.store import project_tables
-from inkledger.sources.extractions import list_files, read_extractions, skipped_files, stream_extractions
+from inkledger.sources.extractions import hidden_results, list_files, read_extractions, skipped_files, stream_extractions
 from inkledger.streaming.approvals import ACTION_LOG, read_actions, start_approvals
 from inkledger.streaming.dashboard import read_dashboard, start_dashboard, status_totals
 from inkledger.streaming.ingest import (
@@ -100,6 +101,20 @@ def test_names_that_end_like_a_result_are_read_and_the_rest_is_listed(spark, tmp
     assert read_accepted(spark, out).count() == 4
 
 
+@pytest.mark.parametrize("name", ["_result.json", ".result.json", "_j3/0/custom_output/0/result.json", "j/.x/result.json"])
+def test_result_files_that_spark_would_pass_over_are_refused(spark, tmp_path, name):
+    deliver(tmp_path, "j1", document())
+    assert read_extractions(spark, str(tmp_path)).count() == 1 and hidden_results(spark, str(tmp_path)) == []
+    (tmp_path / "_SUCCESS").write_text("")
+    assert hidden_results(spark, str(tmp_path)) == []
+    hidden = tmp_path / "j2" / "custom_output" / name if "/" not in name else tmp_path / name
+    hidden.parent.mkdir(parents=True)
+    hidden.write_text(document())
+    for read in (read_extractions, stream_extractions):
+        with pytest.raises(ValueError, match="result.json"):
+            read(spark, str(tmp_path))
+
+
 def test_writers_do_not_replace_each_other(spark, tmp_path):
     out, landed = str(tmp_path / "out"), str(tmp_path / "landed")
     docs = documents(spark, [document(invoice_number=str(i)) for i in range(13)])
