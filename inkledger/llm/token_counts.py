@@ -19,12 +19,14 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from inkledger.llm.common import staged
+from inkledger.llm.lattices import Lattice, chunks, piece_ends
 from inkledger.llm.words import as_bytes
 
 MARK = "▁"
@@ -34,6 +36,8 @@ REMEMBERED = 300_000
 STILL, ROUNDS = 0.001, 100
 #: Expected count of a piece that occurs nowhere.
 LEAST = 1e-6
+#: Words and bytes of one trie, and the longest word in it; counts are summed in units of ``1 / UNIT``.
+CHUNK, CHUNK_BYTES, LONG, UNIT = 50_000, 4 << 20, 64, 1 << 20
 _MISSING = object()
 
 
@@ -162,30 +166,66 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def estimated(docs: DataFrame, pieces: Iterable[str], text: str = "text") -> Vocabulary:
     """``pieces`` with the log probabilities of a unigram model of all pre-tokens of ``docs``.
 
-    All pieces start alike; each round aggregates, by piece, the expected counts over the distinct
-    pre-tokens.  The driver gets one row a piece.  Scores are rounded, as sums come in any order.
+    All pieces start alike; each round aggregates, by piece, the expected counts over the distinct pre-tokens.  These
+    are sorted and cut into chunks, whose tries are built once and written (``lattices``); a word of more than
+    ``LONG`` characters goes by itself.  The driver gets one row a piece.  Counts are summed as whole numbers of
+    2**-20, and a chunk is the same in each round, so sums do not depend on the order they come in.
     """
     words = docs.select(F.col(text).alias("text")).mapInArrow(_word_counts, "word binary, n bigint")
-    words = staged(words.groupBy("word").agg(F.sum("n").alias("n")), "tokens-words")
+    words = words.groupBy("word").agg(F.sum("n").alias("n"))
+    words = words.repartitionByRange("word").sortWithinPartitions("word")
     pieces = sorted(set(pieces))
-    scores, before = dict.fromkeys(pieces, -math.log(max(1, len(pieces)))), None
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = piece_ends(pieces)
+        rows = (row for batch in batches for row in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()))
+        for chunk in chunks(rows, CHUNK, CHUNK_BYTES):
+            told = sorted((MARK + word.decode("utf-8", "replace"), word, n) for word, n in chunk)
+            short = [x for x in told if len(x[0]) <= LONG]
+            long = [x[1:] for x in told if len(x[0]) > LONG]
+            packed = Lattice.build(*map(list, zip(*short)), ends).pack() if short else None
+            yield pa.record_batch([pa.array([packed, *[None] * len(long)], pa.binary()), pa.array([None, *[w for w, _ in long]], pa.binary()),
+                                   pa.array([None, *[n for _, n in long]], pa.int64())], ["lattice", "word", "n"])
+
+    lattices = staged(words.mapInArrow(build, "lattice binary, word binary, n bigint"), "tokens-lattices")
+    scores, before, per_character = np.full(len(pieces), -math.log(max(1, len(pieces)))), None, 4.0
     for _ in range(ROUNDS):
-        def expect(batches: Iterator[pa.RecordBatch], scores=scores) -> Iterator[pa.RecordBatch]:
-            vocabulary, counts, fit = Vocabulary(scores), {}, 0.0
+        unknown = float(scores.min(initial=0.0)) - 10.0
+
+        def expect(batches: Iterator[pa.RecordBatch], scores=scores, unknown=unknown, per_character=per_character) -> Iterator[pa.RecordBatch]:
+            vocabulary, number = None, {p: i for i, p in enumerate(pieces)}
+            total, fit, letters = np.zeros(len(pieces), np.int64), 0, 0
             for batch in batches:
-                for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                    fit += expected_counts(vocabulary, word, n, counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([None, *counts], pa.string()), pa.array([fit, *counts.values()], pa.float64())], ["piece", "n"])
-
-        rows = words.mapInArrow(expect, "piece string, n double").groupBy("piece").agg(F.sum("n")).collect()
-        counts = dict(map(tuple, rows))
-        fit = counts.pop(None, 0.0)
-        if not counts or before is not None and fit - before < STILL * abs(before):
+                for packed, word, n in zip(*(batch.column(c).to_pylist() for c in ("lattice", "word", "n"))):
+                    alone = [(word, n)] if word is not None else []
+                    if packed is not None:
+                        lattice = Lattice.unpack(packed)
+                        counts, gain, lost = lattice.expect(scores, unknown, per_character)
+                        total += np.rint(counts * UNIT).astype(np.int64)
+                        fit += round(gain * 1024)
+                        letters += int((lattice.times * lattice.known[lattice.ends]).sum())
+                        alone += lost
+                    for one, times in alone:
+                        vocabulary = vocabulary or Vocabulary(dict(zip(pieces, scores.tolist())), unknown)
+                        own: dict[str, float] = {}
+                        fit += round(expected_counts(vocabulary, one, times, own) * 1024)
+                        for p, count in own.items():
+                            total[number[p]] += round(count * UNIT)
+            held = np.flatnonzero(total)
+            yield pa.record_batch([pa.array(np.concatenate([[-1, -2], held])), pa.array(np.concatenate([[fit, letters], total[held]]))], ["piece", "n"])
+
+        rows = lattices.mapInArrow(expect, "piece bigint, n bigint").groupBy("piece").agg(F.sum("n")).collect()
+        told = {k: v for k, v in map(tuple, rows)}
+        fit, letters = told.pop(-1, 0) / 1024, told.pop(-2, 0)
+        if not told or before is not None and fit - before < STILL * abs(before):
             break
-        before, total = fit, sum(max(counts.get(p, 0.0), LEAST) for p in pieces)
-        scores = {p: round(math.log(max(counts.get(p, 0.0), LEAST) / total), 6) for p in pieces}
-    return Vocabulary(scores)
+        counts = np.full(len(pieces), LEAST)
+        for k, v in told.items():
+            counts[k] = max(v / UNIT, LEAST)
+        before = fit
+        scores = np.round(np.log(counts / counts.sum()), 6)
+        per_character = min(max(-fit / letters, 1.0), 9.0) if letters else 4.0
+    return Vocabulary(dict(zip(pieces, scores.tolist())))
 
 
 def count_tokens(docs: DataFrame, vocabulary: str | Vocabulary, text: str = "text", out: str = "n_tokens",

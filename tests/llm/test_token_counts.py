@@ -2,11 +2,14 @@
 
 import math
 import random
+from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from inkledger.llm import token_counts
+from inkledger.llm.lattices import Lattice, piece_ends
 from inkledger.llm.queries import VOCABULARY, op6_trie_token_counts
 from inkledger.llm.token_counts import MARK, Trie, Vocabulary, count_tokens
 
@@ -113,6 +116,54 @@ def test_expected_counts_equal_all_cuts():
         assert counts.get(piece, 0.0) == pytest.approx(want)
 
 
+def test_a_trie_of_words_counts_as_each_word_by_itself():
+    rng = random.Random(4)
+    letters = "abcdé"
+    pieces = sorted({MARK, *letters, "zz", *("".join(rng.choice(MARK + letters) for _ in range(rng.randint(1, 4))) for _ in range(80))})
+    scores = np.array([-rng.uniform(1, 12) for _ in pieces])
+    vocabulary = Vocabulary(dict(zip(pieces, scores.tolist())))
+    # z stands in a longer piece only, the others in none
+    words = sorted({"".join(rng.choice(letters + "z漢q") for _ in range(rng.randint(0, 30))).encode() for _ in range(600)})
+    texts = sorted((MARK + w.decode(), w, rng.randint(1, 9)) for w in words)
+    lattice = Lattice.unpack(Lattice.build(*map(list, zip(*texts)), piece_ends(pieces)).pack())
+    want, fit = {}, 0.0
+    for _, word, n in texts:
+        fit += token_counts.expected_counts(vocabulary, word, n, want)
+    counts, got, lost = lattice.expect(scores, vocabulary.unknown, 3.0)
+    assert lost == [] and got == pytest.approx(fit)
+    assert dict(zip(pieces, counts)) == pytest.approx({p: want.get(p, 0.0) for p in pieces}, abs=1e-9)
+    # a scale far off: what leaves the range of doubles is handed back, the rest is right
+    counts, got, lost = lattice.expect(scores, vocabulary.unknown, 60.0)
+    assert lost and len(lost) < len(texts)
+    for word, n in lost:
+        own = {}
+        got += token_counts.expected_counts(vocabulary, word, n, own)
+        for p, c in own.items():
+            counts[pieces.index(p)] += c
+    assert got == pytest.approx(fit) and dict(zip(pieces, counts)) == pytest.approx({p: want.get(p, 0.0) for p in pieces}, abs=1e-9)
+
+
+def test_estimated_scores_equal_a_plain_estimation(spark, monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choice("abc") for _ in range(rng.choice([1, 2, 5, 90]))) for _ in range(rng.randrange(12))) for _ in range(60)] + [None, "", "漢 a"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    pieces = sorted({MARK, "a", "b", "c", "ab", "bc", MARK + "a", "abc", "never"})
+    words = Counter(w for t in texts if t for w in t.encode().split())
+    scores, before = dict.fromkeys(pieces, -math.log(len(pieces))), None
+    while True:
+        counts, vocabulary = {}, Vocabulary(scores)
+        fit = sum(token_counts.expected_counts(vocabulary, w, n, counts) for w, n in words.items())
+        if before is not None and fit - before < token_counts.STILL * abs(before):
+            break
+        before, total = fit, sum(max(counts.get(p, 0.0), token_counts.LEAST) for p in pieces)
+        scores = {p: math.log(max(counts.get(p, 0.0), token_counts.LEAST) / total) for p in pieces}
+    for chunk in (50_000, 7):
+        monkeypatch.setattr(token_counts, "CHUNK", chunk)
+        got = token_counts.estimated(docs, pieces)
+        assert got.scores == pytest.approx(scores, abs=1e-3)
+    assert token_counts.estimated(docs.limit(0), pieces).scores == pytest.approx(dict.fromkeys(pieces, -math.log(len(pieces))))
+
+
 @needs_file
 def test_the_query_counts_common_words_as_whole_pieces(spark, tmp_path):
     """Merge ranks as scores cut them: 4 tokens for one word and 2 for the other."""
