@@ -31,7 +31,7 @@ MIX_WEIGHTS = [3.0, 1.0, 2.0]
 FOLDS = 5
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-#: Lines in a run that counts as repeated.
+#: Lines in a run that counts as repeated; a long line counts by itself.
 LINE_WINDOW = 2
 #: A sentencepiece model whose pieces are used (its scores are merge ranks); another place can be named in the environment.
 VOCABULARY = os.environ.get("UNIGRAM_VOCABULARY", "/opt/tokenizers/piece_bpe_32k.model")
@@ -183,8 +183,10 @@ WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_s
            FROM documents WHERE text IS NOT NULL),
 t AS (SELECT doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(13)) AS line FROM l),
 g AS (SELECT doc_id, pos, {window} AS gram FROM t WINDOW doc AS (PARTITION BY doc_id ORDER BY pos)),
-r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY gram ORDER BY doc_id, pos) AS turn FROM g WHERE gram IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM r, range({w}) AS s(k) WHERE turn > 1),
+r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY gram ORDER BY doc_id, pos) AS turn FROM g WHERE replace(gram, chr(10), '') <> ''),
+u AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS turn FROM t
+      WHERE len(regexp_extract_all(line, '{line_dedup.WORD}')) >= {line_dedup.LONG}),
+gone AS (SELECT doc_id, pos + k AS pos FROM r, range({w}) AS s(k) WHERE turn > 1 UNION SELECT doc_id, pos FROM u WHERE turn > 1),
 o AS (SELECT t.doc_id, count(*) AS n_lines, count(gone.pos) AS n_removed,
              coalesce(string_agg(raw, chr(10) ORDER BY t.pos) FILTER (gone.pos IS NULL), '') AS text
       FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.pos = t.pos GROUP BY t.doc_id)

@@ -16,9 +16,13 @@ def brute(rows, w):
         gone = set()
         for s in range(len(lines) - w + 1):
             window = tuple(lines[s:s + w])
-            if window in seen:
+            if any(window) and window in seen:
                 gone.update(range(s, s + w))
             seen.add(window)
+        for i, line in enumerate(lines):
+            if len(line.split()) >= line_dedup.LONG and ("long", line) in seen:
+                gone.add(i)
+            seen.add(("long", line))
         out[doc] = [x for i, x in enumerate(text.split("\n")) if i not in gone]
     return out
 
@@ -32,7 +36,8 @@ def corpus(rng, lines=30, docs=150):
                 at = rng.randrange(lines)
                 body += [f"line {i} " for i in range(at, min(lines, at + rng.randint(1, 6)))]  # runs that recur
             else:
-                body.append(f"line {rng.randrange(lines)}" if rng.random() < 0.5 else f"own {rng.random()}")
+                body.append(rng.choice([f"line {rng.randrange(lines)}", f"own {rng.random()}", "", " ", f"{rng.randrange(9)} b c d e f g h i j",
+                                        f"{rng.randrange(9)} b\tc d e f g h  i"]))
         rows.append((d, "\n".join(body)))
     return rows
 
@@ -48,6 +53,20 @@ def test_equals_every_window(spark, monkeypatch, w, few):
     assert all(r["n_removed"] == r["n_lines"] - len(want[r["doc_id"]]) for r in got)
 
 
+def test_long_lines_go_alone_and_blank_ones_stay(spark):
+    long, short = " ".join(f"w{i}" for i in range(10)), " ".join(f"w{i}" for i in range(9))
+    rows = [(1, f"a\n\n\nb\n{long}\n{short}"), (2, f"c\n\n\nd\n{long} \ne\n{short}"), (3, long), (4, f"{long}\nx\n{long}")]
+    got = {r["doc_id"]: r["text"] for r in without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()}
+    assert got == {1: rows[0][1], 2: f"c\n\n\nd\ne\n{short}", 3: "", 4: "x"}
+
+
+def test_a_text_of_very_many_runs(spark):
+    body = "\n".join(f"p\nq\nown {i}" for i in range(30_000))
+    rows = [(1, "p\nq"), (2, body)]
+    got = {r["doc_id"]: (r["n_removed"], r["text"]) for r in without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()}
+    assert got[2] == (60_000, "\n".join(f"own {i}" for i in range(30_000)))
+
+
 def test_one_line_over_and_over(spark):
     rows = [(1, "x\n" * 500 + "end"), (2, "a\nx\nx\nb")]
     got = {r["doc_id"]: r["text"] for r in without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()}
