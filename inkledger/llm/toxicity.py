@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 from xxhash import xxh3_64_intdigest
@@ -91,6 +91,27 @@ def _different(rows: list[np.ndarray]) -> list[np.ndarray]:
     return list({r.tobytes(): r for r in rows}.values())
 
 
+def risk(positive: tuple, unlabelled: tuple, w: np.ndarray, b: float, prior: float, decay: float) -> tuple[float, np.ndarray]:
+    """The bracket of the estimate (the unlabelled rows' risk as clean without that of the toxic ones among them), and the gradient to follow.
+
+    Either side is (row, column, number of rows) of its features.  The gradient, bias last, is that of the whole risk, or
+    minus the bracket's where the bracket is negative.
+    """
+    (p_row, p_col, p_n), (u_row, u_col, u_n) = positive, unlabelled
+    sigmoid = lambda g: 1 / (1 + np.exp(-np.clip(g, -30, 30)))
+    g_p = b + np.bincount(p_row, w[p_col], p_n)
+    g_u = b + np.bincount(u_row, w[u_col], u_n)
+    clean = np.logaddexp(0, g_u).mean() - prior * np.logaddexp(0, g_p).mean()
+    # derivatives by each row's logit: as positive, and of the bracket
+    d_p, d_u = -prior * sigmoid(-g_p) / p_n, np.zeros(u_n)
+    bracket_p, bracket_u = -prior * sigmoid(g_p) / p_n, sigmoid(g_u) / u_n
+    if clean >= 0:
+        d_p, d_u = d_p + bracket_p, bracket_u
+    else:
+        d_p, d_u = -bracket_p, -bracket_u
+    return clean, np.append(np.bincount(p_col, d_p[p_row], len(w)) + np.bincount(u_col, d_u[u_row], len(w)) + decay * w, d_p.sum() + d_u.sum())
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 1500, rate: float = 0.03,
         decay: float = 2e-5, min_z: float = 5.0, support: float = 0.02) -> Model:
     """Minimise prior * R+(positive) + max(0, R-(unlabelled) - prior * R-(positive)) with the logistic loss.
@@ -119,20 +140,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
 
     w, b = np.zeros(len(chosen)), np.log(prior / (1 - prior))
     first, second = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
-    sigmoid = lambda g: 1 / (1 + np.exp(-np.clip(g, -30, 30)))
     for step in range(1, steps + 1):
-        g_p = b + np.bincount(p_row, w[p_col], p_n)
-        g_u = b + np.bincount(u_row, w[u_col], u_n)
-        clean = np.logaddexp(0, g_u).mean() - prior * np.logaddexp(0, g_p).mean()
-        # derivatives by each row's logit: as positive, and of the bracket
-        d_p, d_u = -prior * sigmoid(-g_p) / p_n, np.zeros(u_n)
-        bracket_p, bracket_u = -prior * sigmoid(g_p) / p_n, sigmoid(g_u) / u_n
-        if clean >= 0:
-            d_p, d_u = d_p + bracket_p, bracket_u
-        else:
-            d_p, d_u = -bracket_p, -bracket_u
-        grad = np.append(np.bincount(p_col, d_p[p_row], len(chosen)) + np.bincount(u_col, d_u[u_row], len(chosen))
-                         + decay * w, d_p.sum() + d_u.sum())
+        _, grad = risk((p_row, p_col, p_n), (u_row, u_col, u_n), w, b, prior, decay)
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
         move = rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
@@ -147,11 +156,13 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
           learn: Column | None = None, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
-    """A model from the labelled toxic rows and rows without a label.
+    """A model from the labelled toxic rows and a sample of all rows, whose labels are not looked at.
 
     ``learn`` (over ``key``) says from which rows labels may be learned.  The class prior is the
-    toxic share of those labels.  The sample is the rows with the smallest hashes of ``key``, at
-    most ``max_positive`` and ``max_unlabelled``; it alone reaches the driver, as hashed features.
+    toxic share of those labels.  The unlabelled side is a sample of all these rows, labelled or not, so it
+    does not depend on how many have labels.  Either sample is the rows with the smallest hashes of ``key``, then the
+    rows that differ in their features, at most ``max_positive`` and ``max_unlabelled``: however often a key
+    or a text repeats, no more rows reach the driver, as hashed features.
     A key counts as toxic if any of its labels is; null keys and null labels are not used.
     """
     named = labels.select(F.col(key).alias("_key"), F.col(label).alias("_toxic")).dropna().groupBy("_key").agg(
@@ -164,14 +175,14 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     prior = total["toxic"] / total["n"] if total["n"] else 0.0
     order = F.xxhash64(F.lit(17), "_key")
     toxic = named.filter("_toxic = 1").join(keys, "_key", "left_semi").orderBy(order, "_key").limit(max_positive)
-    # any row without a usable label is unlabelled; the label itself is not looked at here
-    rest = keys.distinct().join(labels.select(F.col(key).alias("_key")), "_key", "left_anti")
-    rest = rest.orderBy(order, "_key").limit(max_unlabelled)
+    rest = keys.distinct().orderBy(F.xxhash64(F.lit(18), "_key"), "_key").limit(max_unlabelled)
     wanted = toxic.select("_key", F.lit(True).alias("positive")).unionAll(rest.select("_key", F.lit(False).alias("positive")))
     # bounded by the two limits above
     sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(wanted), "_key")
-    rows = (sample.select("positive", "text").mapInArrow(_feature_rows, "positive boolean, features binary")
-            .toArrow())
+    found = sample.select("positive", "text").mapInArrow(_feature_rows, "positive boolean, features binary").distinct()
+    place = F.row_number().over(Window.partitionBy("positive").orderBy(F.xxhash64("features"), "features"))
+    bound = F.when(F.col("positive"), max_positive).otherwise(max_unlabelled)
+    rows = found.withColumn("_place", place).filter(F.col("_place") <= bound).drop("_place").toArrow()
     features = [np.frombuffer(x, np.int32) for x in rows["features"].to_pylist()]
     flags = rows["positive"].to_pylist()
     # rows come in any order; sums of floats should not

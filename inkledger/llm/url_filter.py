@@ -48,8 +48,8 @@ def node_of(url: Column) -> Column:
 
 
 def _ranked(rules: list[Rule]) -> list[Rule]:
-    """Longest first; of equally long ones an allow first."""
-    return sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[0] != "allow", r[1], r[2]))
+    """Longest first; of equally long ones an allow first, then by the rule's text."""
+    return sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[0] != "allow", r[1] + r[2]))
 
 
 def _inline(df: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -90,15 +90,34 @@ def judged(df: DataFrame, rules: list[Rule] | DataFrame, url: str = "url") -> Da
     return _inline(split, rules) if isinstance(rules, list) else _joined(split, rules)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that begins with ``/``, without ``.`` and ``..`` segments; ``..`` does not go above the root."""
+    names = F.split(F.substr(path, F.lit(2)), "/", -1)
+    kept = F.aggregate(names, F.array().cast("array<string>"), lambda seen, x: F.when(x == ".", seen).when(
+        x == "..", F.slice(seen, F.lit(1), F.greatest(F.size(seen) - 1, F.lit(0)))).otherwise(F.concat(seen, F.array(x))))
+    end = F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), end)).otherwise(path)
+
+
+def _resolved(target: Column, url: Column) -> Column:
+    """The url a target means on a page: absolute, or relative to the scheme, host, path or query of ``url``; null for other schemes."""
+    scheme, host, path = F.regexp_extract(url, r"(?s)^(.*?)://", 1), _part(url, 1), path_of(url)
+    name, rest = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
+    below = F.when(name == "", path).when(name.startswith("/"), _without_dots(name)).otherwise(_without_dots(F.concat(folder, name)))
+    relative = F.when(host != "", F.concat(scheme, F.lit("://"), host, below, rest))
+    return (F.when(target.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), target).when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+            .when(target.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), None).otherwise(relative))
+
+
 def declared_links(html: Column, url: Column) -> Column:
-    """Array of the absolute urls a page names as its canonical form or refreshes to."""
+    """Array of the urls a page names as its canonical form or refreshes to, made absolute; ``&amp;`` is decoded."""
     tags = F.when(html.rlike(r"(?i)canonical|refresh"), F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0)))
     target = F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda tag: F.when(
         tag.rlike(r"(?i)\brel\s*=\s*[\"']?canonical\b"), F.regexp_extract(tag, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)).when(
         tag.rlike(r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"), F.regexp_extract(tag, r"(?i)\burl\s*=\s*['\"]?([^\"'\s>]+)", 1)))
-    scheme, host = F.regexp_extract(url, r"(?s)^(.*?)://", 1), host_of(url)
-    absolute = F.transform(target, lambda t: F.when(t.contains("://"), t).when(
-        t.startswith("//"), F.concat(scheme, F.lit(":"), t)).when(t.startswith("/"), F.concat(scheme, F.lit("://"), host, t)))
+    named = F.filter(target, lambda t: F.coalesce(t, F.lit("")) != "")
+    absolute = F.transform(named, lambda t: _resolved(F.regexp_replace(t, "(?i)&(?:amp|#38|#x26);", "&"), url))
     return F.filter(absolute, lambda t: t.isNotNull())
 
 

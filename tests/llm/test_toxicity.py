@@ -50,6 +50,47 @@ def test_labels_of_held_out_rows_are_not_used(spark, data):
     assert one == two
 
 
+def test_labels_on_every_row_still_teach(spark, data):
+    docs, _, truth = data
+    every = spark.createDataFrame(list(truth.items()), "doc_id bigint, toxic int")
+    model = train(docs, every, learn=learnable())
+    got = {r["doc_id"]: r["score"] for r in score(docs, model).collect()}
+    assert np.mean([(got[i] >= 0.5) == bool(truth[i]) for i in got]) > 0.97
+
+
+def test_rows_of_one_key_stay_within_the_bound(spark, data):
+    docs, labels, _ = data
+    from pyspark.sql import functions as F
+
+    many = docs.unionAll(docs.filter("doc_id = 1").select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(3000))).alias("i")).select("doc_id", F.concat(F.lit("grobian x"), "i").alias("text")))
+    sizes, own = [], toxicity.fit
+    toxicity.fit = lambda p, u, prior: sizes.append((len(p), len(u))) or own(p, u, prior)
+    try:
+        train(many, labels.unionAll(spark.createDataFrame([(1, 1)], labels.schema)), max_positive=200, max_unlabelled=300)
+    finally:
+        toxicity.fit = own
+    assert sizes == [(200, 300)]
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.9])
+def test_risk_equals_a_plain_program(prior):
+    rng = np.random.default_rng(3)
+    seen = set()
+    for _ in range(30):
+        p, u = rng.integers(0, 2, (rng.integers(1, 5), 4)), rng.integers(0, 2, (rng.integers(1, 7), 4))
+        w, b, decay = rng.normal(0, 2, 4), rng.normal(), 0.01
+        loss = lambda rows, at, sign: np.mean([np.log1p(np.exp(-sign * (at[:4] @ r + at[4]))) for r in rows])
+        bracket = lambda at: loss(u, at, -1) - prior * loss(p, at, -1)
+        at = np.append(w, b)
+        whole = lambda x: prior * loss(p, x, 1) + bracket(x) if bracket(at) >= 0 else -bracket(x)
+        slope = [(whole(at + e) - whole(at - e)) / 2e-6 for e in np.eye(5) * 1e-6]
+        side = lambda m: (*np.nonzero(m), len(m))
+        value, grad = toxicity.risk(side(p), side(u), w, b, prior, decay)
+        seen.add(value >= 0)
+        assert value == pytest.approx(bracket(at)) and grad == pytest.approx(np.array(slope) + np.append(decay * w, 0), abs=1e-6)
+    assert True in seen
+
+
 def test_unlabelled_toxic_rows_are_not_learned_as_clean():
     """Half of the unlabelled rows are toxic: with the right prior they still score above one half."""
     rng = random.Random(2)

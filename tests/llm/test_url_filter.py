@@ -1,9 +1,11 @@
 """Url rules and aliases."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from inkledger.llm.url_filter import filter_urls, judged, node_of
+from inkledger.llm.url_filter import declared_links, filter_urls, judged, node_of
 
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"),
          ("block", "com", "/de/"), ("block", "bad.net", "")]
@@ -87,3 +89,43 @@ def test_node_drops_what_names_the_visit(spark):
     df = spark.createDataFrame([(u,) for u in urls], "u string").select(node_of(F.col("u")).alias("n"))
     nodes = [r["n"] for r in df.collect()]
     assert nodes[0] == nodes[1] == nodes[2] != nodes[3]
+
+
+def test_both_forms_break_ties_alike(spark):
+    rules = [("block", "a.a", "/xx"), ("block", "a.a.a", "/"), ("allow", "b.b", "/"), ("block", "b.b", "/")]
+    rows = spark.createDataFrame([(1, "http://a.a.a/xx"), (2, "http://b.b/")], "page_id bigint, url string")
+    table = spark.createDataFrame(rules, "verdict string, host string, path string")
+    for form in (rules, rules[::-1], table):
+        assert {r["page_id"]: r["rule"] + " " + r["ruled"] for r in judged(rows, form).collect()} == {1: "a.a.a/ block", 2: "b.b/ allow"}
+
+
+RELATIVE = [("page.html", "http://T.net/dir/page.html"), ("./page.html", "http://T.net/dir/page.html"), ("../x/./y", "http://T.net/x/y"), ("../../../x", "http://T.net/x"),
+            ("?id=1&amp;b=2", "http://T.net/dir/main?id=1&b=2"), ("/a/../b", "http://T.net/b"), ("/a/..", "http://T.net/"), ("..", "http://T.net/"), ("sub/.", "http://T.net/dir/sub/"),
+            ("//o.net/x", "http://o.net/x"), ("https://o.net/a&amp;b", "https://o.net/a&b"), ("mailto:x@y", None), ("x?u=http://z", "http://T.net/dir/x?u=http://z"), ("a:b/../c", None)]
+
+
+def test_targets_are_resolved_against_the_page(spark):
+    rows = [(i, "http://T.net/dir/main?q#f", f'<link rel="canonical" href="{t}">') for i, (t, _) in enumerate(RELATIVE)]
+    rows.append((99, "http://bare.net", '<link rel=canonical href="x.html">'))
+    got = {r["page_id"]: r["l"] for r in spark.createDataFrame(rows, PAGES).select("page_id", declared_links(F.col("html"), F.col("url")).alias("l")).collect()}
+    assert got == {**{i: [u] if u else [] for i, (_, u) in enumerate(RELATIVE)}, 99: ["http://bare.net/x.html"]}
+
+
+def test_random_graphs_against_brute_force(spark):
+    draw = random.Random(12)
+    urls = [f"http://n{i}.net/p" for i in range(120)]
+    rules = [("block", f"n{i}.net", "/") for i in range(0, 120, 17)] + [("allow", f"n{i}.net", "/p") for i in range(5, 120, 23)]
+    links = [(draw.randrange(120), draw.randrange(120)) for _ in range(90)]
+    moved = [(draw.randrange(120), draw.randrange(120)) for _ in range(20)]
+    pages = [(k, urls[i], f'<link rel=canonical href="{urls[j]}">') for k, (i, j) in enumerate(links)] + [(1000 + i, u, None) for i, u in enumerate(urls)]
+    redirects = spark.createDataFrame([(urls[i], urls[j]) for i, j in moved], "a string, b string")
+    part = list(range(120))
+    for _ in range(120):
+        for i, j in links + moved:
+            part[i] = part[j] = min(part[i], part[j])
+    ruled = {i: max([(len(h) + len(p), v == "allow", v) for v, h, p in rules if h == f"n{i}.net"], default=(0, 0, None))[2] for i in range(120)}
+    bad = {part[i] for i in range(120) if ruled[i] == "block"}
+    want = {i: ruled[i] or ("block" if part[i] in bad else "allow") for i in range(120)}
+    got = verdicts(spark, pages, redirects, rules)
+    assert {k: r["verdict"] for k, r in got.items()} == {**{k: want[i] for k, (i, _) in enumerate(links)}, **{1000 + i: v for i, v in want.items()}}
+    assert len({v for v in want.values()}) == 2 and any(want[i] == "block" and ruled[i] is None for i in range(120))
