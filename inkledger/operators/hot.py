@@ -12,17 +12,22 @@ come from one and the same exchange, also when an executor is lost in between.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkledger.session import stored
 
+# functions of this module that run in tasks travel with the task, so executors need no copy of the library
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def left_join_spread(left: DataFrame, right: DataFrame, key: str, by: str, spread: int = 1024) -> DataFrame:
     """Left join on ``key`` whose rows without a key do not meet in one task.
