@@ -128,6 +128,32 @@ def _pairs(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarra
     return *(np.concatenate(x) for x in zip(*found)), dense
 
 
+def _wide_look(tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray, asked: np.ndarray,
+               threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The best partner of each asked row among the rows of its wide region, by signatures, if any is similar enough."""
+    if not len(asked):
+        return
+    region = _regions(_common(tree, keys), DEPTH, WIDE_REGION)
+    starts = np.append(0, np.flatnonzero(region[1:] != region[:-1]) + 1)
+    ends = np.append(starts[1:], len(region))
+    t = threshold / 100
+    least = (t - SLACK * np.sqrt(t * (1 - t) / HASHES)) * (1 - 1 / 256) + 1 / 256
+    run = np.searchsorted(starts, asked, side="right") - 1
+    for k in np.unique(run):
+        rows, own = np.arange(starts[k], ends[k]), asked[run == k]
+        if len(rows) < 2 or region[rows[0]] < 0:
+            continue
+        for at in range(0, len(own), 32):
+            one = own[at:at + 32]
+            equal = (keys[one][:, None, :] == keys[rows][None, :, :]).sum(axis=2, dtype=np.uint8).astype(np.int16)
+            low, high = np.minimum(sizes[one][:, None], sizes[rows]), np.maximum(sizes[one][:, None], sizes[rows])
+            equal[(ids[one][:, None] == ids[rows]) | (100 * low < threshold * high)] = -1
+            best = equal.argmax(axis=1)
+            good = equal[np.arange(len(one)), best] >= least * HASHES
+            if good.any():
+                yield one[good], rows[best[good]]
+
+
 def _best_of(row: np.ndarray, partner: np.ndarray, estimate: np.ndarray) -> np.ndarray:
     """Which entries are their row's best, the first of equal ones."""
     best = np.zeros(len(row), bool)
@@ -184,9 +210,11 @@ def _search(threshold: int):
         # rows of dense parts are paired with their best partner only: they are searched again
         keep = best | ~dense[i]
         yield _found(rep[i][keep], rep[j][keep], best[keep])
-        # a run of rows without anything near in it is chance, and gains nothing from a wider look
         near = np.zeros(len(rep), bool)
         near[i], near[j] = True, True
+        # a row of a dense part that found nothing may have been cut away from its partner by the deeper prefix
+        for lone, partner in _wide_look(tree, keys, rep, sizes, np.flatnonzero(dense & ~near), threshold):
+            yield _found(rep[lone], rep[partner], np.ones(len(lone), bool))
         n, dense = table.num_rows, np.flatnonzero(dense & near)
         yield _passed_on(table, np.arange(min(EDGE, n)), "border", part, 1)
         yield _passed_on(table, np.arange(max(0, n - EDGE), n), "border", part + 1, 0)

@@ -123,3 +123,21 @@ def test_a_very_long_text(spark):
     long = " ".join(f"w{i}" for i in range(60_000))
     out = found(spark, [(1, long), (2, long + " end"), (3, "w1 w2")], 2)
     assert {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in out} == {1: (1, 59_999), 2: (1, 60_000), 3: (3, 1)}
+
+
+def test_the_wide_look_finds_partners_that_small_regions_part():
+    """Rows that share a beginning, in more than a small region: each asked row's best partner of all of them."""
+    rng = np.random.default_rng(5)
+    n = 700
+    keys = rng.integers(0, 256, (n, near_dedup.HASHES), dtype=np.uint8)
+    keys[:, :near_dedup.DEPTH] = 7
+    keys[1::2, 12:] = keys[::2, 12:]  # pairs differ early, so they lie far apart when sorted
+    order = np.lexsort(keys.T[::-1])
+    keys, ids, sizes, tree = keys[order], order, np.where(order == 9, 10, 100), np.zeros(n, np.int64)
+    asked = np.arange(0, n, 3)
+    got = {}
+    for rows, partners in near_dedup._wide_look(tree, keys, ids, sizes, asked, 80):
+        got.update(zip(ids[rows].tolist(), ids[partners].tolist()))
+    # the sizes of one pair alone are too different
+    assert got == {int(i): int(i) ^ 1 for i in ids[asked] if int(i) not in (8, 9)}
+    assert list(near_dedup._wide_look(tree, keys, ids, sizes, asked[:0], 80)) == []
