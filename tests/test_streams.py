@@ -101,6 +101,20 @@ def test_names_that_end_like_a_result_are_read_and_the_rest_is_listed(spark, tmp
     assert read_accepted(spark, out).count() == 4
 
 
+def test_many_files_do_not_make_many_tasks(spark, tmp_path):
+    for i in range(300):
+        deliver(tmp_path, f"j{i}", document(invoice_number=str(i)))
+    read, listed = read_extractions(spark, str(tmp_path), "b"), list_files(spark, f"file://{tmp_path}/", "b")
+    # Spark's own readers plan a task for 32 files
+    assert read.rdd.getNumPartitions() == listed.rdd.getNumPartitions() == 4
+    texts = {r.s3_key: r.raw for r in read.collect()}
+    assert len(texts) == 300 and all((tmp_path / key[1:]).read_text() == raw for key, raw in texts.items())
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path))
+    times = {r.s3_key: r.arrival for r in listed.collect()}
+    assert {r.path.removeprefix(f"file:{tmp_path}"): r.at for r in own.selectExpr("path", "unix_micros(modificationTime) AS at").collect()} == times
+    assert {r.s3_key: r.arrival for r in read.collect()} == times
+
+
 @pytest.mark.parametrize("name", ["_result.json", ".result.json", "_j3/0/custom_output/0/result.json", "j/.x/result.json"])
 def test_result_files_that_spark_would_pass_over_are_refused(spark, tmp_path, name):
     deliver(tmp_path, "j1", document())
