@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from inkledger.llm.blocks import Numbers, binaries, flat, ragged, text_blocks
 from inkledger.llm.common import staged
 
-BLOCK_DOCS, BLOCK_BYTES = 8192, 16 << 20
+BLOCK_DOCS, BLOCK_BYTES = 4096, 8 << 20
 #: Letters of distinct pieces that are encoded in one call.
 RUN = 20_000
 # White space as both tokenizers' patterns know it (fixed values, Unicode's White_Space).

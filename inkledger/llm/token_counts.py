@@ -31,7 +31,7 @@ from inkledger.llm.words import as_bytes
 
 MARK = "▁"
 #: Counts of pre-tokens that a task remembers before it starts over.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Estimation ends when a round raises the log likelihood by less than this share; the rounds are a guard far above.
 STILL, ROUNDS = 0.001, 100
 #: Expected count of a piece that occurs nowhere.
@@ -244,7 +244,10 @@ def count_tokens(docs: DataFrame, vocabulary: str | Vocabulary, text: str = "tex
         trie = Trie(Vocabulary(scores))
         for batch in batches:
             texts = as_bytes(batch.column(text))
-            trie.learn(set().union(*(value.split() for value in texts)))
+            known: set[bytes] = set()
+            for value in texts:  # one after the other: only distinct words are held
+                known.update(value.split())
+            trie.learn(known)
             tokens, words = [], []
             for value in texts:
                 parts = value.split()
