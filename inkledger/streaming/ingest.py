@@ -27,6 +27,7 @@ import re
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from math import ceil
 from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
@@ -37,6 +38,7 @@ from pyspark.sql.streaming import StreamingQuery
 from inkledger.operators.decide import ACCEPTED, dedupe_invoices, process_documents, set_outcome
 from inkledger.operators.extract import extract_flatten
 from inkledger.operators.store import assign_keys
+from inkledger.session import ROW_GROUP, write_by
 from inkledger.sources.extractions import filter_result_files
 from inkledger.streaming.commits import (
     Part, State, commit_batch, commit_merge, commits_after, names_below, read_state, remove,
@@ -49,6 +51,8 @@ IDENTITY = ("arrival", "s3_key", "row_id")
 BATCHES = "batches"
 #: Parts of about one size that are merged into one.
 FAN = 8
+#: Documents in a file of a merged part, at least while it has so many.
+MERGED_ROWS = 100_000
 
 
 def _stage(documents: DataFrame, processed_at: Column, strict: bool, keys: dict[str, Column]) -> DataFrame:
@@ -94,7 +98,7 @@ class Attempt(NamedTuple):
 
 def _through(spark: SparkSession, folder: str) -> Callable[[str, DataFrame], DataFrame]:
     def through(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
     return through
 
@@ -128,8 +132,8 @@ def _write_parts(spark: SparkSession, out: str, work: str, name: str, source: st
         {"source": F.lit(source), "batch_id": F.lit(batch_id).cast("bigint")})
     folder = {k: f"{out}/{k}/{name}" for k in ("outcomes", "numbers", *KEPT)}
     told = Observation()
-    marked.observe(told, F.count(F.lit(1)).alias("n"), F.count_if(F.col("outcome") == ACCEPTED).alias("stored")).write.partitionBy(
-        "outcome").parquet(folder["outcomes"])
+    write_by(marked.observe(told, F.count(F.lit(1)).alias("n"), F.count_if(F.col("outcome") == ACCEPTED).alias("stored")),
+             "outcome", folder["outcomes"])
     accepted = spark.read.schema(marked.schema).parquet(folder["outcomes"]).filter(F.col("outcome") == ACCEPTED)
     stored = told.get["stored"]
 
@@ -224,10 +228,12 @@ def _merge_part(spark: SparkSession, name: str, parts: list[Part], out: str) ->
         return Part(name, folder, rows)
     if name == "outcomes":
         old = _read_rows(spark, out, [p.folder for p in parts])
-        old.hint("rebalance", F.col("outcome")).write.partitionBy("outcome").parquet(folder)
+        rows = sum(p.rows for p in parts)
+        # files are put together as they are read: nothing is shuffled
+        write_by(old.coalesce(ceil(max(rows, 1) / MERGED_ROWS)), "outcome", folder)
     else:
         return _write_kept(KEPT[name].merge(spark.read.parquet(*[p.folder for p in parts])), name, folder)
-    return Part(name, folder, sum(p.rows for p in parts))
+    return Part(name, folder, rows)
 
 
 def compact(spark: SparkSession, out: str, fan: int = FAN,

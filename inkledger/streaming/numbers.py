@@ -9,19 +9,30 @@ A claim that is not in the history passes a filter once in 2,000 times.  What pa
 most ``CELLS`` ranges of the hash, which go to the scan of the keys as a filter: Parquet skips the
 pages outside them by their least and largest values.  So a batch reads the filters, one row for a
 thousand numbers and more, and of the keys the pages of its suspects.
+
+Filters are made along the sorted keys, a batch of rows at a time: a task holds the bitmaps of the batch's
+buckets, and what several tasks have of one bucket is put together by bit.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from math import ceil, log2
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# functions of this module that run in tasks travel with the task, so executors need no copy of the library
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Bits of one filter (fixed by Spark's bitmap functions), set bits per number, numbers a filter is made for.
 BITS, PROBES, LOAD = 32768, 11, 2048
 #: Rows of a page of keys, and keys of one file.
-PAGE, FILE = 256, 4_000_000
+PAGE, FILE = 256, 500_000
 #: Ranges that a scan of the keys is narrowed to: leading bits of the hash.
 CELL_BITS = 8
 CELLS = 1 << CELL_BITS
@@ -38,11 +49,32 @@ def _bucket(level: Column) -> Column:
     return F.when(level == 0, F.lit(0)).otherwise(F.expr("shiftrightunsigned(hash, 64 - level)"))
 
 
-def _probes() -> Column:
-    """The bits that a number sets, by two further hashes of it."""
+def _low(value: Column) -> Column:
+    return value.bitwiseAND(F.lit(BITS - 1))
+
+
+def _first_and_step() -> tuple[Column, Column]:
+    """Two further hashes of a number: the first bit it sets, and how far apart its bits are."""
     first, step = F.xxhash64(F.lit(1), "invoice_number"), F.xxhash64(F.lit(2), "invoice_number").bitwiseOR(F.lit(1))
-    low = lambda h: h.bitwiseAND(F.lit(BITS - 1))
-    return F.array(*[low(low(first) + low(step) * i) for i in range(PROBES)])
+    return _low(first), _low(step)
+
+
+def _probes() -> Column:
+    """The bits that a number sets."""
+    first, step = _first_and_step()
+    return F.array(*[_low(first + step * i) for i in range(PROBES)])
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bitmaps of each batch's buckets; bit ``i`` is bit ``i % 8`` of byte ``i // 8``, as Spark's bitmap functions have it."""
+    for batch in batches:
+        bucket, place = np.unique(batch.column("bucket").to_numpy(), return_inverse=True)
+        first, step = batch.column("first").to_numpy(), batch.column("step").to_numpy()
+        bits = np.zeros((len(bucket), BITS), bool)
+        for i in range(PROBES):
+            bits[place, (first + step * i) & (BITS - 1)] = True
+        packed = np.packbits(bits, axis=1, bitorder="little")
+        yield pa.record_batch([pa.array(bucket), pa.array([row.tobytes() for row in packed], pa.binary())], ["bucket", "bits"])
 
 
 def level_of(rows: int) -> int:
@@ -58,8 +90,10 @@ def write_numbers(numbers: DataFrame, rows: int, folder: str) -> None:
     (hashed.repartitionByRange(ceil(max(rows, 1) / FILE), "hash").sortWithinPartitions("hash")
      .write.option("parquet.page.row.count.limit", PAGE).parquet(f"{folder}/keys"))
     kept = spark.read.schema(KEYS).parquet(f"{folder}/keys").withColumn("level", F.lit(level))
-    spots = kept.select("level", _bucket(F.col("level")).alias("bucket"), F.explode(_probes()).alias("spot"))
-    bits = spots.groupBy("level", "bucket").agg(F.bitmap_construct_agg("spot").alias("bits"))
+    first, step = _first_and_step()
+    spots = kept.select(_bucket(F.col("level")).cast("bigint").alias("bucket"), first.alias("first"), step.alias("step"))
+    bits = (spots.mapInArrow(_bitmaps, "bucket bigint, bits binary").groupBy(F.lit(level).alias("level"), "bucket")
+            .agg(F.bitmap_or_agg("bits").alias("bits")))
     bits.repartitionByRange(ceil(max(rows, 1) / FILE), "bucket").sortWithinPartitions("bucket").write.parquet(f"{folder}/filters")
 
 
@@ -75,8 +109,9 @@ def suspects(spark: SparkSession, parts: dict[str, int], claims: DataFrame) -> D
     levels = F.array(*[F.lit(n) for n in sorted({level_of(rows) for rows in parts.values()})])
     asked = (claims.select("invoice_number").distinct().select("invoice_number", number_hash().alias("hash"))
              .withColumn("probes", _probes()).withColumn("level", F.explode(levels)).withColumn("bucket", _bucket(F.col("level"))))
-    byte = F.expr("transform(probes, p -> shiftright(cast(conv(hex(substring(bits, cast(shiftright(p, 3) + 1 AS int), 1)), 16, 10) AS int), cast(p & 7 AS int)) & 1)")
-    return (asked.join(filters, ["level", "bucket"]).filter(F.forall(byte, lambda bit: bit == 1))
+    # ends at the first bit that is not set, for most claims one of the first two
+    there = F.expr("forall(probes, p -> shiftright(cast(conv(hex(substring(bits, cast(shiftright(p, 3) + 1 AS int), 1)), 16, 10) AS int), cast(p & 7 AS int)) & 1 = 1)")
+    return (asked.join(filters, ["level", "bucket"]).filter(there)
             .select("invoice_number", "hash").distinct())
 
 
