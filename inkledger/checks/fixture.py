@@ -154,7 +154,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(*[f[n].alias(n) for n in nested[1:]]).alias("bank_details"), _items().alias("invoice_items"))
     body = F.to_json(F.struct(inference.alias("inference_result"),
                               F.struct(confidence_fraction().alias("confidence")).alias("matched_blueprint")))
-    return orders(spark, sf_dir, True).select(
+    # texts are built and parsed by many tasks, also where the table has few files or row groups
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return orders(spark, sf_dir, True).repartition(tasks, "k").select(
         _k().alias("arrival"), F.lit(BUCKET).alias("s3_bucket"), result_key().alias("s3_key"), body.alias("raw"))
 
 
@@ -169,13 +171,14 @@ def keyed(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_keys(df, F.col("arrival"), F.col("arrival") % n_sup, F.col("arrival"))
 
 
-def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = process_documents(extracted(spark, sf_dir))
+def classified(spark: SparkSession, sf_dir: str, flat: DataFrame | None = None) -> DataFrame:
+    """The documents decided; ``flat``: their ``extracted`` rows, where a query has them stored."""
+    done = process_documents(extracted(spark, sf_dir) if flat is None else flat)
     return keyed(done.withColumn("processed_at", processed_at(F.col("arrival"))), spark, sf_dir)
 
 
-def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_invoices(classified(spark, sf_dir))
+def accepted(spark: SparkSession, sf_dir: str, flat: DataFrame | None = None) -> DataFrame:
+    return dedupe_invoices(classified(spark, sf_dir, flat))
 
 
 def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,10 +230,21 @@ def order_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None)
         (unit / 100).cast(MONEY).alias("unit_price"), (cents / 100).cast(MONEY).alias("amount"))
 
 
-def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five tables as a store would hold them: accepted documents and lines written once."""
+LINES = "array<struct<line_number:int,description:string,quantity:decimal(10,2),unit_price:decimal(12,2),amount:decimal(12,2)>>"
+#: What tables other than the lines take from an accepted document.
+FACTS = ["arrival", "s3_bucket", "s3_key", "invoice_id", "vendor_id", "customer_id", "invoice_number", "company_name", "company_address",
+         "company_contact", "bill_to", "client_email", "invoice_day", "due_day", "po_number", "subtotal_value", "discount_value", "tax_value",
+         "total_value", "payment_terms", "payment_instructions", "bank_name", "account_number", "routing_number", "confidence_score", "status",
+         "processed_at", "present"]
+
+
+def stored_tables(spark: SparkSession, sf_dir: str, flat: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The five tables as a store would hold them: accepted documents and lines written once.
+
+    Lines are the orders', so documents go through the choice of firsts without theirs.
+    """
     work = shared_dir(spark, "tables")
-    accepted(spark, sf_dir).write.parquet(f"{work}/accepted")
+    accepted(spark, sf_dir, flat).select(*FACTS, F.array().cast(LINES).alias("lines")).write.parquet(f"{work}/accepted")
     facts = spark.read.parquet(f"{work}/accepted")
     order_lines(spark, sf_dir, facts).write.parquet(f"{work}/lines")
     tables = project_tables(facts)
