@@ -49,14 +49,11 @@ def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame
 def _cuts(rows: DataFrame) -> DataFrame:
     """``(_key, _cut, _used)``: the highest ``_h`` up to which a source's ``_size`` sum to ``_room`` at most.
 
-    Each source's hash range is cut into about sqrt(rows) buckets: bucket totals are summed
+    Each source's hash range is cut into ``_buckets``: bucket totals are summed
     along first, then rows inside a bucket, so no source is ordered in one task.
     """
-    counts = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    buckets = F.greatest(F.lit(1), F.least(F.ceil(F.col("_n") / BUCKET_ROWS), F.ceil(F.sqrt("_n")))).cast("bigint")
     # the top 31 bits of the hash times the number of buckets, shifted back: ordered and even
-    rows = (rows.join(counts.select("_key", buckets.alias("_buckets")), "_key")
-            .withColumn("_bucket", F.shiftright(F.shiftright("_h", 32) * F.col("_buckets"), 31)))
+    rows = rows.withColumn("_bucket", F.shiftright(F.shiftright("_h", 32) * F.col("_buckets"), 31))
     totals = rows.groupBy("_key", "_bucket").agg(F.sum("_size").alias("_sum"))
     before = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("_key", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
@@ -67,6 +64,36 @@ def _cuts(rows: DataFrame) -> DataFrame:
             .groupBy("_key").agg(F.max("_h").alias("_cut"), F.max("_upto").alias("_used")))
 
 
+def _later_cuts(rows: DataFrame, rounds: int) -> DataFrame:
+    """``(_key, _later)``: the (room, cut) of ``rounds`` more rounds along the rows that the first one left.
+
+    ``rows``: (_key, _size, _h, _room, _buckets), sizes from 1 to the room.  Rows of one size are taken along
+    their hash, so of a size no more than room / size rows go in, and the row after them is the last that can
+    end a round.  Only those rows are kept, first in each of the source's buckets, then in all: about
+    room * log(room) of a source, however many it has.  All rounds run along them in the same order, with one exchange.
+    """
+    rows = (rows.groupBy("_key", "_size", "_h", "_room", "_buckets").agg(F.sum("_size").alias("_sum"))
+            .withColumn("_part", F.pmod("_h", "_buckets")))
+    for keys in (["_key", "_size", "_part"], ["_key", "_size"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("_h"))
+        rows = rows.withColumn("_place", place).filter((F.col("_place") - 1) * F.col("_size") <= F.col("_room"))
+    whole = Window.partitionBy("_key")
+    # a range frame, as above
+    along = whole.orderBy("_h")
+    rows = rows.select("_key", "_size", "_h", "_sum", "_room", F.lit(True).alias("_free"), F.array().cast("array<struct<room:bigint,cut:bigint>>").alias("_later"))
+    for _ in range(rounds):
+        is_open = F.col("_free") & (F.col("_size") <= F.col("_room"))
+        rows = rows.withColumn("_upto", F.sum(F.when(is_open, F.col("_sum")).otherwise(0)).over(along))
+        fits = is_open & (F.col("_upto") <= F.col("_room"))
+        rows = rows.withColumns({"_cut": F.coalesce(F.max(F.when(fits, F.col("_h"))).over(whole), F.lit(-1)),
+                                 "_used": F.coalesce(F.max(F.when(fits, F.col("_upto"))).over(whole), F.lit(0))})
+        rows = rows.select(
+            "_key", "_size", "_h", "_sum", (F.col("_room") - F.col("_used")).alias("_room"),
+            (F.col("_free") & ~((F.col("_size") <= F.col("_room")) & (F.col("_h") <= F.col("_cut")))).alias("_free"),
+            F.concat("_later", F.array(F.struct(F.col("_room").alias("room"), F.col("_cut").alias("cut")))).alias("_later"))
+    return rows.groupBy("_key").agg(F.first("_later").alias("_later"))
+
+
 def _priced(sources: DataFrame, weights) -> DataFrame:
     if isinstance(weights, DataFrame):
         given = weights.select(F.col(weights.columns[0]).alias("_name"), F.col(weights.columns[1]).alias("weight"))
@@ -84,7 +111,7 @@ def mix(docs: DataFrame, source: str, size: Column, row_hash: Column, weights, t
     source's target is ``water_fill``'s.  Every row is taken floor(target / source size) times
     whole; the rest of the target is filled with one more copy of some rows along the seeded
     ``row_hash``, up to a cut found from sums over all rows.  What then is left is filled by
-    further ``rounds`` among the rows small enough, until no source has one.  The decision on a
+    further ``rounds`` among the rows small enough; they are one plan, whatever their number.  The decision on a
     row is a comparison with a few numbers of its source, so wide rows are never shuffled.
 
     Null sources are one source; null and empty texts have size 0 and get the whole copies
@@ -96,45 +123,45 @@ def mix(docs: DataFrame, source: str, size: Column, row_hash: Column, weights, t
     hashed = F.shiftrightunsigned(row_hash, 1)
     rows = staged(docs.select(key.alias("_key"), F.col(source).alias("_source"), size.alias("_size"), hashed.alias("_h")),
                   "mix-rows")
-    sources = staged(rows.groupBy("_key", "_source").agg(F.sum("_size").alias("source_size")), "mix-sources")
+    sources = staged(rows.groupBy("_key", "_source").agg(
+        F.sum("_size").alias("source_size"), F.count(F.lit(1)).alias("_n")), "mix-sources")
     total = float(sources.agg(F.sum("source_size")).first()[0] or 0) * total_share
     filled = water_fill(staged(_priced(sources, weights), "mix-priced"), total, max_epochs)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # a ratio a rounding error below a whole number is that number
     filled = filled.withColumn("_whole", F.floor(ratio + F.lit(1e-9)).cast("bigint"))
     room = F.greatest(F.lit(0.0), F.round(F.col("target") - F.col("_whole") * F.col("source_size"))).cast("bigint")
-    rules = staged(filled.select("_key", "source_size", "target", "_whole", room.alias("_room0")), "mix-targets")
-
-    def takes(turn: int) -> Column:
-        return (F.col("_size") > 0) & (F.col("_size") <= F.col(f"_room{turn}")) & (F.col("_h") <= F.col(f"_cut{turn}"))
-
-    done = 0
-    for turn in range(rounds):
-        open_rows = rows.join(rules, "_key").filter((F.col("_size") > 0) & (F.col("_size") <= F.col(f"_room{turn}")))
-        for earlier in range(turn):
-            open_rows = open_rows.filter(~takes(earlier))
-        cuts = _cuts(open_rows.select("_key", "_size", "_h", F.col(f"_room{turn}").alias("_room")))
-        found = rules.join(cuts, "_key", "left")
-        done = turn + 1
-        rules = staged(found.withColumn(f"_cut{turn}", F.coalesce("_cut", F.lit(-1)))
-                       .withColumn(f"_room{turn + 1}", F.col(f"_room{turn}") - F.coalesce("_used", F.lit(0)))
-                       .drop("_cut", "_used"), f"mix-cuts{turn}")
-        if rules.filter(F.col(f"_cut{turn}") >= 0).isEmpty():
-            break
-    extra = F.lit(0)
-    for turn in reversed(range(done)):
-        extra = F.when(takes(turn), 1).otherwise(extra)
-    copies = (F.col("_whole") + extra).cast("bigint")
+    # about sqrt(rows) buckets of a large source
+    buckets = F.greatest(F.lit(1), F.least(F.ceil(F.col("_n") / BUCKET_ROWS), F.ceil(F.sqrt("_n")))).cast("bigint")
+    rules = staged(filled.select("_key", "source_size", "target", "_whole", room.alias("_room0"), buckets.alias("_buckets")),
+                   "mix-targets")
+    if rounds > 0:
+        fitting = rows.join(rules.select("_key", F.col("_room0").alias("_room"), "_buckets"), "_key").filter("_size BETWEEN 1 AND _room")
+        cuts = _cuts(fitting.select("_key", "_size", "_h", "_room", "_buckets"))
+        rules = staged(rules.join(cuts, "_key", "left").select(
+            *rules.columns, F.coalesce("_cut", F.lit(-1)).alias("_cut0"), (F.col("_room0") - F.coalesce("_used", F.lit(0))).alias("_room1")),
+            "mix-cuts")
+    else:
+        rules = rules.withColumns({"_cut0": F.lit(-1).cast("bigint"), "_room1": F.lit(0).cast("bigint")})
+    # rows that fit into what is left also fitted before: they were taken if their hash is below the cut
+    left = rows.join(rules.select("_key", F.col("_room1").alias("_room"), "_cut0", "_buckets"), "_key").filter(
+        "_size BETWEEN 1 AND _room AND _h > _cut0")
+    later = _later_cuts(left.select("_key", "_size", "_h", "_room", "_buckets"), max(0, rounds - 1))
+    rules = staged(rules.join(later, "_key", "left"), "mix-rules")
+
+    row_size, row_h = F.col("_row._size"), F.col("_row._h")
+    taken = ((row_size <= F.col("_rule._room0")) & (row_h <= F.col("_rule._cut0"))) | F.exists(
+        F.col("_rule._later"), lambda e: (row_size <= e["room"]) & (row_h <= e["cut"]))
+    extra = F.when((row_size > 0) & taken, 1).otherwise(0)
+    copies = (F.col("_rule._whole") + extra).cast("bigint")
     kept = [c for c in docs.columns if c != out]
     wide = docs.select(*kept, F.struct(key.alias("_key"), size.alias("_size"), hashed.alias("_h")).alias("_row"))
     # the rules' columns go below one name, so no column of the documents can clash with them
     rules = rules.select(F.col("_key").alias("_rule_key"), F.struct(*[c for c in rules.columns if c != "_key"]).alias("_rule"))
     joined = wide.join(rules, F.col("_row._key") == F.col("_rule_key"), "left")
-    flat = joined.withColumns({f"{c}": F.col(f"_row.{c}") for c in ("_size", "_h")} | {
-        f"{c}": F.col(f"_rule.{c}") for c in rules.schema["_rule"].dataType.names if c.startswith("_")})
-    return flat.withColumn(out, F.struct(
-        F.col("_size").alias("size"), F.col("_rule.source_size").alias("source_size"), F.col("_rule.target").alias("target"),
-        copies.alias("copies"), (copies * F.col("_size")).alias("taken"))).select(*kept, out)
+    return joined.withColumn(out, F.struct(
+        row_size.alias("size"), F.col("_rule.source_size").alias("source_size"), F.col("_rule.target").alias("target"),
+        copies.alias("copies"), (copies * row_size).alias("taken"))).select(*kept, out)
 
 
 def repeated(mixed: DataFrame, out: str = "mix") -> DataFrame:

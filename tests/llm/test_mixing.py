@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from inkledger.llm import mixing
 from inkledger.llm.mixing import mix, repeated, water_fill, word_count
 
 WEIGHTS = [3.0, 1.0, 2.0]
@@ -83,3 +84,43 @@ def test_repeated_rows_weights_table_and_clashing_columns(spark):
     assert full.columns == docs.columns[:-1]
     counts = {r["source"]: r["count"] for r in full.groupBy("source").count().collect()}
     assert counts == {"s": 75} and full.filter("target = 'kept' AND weight = 5 AND _key = 6").count() == 75
+
+
+def rounds_of(rows, room, rounds):
+    """The (hash, size) pairs taken by plain rounds along the hash; equal hashes go together."""
+    taken = set()
+    for _ in range(rounds):
+        used, fitting = 0, room
+        for h in sorted({h for h, s in rows if (h, s) not in taken and 0 < s <= room}):
+            tied = [(x, s) for x, s in rows if x == h and (x, s) not in taken and 0 < s <= room]
+            used += sum(s for _, s in tied)
+            if used > room:
+                break
+            fitting = room - used
+            last = h
+        if fitting == room:
+            break
+        taken |= {(x, s) for x, s in rows if x <= last and 0 < s <= room}
+        room = fitting
+    return taken
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 8])
+def test_rows_taken_are_those_of_plain_rounds(spark, monkeypatch, rounds):
+    """Sizes from 1 to 3,000, hashes that tie, a source of many equal sizes; in small buckets, all rounds in one plan."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 16)
+    rng = random.Random(rounds)
+    rows = [(i, rng.choice([1, 2, 3, 50, 700]) if i % 3 else rng.randint(0, 3000), "abc"[i % 3], rng.randrange(900) << 50) for i in range(1500)]
+    rows += rows[:200]
+    docs = spark.createDataFrame(rows, "doc_id bigint, n bigint, source string, h bigint")
+    staged, names = mixing.staged, []
+    monkeypatch.setattr(mixing, "staged", lambda df, name: names.append(name) or staged(df, name))
+    got = mix(docs, "source", F.col("n"), F.col("h"), WEIGHTS, 1.3, rounds=rounds).select("source", "n", "h", "mix.*").collect()
+    for source in "abc":
+        own = [r for r in got if r["source"] == source]
+        target, total = own[0]["target"], own[0]["source_size"]
+        whole = int(target / total + 1e-9)
+        want = rounds_of([(r["h"] >> 1, r["n"]) for r in own], round(target - whole * total), rounds)
+        assert {(r["h"] >> 1, r["n"]) for r in own if r["copies"] > whole} == want
+    # no step of its own for each round
+    assert len(names) == 6
