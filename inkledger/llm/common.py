@@ -63,11 +63,11 @@ def wide_id(value: Column) -> Column:
 
 def _is_stars(edges: DataFrame) -> bool:
     """Whether every upper end has one edge and no lower end is itself an upper end."""
-    ups = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-    if not ups.filter("n > 1").limit(1).isEmpty():
-        return False
-    lower = edges.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    return lower.join(ups, lower["v"] == ups["u"], "left_semi").limit(1).isEmpty()
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("low")).unionAll(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("low")))
+    # one aggregation: plans stay on the driver for a while
+    counts = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("low").alias("low"))
+    return counts.filter("up > 1 OR (up = 1 AND low = 1)").isEmpty()
 
 
 def components(edges: DataFrame, src: str, dst: str, purpose: str) -> DataFrame:

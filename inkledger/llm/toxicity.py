@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import sha256
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 from xxhash import xxh3_64_intdigest
 
+from inkledger.llm.blocks import flat
 from inkledger.llm.words import as_bytes
 
 #: Features are hashed to so many bits; a few million of them hardly ever meet.
@@ -88,7 +91,29 @@ def _counts(features: np.ndarray, has: np.ndarray, often: np.ndarray) -> np.ndar
 
 
 def _different(rows: list[np.ndarray]) -> list[np.ndarray]:
-    return list({r.tobytes(): r for r in rows}.values())
+    return list({sha256(np.ascontiguousarray(r)).digest(): r for r in rows}.values())
+
+
+def _slices(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The features of each row of a binary column, where they lie in its buffers."""
+    out = []
+    for chunk in column.chunks:
+        data, ends = flat(chunk)
+        begin = 0
+        for end in ends.tolist():
+            out.append(np.frombuffer(data[begin:end], np.int32))
+            begin = end
+    return out
+
+
+def _by_bytes(rows: list[np.ndarray]) -> list[int]:
+    """Row numbers in the order of the rows' bytes; only those that begin alike are copied."""
+    begin = lambda i: rows[i][:8].tobytes()
+    out = []
+    for _, same in groupby(sorted(range(len(rows)), key=begin), begin):
+        same = list(same)
+        out += same if len(same) == 1 else sorted(same, key=lambda i: rows[i].tobytes())
+    return out
 
 
 def risk(positive: tuple, unlabelled: tuple, w: np.ndarray, b: float, prior: float, decay: float) -> tuple[float, np.ndarray]:
@@ -183,11 +208,15 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     place = F.row_number().over(Window.partitionBy("positive").orderBy(F.xxhash64("features"), "features"))
     bound = F.when(F.col("positive"), max_positive).otherwise(max_unlabelled)
     rows = found.withColumn("_place", place).filter(F.col("_place") <= bound).drop("_place").toArrow()
-    features = [np.frombuffer(x, np.int32) for x in rows["features"].to_pylist()]
-    flags = rows["positive"].to_pylist()
+    # the sample stays in the buffers it came in, which go back to the system when the model is there
+    features, flags = _slices(rows["features"]), rows["positive"].to_pylist()
+    del rows
     # rows come in any order; sums of floats should not
-    order_of = sorted(range(len(flags)), key=lambda i: features[i].tobytes())
-    return fit([features[i] for i in order_of if flags[i]], [features[i] for i in order_of if not flags[i]], prior)
+    order_of = _by_bytes(features)
+    model = fit([features[i] for i in order_of if flags[i]], [features[i] for i in order_of if not flags[i]], prior)
+    del features
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from inkledger.llm import near_dedup
+from inkledger.llm import common, near_dedup
 from inkledger.llm.near_dedup import _regions, deduplicated, near_duplicates
 
 
@@ -141,3 +141,17 @@ def test_the_wide_look_finds_partners_that_small_regions_part():
     # the sizes of one pair alone are too different
     assert got == {int(i): int(i) ^ 1 for i in ids[asked] if int(i) not in (8, 9)}
     assert list(near_dedup._wide_look(tree, keys, ids, sizes, asked[:0], 80)) == []
+
+
+def test_stars_are_told_by_one_aggregation(spark, monkeypatch):
+    rng = random.Random(8)
+    for turn in range(12):
+        pairs = {(max(a, b), min(a, b)) for a, b in ((rng.randrange(9), rng.randrange(9)) for _ in range(rng.randint(0, 5))) if a != b}
+        ups = [u for u, _ in pairs]
+        want = len(ups) == len(set(ups)) and not {v for _, v in pairs} & set(ups)
+        edges = spark.createDataFrame(sorted(pairs), "u bigint, v bigint")
+        assert common._is_stars(edges) == want, pairs
+    asked, whole = [], type(edges).isEmpty
+    monkeypatch.setattr(type(edges), "isEmpty", lambda df: asked.append(df) or whole(df))
+    common._is_stars(edges.sparkSession.createDataFrame([(2, 1), (3, 1)], "u bigint, v bigint"))
+    assert len(asked) == 1

@@ -1,8 +1,10 @@
 """The risk estimator, and held-out accuracy on invented text."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from inkledger.llm import toxicity
@@ -132,3 +134,34 @@ def test_sample_bounds_hold(data):
     docs, labels, _ = data
     model = train(docs, labels, max_positive=20, max_unlabelled=50)
     assert isinstance(model, Model) and toxicity.MAX_POSITIVE <= 10_000
+
+
+def test_the_sample_is_not_copied_on_the_driver(spark, monkeypatch):
+    """Training holds the sample as it came, not a second and third time."""
+    docs = spark.createDataFrame([(i, " ".join(f"word{i}x{j}" for j in range(1500))) for i in range(300)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    given, kept = [], toxicity.fit
+
+    def learned(positive, unlabelled, prior):
+        # the most that was held until here
+        given.append((tracemalloc.get_traced_memory()[1], sum(x.nbytes for x in positive + unlabelled)))
+        return kept(positive, unlabelled, prior)
+
+    monkeypatch.setattr(toxicity, "fit", learned)
+    tracemalloc.start()
+    try:
+        train(docs, labels)
+    finally:
+        tracemalloc.stop()
+    (held, size), = given
+    assert size > 1_500_000 and held < 2 * size, (held, size)
+
+
+def test_order_and_repeats_of_the_sample():
+    rng = np.random.default_rng(5)
+    rows = [rng.integers(0, 3, rng.integers(0, 12)).astype(np.int32) for _ in range(400)]
+    order = toxicity._by_bytes(rows)
+    assert [rows[i].tobytes() for i in order] == sorted(r.tobytes() for r in rows) and sorted(order) == list(range(400))
+    assert [r.tobytes() for r in toxicity._different(rows)] == list(dict.fromkeys(r.tobytes() for r in rows))
+    parts = pa.chunked_array([pa.array([r.tobytes() for r in part], pa.binary()) for part in (rows[:150], rows[150:])] + [pa.array([], pa.binary())])
+    assert [r.tolist() for r in toxicity._slices(parts)] == [r.tolist() for r in rows]
