@@ -195,31 +195,68 @@ def _start(vectors: DataFrame, rows: int) -> DataFrame:
     return placed.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys).mapInArrow(near, _LISTS)
 
 
-def _local_joins(graph: DataFrame, vectors: DataFrame, tasks: int) -> DataFrame:
-    """Lists of the nearest that members of each vector's neighbourhood find among one another."""
-    edges = graph.select("rep", F.explode(F.arrays_zip("ids", "fresh")).alias("e")).select(
-        F.col("rep"), F.col("e.ids").alias("id"), F.col("e.fresh").alias("fresh"))
-    back = edges.select(F.col("id").alias("center"), F.col("rep").alias("member"), "fresh")
+def _new_edges(graph: DataFrame) -> DataFrame:
+    """``(rep, id)``: the edges that came in with the last round, all of them at the start."""
+    fresh = F.filter(F.arrays_zip("ids", "fresh"), lambda e: e["fresh"])
+    return graph.select("rep", F.explode(fresh).alias("e")).select("rep", F.col("e.ids").alias("id"))
+
+
+def _arrivals(graph: DataFrame, vectors: DataFrame, log: DataFrame | None, turn: int) -> DataFrame:
+    """``(center, salt, turn, backs, members)``: who is new at each vector in this round, with the vectors.
+
+    A new edge brings either end to the other.  It is dealt and joined with vectors in this round alone: who came
+    earlier is in the ``log``, the arrivals of the rounds before, and stays there when its edge is dropped.
+    """
+    edges = _new_edges(graph)
+    back = edges.select(F.col("id").alias("center"), F.col("rep").alias("member"))
     # a vector that is a neighbour of very many has several joins, its members dealt among them
-    crowded = back.groupBy("center").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MEMBERS)
+    counts = back.groupBy("center").agg(F.count(F.lit(1)).alias("n"))
+    if log is not None:
+        counts = (counts.unionByName(log.select("center", F.col("backs").alias("n")))
+                  .groupBy("center").agg(F.sum("n").alias("n")))
+    crowded = counts.filter(F.col("n") > MEMBERS)
     back = (back.join(crowded, "center", "left")
-            .withColumn("salt", F.pmod(F.xxhash64("member"), F.coalesce(F.ceil(F.col("n") / MEMBERS), F.lit(1)))).drop("n"))
-    ahead = edges.select(F.col("rep").alias("center"), F.col("id").alias("member"), "fresh", F.lit(0).cast("bigint").alias("salt"))
-    members = back.unionByName(ahead).groupBy("center", "salt", "member").agg(F.max("fresh").alias("fresh"))
+            .withColumn("salt", F.pmod(F.xxhash64("member"), F.coalesce(F.ceil(F.col("n") / MEMBERS), F.lit(1))))
+            .withColumn("back", F.lit(1)).drop("n"))
+    ahead = edges.select(F.col("rep").alias("center"), F.col("id").alias("member"), F.lit(0).cast("bigint").alias("salt"),
+                         F.lit(0).alias("back"))
+    members = back.unionByName(ahead).groupBy("center", "salt", "member").agg(F.max("back").alias("back"))
     least = graph.select("rep", F.when(F.size("sims") >= NEIGHBOURS, F.array_min("sims")).alias("least"))
     known = vectors.join(least, "rep").withColumnRenamed("rep", "member")
+    return (members.join(known, "member").groupBy("center", "salt")
+            .agg(F.sum("back").alias("backs"), F.collect_list(F.struct("member", "code", "scale", "rest", "least")).alias("members"))
+            .select("center", "salt", F.lit(turn).alias("turn"), "backs", "members"))
+
 
+def _local_joins(log: DataFrame, turn: int, tasks: int) -> DataFrame:
+    """Lists of the nearest that members of each vector's neighbourhood find among one another, one of the two new in ``turn``."""
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(batches)
         if table is None:
             return
-        full, ids = _decoded(*(_one(table[c]) for c in ("code", "scale", "rest"))), table["member"].to_numpy()
-        fresh = table["fresh"].to_numpy(zero_copy_only=False)
-        low = np.nan_to_num(np.asarray(_one(table["least"]).fill_null(-2.0), np.float32), nan=-2.0)
+        lists = _one(table["members"])
+        lengths = np.diff(lists.offsets.to_numpy())
         center, salt = table["center"].to_numpy(), table["salt"].to_numpy()
-        heads = np.flatnonzero(np.append(True, (center[1:] != center[:-1]) | (salt[1:] != salt[:-1])))
-        sizes = np.diff(np.append(heads, len(center)))
+        hood = np.cumsum(np.append(0, (center[1:] != center[:-1]) | (salt[1:] != salt[:-1])))
+        came = np.repeat(table["turn"].to_numpy(), lengths)
+        hood = np.repeat(hood, lengths)
+        ids, codes, scales, rests, least = lists.flatten().flatten()
+        ids, full = ids.to_numpy(), _decoded(codes, scales, rests)
+        # what a list must beat never falls: the latest value here is the highest
+        low = np.nan_to_num(np.asarray(least.fill_null(-2.0), np.float32), nan=-2.0)
+        names, place = np.unique(ids, return_inverse=True)
+        highest = np.full(len(names), -2.0, np.float32)
+        np.maximum.at(highest, place, low)
+        low = highest[place]
+        # a neighbour that comes again by the other end was there before
+        order = np.lexsort((came, ids, hood))
+        order = order[np.append(True, (hood[order][1:] != hood[order][:-1]) | (ids[order][1:] != ids[order][:-1]))]
+        hood, ids, full, low, fresh = hood[order], ids[order], full[order], low[order], came[order] == turn
+        heads = np.flatnonzero(np.append(True, hood[1:] != hood[:-1]))
+        sizes = np.diff(np.append(heads, len(hood)))
+        active = np.logical_or.reduceat(fresh, heads)
         order = np.argsort(sizes, kind="stable")
+        order = order[active[order]]
         for at in range(0, len(order), 256):
             group = order[at:at + 256]
             group = group[sizes[group] > 1]
@@ -246,8 +283,8 @@ def _local_joins(graph: DataFrame, vectors: DataFrame, tasks: int) -> DataFrame:
                 yield _lists(ids[place].reshape(-1)[some], found.reshape(good.shape)[good], sims.reshape(good.shape)[good],
                              np.ones(int(counts.sum()), bool), np.append(0, np.cumsum(counts[some])))
 
-    return (members.join(known, "member").repartition(tasks, "center", "salt").sortWithinPartitions("center", "salt")
-            .mapInArrow(meet, _LISTS))
+    return (log.select("center", "salt", "turn", "members").repartition(tasks, "center", "salt")
+            .sortWithinPartitions("center", "salt").mapInArrow(meet, _LISTS))
 
 
 def build_graph(vectors: DataFrame) -> DataFrame:
@@ -255,8 +292,11 @@ def build_graph(vectors: DataFrame) -> DataFrame:
     rows = vectors.count()
     tasks = tasks_for(vectors.sparkSession, rows, 5_000)
     graph = staged(_merged(_start(vectors, rows), NEIGHBOURS, tasks), "ann-start")
+    log = None
     for turn in range(ROUNDS):
-        found = _local_joins(graph, vectors, tasks)
+        arrivals = staged(_arrivals(graph, vectors, log, turn), f"ann-members{turn}")
+        log = arrivals if log is None else log.unionByName(arrivals)
+        found = _local_joins(log, turn, tasks)
         used = graph.withColumn("fresh", F.transform("fresh", lambda _: F.lit(False)))
         graph = staged(_merged(used.unionByName(found), NEIGHBOURS, tasks), f"ann-graph{turn}")
         changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x))).alias("new"), F.sum(F.size("ids")).alias("all")).first()

@@ -87,3 +87,44 @@ def test_joins_and_walks_go_on_until_nothing_changes(spark, monkeypatch):
     assert sum(map(sum, lists_)) <= nn_descent.STILL * sum(map(len, lists_))
     asked = packed.filter("rep % 50 = 0").selectExpr("rep AS query", "rep AS entry", "code AS query_code", "scale AS query_scale")
     assert not any(any(r["fresh"]) for r in nn_descent.greedy_search(graph, packed, asked).collect())
+
+
+def test_a_round_deals_new_edges_alone(spark, monkeypatch):
+    """Each edge is exploded and joined with vectors in the round it came in, not in all that follow."""
+    for name, value in (("CHUNK", 16), ("ORDERS", 2), ("NEIGHBOURS", 8), ("TAKEN", 4)):
+        monkeypatch.setattr(nn_descent, name, value)
+    rounds, arrivals = [], nn_descent._arrivals
+
+    def noted(graph, vectors, log, turn):
+        out = arrivals(graph, vectors, log, turn)
+        edges = [(r["rep"], i, f) for r in graph.collect() for i, f in zip(r["ids"], r["fresh"])]
+        rounds.append((edges, nn_descent._new_edges(graph).count(), [(r["center"], m["member"]) for r in out.collect() for m in r["members"]]))
+        return out
+
+    monkeypatch.setattr(nn_descent, "_arrivals", noted)
+    rows = nn_descent.usable(table(spark, range(900), np.random.default_rng(4).standard_normal((900, 6))))
+    nn_descent.build_graph(nn_descent._packed(rows.withColumnRenamed("vec_id", "rep")))
+    assert len(rounds) > 3 and all(f for _, _, f in rounds[0][0])
+    met = set()
+    for edges, exploded, members in rounds:
+        new = {(a, b) for a, b, f in edges if f}
+        assert exploded == len(new) and set(members) >= new | {(b, a) for a, b in new} and len(members) <= 2 * len(new)
+        # who came earlier is still there: both ends of every edge have been brought together
+        met |= set(members)
+        assert all((a, b) in met and (b, a) in met for a, b, _ in edges)
+    assert sum(x for _, x, _ in rounds) < sum(len(x) for x, _, _ in rounds) / 2
+
+
+def test_new_members_meet_earlier_ones(spark):
+    packed = nn_descent._packed(nn_descent.usable(table(spark, range(4), np.eye(4) + 0.1)).withColumnRenamed("vec_id", "rep"))
+    first = spark.createDataFrame([(0, [1, 2], [0.2, 0.1], [True, True])], nn_descent._LISTS)
+    # 2 was dropped, 3 is new, 1 lists 0 as well and so comes again by its own edge
+    second = spark.createDataFrame([(0, [3, 1], [0.3, 0.2], [True, False]), (1, [0], [0.2], [True]), (2, [3], [0.1], [False]),
+                                    (3, [2], [0.1], [False])], nn_descent._LISTS)
+    vertices = spark.createDataFrame([(i, [], [], []) for i in range(1, 4)], nn_descent._LISTS)
+    log = nn_descent._arrivals(first.unionByName(vertices), packed, None, 0)
+    at_first = {r["rep"]: set(r["ids"]) for r in nn_descent._local_joins(log, 0, 2).collect()}
+    assert at_first == {1: {2}, 2: {1}}
+    log = log.unionByName(nn_descent._arrivals(second, packed, log, 1))
+    then = {r["rep"]: set(r["ids"]) for r in nn_descent._local_joins(log, 1, 2).collect()}
+    assert then == {1: {3}, 2: {3}, 3: {1, 2}}
