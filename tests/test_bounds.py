@@ -1,11 +1,16 @@
 """What a query holds at one time, on disk, in the driver or in a stream's state, does not grow with its tables."""
 
 import os
+import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from inkledger.checks import queries, store_queries
+from inkledger.model import JOB_TAG
+from inkledger.streaming.commits import read_state
+from inkledger.streaming.routing import read_routes, start_routing
+
+TIME = "timestamp_ntz'2025-01-01' + make_dt_interval(0, 0, at)"
 
 
 @pytest.fixture(scope="module")
@@ -40,3 +45,44 @@ def test_files_lie_on_the_disk_in_slices(spark, star, monkeypatch):
     assert results == {f"/job-{k}/0/custom_output/0/result.json" for k in range(300) if k % 11}
     assert {r.s3_key for r in rows if r.error == "Skipped"} == {f"/job-{k}/0/standard_output/0/result.json" for k in range(0, 300, 11)}
     assert {r.s3_key: r.invoice_number for r in rows if r.s3_key in results}["/job-1/0/custom_output/0/result.json"] == "INV-1"
+
+
+def results_of(spark, rows):
+    df = spark.createDataFrame(rows, "invoice_number string, job int, at int")
+    return df.selectExpr("invoice_number", "'approved' AS status", "concat('/job-', job, '/0/custom_output/0/result.json') AS s3_key", TIME + " AS processed_at")
+
+
+def files_of(spark, rows):
+    df = spark.createDataFrame(rows, "key string, job int, at int")
+    return df.selectExpr("key", f"map('{JOB_TAG}', concat('job-', job)) AS tags", TIME + " AS uploaded_at")
+
+
+def test_routing_keeps_no_rows_in_a_stream_s_state(spark, tmp_path):
+    work, draw, wait = str(tmp_path), random.Random(5), 15
+    make = {"results": results_of, "files": files_of}
+    arrived, closed, expected = {"results": [], "files": []}, -1000, set()
+    for step in range(6):
+        latest = []
+        for kind in arrived:
+            # some without a job, some older than what is still taken
+            rows = [(f"{kind[0]}{step}-{i}", draw.choice([None, *range(12)]), draw.randrange(20 * step - 25, 20 * step + 20)) for i in range(20)]
+            make[kind](spark, rows).write.mode("append").parquet(f"{work}/{kind}")
+            arrived[kind] += [r for r in rows if r[2] > closed]
+            latest.append(max(r[2] for r in rows if kind == "results" or r[1] is not None))
+        near = [(r, f) for r in arrived["results"] for f in arrived["files"] if r[1] is not None and r[1] == f[1] and abs(r[2] - f[2]) <= wait]
+        closed = max(closed, min(latest) - wait)
+        expected |= {(r[0], f[0]) for r, f in near}
+        expected |= {(r[0], None) for r in arrived["results"] if r[2] < closed - wait and r not in [n for n, _ in near]}
+        streams = [spark.readStream.schema(spark.read.parquet(f"{work}/{kind}").schema).parquet(f"{work}/{kind}") for kind in arrived]
+        query = start_routing(*streams, f"{work}/routes", f"{work}/ckpt", wait=f"{wait} minutes", **({"fan": 3} if step else {}))
+        query.awaitTermination()
+        assert query.exception() is None
+        assert not query.lastProgress["stateOperators"] and not os.path.exists(f"{work}/ckpt/state")
+        first = {}
+        for number, key in expected:
+            first[number] = min(k for n, k in expected if n == number) if key else None
+        assert {r.invoice_number: r.source_key for r in read_routes(spark, f"{work}/routes", "in", "done", "bad").collect()} == first
+    assert None in first.values() and len(arrived["results"]) < 120
+    # what can meet nothing more has gone with a merge
+    sizes = read_state(spark, f"{work}/routes").sizes("results")
+    assert sum(sizes.values()) < len(arrived["results"])
