@@ -27,6 +27,8 @@ from inkledger.streaming.commits import Part, commit_batch, read_state
 from inkledger.streaming.ingest import BATCHES, compact
 
 BUCKETS = 64
+#: Values of a batch up to which what was kept before is first cut down to them.
+FEW = 100_000
 RULE = ("rule", "table_name", "column_name")
 
 
@@ -75,17 +77,21 @@ def audit_batch(tables: Mapping[str, DataFrame], batch_id: int, out: str, source
         if state.has(source, batch_id):
             return
         name = f"attempt={source}-{batch_id}-{uuid.uuid4().hex[:12]}"
-        folders = state.folders("values")
+        folders, written = state.folders("values"), _write_values(delta, f"{out}/values/{name}")
+        none = F.lit(0).cast("bigint")
+        sums = delta.select(*RULE, "value", none.alias("n0"), none.alias("t0"), "n", "targets")
         if folders:
-            before = _read(spark, out, folders, buckets).join(delta.select(*RULE, "value", "bucket"), [*RULE, "value", "bucket"], "left_semi")
-            before = before.groupBy(*RULE, "value").agg(F.sum("n").alias("n0"), F.sum("targets").alias("t0"))
-        else:
-            before = delta.limit(0).select(*RULE, "value", F.col("n").alias("n0"), F.col("targets").alias("t0"))
-        n0, t0 = F.coalesce("n0", F.lit(0)), F.coalesce("t0", F.lit(0))
+            before = _read(spark, out, folders, buckets)
+            if written.rows <= FEW:
+                before = before.join(delta.select(*RULE, "value", "bucket"), [*RULE, "value", "bucket"], "left_semi")
+            sums = sums.unionAll(before.select(*RULE, "value", "n", "targets", none, none))
+        # a row of the batch has come with one use or target at least; what it does not bring stays as it was
+        keys = sums.groupBy(*RULE, "value").agg(*[F.sum(c).alias(c) for c in ("n0", "t0", "n", "targets")])
+        n0, t0 = F.col("n0"), F.col("t0")
         change = _violations(n0 + F.col("n"), t0 + F.col("targets")) - _violations(n0, t0)
-        keys = delta.join(before, [*RULE, "value"], "left").groupBy(*RULE).agg(F.sum(change).alias("violations"))
-        findings = keys.unionByName(columns.select(*RULE, "violations"))
-        parts = [_write_values(delta, f"{out}/values/{name}"), _write_findings(findings, f"{out}/findings/{name}")]
+        findings = (keys.filter(F.col("n") + F.col("targets") > 0).groupBy(*RULE).agg(F.sum(change).alias("violations"))
+                    .unionByName(columns.select(*RULE, "violations")))
+        parts = [written, _write_findings(findings, f"{out}/findings/{name}")]
         if commit_batch(spark, out, state.version, source, batch_id, parts):
             return
 

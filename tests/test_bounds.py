@@ -7,6 +7,8 @@ import pytest
 
 from inkledger.checks import queries, store_queries
 from inkledger.model import JOB_TAG
+from inkledger.operators import audit
+from inkledger.streaming import audit as deltas
 from inkledger.streaming.commits import read_state
 from inkledger.streaming.routing import read_routes, start_routing
 
@@ -86,3 +88,32 @@ def test_routing_keeps_no_rows_in_a_stream_s_state(spark, tmp_path):
     # what can meet nothing more has gone with a merge
     sizes = read_state(spark, f"{work}/routes").sizes("results")
     assert sum(sizes.values()) < len(arrived["results"])
+
+
+def audited(spark, low, high):
+    """Many rows of few values, as packed files have them: their size says nothing of their rows."""
+    ids = spark.range(low, high, 1, 4)
+    return {"vendors": ids.selectExpr("if(id % 7 = 0, null, id % 5) AS vendor_id", "concat('v', id % 5) AS vendor_name"),
+            "invoices": ids.selectExpr("id AS invoice_id", "concat('n', id % 900) AS invoice_number", "if(id % 3 = 0, null, id % 9) AS vendor_id"),
+            "invoice_line_items": ids.selectExpr("id AS line_item_id", "id + 300 AS invoice_id", "'x' AS description")}
+
+
+def test_the_audit_of_references_broadcasts_no_table(spark, tmp_path):
+    for name, df in audited(spark, 0, 2000).items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    found = audit.audit_foreign_keys({name: spark.read.parquet(f"{tmp_path}/{name}") for name in audited(spark, 0, 1)})
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    lost = sum(k % 3 != 0 and k % 9 > 4 for k in range(2000))
+    assert {(r.table_name, r.column_name): r.violations for r in found.collect()} == {
+        ("invoices", "vendor_id"): lost, ("invoice_line_items", "invoice_id"): 300}
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_large_and_small_batches_are_audited_alike(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(deltas, "FEW", few)
+    for i, (low, high) in enumerate([(0, 900), (700, 1100), (1100, 1150)]):
+        deltas.audit_batch(audited(spark, low, high), i, str(tmp_path))
+        seen = {name: df.unionAll(audited(spark, 700, 1100)[name] if i else df.limit(0)) for name, df in audited(spark, 0, 900).items()}
+        if i == 2:
+            seen = {name: df.unionAll(audited(spark, 1100, 1150)[name]) for name, df in seen.items()}
+        assert sorted(map(tuple, deltas.read_findings(spark, str(tmp_path)).collect())) == sorted(map(tuple, audit.constraint_audit(seen).collect()))
