@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -48,40 +48,59 @@ def audit_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
-def audit_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Values that occur more than once in a primary key or unique column, counted per column."""
+def _keys(tables: Mapping[str, DataFrame], referred: Collection[str] = ()) -> list[DataFrame]:
+    """Findings of each primary key and unique column, but for the primary keys of ``referred``."""
     parts = []
     for table, df in tables.items():
         for column in (M.PRIMARY_KEY[table], *M.UNIQUE.get(table, ())):
-            if column not in df.columns:
+            if column not in df.columns or table in referred and column == M.PRIMARY_KEY[table]:
                 continue
             counts = tables[table].filter(F.col(column).isNotNull()).groupBy(column).agg(
                 F.count(F.lit(1)).alias("n"))
             parts.append(_finding(counts.agg(F.count_if(F.col("n") > 1).alias("violations")),
                                   "unique", table, column))
-    return reduce(DataFrame.union, parts)
+    return parts
 
 
-def audit_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows whose reference has no target.
+def audit_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Values that occur more than once in a primary key or unique column, counted per column."""
+    return reduce(DataFrame.union, _keys(tables))
+
+
+def _references(tables: Mapping[str, DataFrame], target: str) -> list[tuple[str, str]]:
+    """(table, column) of what refers to a table's primary key."""
+    return [(table, column) for table, column, to in M.FOREIGN_KEYS if to == target and table in tables and target in tables]
 
-    References and targets are counted per value in one aggregation: a value most rows share is a row a task, and
-    no side is broadcast, whose packed files would say little of its rows.
+
+def _audit_target(tables: Mapping[str, DataFrame], target: str, unique: bool) -> DataFrame:
+    """References to a table's primary key that have no target, and (``unique``) keys that occur more than once.
+
+    Keys and all references to them are counted per value in one aggregation: a value most rows share is a row a
+    task, and no side is broadcast, whose packed files would say little of its rows.
     """
-    parts = []
-    for table, column, target in M.FOREIGN_KEYS:
-        if table not in tables or target not in tables:
-            continue
-        used = tables[table].select(F.col(column), F.lit(1).cast("bigint").alias("n"), F.lit(False).alias("known"))
-        targets = tables[target].select(F.col(column), F.lit(0).cast("bigint"), F.lit(True))
-        counts = used.unionAll(targets).filter(F.col(column).isNotNull()).groupBy(column).agg(F.sum("n").alias("n"), F.max("known").alias("known"))
-        orphans = counts.agg(F.sum(F.when(~F.col("known"), F.col("n"))).alias("violations"))
-        parts.append(_finding(orphans, "foreign_key", table, column))
-    return reduce(DataFrame.union, parts)
+    key, users = M.PRIMARY_KEY[target], _references(tables, target)
+    sides = [(target, key), *users]
+    rows = [tables[table].select(F.col(column).alias("value"), *[F.lit(int(i == k)).cast("bigint").alias(f"n{k}") for k in range(len(sides))])
+            for i, (table, column) in enumerate(sides)]
+    counts = reduce(DataFrame.unionAll, rows).filter(F.col("value").isNotNull()).groupBy("value").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(len(sides))])
+    rules = [("unique", target, key, F.count_if(F.col("n0") > 1))] if unique else []
+    rules += [("foreign_key", table, column, F.sum(F.when(F.col("n0") == 0, F.col(f"n{k}")))) for k, (table, column) in enumerate(users, 1)]
+    found = counts.agg(*[F.coalesce(rule[-1], F.lit(0)).cast("bigint").alias(f"v{i}") for i, rule in enumerate(rules)])
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.col(f"v{i}").alias("violations"))
+        for i, (rule, table, column, _) in enumerate(rules)])))
+
+
+def audit_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows whose reference has no target."""
+    return reduce(DataFrame.union, [_audit_target(tables, target, False) for target in tables if _references(tables, target)])
 
 
 def constraint_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return audit_columns(tables).union(audit_keys(tables)).union(audit_foreign_keys(tables))
+    """All rules; a key that others refer to is looked at once, with them."""
+    targets = [t for t in tables if _references(tables, t)]
+    parts = [_audit_target(tables, target, True) for target in targets]
+    return reduce(DataFrame.union, [audit_columns(tables), *_keys(tables, targets), *parts])
 
 
 def line_totals(lines: DataFrame) -> DataFrame:
